@@ -291,3 +291,83 @@ FROM anomalies
 WHERE ABS(z_score) > 1.5
 ORDER BY ABS(z_score) DESC, site_id, date
 LIMIT 30""")
+
+_RULES = ["CASE WHEN NOT COALESCE(production_kwh IS NULL OR production_kwh >= 0, TRUE) THEN 'chk_production_positive' END",
+          "CASE WHEN NOT COALESCE(technology IN ('solar', 'wind'), TRUE) THEN 'chk_technology_valid' END",
+          "CASE WHEN NOT COALESCE(sensor_2 IS NULL OR sensor_2 >= 0, TRUE) THEN 'chk_irradiance_positive' END"]
+
+ORACLE["expect_quarantine"] = _q(READINGS, body=f"""
+SELECT * FROM (
+  SELECT event_id, "timestamp", site_id, technology, production_kwh, sensor_2, status,
+         concat_ws(',', {', '.join(_RULES)}) AS failed_rules
+  FROM readings) q
+WHERE failed_rules <> ''""")
+
+ORACLE["expect_report"] = _q(READINGS, body="""
+SELECT 'chk_production_positive' AS rule,
+       CAST(SUM(CASE WHEN NOT COALESCE(production_kwh IS NULL OR production_kwh >= 0, TRUE) THEN 1 ELSE 0 END) AS BIGINT) AS violations
+FROM readings
+UNION ALL
+SELECT 'chk_technology_valid',
+       CAST(SUM(CASE WHEN NOT COALESCE(technology IN ('solar', 'wind'), TRUE) THEN 1 ELSE 0 END) AS BIGINT)
+FROM readings
+UNION ALL
+SELECT 'chk_irradiance_positive',
+       CAST(SUM(CASE WHEN NOT COALESCE(sensor_2 IS NULL OR sensor_2 >= 0, TRUE) THEN 1 ELSE 0 END) AS BIGINT)
+FROM readings""")
+
+MERGE_CTES = """
+base AS (SELECT "timestamp", site_id, technology, production_kwh, status, date, hour FROM production),
+tgt AS (SELECT *, 1 AS _t FROM base WHERE date < DATE '2024-01-27'),
+src AS (SELECT "timestamp", site_id, technology,
+               CASE WHEN site_id % 7 = 0 THEN production_kwh + 1 ELSE production_kwh END AS production_kwh,
+               status, date, hour, 1 AS _s
+        FROM base WHERE date >= DATE '2024-01-20' AND (site_id + hour) % 11 <> 0),
+joined AS (
+  SELECT t."timestamp" AS t_ts, t.site_id AS t_site, t.technology AS t_tech, t.production_kwh AS t_kwh,
+         t.status AS t_status, t.date AS t_date, t.hour AS t_hour, t._t,
+         s."timestamp" AS s_ts, s.site_id AS s_site, s.technology AS s_tech, s.production_kwh AS s_kwh,
+         s.status AS s_status, s.date AS s_date, s.hour AS s_hour, s._s
+  FROM tgt t FULL OUTER JOIN src s ON t."timestamp" = s."timestamp" AND t.site_id = s.site_id),
+actions AS (
+  SELECT *, CASE WHEN _s IS NULL THEN (CASE WHEN t_date >= DATE '2024-01-23' THEN 'delete' ELSE 'keep' END)
+                 WHEN _t IS NULL THEN 'insert'
+                 WHEN s_kwh != t_kwh THEN 'update'
+                 ELSE 'keep' END AS _action
+  FROM joined),
+merged AS (
+  SELECT CASE WHEN _action IN ('insert', 'update') THEN s_ts ELSE t_ts END AS "timestamp",
+         CASE WHEN _action IN ('insert', 'update') THEN s_site ELSE t_site END AS site_id,
+         CASE WHEN _action IN ('insert', 'update') THEN s_tech ELSE t_tech END AS technology,
+         CASE WHEN _action IN ('insert', 'update') THEN s_kwh ELSE t_kwh END AS production_kwh,
+         CASE WHEN _action IN ('insert', 'update') THEN s_status ELSE t_status END AS status,
+         CASE WHEN _action IN ('insert', 'update') THEN s_date ELSE t_date END AS date,
+         CASE WHEN _action IN ('insert', 'update') THEN s_hour ELSE t_hour END AS hour,
+         _action
+  FROM actions)"""
+
+ORACLE["merge_upsert"] = _q(*SILVER_CHAIN, MERGE_CTES, body="SELECT * FROM merged WHERE _action <> 'delete'")
+
+ORACLE["version_read"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
+SELECT "timestamp", site_id, technology, production_kwh, status, date, hour FROM tgt""")
+
+ORACLE["version_latest"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
+SELECT "timestamp", site_id, technology, production_kwh, status, date, hour
+FROM merged WHERE _action <> 'delete'""")
+
+ORACLE["history"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
+SELECT CAST(1 AS BIGINT) AS version, 'MERGE' AS operation,
+       CAST(SUM(CASE WHEN _action <> 'delete' AND (t_date IS NULL OR t_date >= DATE '2024-01-20'
+                                                    OR t_date IN (SELECT date FROM src)) THEN 1 ELSE 0 END) AS BIGINT)
+         AS num_output_rows,
+       CAST(SUM(CASE WHEN _action = 'insert' THEN 1 ELSE 0 END) AS BIGINT) AS num_inserted,
+       CAST(SUM(CASE WHEN _action = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS num_updated,
+       CAST(SUM(CASE WHEN _action = 'delete' THEN 1 ELSE 0 END) AS BIGINT) AS num_deleted,
+       CAST(SUM(CASE WHEN _action = 'keep' AND (t_date >= DATE '2024-01-20' OR t_date IN (SELECT date FROM src))
+                     THEN 1 ELSE 0 END) AS BIGINT) AS num_kept,
+       CAST((SELECT COUNT(DISTINCT date) FROM (SELECT date FROM src UNION SELECT date FROM tgt
+                                               WHERE date >= DATE '2024-01-23')) AS INTEGER)
+         AS num_replaced_partitions
+FROM actions
+UNION ALL
+SELECT CAST(0 AS BIGINT), 'WRITE', (SELECT COUNT(*) FROM tgt), NULL, NULL, NULL, NULL, CAST(0 AS INTEGER)""")

@@ -109,3 +109,92 @@ def anomaly_input(spark: SparkSession, sf: str) -> DataFrame:
 @register("detect_anomalies")
 def q_detect_anomalies(spark, sf):
     return anomaly.detect_anomalies(anomaly_input(spark, sf))
+
+
+# ---------------------------------------------------------------- quality
+
+from kilowatt.operators import quality  # noqa: E402
+
+
+def reading_rules():
+    return {**quality.silver_rules(),
+            "chk_irradiance_positive": F.col("sensor_2").isNull() | (F.col("sensor_2") >= 0)}
+
+
+@register("expect_quarantine")
+def q_expect_quarantine(spark, sf):
+    r = fx.readings(spark, sf).drop("sensor_1")
+    _, bad = quality.expect(r, reading_rules(), "quarantine")
+    return bad
+
+
+@register("expect_report")
+def q_expect_report(spark, sf):
+    return quality.expect(fx.readings(spark, sf), reading_rules(), "report")
+
+
+# ---------------------------------------------------------------- merge / versions
+
+import datetime as _dt  # noqa: E402
+
+from kilowatt.operators import merge  # noqa: E402
+from kilowatt.session import scratch_path  # noqa: E402
+from kilowatt.sinks import versioned  # noqa: E402
+
+MERGE_AS_OF = _dt.date(2024, 1, 30)
+MERGE_COLUMNS = ["timestamp", "site_id", "technology", "production_kwh", "status", "date", "hour"]
+
+
+def merge_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(target, source): target before 2024-01-27; source from 2024-01-20 with
+    +1 kWh on every 7th site and some keys missing."""
+    base = production(spark, sf).select(*MERGE_COLUMNS)
+    target = base.filter(F.col("date") < F.lit("2024-01-27").cast("date"))
+    source = (base.filter(F.col("date") >= F.lit("2024-01-20").cast("date"))
+              .filter((F.col("site_id") + F.col("hour")) % 11 != 0)
+              .withColumn("production_kwh",
+                          F.when(F.col("site_id") % 7 == 0, F.col("production_kwh") + 1)
+                          .otherwise(F.col("production_kwh"))))
+    return target, source
+
+
+@register("merge_upsert")
+def q_merge_upsert(spark, sf):
+    target, source = merge_pair(spark, sf)
+    return merge.merge_upsert(target, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF,
+                              prune_col="date")
+
+
+def _versioned_merge(spark: SparkSession, sf: str) -> str:
+    """Write the target as version 0, merge the source as version 1."""
+    path = scratch_path(spark, "versioned")
+    target, source = merge_pair(spark, sf)
+    versioned.write_version(target, path, "WRITE", partition_col="date")
+    t0 = versioned.read_version(spark, path)
+    plan = merge.merge_upsert(t0, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF,
+                              prune_col="date", keep_deleted=True)
+    cutoff = MERGE_AS_OF - _dt.timedelta(days=7)
+    touched = {r[0] for r in source.select("date").distinct().collect()}
+    touched |= {r[0] for r in t0.filter(F.col("date") >= F.lit(cutoff)).select("date").distinct().collect()}
+    rewritten = plan.filter(F.col("date").isin(list(touched)))
+    versioned.write_version(rewritten, path, "MERGE", partition_col="date",
+                            replaced=touched, action_col="_action")
+    return path
+
+
+@register("version_read")
+def q_version_read(spark, sf):
+    """Version 0 read back after version 1 was committed (time travel)."""
+    return versioned.read_version(spark, _versioned_merge(spark, sf), 0).select(*MERGE_COLUMNS)
+
+
+@register("version_latest")
+def q_version_latest(spark, sf):
+    """Latest version: version 0 with the merged partitions of version 1."""
+    return versioned.read_version(spark, _versioned_merge(spark, sf)).select(*MERGE_COLUMNS)
+
+
+@register("history")
+def q_history(spark, sf):
+    h = versioned.history(spark, _versioned_merge(spark, sf))
+    return h.drop("committed_at").orderBy(F.col("version").desc()).limit(3)

@@ -62,3 +62,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     on a cluster): sinks, streams and lineage cuts of one call go here."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/kilowatt-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (possibly remote) file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p))
