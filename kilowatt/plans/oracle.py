@@ -371,3 +371,84 @@ SELECT CAST(1 AS BIGINT) AS version, 'MERGE' AS operation,
 FROM actions
 UNION ALL
 SELECT CAST(0 AS BIGINT), 'WRITE', (SELECT COUNT(*) FROM tgt), NULL, NULL, NULL, NULL, CAST(0 AS INTEGER)""")
+
+ORDER_VALUES = """
+order_values AS (
+  SELECT o_orderkey, o_orderpriority, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS value FROM orders
+)"""
+
+ORACLE["rank_trio"] = _q(ORDER_VALUES, body="""
+SELECT *,
+  CAST(DENSE_RANK() OVER (PARTITION BY o_orderpriority ORDER BY value DESC NULLS LAST) AS BIGINT) AS dense_rank,
+  CAST(RANK() OVER (PARTITION BY o_orderpriority ORDER BY value DESC NULLS LAST) AS BIGINT) AS rank,
+  CAST(ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY value DESC NULLS LAST, o_orderkey) AS BIGINT) AS row_number
+FROM order_values""")
+
+ORACLE["global_rank"] = _q(ORDER_VALUES, body="""
+SELECT *,
+  CAST(DENSE_RANK() OVER (ORDER BY value DESC NULLS LAST) AS BIGINT) AS dense_rank,
+  CAST(RANK() OVER (ORDER BY value DESC NULLS LAST) AS BIGINT) AS rank,
+  CAST(ROW_NUMBER() OVER (ORDER BY value DESC NULLS LAST, o_orderkey) AS BIGINT) AS row_number
+FROM order_values""")
+
+ORACLE["daily_next_day"] = _q(*SILVER_CHAIN, SITES, DAILY, body="""
+SELECT date, site_id, technology, total_production_mwh,
+       LEAD(total_production_mwh, 1) OVER (PARTITION BY site_id, technology ORDER BY date)
+         AS next_day_total_production_mwh
+FROM daily""")
+
+_LINEITEM = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+       l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
+ORACLE["compact_layout"] = _LINEITEM
+ORACLE["zorder_layout"] = _LINEITEM
+ORACLE["sorted_write"] = _LINEITEM
+
+ORACLE["partition_profile"] = _q(*SILVER_CHAIN, body="""
+SELECT technology, date, COUNT(*) AS num_rows, MIN("timestamp") AS min_ts, MAX("timestamp") AS max_ts
+FROM production GROUP BY technology, date""")
+
+RAW_READINGS = """
+raw_readings AS (
+  SELECT ts AS "timestamp", user_id AS site_id,
+         CASE WHEN user_id % 2 = 0 THEN 'solar' ELSE 'wind' END AS technology,
+         CAST(CAST(value AS DECIMAL(18,4)) - 10 AS DOUBLE) AS production_kwh
+  FROM events
+)"""
+
+_ROLLUP = f"""
+SELECT site_id, technology, date_trunc('{{unit}}', "timestamp") AS bucket_start,
+       COUNT(*) AS n_readings,
+       {R(f"SUM({D('production_kwh')})", 4)} AS total_kwh,
+       {R(f"AVG({D('production_kwh')})", 4)} AS avg_kwh,
+       MAX(production_kwh) AS max_kwh,
+       '{{unit}}' AS unit
+FROM raw_readings GROUP BY site_id, technology, date_trunc('{{unit}}', "timestamp")"""
+
+ORACLE["timescale_rollup"] = _q(RAW_READINGS, body="\nUNION ALL".join(
+    _ROLLUP.format(unit=u) for u in ("minute", "hour", "day")))
+
+ORACLE["energy_losses"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
+SELECT date, site_id, technology, hours_offline, capacity_mw,
+       {R("mean_cf", 4)} AS mean_capacity_factor_pct,
+       CASE WHEN capacity_mw > 0 THEN {R("hours_offline * CAST(capacity_mw AS DECIMAL(14,6)) * mean_cf / 100", 4)} END
+         AS energy_lost_mwh
+FROM (SELECT *, CAST(AVG({D('daily_capacity_factor_pct')}) OVER (PARTITION BY site_id, technology) AS DECIMAL(14,8))
+                  AS mean_cf
+      FROM daily) d""")
+
+ORACLE["rows_per_technology"] = _q(*SILVER_CHAIN, body="""
+SELECT technology, COUNT(*) AS count FROM production GROUP BY technology""")
+
+ORACLE["predicates_scalars"] = _q(READINGS, body=f"""
+SELECT event_id, site_id,
+       CAST(YEAR("timestamp") AS INTEGER) AS year, CAST(MONTH("timestamp") AS INTEGER) AS month,
+       CAST(HOUR("timestamp") AS INTEGER) AS hour, CAST("timestamp" AS DATE) AS date,
+       strftime("timestamp", '%Y-%m') AS month_label,
+       ABS(production_kwh) AS abs_kwh,
+       {R(D('production_kwh'), 1)} AS kwh_1,
+       NULLIF(sensor_2, 0.0) AS sensor_2_nz,
+       production_kwh != 0 AS nonzero,
+       CASE WHEN production_kwh >= 50 THEN 'high' WHEN production_kwh >= 0 THEN 'low' ELSE 'negative' END AS band,
+       CAST("timestamp" AS DATE) - 7 AS week_before
+FROM readings
+WHERE technology = 'solar' AND (status IN ('OK', 'OFFLINE') OR production_kwh IS NULL OR production_kwh < 0)""")

@@ -198,3 +198,117 @@ def q_version_latest(spark, sf):
 def q_history(spark, sf):
     h = versioned.history(spark, _versioned_merge(spark, sf))
     return h.drop("committed_at").orderBy(F.col("version").desc()).limit(3)
+
+
+# ---------------------------------------------------------------- ranking
+
+from kilowatt.operators import layout, ranking, timescale  # noqa: E402
+from kilowatt.sources.files import read_table  # noqa: E402
+
+
+def order_values(spark: SparkSession, sf: str) -> DataFrame:
+    o = read_table(spark, sf, "orders")
+    return o.select("o_orderkey", "o_orderpriority",
+                    F.round(F.col("o_totalprice") * 100).cast("bigint").alias("value"))
+
+
+@register("rank_trio")
+def q_rank_trio(spark, sf):
+    """dense_rank / rank / row_number side by side within each priority."""
+    return ranking.rank_within(order_values(spark, sf), ["o_orderpriority"], "value",
+                               tiebreak=["o_orderkey"])
+
+
+@register("global_rank")
+def q_global_rank(spark, sf):
+    """The same three ranks over the whole table, without a single partition."""
+    return ranking.global_rank(order_values(spark, sf), "value", tiebreak=["o_orderkey"],
+                               buckets=16)
+
+
+@register("daily_next_day")
+def q_daily_next_day(spark, sf):
+    return gold.next_day(daily(spark, sf)).select(
+        "date", "site_id", "technology", "total_production_mwh", "next_day_total_production_mwh")
+
+
+# ---------------------------------------------------------------- layout
+
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                 "l_shipdate"]
+
+
+@register("compact_layout")
+def q_compact_layout(spark, sf):
+    path = scratch_path(spark, "compact")
+    layout.compact(read_table(spark, sf, "lineitem"), path, partition_cols=["l_returnflag"],
+                   target_file_bytes=8 * 1024 * 1024)
+    return spark.read.parquet(path).select(*LINEITEM_COLS)
+
+
+@register("zorder_layout")
+def q_zorder_layout(spark, sf):
+    path = scratch_path(spark, "zorder")
+    layout.zorder_layout(read_table(spark, sf, "lineitem"), ["l_suppkey", "l_partkey"], path, files=8)
+    return spark.read.parquet(path).select(*LINEITEM_COLS)
+
+
+@register("sorted_write")
+def q_sorted_write(spark, sf):
+    path = scratch_path(spark, "sorted")
+    layout.sorted_write(read_table(spark, sf, "lineitem"),
+                        ["l_shipdate", "l_orderkey", "l_linenumber"], path, files=8)
+    return spark.read.parquet(path).select(*LINEITEM_COLS)
+
+
+@register("partition_profile")
+def q_partition_profile(spark, sf):
+    path = scratch_path(spark, "silver")
+    production(spark, sf).write.partitionBy("technology", "date").parquet(path)
+    return layout.partition_profile(spark.read.parquet(path), ["technology", "date"], ts="timestamp")
+
+
+# ---------------------------------------------------------------- time scales, losses, scalars
+
+def raw_readings(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings at their original (sub-hour) event time."""
+    ev = read_table(spark, sf, "events")
+    return ev.select(F.col("ts").alias("timestamp"), F.col("user_id").alias("site_id"),
+                     F.when(F.col("user_id") % 2 == 0, "solar").otherwise("wind").alias("technology"),
+                     (F.col("value").cast("decimal(18,4)") - 10).cast("double").alias("production_kwh"))
+
+
+@register("timescale_rollup")
+def q_timescale_rollup(spark, sf):
+    return timescale.multi_scale_rollup(raw_readings(spark, sf))
+
+
+@register("energy_losses")
+def q_energy_losses(spark, sf):
+    return timescale.energy_losses(daily(spark, sf))
+
+
+@register("rows_per_technology")
+def q_rows_per_technology(spark, sf):
+    return production(spark, sf).groupBy("technology").agg(F.count(F.lit(1)).alias("count"))
+
+
+@register("predicates_scalars")
+def q_predicates_scalars(spark, sf):
+    """Filters (=, IN, IS NULL, comparisons, AND/OR) and the scalar functions
+    of the reference over solar readings."""
+    r = fx.readings(spark, sf)
+    kwh = F.col("production_kwh")
+    return (r.filter((F.col("technology") == "solar")
+                     & (F.col("status").isin("OK", "OFFLINE") | kwh.isNull() | (kwh < 0)))
+            .select("event_id", "site_id",
+                    F.year("timestamp").alias("year"), F.month("timestamp").alias("month"),
+                    F.hour("timestamp").alias("hour"), F.to_date("timestamp").alias("date"),
+                    F.date_format("timestamp", "yyyy-MM").alias("month_label"),
+                    F.abs(kwh).alias("abs_kwh"),
+                    F.round(exact("production_kwh"), 1).cast("double").alias("kwh_1"),
+                    F.nullif(F.col("sensor_2"), F.lit(0.0)).alias("sensor_2_nz"),
+                    (kwh != 0).alias("nonzero"),
+                    F.when(kwh >= 50, "high").when(kwh >= 0, "low").otherwise("negative").alias("band"),
+                    F.date_sub(F.to_date("timestamp"), 7).alias("week_before")))
