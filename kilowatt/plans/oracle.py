@@ -452,3 +452,49 @@ SELECT event_id, site_id,
        CAST("timestamp" AS DATE) - 7 AS week_before
 FROM readings
 WHERE technology = 'solar' AND (status IN ('OK', 'OFFLINE') OR production_kwh IS NULL OR production_kwh < 0)""")
+
+_SOLAR_LANDING = """SELECT "timestamp", CAST(site_id AS VARCHAR) AS site_id, panel_temp_c, irradiance_w_m2,
+       production_kwh, status FROM solar_raw"""
+
+ORACLE["csv_roundtrip"] = _q(*BRONZE, body=_SOLAR_LANDING)
+ORACLE["csv_inferred"] = _q(*BRONZE, body="""SELECT "timestamp", site_id, panel_temp_c, irradiance_w_m2,
+       production_kwh, status FROM solar_raw""")
+ORACLE["stream_ingest"] = _q(*BRONZE, body=_SOLAR_LANDING)
+
+ORACLE["stream_rollup"] = _q(RAW_READINGS, body=f"""
+SELECT date_trunc('hour', "timestamp") AS window_start,
+       date_trunc('hour', "timestamp") + INTERVAL 1 HOUR AS window_end,
+       site_id, technology, COUNT(*) AS n_readings,
+       {R(f"SUM({D('production_kwh')})", 4)} AS total_kwh,
+       {R(f"AVG({D('production_kwh')})", 4)} AS avg_kwh,
+       MAX(production_kwh) AS max_kwh
+FROM raw_readings
+GROUP BY site_id, technology, date_trunc('hour', "timestamp")
+HAVING date_trunc('hour', "timestamp") + INTERVAL 1 HOUR
+       <= (SELECT MAX("timestamp") FROM raw_readings) - INTERVAL 10 MINUTE""")
+
+ORACLE["drift_alerts"] = _q(*SILVER_CHAIN, SITES, DAILY, RAW_READINGS, f"""
+baseline AS (
+  SELECT site_id, AVG({D('total_production_mwh')}) AS baseline_mean,
+         STDDEV_SAMP(total_production_mwh) AS baseline_std
+  FROM daily WHERE date < DATE '2024-01-20' GROUP BY site_id
+),
+stream_daily AS (
+  SELECT CAST(date_trunc('day', "timestamp") AS DATE) AS date, site_id,
+         {R(f"SUM({D('CASE WHEN production_kwh < 0 THEN NULL ELSE production_kwh END')}) / 1000", 4)} AS production_mwh
+  FROM raw_readings WHERE "timestamp" >= TIMESTAMP '2024-01-20 00:00:00'
+  GROUP BY site_id, CAST(date_trunc('day', "timestamp") AS DATE)
+  HAVING CAST(date_trunc('day', "timestamp") AS DATE) + INTERVAL 1 DAY
+         <= (SELECT MAX("timestamp") FROM raw_readings) - INTERVAL 1 HOUR
+)""", body=f"""
+SELECT d.date, d.site_id, d.production_mwh, {R("b.baseline_mean", 4)} AS baseline_mean,
+       {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} AS z_score,
+       CASE WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} < -2 THEN '🔴 ANOMALIE BASSE'
+            WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} < -1 THEN '🟡 Production faible'
+            WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} > 2 THEN '🔵 Production exceptionnelle'
+            ELSE '✅ Normal' END AS alert_level
+FROM stream_daily d JOIN baseline b USING (site_id)""")
+
+ORACLE["csv_all_strings"] = _q(*BRONZE, body="""
+SELECT CAST(site_id AS VARCHAR) AS site_id, status, CAST(production_kwh AS VARCHAR) AS production_kwh_text
+FROM solar_raw""")

@@ -312,3 +312,126 @@ def q_predicates_scalars(spark, sf):
                     (kwh != 0).alias("nonzero"),
                     F.when(kwh >= 50, "high").when(kwh >= 0, "low").otherwise("negative").alias("band"),
                     F.date_sub(F.to_date("timestamp"), 7).alias("week_before")))
+
+
+# ---------------------------------------------------------------- files, CSV and streams
+
+from kilowatt import schemas  # noqa: E402
+from kilowatt.operators.bronze import with_audit  # noqa: E402
+from kilowatt.sinks import layers  # noqa: E402
+from kilowatt.sources import files  # noqa: E402
+from kilowatt.streaming import ingest  # noqa: E402
+from kilowatt.streaming import rollup as srollup  # noqa: E402
+
+SOLAR_COLS = [f.name for f in schemas.SOLAR_SCHEMA.fields]
+
+
+def _landing_solar(spark: SparkSession, sf: str, root: str, split_date: str | None = None) -> str:
+    """Solar readings as CSV landing files (reference solar layout, string
+    site ids); with ``split_date`` only rows before it."""
+    df = fx.solar_raw(spark, sf)
+    if split_date:
+        df = df.filter(F.col("timestamp") < F.lit(split_date).cast("timestamp_ntz"))
+    df = df.select(*[F.col(c).cast("string") if c == "site_id" else F.col(c) for c in SOLAR_COLS])
+    return layers.write_csv(df, root, mode="append")
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Landing CSV → declared-schema read → audit + partition columns →
+    partitioned bronze write → read → audit columns dropped."""
+    root = scratch_path(spark, "csv")
+    _landing_solar(spark, sf, f"{root}/landing")
+    raw = files.read_csv(spark, f"{root}/landing", schema=schemas.SOLAR_SCHEMA)
+    bronze_df = with_audit(raw, partition_from="timestamp", batch_id="fixture")
+    layers.write_layer(bronze_df, f"{root}/bronze/solar_raw", partition_by=["_year", "_month"])
+    back = spark.read.parquet(f"{root}/bronze/solar_raw")
+    return _ntz(silver.drop_audit(back)).select(*SOLAR_COLS)
+
+
+@register("csv_all_strings")
+def q_csv_all_strings(spark, sf):
+    """Header-only CSV read (no schema, no inference): every column a string."""
+    root = scratch_path(spark, "csv")
+    _landing_solar(spark, sf, f"{root}/landing")
+    df = files.read_csv(spark, f"{root}/landing")
+    return df.select("site_id", "status", F.col("production_kwh").alias("production_kwh_text"))
+
+
+@register("csv_inferred")
+def q_csv_inferred(spark, sf):
+    """CSV read with type inference (an extra pass over the input)."""
+    root = scratch_path(spark, "csv")
+    _landing_solar(spark, sf, f"{root}/landing")
+    df = files.read_csv(spark, f"{root}/landing", infer=True)
+    return _ntz(df).select(*SOLAR_COLS)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """Two arrivals of landing files drained by three incremental runs: every
+    row lands exactly once (the third run finds nothing new)."""
+    root = scratch_path(spark, "stream")
+    landing, target, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    _landing_solar(spark, sf, landing, split_date="2024-01-15")
+    ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt)
+    full = fx.solar_raw(spark, sf).filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    layers.write_csv(full.select(*[F.col(c).cast("string") if c == "site_id" else F.col(c)
+                                   for c in SOLAR_COLS]), landing, mode="append")
+    ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt)
+    ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt)
+    return _ntz(silver.drop_audit(spark.read.parquet(target))).select(*SOLAR_COLS)
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf):
+    root = scratch_path(spark, "csv")
+    _landing_solar(spark, sf, f"{root}/landing")
+    return files.file_inventory(spark, f"{root}/landing", glob="*.csv")
+
+
+def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table replayed as a file stream."""
+    ev = read_table(spark, sf, "events")
+    return (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1)
+            .option("pathGlobFilter", "events.parquet").parquet(sf))
+
+
+def _raw_readings_of(ev: DataFrame) -> DataFrame:
+    return ev.select(F.col("ts").alias("timestamp"), F.col("user_id").alias("site_id"),
+                     F.when(F.col("user_id") % 2 == 0, "solar").otherwise("wind").alias("technology"),
+                     (F.col("value").cast("decimal(18,4)") - 10).cast("double").alias("production_kwh"))
+
+
+def _drain(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
+    root = scratch_path(spark, name)
+    ingest.run_incremental(df, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+@register("stream_rollup")
+def q_stream_rollup(spark, sf):
+    """Hourly event-time windows per site from a stream with a 10-minute
+    watermark; only windows closed by the watermark are emitted."""
+    s = srollup.windowed_rollup(_raw_readings_of(_events_stream(spark, sf)), "1 hour", "10 minutes")
+    return _drain(s, spark, "stream_rollup")
+
+
+DRIFT_SPLIT = "2024-01-20"
+
+
+@register("drift_alerts")
+def q_drift_alerts(spark, sf):
+    """Daily production per site from the event stream (from 2024-01-20),
+    labelled against each site's baseline from the batch daily KPIs before it."""
+    base = srollup.site_baseline(daily(spark, sf).filter(F.col("date") < F.lit(DRIFT_SPLIT).cast("date")))
+    stream = _raw_readings_of(_events_stream(spark, sf)).filter(
+        F.col("timestamp") >= F.lit(DRIFT_SPLIT).cast("timestamp_ntz"))
+    alerts = srollup.drift_alerts(srollup.daily_production_stream(stream), base)
+    return _drain(alerts.select("date", "site_id", "production_mwh",
+                                F.round("baseline_mean", 4).alias("baseline_mean"), "z_score",
+                                "alert_level"), spark, "drift")
