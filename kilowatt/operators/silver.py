@@ -75,12 +75,14 @@ def _project_tech(df: DataFrame, spec: TechSpec, keep: Sequence[str]) -> DataFra
     """Cleaned readings of one technology in the common (pre-dedup) shape."""
     df = clean_readings(drop_audit(df), spec.non_negative)
     eff = spec.efficiency() if spec.efficiency else F.lit(None).cast("double")
+    common = ["timestamp", "site_id", "technology", "production_kwh", "status",
+              "sensor_metric_1", "sensor_metric_2", "efficiency_pct"]
     return df.select(
         "timestamp", "site_id", F.lit(spec.technology).alias("technology"),
         "production_kwh", "status",
         F.col(spec.sensor_1).cast("double").alias("sensor_metric_1"),
         F.col(spec.sensor_2).cast("double").alias("sensor_metric_2"),
-        eff.alias("efficiency_pct"), *keep)
+        eff.alias("efficiency_pct"), *[c for c in keep if c not in common])
 
 
 def derive_calendar(df: DataFrame) -> DataFrame:
@@ -96,7 +98,9 @@ def silver_production(sources: dict[str, DataFrame], specs: dict[str, TechSpec]
                       tiebreak: Sequence[str] = (), keys: Sequence[str] = ("timestamp", "site_id"),
                       ) -> DataFrame:
     """Unified silver fact table (``SILVER_COLUMNS``) from bronze tables keyed by
-    technology: clean → project → union → one keep-best dedup → calendar."""
+    technology: clean → project → union → one keep-best dedup → calendar.
+    ``tiebreak`` names raw columns (e.g. an event id) or common silver columns
+    (e.g. ``sensor_metric_1``) that order rows with equal production."""
     specs = specs or SPECS
     parts = [_project_tech(df, specs[tech], tiebreak) for tech, df in sources.items()]
     unified = parts[0]

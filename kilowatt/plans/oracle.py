@@ -498,3 +498,13 @@ FROM stream_daily d JOIN baseline b USING (site_id)""")
 ORACLE["csv_all_strings"] = _q(*BRONZE, body="""
 SELECT CAST(site_id AS VARCHAR) AS site_id, status, CAST(production_kwh AS VARCHAR) AS production_kwh_text
 FROM solar_raw""")
+
+_INVENTORY = [("bronze", "bronze.sites_raw", "sites", 9), ("bronze", "bronze.solar_raw", "solar_raw", 11),
+              ("bronze", "bronze.wind_raw", "wind_raw", 11), ("silver", "silver.production", "production", 17),
+              ("gold", "gold.daily_kpis", "daily", 17), ("gold", "gold.daily_kpis_enriched", "daily", 21),
+              ("gold", "gold.site_efficiency_report", "report", 15)]
+
+ORACLE["layer_inventory"] = _q(*SILVER_CHAIN, SITES, DAILY, """
+report AS (SELECT DISTINCT site_id, technology, YEAR(date), MONTH(date) FROM daily)""", body="\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT COUNT(*) FROM {src}) AS num_rows, "
+    f"{ncol} AS num_columns" for layer, name, src, ncol in _INVENTORY))

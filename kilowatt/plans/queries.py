@@ -435,3 +435,50 @@ def q_drift_alerts(spark, sf):
     return _drain(alerts.select("date", "site_id", "production_mwh",
                                 F.round("baseline_mean", 4).alias("baseline_mean"), "z_score",
                                 "alert_level"), spark, "drift")
+
+
+# ---------------------------------------------------------------- medallion end to end
+
+from kilowatt.plans import medallion  # noqa: E402
+
+
+def landing_files(spark: SparkSession, sf: str, root: str) -> str:
+    """sites / solar / wind CSV landing files as the reference receives them."""
+    s = fx.sites(spark, sf).select(*[F.col(c).cast("string") for c in
+                                     ["site_id", "site_name", "region", "capacity_mw", "latitude", "longitude"]])
+    layers.write_csv(s, f"{root}/sites")
+    layers.write_csv(fx.solar_raw(spark, sf).drop("event_id").withColumn("site_id", F.col("site_id").cast("string")),
+                     f"{root}/solar")
+    layers.write_csv(fx.wind_raw(spark, sf).drop("event_id").withColumn("site_id", F.col("site_id").cast("string")),
+                     f"{root}/wind")
+    return root
+
+
+def _landing_layout(spark: SparkSession, sf: str, root: str) -> str:
+    """One landing folder whose file names tell the kinds apart."""
+    landing_files(spark, sf, f"{root}/by_kind")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    flat = jvm.org.apache.hadoop.fs.Path(f"{root}/landing")
+    fs = flat.getFileSystem(conf)
+    fs.mkdirs(flat)
+    for kind in ("sites", "solar", "wind"):
+        src = jvm.org.apache.hadoop.fs.Path(f"{root}/by_kind/{kind}")
+        for st in fs.listStatus(src):
+            name = st.getPath().getName()
+            if name.endswith(".csv"):
+                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(flat, f"{kind}_{name}"))
+    return f"{root}/landing"
+
+
+@register("layer_inventory")
+def q_layer_inventory(spark, sf):
+    """Run bronze → silver → gold over landing files, then list every table
+    with its row and column counts."""
+    root = scratch_path(spark, "lake")
+    lake = medallion.Lake(f"{root}/lake")
+    landing = _landing_layout(spark, sf, root)
+    medallion.bronze_job(spark, landing, lake, batch_id="fixture")
+    medallion.silver_job(spark, lake, tiebreak=["sensor_metric_1", "sensor_metric_2", "status"])
+    medallion.gold_job(spark, lake)
+    return layout.layer_inventory(spark, lake.tables()).drop("last_ingested_at")
