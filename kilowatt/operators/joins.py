@@ -1,7 +1,8 @@
 """Dimension joins with a checked broadcast.
 
-A side is broadcast only when the optimizer's size estimate for it is under
-a limit (default: the session's ``spark.sql.autoBroadcastJoinThreshold``).
+A side is broadcast only when its size is proven under a limit (default:
+the session's ``spark.sql.autoBroadcastJoinThreshold``): by the optimizer's
+estimate, or by a measurement bounded to ``limit`` bytes of rows.
 Above it the join stays a shuffle join, and AQE may still switch to a
 broadcast once it has measured the real shuffle size at runtime.
 """
@@ -10,6 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType,
+                               DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StringType, TimestampNTZType, TimestampType)
 
 DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 
@@ -41,15 +45,61 @@ def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
     return DEFAULT_BROADCAST_LIMIT
 
 
-def is_broadcastable(df: DataFrame, limit: int | None = None) -> bool:
-    size = estimated_size_bytes(df)
+def _fixed_width(t) -> int:
+    """In-row bytes of a fixed-width type (strings/binaries are measured)."""
+    if isinstance(t, (StringType, BinaryType)):
+        return 0
+    if isinstance(t, (ByteType, BooleanType)):
+        return 1
+    if isinstance(t, ShortType):
+        return 2
+    if isinstance(t, (IntegerType, DateType, FloatType)):
+        return 4
+    if isinstance(t, DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, (LongType, DoubleType, TimestampType, TimestampNTZType)):
+        return 8
+    return 64  # nested values: a conservative flat guess
+
+
+def measured_size_bytes(df: DataFrame, max_bytes: int) -> int | None:
+    """Bytes of ``df`` as rows in memory, measured by one bounded aggregate
+    job over at most ``max_rows + 1`` rows (``max_rows`` = the most rows that
+    could fit in ``max_bytes``); None when there are more rows than that."""
+    fields = df.schema.fields
+    per_row = 16 + 8 * len(fields)          # row header + one word per field
+    max_rows = max(1, max_bytes // per_row)
+    var = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+           for f in fields if isinstance(f.dataType, (StringType, BinaryType))]
+    fixed = sum(_fixed_width(f.dataType) for f in fields)
+    var_sum = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
+    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), var_sum.alias("v")).first()
+    n = int(row["n"] or 0)
+    if n > max_rows:
+        return None
+    return n * (per_row + fixed) + int(row["v"] or 0)
+
+
+def is_broadcastable(df: DataFrame, limit: int | None = None, measure: bool = True) -> bool:
+    """True when ``df`` is proven to fit ``limit`` bytes: by the optimizer's
+    estimate (no job), or else — the estimate of a join or aggregate is only
+    an upper bound — by :func:`measured_size_bytes` (one bounded job)."""
     lim = broadcast_limit(df, limit)
-    return size is not None and 0 <= size <= lim
+    size = estimated_size_bytes(df)
+    if size is not None and 0 <= size <= lim:
+        return True
+    if not measure or lim <= 0:
+        return False
+    measured = measured_size_bytes(df, lim)
+    return measured is not None and measured <= lim
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_bytes: int | None = None) -> DataFrame:
-    """``facts ⋈ dim``; ``dim`` is hinted for broadcast only behind a size check."""
-    if is_broadcastable(dim, max_broadcast_bytes):
+                   max_broadcast_bytes: int | None = None, measure: bool = True) -> DataFrame:
+    """``facts ⋈ dim``; ``dim`` is hinted for broadcast only behind a size check
+    (with ``measure`` the check may run one bounded job on the dimension)."""
+    if dim.isStreaming:
+        return facts.join(dim, on, how)
+    if is_broadcastable(dim, max_broadcast_bytes, measure):
         dim = F.broadcast(dim)
     return facts.join(dim, on, how)

@@ -1,0 +1,62 @@
+import datetime as dt
+
+import pytest
+
+from kilowatt.operators import merge
+from tests.conftest import rows
+
+AS_OF = dt.date(2024, 1, 30)
+OLD, RECENT = dt.date(2024, 1, 1), dt.date(2024, 1, 28)
+SCHEMA = "k long, v double, date date"
+
+
+def frames(spark):
+    target = spark.createDataFrame([
+        (1, 1.0, RECENT),    # equal in source → keep
+        (2, 1.0, RECENT),    # changed → update
+        (3, None, RECENT),   # NULL → value: not updated (NULL-unaware !=)
+        (4, 1.0, RECENT),    # missing, recent → delete
+        (5, 1.0, OLD),       # missing, old → keep
+        (None, 1.0, RECENT),  # NULL key never matches, recent → delete
+    ], SCHEMA)
+    source = spark.createDataFrame([
+        (1, 1.0, RECENT), (2, 2.0, RECENT), (3, 7.0, RECENT), (6, 1.0, RECENT),  # 6 → insert
+        (None, 9.0, RECENT),  # NULL key → insert
+    ], SCHEMA)
+    return target, source
+
+
+def test_action_table(spark):
+    t, s = frames(spark)
+    out = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, keep_deleted=True), "k", "v")
+    got = [(r["k"], r["v"], r["_action"]) for r in out]
+    assert got == [(1, 1.0, "keep"), (2, 2.0, "update"), (3, None, "keep"), (4, 1.0, "delete"),
+                   (5, 1.0, "keep"), (6, 1.0, "insert"), (None, 1.0, "delete"), (None, 9.0, "insert")]
+
+
+def test_null_safe_option_updates_null_changes(spark):
+    t, s = frames(spark)
+    out = {r["k"]: r for r in rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, null_safe=True))}
+    assert out[3]["v"] == 7.0 and out[3]["_action"] == "update"
+
+
+def test_pruned_equals_full(spark):
+    t, s = frames(spark)
+    a = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF), "k", "v")
+    b = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, prune_col="date"), "k", "v")
+    assert a == b
+
+
+def test_idempotent(spark):
+    t, s = frames(spark)
+    once = merge.merge_upsert(t, s, ["k"], ["v"], AS_OF).drop("_action")
+    twice = merge.merge_upsert(once.filter("k IS NOT NULL OR v != 9.0"), s, ["k"], ["v"], AS_OF).drop("_action")
+    strip = lambda df: sorted(((r["k"] is None, r["k"], r["v"]) for r in df.collect()))
+    assert strip(once) == strip(twice)
+
+
+def test_duplicate_source_keys_rejected(spark):
+    t, _ = frames(spark)
+    dup = spark.createDataFrame([(1, 1.0, RECENT), (1, 2.0, RECENT)], SCHEMA)
+    with pytest.raises(merge.DuplicateSourceKeys):
+        merge.merge_upsert(t, dup, ["k"], ["v"], AS_OF)

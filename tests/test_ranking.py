@@ -1,0 +1,40 @@
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from kilowatt.operators import ranking
+from tests.conftest import rows
+
+
+def test_reference_example(spark):
+    df = spark.createDataFrame([(1, 100), (2, 100), (3, 100), (4, 95), (5, 90)], ["id", "value"])
+    for out in (ranking.global_rank(df, "value", buckets=3), ranking.rank_within(df, [], "value")):
+        got = rows(out, "id")
+        assert [r["dense_rank"] for r in got] == [1, 1, 1, 2, 3]
+        assert [r["rank"] for r in got] == [1, 1, 1, 4, 5]
+        assert sorted(r["row_number"] for r in got[:3]) == [1, 2, 3]
+        assert [r["row_number"] for r in got[3:]] == [4, 5]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_global_rank_equals_single_partition_window(spark, descending):
+    rnd = random.Random(7)
+    data = [(i, rnd.choice([None, *range(40)]) if i % 9 else rnd.randint(0, 5)) for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, value long")
+    o = F.col("value").desc() if descending else F.col("value").asc()
+    w = Window.orderBy(o)
+    expect = df.withColumns({"dense_rank": F.dense_rank().over(w), "rank": F.rank().over(w),
+                             "row_number": F.row_number().over(Window.orderBy(o, "id"))})
+    got = ranking.global_rank(df, "value", descending=descending, tiebreak=["id"], buckets=7)
+    key = lambda r: r["id"]
+    assert sorted((r.asDict() for r in got.collect()), key=key) == \
+        sorted(({**r.asDict()} for r in expect.collect()), key=key)
+
+
+def test_global_rank_plan_has_no_single_partition_sort_of_rows(spark):
+    df = spark.range(1000).withColumn("value", F.col("id") % 17)
+    plan = ranking.global_rank(df, "value", buckets=4)._jdf.queryExecution().executedPlan().toString()
+    # the only single-partition step is the running sum over the bucket table
+    assert plan.count("SinglePartition") <= 1
