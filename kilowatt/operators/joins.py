@@ -90,8 +90,29 @@ def is_broadcastable(df: DataFrame, limit: int | None = None, measure: bool = Tr
         return True
     if not measure or lim <= 0:
         return False
+    key = _measure_key(df, lim)
+    if key is not None and key in _MEASURED:
+        return _MEASURED[key]
     measured = measured_size_bytes(df, lim)
-    return measured is not None and measured <= lim
+    ok = measured is not None and measured <= lim
+    if key is not None:
+        _MEASURED[key] = ok
+    return ok
+
+
+# Size-check results per (plan, input files, size estimate, limit): a dimension
+# reused by several queries of a session is measured once. Rewritten inputs
+# change the file list or its size estimate and are measured again.
+_MEASURED: dict[tuple, bool] = {}
+
+
+def _measure_key(df: DataFrame, lim: int) -> tuple | None:
+    try:
+        qe = df._jdf.queryExecution()
+        return (int(qe.analyzed().semanticHash()), tuple(sorted(df.inputFiles())),
+                estimated_size_bytes(df), lim)
+    except Exception:
+        return None
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",

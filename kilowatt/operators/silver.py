@@ -102,6 +102,9 @@ def silver_production(sources: dict[str, DataFrame], specs: dict[str, TechSpec]
     ``tiebreak`` names raw columns (e.g. an event id) or common silver columns
     (e.g. ``sensor_metric_1``) that order rows with equal production."""
     specs = specs or SPECS
+    # a total order over the kept columns: the kept row never depends on
+    # arrival order, so a recomputed task (lost executor) picks the same row
+    tiebreak = list(tiebreak) or ["status", "sensor_metric_1", "sensor_metric_2"]
     parts = [_project_tech(df, specs[tech], tiebreak) for tech, df in sources.items()]
     unified = parts[0]
     for p in parts[1:]:

@@ -70,3 +70,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(p))
+
+
+def cut_lineage(df):
+    """Materialise ``df`` to the shared checkpoint folder and continue from it
+    (reliable checkpoint: survives executor loss, unlike a local one)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
