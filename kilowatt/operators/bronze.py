@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kilowatt import constants as K
@@ -60,3 +60,20 @@ def quality_profile(tables: dict[str, DataFrame], ts: str = "timestamp") -> Data
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def observe_quality(df: DataFrame, name: str = "bronze_quality") -> tuple[DataFrame, Observation]:
+    """Attach the bronze profile metrics to ``df`` as an observation: they are
+    computed in the same pass as whatever action (e.g. the bronze write)
+    runs on the returned frame — no second scan. Read ``obs.get`` after it."""
+    obs = Observation(name)
+    p = F.col("production_kwh")
+    return df.observe(
+        obs,
+        F.count(F.lit(1)).alias("total_rows"),
+        F.sum(F.when(p.isNull(), 1).otherwise(0)).alias("null_production"),
+        F.sum(F.when(p < 0, 1).otherwise(0)).alias("negative_production"),
+        F.sum(F.when(F.col("status") == K.OFFLINE, 1).otherwise(0)).alias("offline_records"),
+        F.min("timestamp").alias("min_ts"),
+        F.max("timestamp").alias("max_ts"),
+    ), obs

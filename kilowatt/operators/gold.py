@@ -83,24 +83,34 @@ def top_days(daily: DataFrame, n: int = 20, tiebreak: Sequence[str] = ("site_id"
 
 
 def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),
-                 rolling_rows: int = 7, scale: int = 4) -> DataFrame:
+                 rolling_rows: int = 7, scale: int = 4, rank_strategy: str = "window",
+                 rank_buckets: int = 32) -> DataFrame:
     """Add prev_day_production_mwh (LAG 1), day_over_day_change_pct, a
     ``rolling_rows``-row moving average (rows, not calendar days) and the
     dense rank of the site within (date, technology).
 
     The lag and the moving average share one window spec, hence one shuffle;
-    the rank needs a second partitioning."""
+    the rank needs a second partitioning. ``rank_strategy="bucketed"`` ranks a
+    (date, technology) group in ``rank_buckets`` value ranges instead of one
+    task (for days that hold a large share of all site-days)."""
     w_site = Window.partitionBy(*site_keys).orderBy("date")
     w_roll = w_site.rowsBetween(-(rolling_rows - 1), 0)
-    w_rank = Window.partitionBy("date", "technology").orderBy(F.col("total_production_mwh").desc())
     mwh = F.col("total_production_mwh")
-    return (daily
-            .withColumn("prev_day_production_mwh", F.lag(mwh, 1).over(w_site))
-            .withColumn("day_over_day_change_pct",
-                        day_over_day_pct(mwh, "prev_day_production_mwh", scale))
-            .withColumn(f"rolling_{rolling_rows}d_avg_mwh",
-                        round_double(F.avg(exact(mwh, scale)).over(w_roll), 4))
-            .withColumn("daily_rank_in_technology", F.dense_rank().over(w_rank)))
+    out = (daily
+           .withColumn("prev_day_production_mwh", F.lag(mwh, 1).over(w_site))
+           .withColumn("day_over_day_change_pct",
+                       day_over_day_pct(mwh, "prev_day_production_mwh", scale))
+           .withColumn(f"rolling_{rolling_rows}d_avg_mwh",
+                       round_double(F.avg(exact(mwh, scale)).over(w_roll), 4)))
+    if rank_strategy == "window":
+        w_rank = Window.partitionBy("date", "technology").orderBy(mwh.desc())
+        return out.withColumn("daily_rank_in_technology", F.dense_rank().over(w_rank))
+    if rank_strategy == "bucketed":
+        from kilowatt.operators.ranking import bucketed_rank
+        cols = out.columns
+        r = bucketed_rank(out, ["date", "technology"], "total_production_mwh", True, (), rank_buckets)
+        return r.select(*cols, F.col("dense_rank").cast("int").alias("daily_rank_in_technology"))
+    raise ValueError(f"unknown rank_strategy {rank_strategy!r}")
 
 
 def next_day(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),

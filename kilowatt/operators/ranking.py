@@ -99,3 +99,52 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
                "row_number": (F.col("row_number") + F.col("_row_off")).cast("bigint"),
            }))
     return out.drop("_bucket", "_row_off", "_dense_off")
+
+
+def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,
+                  tiebreak: Sequence[str] = (), buckets: int = 32, accuracy: int = 10_000,
+                  max_broadcast_bytes: int | None = None) -> DataFrame:
+    """dense_rank / rank / row_number within ``partition`` groups that stays
+    balanced when one group holds a large share of the rows.
+
+    Each group's values are cut into ``buckets`` quantile ranges (one partial
+    percentile aggregation, one row of boundaries per group), rows are ranked
+    inside (group, range) — so a hot group is spread over ``buckets`` tasks —
+    and shifted by the range's offsets, a running sum over the small
+    (group × range) count table. Equal values always share a range."""
+    from kilowatt.operators.joins import join_dimension
+
+    part = list(partition)
+    v = F.col(order).cast("double")
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = (df.groupBy(*part)
+              .agg(F.array_distinct(F.percentile_approx(v, probs, accuracy)).alias("_q")))
+    # boundaries and offsets are small but derived from df: checking them with
+    # a job would recompute df, so only the plan estimate is used here and
+    # AQE switches the joins to broadcast once it has measured them
+    tmp = join_dimension(df, bounds, part, "left", max_broadcast_bytes, measure=False) if part else \
+        df.crossJoin(F.broadcast(bounds))  # one row of boundaries
+    # range index = number of boundaries below the value; NULLs get -1, which
+    # sorts them first ascending and (ranges taken in reverse) last descending
+    idx = F.aggregate(F.coalesce(F.col("_q"), F.array().cast("array<double>")), F.lit(0),
+                      lambda acc, b: acc + F.when(b < v, 1).otherwise(0))
+    tmp = tmp.withColumn("_bucket", F.when(v.isNull(), F.lit(-1)).otherwise(idx)).drop("_q")
+
+    stats = tmp.groupBy(*part, "_bucket").agg(
+        F.count(F.lit(1)).alias("_n"),
+        (F.count_distinct(F.col(order)) + F.max(F.col(order).isNull().cast("int"))).alias("_d"))
+    b_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    if descending:  # NULL range (-1) must come last when descending
+        b_order = F.when(F.col("_bucket") == -1, F.lit(1 << 30)).otherwise(-F.col("_bucket")).asc()
+    w_prev = Window.partitionBy(*part).orderBy(b_order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(*part, "_bucket",
+                           F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_row_off"),
+                           F.coalesce(F.sum("_d").over(w_prev), F.lit(0)).alias("_dense_off"))
+
+    ranked = rank_within(tmp, [*part, "_bucket"], order, descending, tiebreak)
+    out = join_dimension(ranked, offsets, [*part, "_bucket"], "left", max_broadcast_bytes, measure=False)
+    return (out.withColumns({
+        "dense_rank": (F.col("dense_rank") + F.col("_dense_off")).cast("bigint"),
+        "rank": (F.col("rank") + F.col("_row_off")).cast("bigint"),
+        "row_number": (F.col("row_number") + F.col("_row_off")).cast("bigint"),
+    }).drop("_bucket", "_row_off", "_dense_off"))

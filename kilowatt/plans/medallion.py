@@ -37,18 +37,25 @@ def _rebalanced(df: DataFrame, cols) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def bronze_job(spark: SparkSession, landing: str, lake: Lake, batch_id: str | None = None) -> None:
+def bronze_job(spark: SparkSession, landing: str, lake: Lake, batch_id: str | None = None
+               ) -> dict[str, dict]:
     """Landing CSVs (``sites*.csv``, ``solar*.csv``, ``wind*.csv``) → bronze:
-    data untouched, audit columns added; readings partitioned by year/month."""
+    data untouched, audit columns added; readings partitioned by year/month.
+    Returns each readings table's quality metrics, observed during its write
+    (measure, don't reject)."""
     bid = batch_id or bronze.batch_id_for()
     sites = read_csv(spark, landing, glob="sites*.csv")  # all strings, as landed
     write_layer(bronze.with_audit(sites, source="sites.csv", batch_id=bid),
                 lake.table("bronze", "sites_raw"))
+    metrics = {}
     for name, schema in (("solar", schemas.SOLAR_SCHEMA), ("wind", schemas.WIND_SCHEMA)):
         raw = read_csv(spark, landing, schema=schema, glob=f"{name}*.csv")
-        df = bronze.with_audit(raw, partition_from="timestamp", batch_id=bid)
+        df, obs = bronze.observe_quality(bronze.with_audit(raw, partition_from="timestamp", batch_id=bid),
+                                         f"{name}_raw_quality_{bid}")
         write_layer(_rebalanced(df, ["_year", "_month"]), lake.table("bronze", f"{name}_raw"),
                     partition_by=["_year", "_month"])
+        metrics[f"{name}_raw"] = obs.get
+    return metrics
 
 
 def silver_frame(spark: SparkSession, lake: Lake, tiebreak=()) -> DataFrame:

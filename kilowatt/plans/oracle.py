@@ -508,3 +508,15 @@ ORACLE["layer_inventory"] = _q(*SILVER_CHAIN, SITES, DAILY, """
 report AS (SELECT DISTINCT site_id, technology, YEAR(date), MONTH(date) FROM daily)""", body="\nUNION ALL\n".join(
     f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT COUNT(*) FROM {src}) AS num_rows, "
     f"{ncol} AS num_columns" for layer, name, src, ncol in _INVENTORY))
+
+ORACLE["daily_rank_bucketed"] = ORACLE["daily_kpis_enriched"]
+
+ORACLE["row_counts"] = _q(READINGS, body="""
+SELECT (SELECT COUNT(*) FROM readings) AS total_rows,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT site_id, "timestamp", technology, status FROM readings) d)
+         AS distinct_rows""")
+
+ORACLE["schema_evolution"] = _q(READINGS, body="""
+SELECT event_id, site_id, production_kwh, CAST(NULL AS VARCHAR) AS status FROM readings WHERE technology = 'solar'
+UNION ALL
+SELECT event_id, site_id, production_kwh, status FROM readings WHERE technology = 'wind'""")

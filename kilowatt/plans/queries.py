@@ -66,7 +66,7 @@ def q_enrich_sites(spark, sf):
 
 @register("validation_profile")
 def q_validation_profile(spark, sf):
-    return silver.validation_profile(production(spark, sf))
+    return silver.validation_profile(production(spark, sf)).orderBy("technology")
 
 
 @register("bronze_profile")
@@ -92,6 +92,12 @@ def q_daily_kpis_enriched(spark, sf):
     return gold.enrich_daily(daily(spark, sf))
 
 
+@register("daily_rank_bucketed")
+def q_daily_rank_bucketed(spark, sf):
+    """Daily KPIs enriched with the skew-safe (range-bucketed) daily rank."""
+    return gold.enrich_daily(daily(spark, sf), rank_strategy="bucketed")
+
+
 @register("site_efficiency_report")
 def q_site_efficiency_report(spark, sf):
     return gold.site_efficiency_report(daily(spark, sf))
@@ -482,3 +488,26 @@ def q_layer_inventory(spark, sf):
     medallion.silver_job(spark, lake, tiebreak=["sensor_metric_1", "sensor_metric_2", "status"])
     medallion.gold_job(spark, lake)
     return layout.layer_inventory(spark, lake.tables()).drop("last_ingested_at")
+
+
+@register("row_counts")
+def q_row_counts(spark, sf):
+    """Global row count and count of distinct rows of the readings (one job:
+    the distinct rows are counted by a second aggregate over the dedup shuffle)."""
+    r = fx.readings(spark, sf).select("site_id", "timestamp", "technology", "status")
+    total = r.agg(F.count(F.lit(1)).alias("total_rows"))
+    distinct = r.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
+    return total.crossJoin(distinct)
+
+
+@register("schema_evolution")
+def q_schema_evolution(spark, sf):
+    """Two appends to one table, the second with an extra column; the merged
+    read shows NULL for it in the first batch's rows."""
+    path = scratch_path(spark, "evolve")
+    r = fx.readings(spark, sf)
+    layers.append_layer(r.filter(F.col("technology") == "solar")
+                        .select("event_id", "site_id", "production_kwh"), path)
+    layers.append_layer(r.filter(F.col("technology") == "wind")
+                        .select("event_id", "site_id", "production_kwh", "status"), path)
+    return layers.read_layer(spark, path).select("event_id", "site_id", "production_kwh", "status")

@@ -41,3 +41,18 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool =
     (df.write.mode(mode).option("header", header)
      .option("timestampFormat", CSV_TIMESTAMP_FORMAT).csv(path))
     return path
+
+
+def append_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Append rows to a layer table; new columns may appear in later batches
+    (schema evolution — read the table back with :func:`read_layer`)."""
+    return write_layer(df, path, "append", partition_by)
+
+
+def read_layer(spark, path: str, merge_schema: bool = True) -> DataFrame:
+    """A layer table by path (or a catalog table by name when ``path`` has no
+    ``/``). ``merge_schema`` unions the schemas of all files, so columns added
+    by later appends read as NULL in older rows."""
+    if "/" not in path and ":" not in path:
+        return spark.table(path)
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)

@@ -38,3 +38,20 @@ def test_global_rank_plan_has_no_single_partition_sort_of_rows(spark):
     plan = ranking.global_rank(df, "value", buckets=4)._jdf.queryExecution().executedPlan().toString()
     # the only single-partition step is the running sum over the bucket table
     assert plan.count("SinglePartition") <= 1
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_bucketed_rank_equals_partitioned_window_with_hot_group(spark, descending):
+    rnd = random.Random(11)
+    data = []
+    for i in range(4000):
+        g = "hot" if i % 3 else rnd.choice(["a", "b", "c"])   # one group holds 2/3 of the rows
+        data.append((i, g, None if i % 97 == 0 else rnd.randint(0, 300)))
+    df = spark.createDataFrame(data, "id long, g string, value long")
+    want = ranking.rank_within(df, ["g"], "value", descending, ["id"])
+    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], buckets=8)
+    key = lambda r: r["id"]
+    assert sorted((r.asDict() for r in got.collect()), key=key) == \
+        sorted((r.asDict() for r in want.collect()), key=key)
+    # the hot group is ranked in several tasks: the window's partition keys include the range
+    assert "_bucket" in got._jdf.queryExecution().executedPlan().toString()
