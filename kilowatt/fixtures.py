@@ -7,11 +7,28 @@ reads these, so its work grows with the tables.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilowatt.sources.files import read_table
 
+# The test tables are read-only: each fixture frame is built once per
+# (session, folder) and reused, which also lets Spark reuse identical
+# exchanges across the branches of one query.
+_MEMO: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (fn.__name__, id(spark._jsparkSession), sf_dir.rstrip("/"))
+        if key not in _MEMO:
+            _MEMO[key] = fn(spark, sf_dir)
+        return _MEMO[key]
+    return wrapper
+
 # FIXED VALUES (fixture mapping of event types to statuses; MAINT is not a
 # valid status, so it becomes UNKNOWN after cleaning)
 EVENT_STATUS = {"error": "OFFLINE", "signup": "DEGRADED", "purchase": "MAINT",
@@ -24,6 +41,7 @@ def _status(c):
             .when(e == "purchase", "MAINT").when(e.isin("click", "view"), "OK"))
 
 
+@_memo
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, timestamp, site_id, technology, production_kwh, sensor_1,
     sensor_2, status — hourly timestamps, negatives and duplicates included."""
@@ -40,6 +58,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_memo
 def solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped solar readings (reference solar schema + event_id)."""
     r = readings(spark, sf_dir).filter(F.col("technology") == "solar")
@@ -49,6 +68,7 @@ def solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "production_kwh", "status")
 
 
+@_memo
 def wind_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped wind readings (reference wind schema + event_id)."""
     r = readings(spark, sf_dir).filter(F.col("technology") == "wind")
@@ -62,6 +82,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"solar": solar_raw(spark, sf_dir), "wind": wind_raw(spark, sf_dir)}
 
 
+@_memo
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """site_id, site_name, region, capacity_mw, latitude, longitude; every 13th
     site (site_id % 13 = 5) is left out so the left join has unmatched facts."""

@@ -41,6 +41,29 @@ def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeys(f"source has duplicate keys, e.g. {dup[0].asDict()}")
 
 
+def _dates_and_check(source: DataFrame, keys: Sequence[str], prune_col: str) -> list:
+    """One job for both pre-merge checks: the source's distinct ``prune_col``
+    values (at most MAX_PRUNE_VALUES + 1 come back) and whether a non-NULL
+    key repeats (raises)."""
+    known = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        known = known & F.col(k).isNotNull()
+    # grouped by the keys only: a key repeated under two prune values counts 2
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                        F.min(prune_col).alias(prune_col),
+                                        F.max(known).alias("_known"))
+    per_val = (per_key.groupBy(prune_col)
+               .agg(F.max(F.when(F.col("_known"), F.col("_n")).otherwise(1)).alias("_maxn"),
+                    F.count(F.lit(1)).alias("_keys"))
+               .limit(MAX_PRUNE_VALUES + 1).collect())
+    dup = [r for r in per_val if r["_maxn"] > 1]
+    if dup:
+        raise DuplicateSourceKeys(f"source has duplicate keys for {prune_col}={dup[0][prune_col]}")
+    if len(per_val) > MAX_PRUNE_VALUES:
+        check_unique_keys(source, keys)  # values past the cap were not checked
+    return [r[prune_col] for r in per_val]
+
+
 def _as_date(v) -> Column:
     if v is None:
         return F.current_date()
@@ -86,11 +109,15 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("t
                  check_duplicates: bool = True, keep_deleted: bool = False) -> DataFrame:
     """The target table after the merge, with ``_action`` per row (deleted rows
     are dropped unless ``keep_deleted``)."""
-    if check_duplicates:
-        check_unique_keys(source, keys)
     untouched = None
-    if prune_col is not None:
+    vals = None
+    if prune_col is not None and check_duplicates:
+        vals = _dates_and_check(source, keys, prune_col)
+    elif check_duplicates:
+        check_unique_keys(source, keys)
+    elif prune_col is not None:
         vals = [r[0] for r in source.select(prune_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
+    if prune_col is not None:
         if len(vals) <= MAX_PRUNE_VALUES:
             cutoff = F.date_sub(_as_date(as_of), recent_days)
             pc = F.col(prune_col)
