@@ -74,6 +74,14 @@ def daily_kpis(production: DataFrame, sites: DataFrame | None = None, scale: int
     return _daily_finish(joined, computed_at)
 
 
+def daily_production(production: DataFrame, scale: int = 4) -> DataFrame:
+    """date, site_id, technology, total_production_mwh only — the same values as
+    :func:`daily_kpis` without the site dimension, for consumers that need no
+    site attribute (a left join to a keyed dimension cannot change them)."""
+    return (production.groupBy(*DAILY_KEYS)
+            .agg(round_double(exact_sum("production_kwh", scale) / 1000, 4).alias("total_production_mwh")))
+
+
 def top_days(daily: DataFrame, n: int = 20, tiebreak: Sequence[str] = ("site_id", "technology")
              ) -> DataFrame:
     """The ``n`` newest / most productive site-days (a top-k report:

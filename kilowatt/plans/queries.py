@@ -105,7 +105,7 @@ def q_site_efficiency_report(spark, sf):
 
 def anomaly_input(spark: SparkSession, sf: str) -> DataFrame:
     """Daily series with odd sites flipped (500 − MWh) so both tails occur."""
-    d = daily(spark, sf)
+    d = gold.daily_production(production(spark, sf))
     flipped = (F.lit(500).cast("decimal(18,4)") - exact("total_production_mwh")).cast("double")
     return d.select("date", "site_id", "technology",
                     F.when(F.col("site_id") % 2 == 1, flipped)
@@ -434,7 +434,8 @@ DRIFT_SPLIT = "2024-01-20"
 def q_drift_alerts(spark, sf):
     """Daily production per site from the event stream (from 2024-01-20),
     labelled against each site's baseline from the batch daily KPIs before it."""
-    base = srollup.site_baseline(daily(spark, sf).filter(F.col("date") < F.lit(DRIFT_SPLIT).cast("date")))
+    base = srollup.site_baseline(gold.daily_production(production(spark, sf))
+                                 .filter(F.col("date") < F.lit(DRIFT_SPLIT).cast("date")))
     stream = _raw_readings_of(_events_stream(spark, sf)).filter(
         F.col("timestamp") >= F.lit(DRIFT_SPLIT).cast("timestamp_ntz"))
     alerts = srollup.drift_alerts(srollup.daily_production_stream(stream), base)
