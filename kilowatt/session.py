@@ -77,3 +77,28 @@ def cut_lineage(df):
     (reliable checkpoint: survives executor loss, unlike a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scale_conf(input_bytes: int, total_cores: int, shuffle_target_bytes: int = 256 << 20,
+               split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for an input of ``input_bytes`` on ``total_cores``
+    task slots (e.g. 100 TB on 1000 executors × 8 cores):
+
+    * scan splits of ``split_bytes`` (fewer, larger tasks than the 128 MB default);
+    * an initial shuffle partition count that keeps each reducer near
+      ``shuffle_target_bytes`` even before AQE coalesces (never fewer than 2
+      waves of tasks), so a full-size shuffle does not spill per task;
+    * AQE coalescing and skew-join splitting on, so hot keys are split at runtime.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // shuffle_target_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_target_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(shuffle_target_bytes),
+        "spark.sql.session.timeZone": "UTC",
+    }
