@@ -58,14 +58,21 @@ def _boundaries(df: DataFrame, order: str, buckets: int, accuracy: int) -> list[
 
 def global_rank(df: DataFrame, order: str, descending: bool = True,
                 tiebreak: Sequence[str] = (), buckets: int | None = None,
-                rows_per_bucket: int = 2_000_000, accuracy: int = 10_000) -> DataFrame:
+                bytes_per_bucket: int = 256 << 20, accuracy: int = 10_000) -> DataFrame:
     """Whole-table dense_rank / rank / row_number by ``order`` (numeric),
-    without a single-partition window. NULL order values rank last (descending) or first (ascending), as in Spark.
-    ``buckets`` defaults to ceil(rows / rows_per_bucket) (one count job)."""
-    spark = df.sparkSession
+    without a single-partition window. NULL order values rank last
+    (descending) or first (ascending), as in Spark.
+
+    ``buckets`` defaults to the optimizer's size estimate / ``bytes_per_bucket``
+    (no job). When that proves the input fits one bucket, the plain window is
+    used: a single partition, but of bounded size."""
+    from kilowatt.operators.joins import estimated_size_bytes
+
     if buckets is None:
-        n = df.count()
-        buckets = max(1, math.ceil(n / rows_per_bucket))
+        size = estimated_size_bytes(df)
+        buckets = 64 if size is None else max(1, math.ceil(size / bytes_per_bucket))
+        if buckets == 1:
+            return rank_within(df, [], order, descending, tiebreak)
     bounds = _boundaries(df, order, buckets, accuracy) if buckets > 1 else []
     splits = [-math.inf, *bounds, math.inf]
     nb = len(splits) - 1  # value buckets 0..nb-1, NULLs in bucket nb

@@ -55,3 +55,12 @@ def test_bucketed_rank_equals_partitioned_window_with_hot_group(spark, descendin
         sorted((r.asDict() for r in want.collect()), key=key)
     # the hot group is ranked in several tasks: the window's partition keys include the range
     assert "_bucket" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_global_rank_default_sizes_from_estimate(spark):
+    from kilowatt.sources.files import read_table
+    from tests.conftest import SF_TINY
+    o = read_table(spark, SF_TINY, "orders").select("o_orderkey", F.col("o_totalprice").alias("value"))
+    small = ranking.global_rank(o, "value", tiebreak=["o_orderkey"])                 # proven small
+    forced = ranking.global_rank(o, "value", tiebreak=["o_orderkey"], bytes_per_bucket=4096)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, forced.select(*small.columns).collect()))
