@@ -14,11 +14,32 @@ from kilowatt.functions.expressions import alert_level, exact, exact_avg, exact_
 from kilowatt.operators.joins import join_dimension
 
 
-def event_time(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Watermarks need a TIMESTAMP (not TIMESTAMP_NTZ) event-time column."""
-    if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        return df.withColumn(ts, F.col(ts).cast("timestamp"))
-    return df
+def _session_tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone", "UTC") or "UTC"
+
+
+def event_time(df: DataFrame, ts: str = "timestamp") -> tuple[DataFrame, bool]:
+    """Watermarks need a TIMESTAMP (not TIMESTAMP_NTZ) event-time column. A
+    wall-clock (NTZ) column becomes the instant whose *UTC* wall clock is the
+    same, so event-time windows (aligned on the epoch) fall on whole wall-clock
+    hours and days whatever the session time zone. Returns (df, was_ntz)."""
+    if not isinstance(df.schema[ts].dataType, TimestampNTZType):
+        return df, False
+    tz = _session_tz(df)
+    c = F.col(ts).cast("timestamp")
+    if tz.upper() not in ("UTC", "Z", "GMT", "ETC/UTC"):
+        c = F.from_utc_timestamp(c, tz)
+    return df.withColumn(ts, c), True
+
+
+def wall_clock(df: DataFrame, c, was_ntz: bool):
+    """Inverse of :func:`event_time` for window bounds."""
+    if not was_ntz:
+        return c
+    tz = _session_tz(df)
+    if tz.upper() not in ("UTC", "Z", "GMT", "ETC/UTC"):
+        c = F.to_utc_timestamp(c, tz)
+    return c.cast("timestamp_ntz")
 
 
 def windowed_rollup(df: DataFrame, duration: str = "1 hour", watermark: str = "10 minutes",
@@ -26,7 +47,8 @@ def windowed_rollup(df: DataFrame, duration: str = "1 hour", watermark: str = "1
                     value: str = "production_kwh", scale: int = 4) -> DataFrame:
     """Tumbling event-time windows per key with a watermark; in append mode a
     window is emitted once the watermark passes its end (closed windows only)."""
-    df = event_time(df, ts)
+    src = df
+    df, ntz = event_time(df, ts)
     v = F.col(value)
     return (df.withWatermark(ts, watermark)
             .groupBy(F.window(ts, duration).alias("w"), *keys)
@@ -34,8 +56,8 @@ def windowed_rollup(df: DataFrame, duration: str = "1 hour", watermark: str = "1
                  round_double(exact_sum(v, scale), 4).alias("total_kwh"),
                  round_double(exact_avg(v, scale), 4).alias("avg_kwh"),
                  F.max(v).alias("max_kwh"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                    F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            .select(wall_clock(src, F.col("w.start"), ntz).alias("window_start"),
+                    wall_clock(src, F.col("w.end"), ntz).alias("window_end"),
                     *keys, "n_readings", "total_kwh", "avg_kwh", "max_kwh"))
 
 
@@ -61,10 +83,11 @@ def daily_production_stream(readings_stream: DataFrame, watermark: str = "1 hour
                             ts: str = "timestamp", keys: Sequence[str] = ("site_id",),
                             scale: int = 4) -> DataFrame:
     """Daily MWh per site from a readings stream (negative readings → NULL)."""
-    df = event_time(readings_stream, ts)
+    df, ntz = event_time(readings_stream, ts)
     kwh = F.when(F.col("production_kwh") < 0, F.lit(None)).otherwise(F.col("production_kwh"))
+    start = wall_clock(readings_stream, F.col("w.start"), ntz)
     return (df.withWatermark(ts, watermark)
             .groupBy(F.window(ts, "1 day").alias("w"), *keys)
             .agg(exact_sum(kwh, scale).alias("_kwh"))
-            .select(F.to_date(F.col("w.start").cast("timestamp_ntz")).alias("date"), *keys,
+            .select(F.to_date(start).alias("date"), *keys,
                     round_double(F.col("_kwh") / 1000, 4).alias("production_mwh")))
