@@ -92,7 +92,7 @@ def top_days(daily: DataFrame, n: int = 20, tiebreak: Sequence[str] = ("site_id"
 
 def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),
                  rolling_rows: int = 7, scale: int = 4, rank_strategy: str = "window",
-                 rank_buckets: int = 32) -> DataFrame:
+                 rank_buckets: int = 32, calendar: bool = False) -> DataFrame:
     """Add prev_day_production_mwh (LAG 1), day_over_day_change_pct, a
     ``rolling_rows``-row moving average (rows, not calendar days) and the
     dense rank of the site within (date, technology).
@@ -100,12 +100,23 @@ def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "techn
     The lag and the moving average share one window spec, hence one shuffle;
     the rank needs a second partitioning. ``rank_strategy="bucketed"`` ranks a
     (date, technology) group in ``rank_buckets`` value ranges instead of one
-    task (for days that hold a large share of all site-days)."""
+    task (for days that hold a large share of all site-days). ``calendar=True``
+    makes the previous day the *calendar* previous day (NULL after a gap) and
+    the moving average span ``rolling_rows`` calendar days (RANGE frame).
+    Both frames sort by the same key, so they still share one shuffle."""
     w_site = Window.partitionBy(*site_keys).orderBy("date")
-    w_roll = w_site.rowsBetween(-(rolling_rows - 1), 0)
     mwh = F.col("total_production_mwh")
+    if calendar:
+        # frames in calendar days: a missing day is a gap, not a shorter step
+        day = F.unix_date("date")
+        w_roll = Window.partitionBy(*site_keys).orderBy(day).rangeBetween(-(rolling_rows - 1), 0)
+        prev = F.when(F.date_add(F.lag("date", 1).over(w_site), 1) == F.col("date"),
+                      F.lag(mwh, 1).over(w_site))
+    else:
+        w_roll = w_site.rowsBetween(-(rolling_rows - 1), 0)
+        prev = F.lag(mwh, 1).over(w_site)
     out = (daily
-           .withColumn("prev_day_production_mwh", F.lag(mwh, 1).over(w_site))
+           .withColumn("prev_day_production_mwh", prev)
            .withColumn("day_over_day_change_pct",
                        day_over_day_pct(mwh, "prev_day_production_mwh", scale))
            .withColumn(f"rolling_{rolling_rows}d_avg_mwh",

@@ -80,8 +80,11 @@ def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int | None = None,
     for i, kk in enumerate(keys):
         bounds = sorted({float(q) for q in (qrow[kk] or []) if q is not None and math.isfinite(q)})
         splits = [-math.inf, *bounds, math.inf]
-        tmp = Bucketizer(splits=splits, inputCol=kk, outputCol=f"_zb{i}",
-                         handleInvalid="keep").transform(tmp)
+        if len(splits) >= 3:
+            tmp = Bucketizer(splits=splits, inputCol=kk, outputCol=f"_zb{i}",
+                             handleInvalid="keep").transform(tmp)
+        else:  # a single distinct value: one bucket
+            tmp = tmp.withColumn(f"_zb{i}", F.lit(0.0))
         bcols.append(F.col(f"_zb{i}").cast("long"))
     z = F.lit(0).cast("long")
     for b in range(bits):

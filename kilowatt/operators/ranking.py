@@ -79,8 +79,11 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
 
     v = F.col(order).cast("double")
     tmp = df.withColumn("_v", F.coalesce(v, F.lit(0.0)))
-    b = Bucketizer(splits=splits, inputCol="_v", outputCol="_b_asc", handleInvalid="keep")
-    tmp = b.transform(tmp)
+    if len(splits) >= 3:
+        b = Bucketizer(splits=splits, inputCol="_v", outputCol="_b_asc", handleInvalid="keep")
+        tmp = b.transform(tmp)
+    else:  # no boundary (one bucket, or a single distinct value)
+        tmp = tmp.withColumn("_b_asc", F.lit(0.0))
     asc_b = F.col("_b_asc").cast("int")
     bucket = asc_b if not descending else F.lit(nb - 1) - asc_b
     # Spark orders NULLs last when descending, first when ascending

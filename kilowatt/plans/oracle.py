@@ -520,3 +520,15 @@ ORACLE["schema_evolution"] = _q(READINGS, body="""
 SELECT event_id, site_id, production_kwh, CAST(NULL AS VARCHAR) AS status FROM readings WHERE technology = 'solar'
 UNION ALL
 SELECT event_id, site_id, production_kwh, status FROM readings WHERE technology = 'wind'""")
+
+ORACLE["daily_kpis_calendar"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
+SELECT *,
+       {RATIO(f"{D('total_production_mwh')} - {D('prev_day_production_mwh')}", "prev_day_production_mwh", 100, 2)}
+         AS day_over_day_change_pct,
+       {R(f"AVG({D('total_production_mwh')}) OVER (PARTITION BY site_id, technology ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)", 4)}
+         AS rolling_7d_avg_mwh,
+       CAST(DENSE_RANK() OVER (PARTITION BY date, technology ORDER BY total_production_mwh DESC NULLS LAST) AS INTEGER)
+         AS daily_rank_in_technology
+FROM (SELECT d.*, p.total_production_mwh AS prev_day_production_mwh
+      FROM daily d LEFT JOIN daily p
+        ON p.site_id = d.site_id AND p.technology = d.technology AND p.date = d.date - 1) x""")

@@ -25,11 +25,14 @@ def register(name: str):
 
 # ---------------------------------------------------------------- silver
 
+@fx._memo
 def production(spark: SparkSession, sf: str) -> DataFrame:
-    """Unified silver facts from the two bronze-shaped fixture tables."""
+    """Unified silver facts from the two bronze-shaped fixture tables (the
+    plan is built once per session; it reads read-only tables)."""
     return silver.silver_production(fx.raw_sources(spark, sf), tiebreak=["event_id"])
 
 
+@fx._memo
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_kpis(production(spark, sf), fx.sites(spark, sf))
 
@@ -92,6 +95,12 @@ def q_daily_kpis_enriched(spark, sf):
     return gold.enrich_daily(daily(spark, sf))
 
 
+@register("daily_kpis_calendar")
+def q_daily_kpis_calendar(spark, sf):
+    """Day-over-day and 7-day average on calendar days (gaps respected)."""
+    return gold.enrich_daily(daily(spark, sf), calendar=True)
+
+
 @register("daily_rank_bucketed")
 def q_daily_rank_bucketed(spark, sf):
     """Daily KPIs enriched with the skew-safe (range-bucketed) daily rank."""

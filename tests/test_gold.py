@@ -120,3 +120,14 @@ def test_top_days_is_limited_and_ordered(spark):
                    + [(D2, "S0", "solar", 0.5)])
     out = gold.top_days(d, 5).collect()
     assert len(out) == 5 and out[0]["date"] == D2 and out[1]["site_id"] == "S29"
+
+
+def test_enrich_daily_calendar_respects_gaps(spark):
+    d = daily_rows(spark, [(D1, "S1", "solar", 1.0), (D2, "S1", "solar", 2.0),
+                           (D3, "S1", "solar", 3.0), (D5, "S1", "solar", 5.0),
+                           (dt.date(2024, 1, 12), "S1", "solar", 12.0)])
+    out = {r["date"].day: r for r in rows(gold.enrich_daily(d, calendar=True))}
+    assert out[5]["prev_day_production_mwh"] is None          # day 4 missing
+    assert out[3]["prev_day_production_mwh"] == 2.0
+    assert out[5]["rolling_7d_avg_mwh"] == 2.75               # days 1,2,3,5
+    assert out[12]["rolling_7d_avg_mwh"] == 12.0              # days 6..12: only day 12
