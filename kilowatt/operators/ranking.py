@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 RANK_COLUMNS = ("dense_rank", "rank", "row_number")
 
@@ -45,27 +46,52 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: str, descending:
     })
 
 
-def _boundaries(df: DataFrame, order: str, buckets: int, accuracy: int) -> list[float]:
+def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int) -> list[float]:
+    """The ``buckets - 1`` approximate quantiles of ``order`` (repeats kept:
+    a value filling several quantile slots holds that many buckets' rows)."""
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("q")).first()
     qs = row["q"] if row is not None and row["q"] is not None else []
-    out: list[float] = []
-    for q in qs:
-        if q is not None and not math.isnan(q) and (not out or q > out[-1]):
-            out.append(float(q))
-    return out
+    return [float(q) for q in qs if q is not None and math.isfinite(q)]
+
+
+def _bucketize(df: DataFrame, splits_by_col: dict[str, list[float]]) -> DataFrame:
+    """Range index of each input column against its own split points (binary
+    search, JVM-side); a column without inner split points gets index 0."""
+    real = {c: sp for c, sp in splits_by_col.items() if len(sp) >= 3}
+    for c, sp in splits_by_col.items():
+        if c not in real:
+            df = df.withColumn(f"{c}_idx", F.lit(0.0))
+    if real:
+        cols = list(real)
+        df = Bucketizer(splitsArray=[real[c] for c in cols], inputCols=cols,
+                        outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep").transform(df)
+    return df
+
+
+HOT_MIN_SLOTS = 4   # a value filling >= 4 quantile slots is split on the tie-break
+MAX_HOT_VALUES = 8  # the hottest ones only: the per-row cost stays constant
 
 
 def global_rank(df: DataFrame, order: str, descending: bool = True,
                 tiebreak: Sequence[str] = (), buckets: int | None = None,
-                bytes_per_bucket: int = 256 << 20, accuracy: int = 10_000) -> DataFrame:
+                bytes_per_bucket: int = 256 << 20, accuracy: int = 10_000,
+                split_hot: bool = True, keep_internal: bool = False) -> DataFrame:
     """Whole-table dense_rank / rank / row_number by ``order`` (numeric),
     without a single-partition window. NULL order values rank last
     (descending) or first (ascending), as in Spark.
 
     ``buckets`` defaults to the optimizer's size estimate / ``bytes_per_bucket``
     (no job). When that proves the input fits one bucket, the plain window is
-    used: a single partition, but of bounded size."""
+    used: a single partition, but of bounded size.
+
+    Hot values: a value filling several quantile slots (e.g. one value in a
+    third of all rows) gets a bucket of its own, ``[h, nextafter(h))``, which
+    is cut again into ranges of the (single, numeric) tie-break column. Its
+    rank and dense_rank are those of the value's first row; its row_number
+    continues range by range — so no task sorts the whole hot value."""
+    from collections import Counter
+
     from kilowatt.operators.joins import estimated_size_bytes
 
     if buckets is None:
@@ -73,42 +99,77 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
         buckets = 64 if size is None else max(1, math.ceil(size / bytes_per_bucket))
         if buckets == 1:
             return rank_within(df, [], order, descending, tiebreak)
-    bounds = _boundaries(df, order, buckets, accuracy) if buckets > 1 else []
-    splits = [-math.inf, *bounds, math.inf]
+    raw = _quantiles(df, order, buckets, accuracy) if buckets > 1 else []
+    hot: list[float] = []
+    tb_numeric = (len(tiebreak) == 1
+                  and isinstance(df.schema[tiebreak[0]].dataType, NumericType))
+    if split_hot and tb_numeric:
+        slots = Counter(raw)
+        hot = [h for h, n in slots.most_common(MAX_HOT_VALUES) if n >= HOT_MIN_SLOTS]
+    splits = sorted({-math.inf, math.inf, *raw, *(math.nextafter(h, math.inf) for h in hot)})
     nb = len(splits) - 1  # value buckets 0..nb-1, NULLs in bucket nb
 
     v = F.col(order).cast("double")
-    tmp = df.withColumn("_v", F.coalesce(v, F.lit(0.0)))
-    if len(splits) >= 3:
-        b = Bucketizer(splits=splits, inputCol="_v", outputCol="_b_asc", handleInvalid="keep")
-        tmp = b.transform(tmp)
-    else:  # no boundary (one bucket, or a single distinct value)
-        tmp = tmp.withColumn("_b_asc", F.lit(0.0))
-    asc_b = F.col("_b_asc").cast("int")
+    tmp = _bucketize(df.withColumn("_v", F.coalesce(v, F.lit(0.0))), {"_v": splits})
+    asc_b = F.col("_v_idx").cast("int")
     bucket = asc_b if not descending else F.lit(nb - 1) - asc_b
     # Spark orders NULLs last when descending, first when ascending
     null_bucket = nb if descending else -1
     tmp = tmp.withColumn("_bucket", F.when(v.isNull(), F.lit(null_bucket)).otherwise(bucket)
-                         ).drop("_v", "_b_asc")
-
-    stats = tmp.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"),
-                                       F.count_distinct(F.col(order)).alias("_d"),
-                                       F.max(F.col(order).isNull().cast("int")).alias("_hasnull"))
-    # buckets+1 rows at most: a running sum over them is bounded work
-    w_all = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(
-        "_bucket",
-        F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_row_off"),
-        F.coalesce(F.sum(F.col("_d") + F.col("_hasnull")).over(w_all), F.lit(0)).alias("_dense_off"))
-
-    ranked = rank_within(tmp, ["_bucket"], order, descending, tiebreak)
-    out = (ranked.join(F.broadcast(offsets), "_bucket")
+                         ).drop("_v", "_v_idx")
+
+    sub = F.lit(0)
+    if hot:
+        # tie-break ranges inside each hot value: one small grouped quantile job
+        t = F.col(tiebreak[0]).cast("double")
+        k = min(buckets, max(slots[h] for h in hot) + 1)
+        probs = [j / k for j in range(1, k)]
+        q = (df.filter(v.isin(hot)).groupBy(v.alias("_h"))
+             .agg(F.percentile_approx(t, probs, accuracy).alias("_tq")).collect())
+        tq = {r["_h"]: sorted({float(x) for x in (r["_tq"] or []) if x is not None and math.isfinite(x)})
+              for r in q}
+        cols = {}
+        for i, h in enumerate(hot):
+            tmp = tmp.withColumn(f"_t{i}", F.when(v == h, F.coalesce(t, F.lit(-math.inf)))
+                                 .otherwise(F.lit(-math.inf)))
+            cols[f"_t{i}"] = [-math.inf, *tq.get(h, []), math.inf]
+        tmp = _bucketize(tmp, cols)
+        for i, h in enumerate(hot):
+            sub = F.when(v == h, F.col(f"_t{i}_idx").cast("int")).otherwise(sub)
+        tmp = tmp.withColumn("_sub", sub).drop(*cols, *[f"{c}_idx" for c in cols])
+    else:
+        tmp = tmp.withColumn("_sub", sub)
+
+    # offsets: (value bucket, tie-break range) tables are bounded by
+    # buckets + MAX_HOT_VALUES * buckets rows, so running sums over them and
+    # their broadcast are bounded work
+    per_sub = tmp.groupBy("_bucket", "_sub").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_distinct(F.col(order)).alias("_d"),
+        F.max(F.col(order).isNull().cast("int")).alias("_hasnull"))
+    per_bucket = per_sub.groupBy("_bucket").agg(
+        F.sum("_n").alias("_bn"),
+        # a bucket's distinct values: a hot bucket holds one value in every range
+        F.when(F.max("_sub") > 0, F.lit(1)).otherwise(F.sum(F.col("_d") + F.col("_hasnull"))).alias("_bd"))
+    w_b = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    b_off = per_bucket.select("_bucket",
+                              F.coalesce(F.sum("_bn").over(w_b), F.lit(0)).alias("_rank_off"),
+                              F.coalesce(F.sum("_bd").over(w_b), F.lit(0)).alias("_dense_off"))
+    w_s = Window.partitionBy("_bucket").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    s_off = per_sub.select("_bucket", "_sub", F.coalesce(F.sum("_n").over(w_s), F.lit(0)).alias("_sub_off"))
+    offsets = s_off.join(b_off, "_bucket").select(
+        "_bucket", "_sub", "_rank_off", "_dense_off",
+        (F.col("_rank_off") + F.col("_sub_off")).alias("_rn_off"))
+
+    ranked = rank_within(tmp, ["_bucket", "_sub"], order, descending, tiebreak)
+    out = (ranked.join(F.broadcast(offsets), ["_bucket", "_sub"])
            .withColumns({
                "dense_rank": (F.col("dense_rank") + F.col("_dense_off")).cast("bigint"),
-               "rank": (F.col("rank") + F.col("_row_off")).cast("bigint"),
-               "row_number": (F.col("row_number") + F.col("_row_off")).cast("bigint"),
+               "rank": (F.col("rank") + F.col("_rank_off")).cast("bigint"),
+               "row_number": (F.col("row_number") + F.col("_rn_off")).cast("bigint"),
            }))
-    return out.drop("_bucket", "_row_off", "_dense_off")
+    if keep_internal:  # inspection: which (bucket, range) partition ranked each row
+        return out.drop("_rank_off", "_dense_off", "_rn_off")
+    return out.drop("_bucket", "_sub", "_rank_off", "_dense_off", "_rn_off")
 
 
 def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,

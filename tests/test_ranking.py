@@ -64,3 +64,26 @@ def test_global_rank_default_sizes_from_estimate(spark):
     small = ranking.global_rank(o, "value", tiebreak=["o_orderkey"])                 # proven small
     forced = ranking.global_rank(o, "value", tiebreak=["o_orderkey"], bytes_per_bucket=4096)
     assert sorted(map(tuple, small.collect())) == sorted(map(tuple, forced.select(*small.columns).collect()))
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_global_rank_splits_a_hot_value(spark, descending):
+    rnd = random.Random(3)
+    # value 50 holds 40% of the rows, value 7 10%; ids shuffled
+    ids = list(range(6000))
+    rnd.shuffle(ids)
+    data = [(i, 50 if j % 5 < 2 else (7 if j % 10 == 2 else rnd.randint(0, 99))) for j, i in enumerate(ids)]
+    data += [(10_000 + j, None) for j in range(30)]
+    df = spark.createDataFrame(data, "id long, value long")
+    o = F.col("value").desc() if descending else F.col("value").asc()
+    want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
+                           "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
+                           "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
+    got = ranking.global_rank(df, "value", descending, ["id"], buckets=20)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    # the hot value is spread over several (bucket, range) window partitions
+    tagged = ranking.global_rank(df, "value", descending, ["id"], buckets=20, keep_internal=True)
+    parts = tagged.filter("value = 50").select("_bucket", "_sub").distinct().count()
+    assert parts >= 5                       # 40% of rows over >= 5 window partitions
+    biggest = tagged.groupBy("_bucket", "_sub").count().agg(F.max("count")).first()[0]
+    assert biggest < 0.15 * len(data)
