@@ -186,6 +186,8 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     from kilowatt.operators.joins import join_dimension
 
     part = list(partition)
+    if not part:
+        return global_rank(df, order, descending, tiebreak, buckets=buckets, accuracy=accuracy)
     v = F.col(order).cast("double")
     probs = [i / buckets for i in range(1, buckets)]
     bounds = (df.groupBy(*part)
@@ -193,8 +195,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     # boundaries and offsets are small but derived from df: checking them with
     # a job would recompute df, so only the plan estimate is used here and
     # AQE switches the joins to broadcast once it has measured them
-    tmp = join_dimension(df, bounds, part, "left", max_broadcast_bytes, measure=False) if part else \
-        df.crossJoin(F.broadcast(bounds))  # one row of boundaries
+    tmp = join_dimension(df, bounds, part, "left", max_broadcast_bytes, measure=False)
     # range index = number of boundaries below the value; NULLs get -1, which
     # sorts them first ascending and (ranges taken in reverse) last descending
     idx = F.aggregate(F.coalesce(F.col("_q"), F.array().cast("array<double>")), F.lit(0),

@@ -502,12 +502,13 @@ def q_layer_inventory(spark, sf):
 
 @register("row_counts")
 def q_row_counts(spark, sf):
-    """Global row count and count of distinct rows of the readings (one job:
-    the distinct rows are counted by a second aggregate over the dedup shuffle)."""
-    r = fx.readings(spark, sf).select("site_id", "timestamp", "technology", "status")
-    total = r.agg(F.count(F.lit(1)).alias("total_rows"))
-    distinct = r.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return total.crossJoin(distinct)
+    """Global row count and count of distinct rows of the readings, in one
+    aggregate (a distinct count of the whole row as a struct; NULL fields
+    compare equal, as in SELECT DISTINCT)."""
+    cols = ["site_id", "timestamp", "technology", "status"]
+    r = fx.readings(spark, sf).select(*cols)
+    return r.agg(F.count(F.lit(1)).alias("total_rows"),
+                 F.count_distinct(F.struct(*cols)).alias("distinct_rows"))
 
 
 @register("schema_evolution")
