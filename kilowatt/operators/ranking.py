@@ -140,25 +140,26 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     else:
         tmp = tmp.withColumn("_sub", sub)
 
-    # offsets: (value bucket, tie-break range) tables are bounded by
-    # buckets + MAX_HOT_VALUES * buckets rows, so running sums over them and
-    # their broadcast are bounded work
+    # offsets from ONE small table (value bucket, tie-break range): at most
+    # buckets + MAX_HOT_VALUES * buckets rows, so a single ordered pass over
+    # it and its broadcast are bounded work, and the input is scanned once
     per_sub = tmp.groupBy("_bucket", "_sub").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_distinct(F.col(order)).alias("_d"),
-        F.max(F.col(order).isNull().cast("int")).alias("_hasnull"))
-    per_bucket = per_sub.groupBy("_bucket").agg(
-        F.sum("_n").alias("_bn"),
-        # a bucket's distinct values: a hot bucket holds one value in every range
-        F.when(F.max("_sub") > 0, F.lit(1)).otherwise(F.sum(F.col("_d") + F.col("_hasnull"))).alias("_bd"))
-    w_b = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    b_off = per_bucket.select("_bucket",
-                              F.coalesce(F.sum("_bn").over(w_b), F.lit(0)).alias("_rank_off"),
-                              F.coalesce(F.sum("_bd").over(w_b), F.lit(0)).alias("_dense_off"))
-    w_s = Window.partitionBy("_bucket").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    s_off = per_sub.select("_bucket", "_sub", F.coalesce(F.sum("_n").over(w_s), F.lit(0)).alias("_sub_off"))
-    offsets = s_off.join(b_off, "_bucket").select(
-        "_bucket", "_sub", "_rank_off", "_dense_off",
-        (F.col("_rank_off") + F.col("_sub_off")).alias("_rn_off"))
+        F.count(F.lit(1)).alias("_n"),
+        (F.count_distinct(F.col(order)) + F.max(F.col(order).isNull().cast("int"))).alias("_d"))
+    w_all = Window.orderBy("_bucket", "_sub")
+    w_prev = w_all.rowsBetween(Window.unboundedPreceding, -1)
+    w_b = Window.partitionBy("_bucket")
+    # a hot bucket holds one value in all of its ranges: count it once
+    first_sub = F.col("_sub") == F.min("_sub").over(w_b)
+    contrib = F.when(F.max("_sub").over(w_b) > F.min("_sub").over(w_b),
+                     F.when(first_sub, F.lit(1)).otherwise(F.lit(0))).otherwise(F.col("_d"))
+    offsets = (per_sub
+               .withColumn("_contrib", contrib)
+               .withColumn("_rn_off", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)))
+               .withColumn("_dense_prev", F.coalesce(F.sum("_contrib").over(w_prev), F.lit(0)))
+               .select("_bucket", "_sub", "_rn_off",
+                       F.min("_rn_off").over(w_b).alias("_rank_off"),
+                       F.min("_dense_prev").over(w_b).alias("_dense_off")))
 
     ranked = rank_within(tmp, ["_bucket", "_sub"], order, descending, tiebreak)
     out = (ranked.join(F.broadcast(offsets), ["_bucket", "_sub"])
