@@ -21,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_PRUNE_VALUES = 20_000
@@ -41,29 +41,6 @@ def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeys(f"source has duplicate keys, e.g. {dup[0].asDict()}")
 
 
-def _dates_and_check(source: DataFrame, keys: Sequence[str], prune_col: str) -> list:
-    """One job for both pre-merge checks: the source's distinct ``prune_col``
-    values (at most MAX_PRUNE_VALUES + 1 come back) and whether a non-NULL
-    key repeats (raises)."""
-    known = F.col(keys[0]).isNotNull()
-    for k in keys[1:]:
-        known = known & F.col(k).isNotNull()
-    # grouped by the keys only: a key repeated under two prune values counts 2
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                        F.min(prune_col).alias(prune_col),
-                                        F.max(known).alias("_known"))
-    per_val = (per_key.groupBy(prune_col)
-               .agg(F.max(F.when(F.col("_known"), F.col("_n")).otherwise(1)).alias("_maxn"),
-                    F.count(F.lit(1)).alias("_keys"))
-               .limit(MAX_PRUNE_VALUES + 1).collect())
-    dup = [r for r in per_val if r["_maxn"] > 1]
-    if dup:
-        raise DuplicateSourceKeys(f"source has duplicate keys for {prune_col}={dup[0][prune_col]}")
-    if len(per_val) > MAX_PRUNE_VALUES:
-        check_unique_keys(source, keys)  # values past the cap were not checked
-    return [r[prune_col] for r in per_val]
-
-
 def _as_date(v) -> Column:
     if v is None:
         return F.current_date()
@@ -77,11 +54,19 @@ def _as_date(v) -> Column:
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   compare: Sequence[str] = ("production_kwh",), as_of=None,
                   recent_days: int = 7, date_col: str = "date", null_safe: bool = False,
-                  ) -> DataFrame:
+                  check_duplicates: bool = True) -> DataFrame:
     """Full-join plan: target columns, values after the merge, and ``_action``
-    in {insert, update, delete, keep}."""
+    in {insert, update, delete, keep}.
+
+    With ``check_duplicates`` a non-NULL key occurring twice in the source
+    fails the job when the merge runs (as SQL MERGE does). The count is a
+    window over the merge keys, whose hash partitioning the join then reuses,
+    so the check adds no shuffle and no separate job."""
     cols = target.columns
-    t, s = target.withColumn("_t", F.lit(True)).alias("t"), source.withColumn("_s", F.lit(True)).alias("s")
+    src = source.withColumn("_s", F.lit(True))
+    if check_duplicates:
+        src = src.withColumn("_dupn", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    t, s = target.withColumn("_t", F.lit(True)).alias("t"), src.alias("s")
     cond = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     j = t.join(s, cond, "full")
     if null_safe:
@@ -93,7 +78,15 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
         any_changed = any_changed | c
     cutoff = F.date_sub(_as_date(as_of), recent_days)
     recent = F.coalesce(F.col(f"t.{date_col}") >= cutoff, F.lit(False))
-    action = (F.when(F.col("s._s").isNull(), F.when(recent, "delete").otherwise("keep"))
+    action = F.when(F.col("s._s").isNull(), F.when(recent, "delete").otherwise("keep"))
+    if check_duplicates:
+        known = F.col(f"s.{keys[0]}").isNotNull()
+        for k in keys[1:]:
+            known = known & F.col(f"s.{k}").isNotNull()
+        action = F.when(known & (F.col("s._dupn") > 1),
+                        F.raise_error(F.lit(f"MERGE source has duplicate keys {list(keys)}")).cast("string")
+                        ).when(F.col("s._s").isNull(), F.when(recent, "delete").otherwise("keep"))
+    action = (action
               .when(F.col("t._t").isNull(), "insert")
               .when(any_changed, "update")
               .otherwise("keep"))
@@ -108,16 +101,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("t
                  date_col: str = "date", null_safe: bool = False, prune_col: str | None = None,
                  check_duplicates: bool = True, keep_deleted: bool = False) -> DataFrame:
     """The target table after the merge, with ``_action`` per row (deleted rows
-    are dropped unless ``keep_deleted``)."""
+    are dropped unless ``keep_deleted``). Duplicate source keys fail the job
+    when it runs (``check_duplicates``); :func:`check_unique_keys` checks
+    eagerly instead."""
     untouched = None
-    vals = None
-    if prune_col is not None and check_duplicates:
-        vals = _dates_and_check(source, keys, prune_col)
-    elif check_duplicates:
-        check_unique_keys(source, keys)
-    elif prune_col is not None:
-        vals = [r[0] for r in source.select(prune_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
     if prune_col is not None:
+        # one small job (partial distinct per task): the touched values become
+        # literal filters, i.e. partition pruning on a date-partitioned target
+        vals = [r[0] for r in source.select(prune_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
         if len(vals) <= MAX_PRUNE_VALUES:
             cutoff = F.date_sub(_as_date(as_of), recent_days)
             pc = F.col(prune_col)
@@ -125,7 +116,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("t
             hit = F.coalesce(hit, F.lit(True))
             untouched = target.filter(~hit).withColumn("_action", F.lit("keep"))
             target = target.filter(hit)
-    out = merge_actions(target, source, keys, compare, as_of, recent_days, date_col, null_safe)
+    out = merge_actions(target, source, keys, compare, as_of, recent_days, date_col, null_safe,
+                        check_duplicates)
     if untouched is not None:
         out = out.unionByName(untouched)
     return out if keep_deleted else out.filter(F.col("_action") != "delete")
