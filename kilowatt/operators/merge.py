@@ -8,7 +8,8 @@ Semantics kept from the SQL MERGE:
   NULL ↔ value changes);
 * unmatched source rows are inserted;
 * unmatched target rows are deleted only when recent
-  (``date >= as_of - recent_days``), otherwise kept.
+  (``date >= as_of - recent_days``), otherwise kept; ``recent_days=None``
+  never deletes (incremental batches that carry only new data).
 
 Scale: with ``prune_col`` (a column determined by the keys, e.g. the date of
 the timestamp key) only target rows in the source's dates or in the delete
@@ -53,7 +54,7 @@ def _as_date(v) -> Column:
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   compare: Sequence[str] = ("production_kwh",), as_of=None,
-                  recent_days: int = 7, date_col: str = "date", null_safe: bool = False,
+                  recent_days: int | None = 7, date_col: str = "date", null_safe: bool = False,
                   check_duplicates: bool = True) -> DataFrame:
     """Full-join plan: target columns, values after the merge, and ``_action``
     in {insert, update, delete, keep}.
@@ -76,8 +77,11 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
     any_changed = changed[0]
     for c in changed[1:]:
         any_changed = any_changed | c
-    cutoff = F.date_sub(_as_date(as_of), recent_days)
-    recent = F.coalesce(F.col(f"t.{date_col}") >= cutoff, F.lit(False))
+    if recent_days is None:  # never delete unmatched target rows
+        recent = F.lit(False)
+    else:
+        cutoff = F.date_sub(_as_date(as_of), recent_days)
+        recent = F.coalesce(F.col(f"t.{date_col}") >= cutoff, F.lit(False))
     action = F.when(F.col("s._s").isNull(), F.when(recent, "delete").otherwise("keep"))
     if check_duplicates:
         known = F.col(f"s.{keys[0]}").isNotNull()
@@ -97,7 +101,7 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("timestamp", "site_id"),
-                 compare: Sequence[str] = ("production_kwh",), as_of=None, recent_days: int = 7,
+                 compare: Sequence[str] = ("production_kwh",), as_of=None, recent_days: int | None = 7,
                  date_col: str = "date", null_safe: bool = False, prune_col: str | None = None,
                  check_duplicates: bool = True, keep_deleted: bool = False) -> DataFrame:
     """The target table after the merge, with ``_action`` per row (deleted rows
@@ -110,9 +114,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("t
         # literal filters, i.e. partition pruning on a date-partitioned target
         vals = [r[0] for r in source.select(prune_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
         if len(vals) <= MAX_PRUNE_VALUES:
-            cutoff = F.date_sub(_as_date(as_of), recent_days)
             pc = F.col(prune_col)
-            hit = pc.isNull() | pc.isin([v for v in vals if v is not None]) | (F.col(date_col) >= cutoff)
+            hit = pc.isNull() | pc.isin([v for v in vals if v is not None])
+            if recent_days is not None:
+                hit = hit | (F.col(date_col) >= F.date_sub(_as_date(as_of), recent_days))
             hit = F.coalesce(hit, F.lit(True))
             untouched = target.filter(~hit).withColumn("_action", F.lit("keep"))
             target = target.filter(hit)

@@ -532,3 +532,19 @@ SELECT *,
 FROM (SELECT d.*, p.total_production_mwh AS prev_day_production_mwh
       FROM daily d LEFT JOIN daily p
         ON p.site_id = d.site_id AND p.technology = d.technology AND p.date = d.date - 1) x""")
+
+ORACLE["stream_upsert"] = _q(READINGS, SOLAR_RAW, f"""
+solar_clean AS (
+  SELECT "timestamp", site_id, panel_temp_c,
+         CASE WHEN irradiance_w_m2 < 0 THEN NULL ELSE irradiance_w_m2 END AS irradiance_w_m2,
+         CASE WHEN production_kwh < 0 THEN NULL ELSE production_kwh END AS production_kwh,
+         {_CLEAN_STATUS} AS status
+  FROM solar_raw
+)""", body="""
+SELECT "timestamp", site_id, 'solar' AS technology, production_kwh, status,
+       CAST("timestamp" AS DATE) AS date, CAST(hour("timestamp") AS INTEGER) AS hour
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "timestamp", site_id
+                                   ORDER BY production_kwh DESC NULLS LAST, status ASC NULLS LAST,
+                                            panel_temp_c ASC NULLS LAST, irradiance_w_m2 ASC NULLS LAST) AS rn
+      FROM solar_clean) d
+WHERE rn = 1""")

@@ -522,3 +522,34 @@ def q_schema_evolution(spark, sf):
     layers.append_layer(r.filter(F.col("technology") == "wind")
                         .select("event_id", "site_id", "production_kwh", "status"), path)
     return layers.read_layer(spark, path).select("event_id", "site_id", "production_kwh", "status")
+
+
+from kilowatt.streaming import upsert as supsert  # noqa: E402
+
+
+@register("stream_upsert")
+def q_stream_upsert(spark, sf):
+    """Solar landing files arriving in two drops, each drained by a stream
+    whose micro-batches are cleaned, deduplicated and merged into a versioned
+    silver table (a third run finds nothing new)."""
+    root = scratch_path(spark, "stream_upsert")
+    landing, table, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint"
+
+    def to_silver(batch: DataFrame) -> DataFrame:
+        b = batch.withColumns({"site_id": F.col("site_id").cast("bigint"),
+                               "timestamp": F.col("timestamp").cast("timestamp_ntz")})
+        return silver.silver_technology(b, silver.SOLAR)
+
+    def drain():
+        s = ingest.stream_csv(spark, landing, schemas.SOLAR_SCHEMA)
+        supsert.upsert_stream(s, table, ckpt, to_silver)
+
+    _landing_solar(spark, sf, landing, split_date="2024-01-15")
+    drain()
+    late = fx.solar_raw(spark, sf).filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz"))
+    layers.write_csv(late.select(*[F.col(c).cast("string") if c == "site_id" else F.col(c)
+                                   for c in SOLAR_COLS]), landing, mode="append")
+    drain()
+    drain()
+    return versioned.read_version(spark, table).select(
+        "timestamp", "site_id", "technology", "production_kwh", "status", "date", "hour")

@@ -68,3 +68,21 @@ def test_drift_alerts_label(spark):
     out = {r["date"].day: r for r in rollup.drift_alerts(d, base).collect()}
     assert out[2]["z_score"] == -3.0 and out[2]["alert_level"].endswith("ANOMALIE BASSE")
     assert out[3]["alert_level"].endswith("Normal")
+
+
+def test_micro_batch_merge_is_replay_safe(spark):
+    from kilowatt.operators import silver
+    from kilowatt.sinks import versioned
+    from kilowatt.streaming.upsert import merge_micro_batch
+    path = scratch_path(spark, "t-upsert")
+    to_silver = lambda b: silver.silver_technology(b, silver.SOLAR)
+    b0 = spark.createDataFrame([(T, "S1", 1.0, 2.0, 3.0, "OK"), (T, "S1", 1.0, 2.0, 5.0, "OK")], SOLAR)
+    b1 = spark.createDataFrame([(T, "S1", 1.0, 2.0, 7.0, "OK"),
+                                (T + dt.timedelta(days=1), "S2", 1.0, 2.0, 1.0, "OK")], SOLAR)
+    assert merge_micro_batch(b0, 0, path, to_silver) == 0
+    assert merge_micro_batch(b1, 1, path, to_silver) == 1
+    assert merge_micro_batch(b1, 1, path, to_silver) is None          # replayed batch: skipped
+    got = {(r["site_id"], r["production_kwh"]) for r in versioned.read_version(spark, path).collect()}
+    assert got == {("S1", 7.0), ("S2", 1.0)}
+    h = versioned.history(spark, path).collect()
+    assert [r["version"] for r in h] == [1, 0] and h[0]["num_updated"] == 1 and h[0]["num_inserted"] == 1
