@@ -3,14 +3,25 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilowatt import fixtures as fx
+from kilowatt import schemas
 from kilowatt.functions.expressions import exact
-from kilowatt.operators import anomaly, bronze, gold, silver
+from kilowatt.operators import anomaly, bronze, gold, layout, merge, quality, ranking, silver, timescale
+from kilowatt.operators.bronze import with_audit
+from kilowatt.plans import medallion
+from kilowatt.session import scratch_path
+from kilowatt.sinks import layers, versioned
+from kilowatt.sources import files
+from kilowatt.sources.files import read_table
+from kilowatt.streaming import ingest
+from kilowatt.streaming import rollup as srollup
+from kilowatt.streaming import upsert as supsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,8 +139,6 @@ def q_detect_anomalies(spark, sf):
 
 # ---------------------------------------------------------------- quality
 
-from kilowatt.operators import quality  # noqa: E402
-
 
 def reading_rules():
     return {**quality.silver_rules(),
@@ -150,11 +159,6 @@ def q_expect_report(spark, sf):
 
 # ---------------------------------------------------------------- merge / versions
 
-import datetime as _dt  # noqa: E402
-
-from kilowatt.operators import merge  # noqa: E402
-from kilowatt.session import scratch_path  # noqa: E402
-from kilowatt.sinks import versioned  # noqa: E402
 
 MERGE_AS_OF = _dt.date(2024, 1, 30)
 MERGE_COLUMNS = ["timestamp", "site_id", "technology", "production_kwh", "status", "date", "hour"]
@@ -217,9 +221,6 @@ def q_history(spark, sf):
 
 # ---------------------------------------------------------------- ranking
 
-from kilowatt.operators import layout, ranking, timescale  # noqa: E402
-from kilowatt.sources.files import read_table  # noqa: E402
-
 
 def order_values(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
@@ -331,12 +332,6 @@ def q_predicates_scalars(spark, sf):
 
 # ---------------------------------------------------------------- files, CSV and streams
 
-from kilowatt import schemas  # noqa: E402
-from kilowatt.operators.bronze import with_audit  # noqa: E402
-from kilowatt.sinks import layers  # noqa: E402
-from kilowatt.sources import files  # noqa: E402
-from kilowatt.streaming import ingest  # noqa: E402
-from kilowatt.streaming import rollup as srollup  # noqa: E402
 
 SOLAR_COLS = [f.name for f in schemas.SOLAR_SCHEMA.fields]
 
@@ -455,8 +450,6 @@ def q_drift_alerts(spark, sf):
 
 # ---------------------------------------------------------------- medallion end to end
 
-from kilowatt.plans import medallion  # noqa: E402
-
 
 def landing_files(spark: SparkSession, sf: str, root: str) -> str:
     """sites / solar / wind CSV landing files as the reference receives them."""
@@ -524,9 +517,6 @@ def q_schema_evolution(spark, sf):
     return layers.read_layer(spark, path).select("event_id", "site_id", "production_kwh", "status")
 
 
-from kilowatt.streaming import upsert as supsert  # noqa: E402
-
-
 @register("stream_upsert")
 def q_stream_upsert(spark, sf):
     """Solar landing files arriving in two drops, each drained by a stream

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from kilowatt import schemas
 from kilowatt.session import scratch_path
