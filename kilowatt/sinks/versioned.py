@@ -2,8 +2,8 @@
 
 Layout under ``path``::
 
-    data/_version=<n>/<part_col>=<value>/part-*.parquet   rows written by version n
-    _commits/                                            one parquet row per version
+    data/_version=<n>/_attempt=<id>/<part_col>=<value>/part-*.parquet   rows of version n
+    _commits/                                                          one row per version
 
 A version either replaces the whole table (``replaced = NULL``) or only the
 listed partition values — a merge that touches 8 days of a ten-year table
@@ -13,13 +13,17 @@ choice is made from the (small) commit log and reaches the scan as partition
 filters, so untouched versions are never listed or read.
 
 A version becomes visible only when its commit row is appended, *after* its
-data files are written: a failed write leaves no visible version. Two
-concurrent writers to one table are not supported.
+data files are written: a failed write leaves no visible version. Every
+write attempt has its own ``_attempt`` folder and the commit names the one
+that counts, so files of an attempt that died between writing data and
+committing are never read. Two concurrent writers to one table are not
+supported.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,6 +43,7 @@ COMMIT_SCHEMA = StructType([
     StructField("num_updated", LongType(), True),
     StructField("num_deleted", LongType(), True),
     StructField("num_kept", LongType(), True),
+    StructField("attempt", StringType(), True),
 ])
 
 
@@ -74,7 +79,8 @@ def write_version(df: DataFrame, path: str, operation: str = "WRITE",
     spark = df.sparkSession
     cur = latest_version(spark, path)
     n = 0 if cur is None else cur + 1
-    obs = Observation(f"kilowatt_v{n}")
+    attempt = "a" + uuid.uuid4().hex[:12]  # never all digits: stays a string partition
+    obs = Observation(f"kilowatt_{attempt}")
     if action_col:
         a = F.col(action_col)
         metrics = [F.sum(F.when(a == x, 1).otherwise(0)).cast("bigint").alias(x)
@@ -83,28 +89,32 @@ def write_version(df: DataFrame, path: str, operation: str = "WRITE",
         df = df.filter(a != "delete").drop(action_col)
     else:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = df.withColumn("_version", F.lit(n).cast("bigint")).write.mode("append")
+    w = (df.withColumns({"_version": F.lit(n).cast("bigint"), "_attempt": F.lit(attempt)})
+         .write.mode("append"))
     if partition_col:
-        w = w.partitionBy("_version", partition_col)
+        w = w.partitionBy("_version", "_attempt", partition_col)
     else:
-        w = w.partitionBy("_version")
+        w = w.partitionBy("_version", "_attempt")
     w.parquet(_data_path(path))
     m = obs.get
     written = m.get("rows", 0) - (m.get("delete", 0) or 0) if action_col else m.get("rows", 0)
     row = (n, operation, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), partition_col,
            None if replaced is None else sorted(str(v) for v in replaced),
            int(written), *(int(m[x]) if action_col else None
-                           for x in ("insert", "update", "delete", "keep")))
+                           for x in ("insert", "update", "delete", "keep")), attempt)
     spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(_commits_path(path))
     return n
 
 
 def _plan(spark: SparkSession, path: str, version: int | None):
-    """(snapshot version, {version: [partition values it supplies]}, part col)."""
+    """(snapshot version, {partition value: supplying version}, part col,
+    {version: committed attempt}) from the commit log (small: one row per
+    version)."""
     rows = commits(spark, path)
     if version is not None:
         rows = rows.filter(F.col("version") <= version)
-    log = sorted(rows.select("version", "partition_col", "replaced").collect(), key=lambda r: r[0])
+    log = sorted(rows.select("version", "partition_col", "replaced", "attempt").collect(),
+                 key=lambda r: r[0])
     if not log:
         raise FileNotFoundError(f"no committed version ≤ {version} in {path}")
     base = max(i for i, r in enumerate(log) if r["replaced"] is None)
@@ -114,24 +124,31 @@ def _plan(spark: SparkSession, path: str, version: int | None):
         part_col = r["partition_col"]
         for v in r["replaced"]:
             owner[v] = r["version"]
-    return log[base]["version"], owner, part_col or log[base]["partition_col"]
+    attempts = {r["version"]: r["attempt"] for r in log[base:]}
+    return log[base]["version"], owner, part_col or log[base]["partition_col"], attempts
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The table as of ``version`` (latest committed when None)."""
-    base, owner, part_col = _plan(spark, path, version)
+    """The table as of ``version`` (latest committed when None); the choice of
+    files reaches the scan as partition filters on ``_version`` / ``_attempt``
+    / the partition column."""
+    base, owner, part_col, attempts = _plan(spark, path, version)
     data = spark.read.parquet(_data_path(path))
-    v = F.col("_version")
+    v, a = F.col("_version"), F.col("_attempt")
+
+    def of(ver: int):
+        return (v == ver) & (a == attempts[ver])
+
     if not owner:
-        return data.filter(v == base).drop("_version")
+        return data.filter(of(base)).drop("_version", "_attempt")
     pc = F.col(part_col).cast("string")
-    cond = (v == base) & ~pc.isin(list(owner))
+    cond = of(base) & ~pc.isin(list(owner))
     by_version: dict[int, list[str]] = {}
     for val, ver in owner.items():
         by_version.setdefault(ver, []).append(val)
     for ver, vals in by_version.items():
-        cond = cond | ((v == ver) & pc.isin(vals))
-    return data.filter(cond).drop("_version")
+        cond = cond | (of(ver) & pc.isin(vals))
+    return data.filter(cond).drop("_version", "_attempt")
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:

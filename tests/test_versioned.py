@@ -37,3 +37,17 @@ def test_version_read_prunes_partitions(spark):
     versioned.write_version(df, path, partition_col="date")
     plan = versioned.read_version(spark, path, 0)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "_version" in plan
+
+
+def test_uncommitted_attempt_is_never_read(spark):
+    path = scratch_path(spark, "test-versioned")
+    d = dt.date(2024, 1, 1)
+    v0 = spark.createDataFrame([(1, 1.0, d)], "k long, v double, date date")
+    versioned.write_version(v0, path, partition_col="date")
+    # an attempt of version 1 that wrote its data but died before committing
+    (v0.withColumns({"_version": F.lit(1).cast("bigint"), "_attempt": F.lit("adeadbeef0000")})
+     .write.mode("append").partitionBy("_version", "_attempt", "date").parquet(f"{path}/data"))
+    v1 = spark.createDataFrame([(2, 2.0, d)], "k long, v double, date date")
+    assert versioned.write_version(v1, path, "WRITE", partition_col="date") == 1
+    assert snap(versioned.read_version(spark, path)) == [(2, 2.0, d)]
+    assert snap(versioned.read_version(spark, path, 0)) == [(1, 1.0, d)]
