@@ -175,15 +175,20 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
 
 def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,
                   tiebreak: Sequence[str] = (), buckets: int = 32, accuracy: int = 10_000,
-                  max_broadcast_bytes: int | None = None) -> DataFrame:
+                  max_broadcast_bytes: int | None = None, split_hot: bool = True,
+                  keep_internal: bool = False) -> DataFrame:
     """dense_rank / rank / row_number within ``partition`` groups that stays
-    balanced when one group holds a large share of the rows.
+    balanced when one group — or one value inside a group — holds a large
+    share of the rows.
 
     Each group's values are cut into ``buckets`` quantile ranges (one partial
-    percentile aggregation, one row of boundaries per group), rows are ranked
-    inside (group, range) — so a hot group is spread over ``buckets`` tasks —
-    and shifted by the range's offsets, a running sum over the small
-    (group × range) count table. Equal values always share a range."""
+    percentile aggregation, one row of boundaries per group); rows are ranked
+    inside (group, range), so a hot group is spread over ``buckets`` tasks,
+    and shifted by the range's offsets from a small (group × range) count
+    table. A value filling several quantile slots of its group gets a block of
+    its own, cut again into ranges of the (single, numeric) tie-break column.
+    Equal values never straddle two ranges except such split hot values,
+    whose rank and dense_rank come from the block's start."""
     from kilowatt.operators.joins import join_dimension
 
     part = list(partition)
@@ -191,33 +196,64 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
         return global_rank(df, order, descending, tiebreak, buckets=buckets, accuracy=accuracy)
     v = F.col(order).cast("double")
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = (df.groupBy(*part)
-              .agg(F.array_distinct(F.percentile_approx(v, probs, accuracy)).alias("_q")))
+    empty = F.array().cast("array<double>")
+    can_split = (split_hot and len(tiebreak) == 1
+                 and isinstance(df.schema[tiebreak[0]].dataType, NumericType))
+    qraw = F.col("_qraw")
+    hot = (F.filter(F.array_distinct(qraw), lambda x: F.size(F.filter(qraw, lambda y: y == x)) >= HOT_MIN_SLOTS)
+           if can_split else empty)
+    bounds = (df.groupBy(*part).agg(F.percentile_approx(v, probs, accuracy).alias("_qraw"))
+              .select(*part, F.array_distinct(qraw).alias("_q"), hot.alias("_hot")))
     # boundaries and offsets are small but derived from df: checking them with
     # a job would recompute df, so only the plan estimate is used here and
     # AQE switches the joins to broadcast once it has measured them
     tmp = join_dimension(df, bounds, part, "left", max_broadcast_bytes, measure=False)
     # range index = number of boundaries below the value; NULLs get -1, which
     # sorts them first ascending and (ranges taken in reverse) last descending
-    idx = F.aggregate(F.coalesce(F.col("_q"), F.array().cast("array<double>")), F.lit(0),
+    idx = F.aggregate(F.coalesce(F.col("_q"), empty), F.lit(0),
                       lambda acc, b: acc + F.when(b < v, 1).otherwise(0))
-    tmp = tmp.withColumn("_bucket", F.when(v.isNull(), F.lit(-1)).otherwise(idx)).drop("_q")
+    flag = F.when(v.isNotNull() & F.array_contains(F.coalesce(F.col("_hot"), empty), v), 1).otherwise(0)
+    tmp = (tmp.withColumns({"_bucket": F.when(v.isNull(), F.lit(-1)).otherwise(idx), "_flag": flag})
+           .drop("_q", "_hot"))
+    if can_split:
+        t = F.col(tiebreak[0]).cast("double")
+        tmp = tmp.withColumn("_hv", F.when(F.col("_flag") == 1, v))
+        tq = (tmp.filter(F.col("_flag") == 1).groupBy(*part, "_hv")
+              .agg(F.array_distinct(F.percentile_approx(t, probs, accuracy)).alias("_tq")))
+        tmp = join_dimension(tmp, tq, [*part, "_hv"], "left", max_broadcast_bytes, measure=False)
+        tc = F.coalesce(t, F.lit(-math.inf))  # NULL tie-breaks sort first
+        sub = F.aggregate(F.coalesce(F.col("_tq"), empty), F.lit(0),
+                          lambda acc, b: acc + F.when(b < tc, 1).otherwise(0))
+        tmp = tmp.withColumn("_sub", F.when(F.col("_flag") == 1, sub).otherwise(F.lit(0))).drop("_hv", "_tq")
+    else:
+        tmp = tmp.withColumn("_sub", F.lit(0))
 
-    stats = tmp.groupBy(*part, "_bucket").agg(
+    keys = [*part, "_bucket", "_flag", "_sub"]
+    stats = tmp.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         (F.count_distinct(F.col(order)) + F.max(F.col(order).isNull().cast("int"))).alias("_d"))
-    b_order = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    if descending:  # NULL range (-1) must come last when descending
-        b_order = F.when(F.col("_bucket") == -1, F.lit(1 << 30)).otherwise(-F.col("_bucket")).asc()
-    w_prev = Window.partitionBy(*part).orderBy(b_order).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(*part, "_bucket",
-                           F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_row_off"),
-                           F.coalesce(F.sum("_d").over(w_prev), F.lit(0)).alias("_dense_off"))
-
-    ranked = rank_within(tmp, [*part, "_bucket"], order, descending, tiebreak)
-    out = join_dimension(ranked, offsets, [*part, "_bucket"], "left", max_broadcast_bytes, measure=False)
-    return (out.withColumns({
+    if descending:  # NULL range (-1) last; hot block after (ascending) / before (descending) its range
+        block_order = [F.when(F.col("_bucket") == -1, F.lit(1 << 30)).otherwise(-F.col("_bucket")).asc(),
+                       F.col("_flag").desc()]
+    else:
+        block_order = [F.col("_bucket").asc(), F.col("_flag").asc()]
+    w_run = Window.partitionBy(*part).orderBy(*block_order, F.col("_sub").asc())
+    w_prev = w_run.rowsBetween(Window.unboundedPreceding, -1)
+    w_block = Window.partitionBy(*part, "_bucket", "_flag")
+    first_sub = F.col("_sub") == F.min("_sub").over(w_block)
+    contrib = F.when(F.col("_flag") == 1, F.when(first_sub, 1).otherwise(0)).otherwise(F.col("_d"))
+    offsets = (stats.withColumn("_contrib", contrib)
+               .withColumn("_rn_off", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)))
+               .withColumn("_dense_prev", F.coalesce(F.sum("_contrib").over(w_prev), F.lit(0)))
+               .select(*keys, "_rn_off",
+                       F.min("_rn_off").over(w_block).alias("_rank_off"),
+                       F.min("_dense_prev").over(w_block).alias("_dense_off")))
+
+    ranked = rank_within(tmp, keys, order, descending, tiebreak)
+    out = join_dimension(ranked, offsets, keys, "left", max_broadcast_bytes, measure=False)
+    out = out.withColumns({
         "dense_rank": (F.col("dense_rank") + F.col("_dense_off")).cast("bigint"),
-        "rank": (F.col("rank") + F.col("_row_off")).cast("bigint"),
-        "row_number": (F.col("row_number") + F.col("_row_off")).cast("bigint"),
-    }).drop("_bucket", "_row_off", "_dense_off"))
+        "rank": (F.col("rank") + F.col("_rank_off")).cast("bigint"),
+        "row_number": (F.col("row_number") + F.col("_rn_off")).cast("bigint"),
+    }).drop("_rn_off", "_rank_off", "_dense_off")
+    return out if keep_internal else out.drop("_bucket", "_flag", "_sub")

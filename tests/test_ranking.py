@@ -87,3 +87,26 @@ def test_global_rank_splits_a_hot_value(spark, descending):
     assert parts >= 5                       # 40% of rows over >= 5 window partitions
     biggest = tagged.groupBy("_bucket", "_sub").count().agg(F.max("count")).first()[0]
     assert biggest < 0.15 * len(data)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_bucketed_rank_splits_hot_value_inside_hot_group(spark, descending):
+    rnd = random.Random(5)
+    ids = list(range(8000))
+    rnd.shuffle(ids)
+    data = []
+    for j, i in enumerate(ids):
+        g = "hot" if j % 4 else rnd.choice(["a", "b"])
+        val = 42 if (g == "hot" and j % 2) else (None if j % 61 == 0 else rnd.randint(0, 500))
+        data.append((i, g, val))
+    df = spark.createDataFrame(data, "id long, g string, value long")
+    want = ranking.rank_within(df, ["g"], "value", descending, ["id"])
+    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], buckets=16, keep_internal=True)
+    key = lambda r: r["id"]
+    cols = want.columns
+    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=lambda x: x[0]) == \
+        sorted((tuple(r) for r in want.collect()), key=lambda x: x[0])
+    hot_parts = got.filter("g = 'hot' AND value = 42").select("_bucket", "_flag", "_sub").distinct().count()
+    assert hot_parts >= 4
+    biggest = got.groupBy("g", "_bucket", "_flag", "_sub").count().agg(F.max("count")).first()[0]
+    assert biggest < 0.2 * len(data)
