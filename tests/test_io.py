@@ -62,3 +62,19 @@ def test_medallion_end_to_end(spark):
     assert silver_df.groupBy("timestamp", "site_id", "technology").count().filter("count > 1").count() == 0
     daily = layers.read_layer(spark, lake.table("gold", "daily_kpis"))
     assert daily.count() > 0 and "computed_at" in daily.columns
+
+
+def test_layer_reads_prune_partitions_and_push_filters(spark):
+    from kilowatt.plans import medallion
+    from kilowatt.plans.queries import _landing_layout
+    root = scratch_path(spark, "t-lake2")
+    lake = medallion.Lake(f"{root}/lake")
+    medallion.bronze_job(spark, _landing_layout(spark, SF_TINY, root), lake, "b1")
+    medallion.silver_job(spark, lake)
+    df = (layers.read_layer(spark, lake.table("silver", "production"))
+          .filter((F.col("date") == F.lit("2024-01-05").cast("date")) & (F.col("site_id") == "42"))
+          .select("timestamp", "production_kwh"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "PushedFilters: [IsNotNull(site_id), EqualTo(site_id,42)]" in plan
+    read_schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert sorted(read_schema.split(",")) == ["production_kwh:double", "site_id:string", "timestamp:timestamp"]
