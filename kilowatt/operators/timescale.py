@@ -31,33 +31,37 @@ def timescale_rollup(df: DataFrame, unit: str, ts: str = "timestamp",
 def multi_scale_rollup(df: DataFrame, units: Sequence[str] = UNITS, ts: str = "timestamp",
                        keys: Sequence[str] = ("site_id", "technology"),
                        value: str = "production_kwh", scale: int = 4) -> DataFrame:
-    """:func:`timescale_rollup` at several units in ONE scan and one shuffle:
-    GROUPING SETS over the per-unit buckets (Spark expands each row once per
-    unit *before* the partial aggregation, so the shuffle carries partial
-    aggregates, not copies of the readings)."""
-    for u in units:
-        if u not in UNITS:
-            raise ValueError(f"unit must be one of {UNITS}")
+    """:func:`timescale_rollup` at several units from ONE pass over the
+    readings: they are aggregated once at the finest unit (partial aggregation
+    per task), and every coarser unit is rolled up from the finer unit's
+    partial results — exact sums and counts add, the max of maxima is the max,
+    the mean is sum / count — so raw rows are neither rescanned nor expanded
+    per unit. The three outputs share the finest level's shuffle."""
+    order = sorted(units, key=UNITS.index)
+    if any(u not in UNITS for u in order):
+        raise ValueError(f"unit must be one of {UNITS}")
     t = df.schema[ts].dataType
-    buckets = {f"_b_{u}": F.date_trunc(u, F.col(ts)).cast(t) for u in units}
     v = F.col(value)
-    sets = [[*keys, b] for b in buckets]
-    g = (df.select(*keys, v.alias("_v"), *[c.alias(n) for n, c in buckets.items()])
-         .groupingSets(sets, *keys, *buckets.keys())
-         .agg(F.count(F.lit(1)).alias("n_readings"),
-              round_double(exact_sum("_v", scale), 4).alias("total_kwh"),
-              round_double(exact_avg("_v", scale), 4).alias("avg_kwh"),
-              F.max("_v").alias("max_kwh"),
-              *[F.grouping(n).alias(f"_g{n}") for n in buckets]))
-    # grouping() tells the sets apart even when a bucket value itself is NULL
-    unit = F.lit(None).cast("string")
-    start = F.lit(None).cast(t)
-    for u in units:
-        in_set = F.col(f"_g_b_{u}") == 0
-        unit = F.when(in_set, F.lit(u)).otherwise(unit)
-        start = F.when(in_set, F.col(f"_b_{u}")).otherwise(start)
-    return g.select(*keys, start.alias("bucket_start"), "n_readings", "total_kwh", "avg_kwh",
-                    "max_kwh", unit.alias("unit"))
+    level = (df.groupBy(*keys, F.date_trunc(order[0], F.col(ts)).cast(t).alias("bucket_start"))
+             .agg(F.count(F.lit(1)).alias("n_readings"),
+                  exact_sum(v, scale).alias("_sum"),
+                  F.count(v).alias("_n"),
+                  F.max(v).alias("max_kwh")))
+    levels = {order[0]: level}
+    for u in order[1:]:
+        level = (level.groupBy(*keys, F.date_trunc(u, F.col("bucket_start")).cast(t).alias("bucket_start"))
+                 .agg(F.sum("n_readings").alias("n_readings"), F.sum("_sum").alias("_sum"),
+                      F.sum("_n").alias("_n"), F.max("max_kwh").alias("max_kwh")))
+        levels[u] = level
+    parts = [lv.select(*keys, "bucket_start", "n_readings",
+                       round_double(F.col("_sum"), 4).alias("total_kwh"),
+                       round_double(F.col("_sum") / F.nullif(F.col("_n"), F.lit(0)), 4).alias("avg_kwh"),
+                       "max_kwh", F.lit(u).alias("unit"))
+             for u, lv in levels.items()]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def energy_losses(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),
