@@ -20,10 +20,18 @@ from kilowatt.sources.files import read_table
 _MEMO: dict[tuple, DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    """A key that a later session can never share (unlike ``id()``)."""
+    try:
+        return str(spark._jsparkSession.sessionUUID())
+    except Exception:  # pragma: no cover - older JVM API
+        return f"{spark.sparkContext.applicationId}:{spark._jsparkSession.hashCode()}"
+
+
 def _memo(fn):
     @functools.wraps(fn)
     def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, id(spark._jsparkSession), sf_dir.rstrip("/"))
+        key = (fn.__name__, _session_key(spark), sf_dir.rstrip("/"))
         if key not in _MEMO:
             _MEMO[key] = fn(spark, sf_dir)
         return _MEMO[key]
