@@ -30,14 +30,22 @@ def compact(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
     AQE size the write tasks to ``advisoryPartitionSizeInBytes`` and split a
     skewed partition value over several tasks, instead of one task per value."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_file_bytes))
-    out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
-    w = out.write.mode(mode)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.parquet(path)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(target_file_bytes))  # for this write only
+    try:
+        out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
+        w = out.write.mode(mode)
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", max_records_per_file)
+        if partition_cols:
+            w = w.partitionBy(*partition_cols)
+        w.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
     return path
 
 
