@@ -103,16 +103,19 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Sequence[str],
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("timestamp", "site_id"),
                  compare: Sequence[str] = ("production_kwh",), as_of=None, recent_days: int | None = 7,
                  date_col: str = "date", null_safe: bool = False, prune_col: str | None = None,
-                 check_duplicates: bool = True, keep_deleted: bool = False) -> DataFrame:
+                 check_duplicates: bool = True, keep_deleted: bool = False,
+                 prune_values: Sequence | None = None) -> DataFrame:
     """The target table after the merge, with ``_action`` per row (deleted rows
     are dropped unless ``keep_deleted``). Duplicate source keys fail the job
     when it runs (``check_duplicates``); :func:`check_unique_keys` checks
-    eagerly instead."""
+    eagerly instead. ``prune_values``: the source's ``prune_col`` values, when
+    the caller already has them."""
     untouched = None
     if prune_col is not None:
         # one small job (partial distinct per task): the touched values become
         # literal filters, i.e. partition pruning on a date-partitioned target
-        vals = [r[0] for r in source.select(prune_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
+        vals = list(prune_values) if prune_values is not None else \
+            [r[0] for r in source.select(prune_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()]
         if len(vals) <= MAX_PRUNE_VALUES:
             pc = F.col(prune_col)
             hit = pc.isNull() | pc.isin([v for v in vals if v is not None])

@@ -185,19 +185,11 @@ def q_merge_upsert(spark, sf):
 
 
 def _versioned_merge(spark: SparkSession, sf: str) -> str:
-    """Write the target as version 0, merge the source as version 1."""
+    """Write the target as version 0, MERGE the source into it as version 1."""
     path = scratch_path(spark, "versioned")
     target, source = merge_pair(spark, sf)
     versioned.write_version(target, path, "WRITE", partition_col="date")
-    t0 = versioned.read_version(spark, path)
-    plan = merge.merge_upsert(t0, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF,
-                              prune_col="date", keep_deleted=True)
-    cutoff = MERGE_AS_OF - _dt.timedelta(days=7)
-    touched = {r[0] for r in source.select("date").distinct().collect()}
-    touched |= {r[0] for r in t0.filter(F.col("date") >= F.lit(cutoff)).select("date").distinct().collect()}
-    rewritten = plan.filter(F.col("date").isin(list(touched)))
-    versioned.write_version(rewritten, path, "MERGE", partition_col="date",
-                            replaced=touched, action_col="_action")
+    versioned.merge_into(path, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF)
     return path
 
 

@@ -158,3 +158,31 @@ def history(spark: SparkSession, path: str) -> DataFrame:
                     "num_updated", "num_deleted", "num_kept",
                     F.size(F.coalesce("replaced", F.array())).alias("num_replaced_partitions"))
             .orderBy(F.col("version").desc()))
+
+
+def merge_into(path: str, source: DataFrame, keys: Sequence[str] = ("timestamp", "site_id"),
+               compare: Sequence[str] = ("production_kwh",), as_of=None, recent_days: int | None = 7,
+               partition_col: str = "date", date_col: str = "date", null_safe: bool = False,
+               operation: str = "MERGE") -> int:
+    """MERGE INTO the versioned table at ``path``: upsert ``source`` into the
+    latest version and commit the result as a new version that replaces only
+    the touched ``partition_col`` values (the source's, plus the recent ones
+    where unmatched rows may be deleted). Returns the new version."""
+    from kilowatt.operators.merge import merge_upsert  # no import cycle at load
+
+    spark = source.sparkSession
+    target = read_version(spark, path)
+    # bounded lists: partition values are dates
+    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+    if recent_days is not None:
+        from kilowatt.operators.merge import _as_date
+        cutoff = F.date_sub(_as_date(as_of), recent_days)
+        touched = sorted({*touched, *(r[0] for r in target.filter(F.col(date_col) >= cutoff)
+                                      .select(partition_col).distinct().collect())},
+                         key=lambda x: (x is None, x))
+    plan = merge_upsert(target, source, keys, compare, as_of, recent_days, date_col, null_safe,
+                        prune_col=partition_col, keep_deleted=True,
+                        prune_values=[v for v in touched])
+    rewritten = plan.filter(F.col(partition_col).isin([v for v in touched if v is not None]))
+    return write_version(rewritten, path, operation, partition_col=partition_col,
+                         replaced=[v for v in touched if v is not None], action_col="_action")

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from kilowatt.operators.merge import merge_upsert
 from kilowatt.sinks import versioned
 
 
@@ -37,13 +36,11 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, path: str,
     src = transform(batch)
     if versioned.latest_version(spark, path) is None:
         return versioned.write_version(src, path, op, partition_col=partition_col)
-    touched = [r[0] for r in src.select(partition_col).distinct().collect()]  # bounded: dates
-    if not touched:
+    if src.select(partition_col).limit(1).count() == 0:
         return None
-    target = versioned.read_version(spark, path)
-    merged = merge_upsert(target, src, keys, compare, recent_days=None, prune_col=partition_col)
-    return versioned.write_version(merged.filter(F.col(partition_col).isin(touched)), path, op,
-                                   partition_col=partition_col, replaced=touched, action_col="_action")
+    # incremental batches carry only new data: nothing unmatched is deleted
+    return versioned.merge_into(path, src, keys, compare, recent_days=None,
+                                partition_col=partition_col, operation=op)
 
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str,
