@@ -48,7 +48,7 @@ def round_double(c, digits: int) -> Column:
 def safe_double(c) -> Column:
     """String/number → double; malformed text becomes NULL instead of failing
     the job under ANSI mode."""
-    return F.expr(f"try_cast({c} AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
+    return F.col(c).try_cast("double") if isinstance(c, str) else c.try_cast("double")
 
 
 def null_if_negative(c) -> Column:
