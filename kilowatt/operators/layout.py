@@ -136,9 +136,11 @@ def layer_inventory(spark: SparkSession, tables: dict[str, str], layer_of=None)
     """One row per stored table: layer, table_name, num_rows, num_columns and
     the newest ``_ingested_at`` when the table has audit columns. Counts run
     as one aggregate per table (parquet footers answer plain counts)."""
+    from kilowatt.sinks.layers import read_layer
+
     parts = []
     for name, path in tables.items():
-        t = spark.read.parquet(path)
+        t = read_layer(spark, path)  # versioned tables: the latest version
         newest = F.max("_ingested_at") if "_ingested_at" in t.columns else F.lit(None).cast("timestamp")
         layer = layer_of(name) if layer_of else name.split(".")[0]
         parts.append(t.agg(F.count(F.lit(1)).alias("num_rows"), newest.alias("last_ingested_at"))

@@ -49,10 +49,24 @@ def quarantine(df: DataFrame, rules: dict[str, Column], column: str = "failed_ru
             tagged.filter(F.col(column) != ""))
 
 
+def enforce(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """``df`` with the constraints checked *inside* its own plan: the first
+    violating row fails the job that consumes it (e.g. the write), so the
+    check costs no extra pass over the data. Use with sinks that publish
+    atomically (versioned tables), as a failed plain overwrite leaves its
+    target emptied."""
+    checks = [F.when(_violated(c), F.raise_error(F.lit(f"constraint {n} violated"))) for n, c in rules.items()]
+    ok = F.coalesce(*checks, F.lit(True)) if checks else F.lit(True)
+    return df.filter(ok.cast("boolean"))
+
+
 def expect(df: DataFrame, rules: dict[str, Column], mode: str = "fail"):
     """Apply constraints. ``fail``: raise if any row violates (one aggregate
-    job) and return ``df``; ``quarantine``: (valid, quarantined);
-    ``report``: violation counts per rule."""
+    job) and return ``df``; ``enforce``: the same check folded into ``df``'s
+    plan (fails when it runs, no extra job); ``quarantine``: (valid,
+    quarantined); ``report``: violation counts per rule."""
+    if mode == "enforce":
+        return enforce(df, rules)
     if mode == "report":
         return violation_report(df, rules)
     if mode == "quarantine":

@@ -1,4 +1,4 @@
-"""The medallion jobs end to end: landing CSV → bronze → silver → gold.
+"""The medallion jobs end to end: landing CSV → bronze → silver (versioned) → gold.
 
 Each job reads the previous layer from storage and writes its own, so a
 lost executor only recomputes from the last written layer; writes of
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from kilowatt import schemas
 from kilowatt.operators import bronze, gold, quality, silver
-from kilowatt.sinks.layers import write_layer
+from kilowatt.sinks import versioned
+from kilowatt.sinks.layers import read_layer, write_layer
 from kilowatt.sources.files import read_csv
 
 
@@ -66,23 +67,24 @@ def silver_frame(spark: SparkSession, lake: Lake, tiebreak=()) -> DataFrame:
     return silver.enrich_sites(prod, sites)
 
 
-def silver_job(spark: SparkSession, lake: Lake, tiebreak=()) -> None:
-    """Bronze → unified, cleaned, deduplicated, enriched silver facts,
-    partitioned by technology and date; constraints checked (fail mode)."""
-    df = silver_frame(spark, lake, tiebreak)
-    quality.expect(df, quality.silver_rules(), "fail")
+def silver_job(spark: SparkSession, lake: Lake, tiebreak=()) -> int:
+    """Bronze → unified, cleaned, deduplicated, enriched silver facts as a new
+    version of the versioned silver table (partitioned by date), which later
+    MERGEs update in place. The constraints are enforced inside the write's
+    own pass; a violation fails the job before the commit, so the previous
+    version stays the readable one. Returns the version."""
+    df = quality.expect(silver_frame(spark, lake, tiebreak), quality.silver_rules(), "enforce")
     # rows clustered by (site_id, timestamp) inside each date partition: the
     # parquet row-group min/max then skip row groups for site / time filters
-    out = _rebalanced(df, ["technology", "date"]).sortWithinPartitions(
-        "technology", "date", "site_id", "timestamp")
-    write_layer(out, lake.table("silver", "production"), partition_by=["technology", "date"])
+    out = _rebalanced(df, ["date"]).sortWithinPartitions("date", "site_id", "timestamp")
+    return versioned.write_version(out, lake.table("silver", "production"), "WRITE", partition_col="date")
 
 
 def gold_job(spark: SparkSession, lake: Lake, computed_at=None) -> None:
     """Silver → daily KPIs, enriched daily KPIs (by technology) and the
     monthly efficiency report (written in report order)."""
     now = computed_at if computed_at is not None else F.current_timestamp()
-    prod = spark.read.parquet(lake.table("silver", "production"))
+    prod = read_layer(spark, lake.table("silver", "production"))
     write_layer(gold.daily_kpis(prod, computed_at=now), lake.table("gold", "daily_kpis"))
     daily = spark.read.parquet(lake.table("gold", "daily_kpis"))
     enriched = _rebalanced(gold.enrich_daily(daily), ["technology"]).sortWithinPartitions(

@@ -51,8 +51,13 @@ def append_layer(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def read_layer(spark, path: str, merge_schema: bool = True) -> DataFrame:
     """A layer table by path (or a catalog table by name when ``path`` has no
-    ``/``). ``merge_schema`` unions the schemas of all files, so columns added
-    by later appends read as NULL in older rows."""
+    ``/``); a versioned table reads as its latest committed version.
+    ``merge_schema`` unions the schemas of all files, so columns added by
+    later appends read as NULL in older rows."""
     if "/" not in path and ":" not in path:
         return spark.table(path)
+    from kilowatt.session import path_exists
+    from kilowatt.sinks import versioned
+    if path_exists(spark, f"{path.rstrip('/')}/_commits"):  # a versioned table: its latest version
+        return versioned.read_version(spark, path)
     return spark.read.option("mergeSchema", merge_schema).parquet(path)

@@ -34,3 +34,12 @@ def test_not_null_rule(spark):
     rules = {"nn_technology": F.col("technology").isNotNull()}
     out = rows(quality.expect(df(spark), rules, "report"))
     assert out == [{"rule": "nn_technology", "violations": 1}]
+
+
+def test_enforce_fails_in_the_consuming_job(spark):
+    good = df(spark).filter("id IN (1, 2)")
+    out = quality.expect(good, quality.silver_rules(), "enforce")
+    assert sorted(r["id"] for r in out.collect()) == [1, 2]          # passes through unchanged
+    bad = quality.expect(df(spark), quality.silver_rules(), "enforce")  # lazy: nothing runs yet
+    with pytest.raises(Exception, match="chk_production_positive|chk_technology_valid"):
+        bad.count()

@@ -51,3 +51,19 @@ def test_uncommitted_attempt_is_never_read(spark):
     assert versioned.write_version(v1, path, "WRITE", partition_col="date") == 1
     assert snap(versioned.read_version(spark, path)) == [(2, 2.0, d)]
     assert snap(versioned.read_version(spark, path, 0)) == [(1, 1.0, d)]
+
+
+def test_enforced_write_failure_keeps_previous_version(spark):
+    import pytest
+
+    from kilowatt.operators import quality
+    path = scratch_path(spark, "test-versioned")
+    d = dt.date(2024, 1, 1)
+    good = spark.createDataFrame([(1, 1.0, d)], "k long, v double, date date")
+    versioned.write_version(good, path, partition_col="date")
+    bad = spark.createDataFrame([(2, -5.0, d)], "k long, v double, date date")
+    rules = {"chk_v_positive": F.col("v") >= 0}
+    with pytest.raises(Exception, match="chk_v_positive"):
+        versioned.write_version(quality.expect(bad, rules, "enforce"), path, partition_col="date")
+    assert snap(versioned.read_version(spark, path)) == [(1, 1.0, d)]
+    assert versioned.latest_version(spark, path) == 0
