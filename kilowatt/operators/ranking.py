@@ -73,17 +73,20 @@ HOT_MIN_SLOTS = 4   # a value filling >= 4 quantile slots is split on the tie-br
 MAX_HOT_VALUES = 8  # the hottest ones only: the per-row cost stays constant
 
 
+MAX_BUCKETS = 65_536  # 100 TB → ~1.5 GB sorted per window task, spill-friendly
+
+
 def global_rank(df: DataFrame, order: str, descending: bool = True,
                 tiebreak: Sequence[str] = (), buckets: int | None = None,
-                bytes_per_bucket: int = 256 << 20, accuracy: int = 10_000,
+                bytes_per_bucket: int = 256 << 20, accuracy: int | None = None,
                 split_hot: bool = True, keep_internal: bool = False) -> DataFrame:
     """Whole-table dense_rank / rank / row_number by ``order`` (numeric),
     without a single-partition window. NULL order values rank last
     (descending) or first (ascending), as in Spark.
 
     ``buckets`` defaults to the optimizer's size estimate / ``bytes_per_bucket``
-    (no job). When that proves the input fits one bucket, the plain window is
-    used: a single partition, but of bounded size.
+    (no job), at most MAX_BUCKETS. When that proves the input fits one bucket,
+    the plain window is used: a single partition, but of bounded size.
 
     Hot values: a value filling several quantile slots (e.g. one value in a
     third of all rows) gets a bucket of its own, ``[h, nextafter(h))``, which
@@ -96,9 +99,13 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
 
     if buckets is None:
         size = estimated_size_bytes(df)
-        buckets = 64 if size is None else max(1, math.ceil(size / bytes_per_bucket))
+        buckets = 64 if size is None else min(MAX_BUCKETS, max(1, math.ceil(size / bytes_per_bucket)))
         if buckets == 1:
             return rank_within(df, [], order, descending, tiebreak)
+    # the quantile sketch must resolve ~buckets boundaries: relative error
+    # 1/accuracy well below 1/buckets (its size grows with accuracy, so the
+    # bucket count is capped)
+    accuracy = accuracy or max(10_000, 4 * buckets)
     raw = _quantiles(df, order, buckets, accuracy) if buckets > 1 else []
     hot: list[float] = []
     tb_numeric = (len(tiebreak) == 1
