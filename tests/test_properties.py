@@ -73,3 +73,14 @@ def test_zorder_keeps_multiset(spark, data):
     df = spark.createDataFrame(data, "a int, b int, c string")
     p = layout.zorder_layout(df, ["a", "c"], scratch_path(spark, "t-prop-z"), files=3)
     assert sorted(map(tuple, spark.read.parquet(p).select("a", "b", "c").collect())) == sorted(data)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]),
+                          st.one_of(st.none(), st.integers(0, 6))), min_size=1, max_size=80),
+       st.integers(2, 6), st.booleans())
+def test_bucketed_rank_matches_partitioned_window(spark, data, buckets, descending):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id long, g string, value long")
+    want = ranking.rank_within(df, ["g"], "value", descending, ["id"])
+    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], buckets=buckets)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
