@@ -457,8 +457,9 @@ _SOLAR_LANDING = """SELECT "timestamp", CAST(site_id AS VARCHAR) AS site_id, pan
        production_kwh, status FROM solar_raw"""
 
 ORACLE["csv_roundtrip"] = _q(*BRONZE, body=_SOLAR_LANDING)
-ORACLE["csv_inferred"] = _q(*BRONZE, body="""SELECT "timestamp", site_id, panel_temp_c, irradiance_w_m2,
-       production_kwh, status FROM solar_raw""")
+# type inference reads the small site ids as INT
+ORACLE["csv_inferred"] = _q(*BRONZE, body="""SELECT "timestamp", CAST(site_id AS INTEGER) AS site_id, panel_temp_c,
+       irradiance_w_m2, production_kwh, status FROM solar_raw""")
 ORACLE["stream_ingest"] = _q(*BRONZE, body=_SOLAR_LANDING)
 
 ORACLE["stream_rollup"] = _q(RAW_READINGS, body=f"""
