@@ -10,6 +10,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_TINY
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 def norm(v):
@@ -41,6 +43,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(E.oracle_sql()[name])
     dcols, drows = rel.columns, rel.fetchall()
     assert sorted(scols) == sorted(dcols)
+    dtypes = dict(zip(rel.columns, map(str, rel.types)))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == dtypes
     assert len(srows) == len(drows)
     order = sorted(scols)
     a = sorted(tuple(norm(r[scols.index(c)]) for c in order) for r in srows)
