@@ -55,8 +55,7 @@ def main(argv: list[str] | None = None) -> int:
                                                      recent_days=a.recent_days)
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
-        out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables())
-                         .drop("last_ingested_at").collect()]  # one row per table
+        out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table
     print(json.dumps(out, default=str))
     return 0
 

@@ -133,8 +133,10 @@ def partition_profile(df: DataFrame, cols: Sequence[str], ts: str | None = None)
 
 
 def layer_inventory(spark: SparkSession, tables: dict[str, str], layer_of=None) -> DataFrame:
-    """One row per stored table: layer, table_name, num_rows, num_columns and
-    the newest ``_ingested_at`` when the table has audit columns. Counts run
+    """One row per stored table: layer, table_name, num_rows, num_columns, the
+    newest ``_ingested_at`` when the table has audit columns, and the newest
+    data file's modification time (``last_altered``; for a versioned table,
+    of its current version's files). Counts run
     as one aggregate per table (parquet footers answer plain counts)."""
     from kilowatt.sinks.layers import read_layer
 
@@ -143,10 +145,11 @@ def layer_inventory(spark: SparkSession, tables: dict[str, str], layer_of=None)
         t = read_layer(spark, path)  # versioned tables: the latest version
         newest = F.max("_ingested_at") if "_ingested_at" in t.columns else F.lit(None).cast("timestamp")
         layer = layer_of(name) if layer_of else name.split(".")[0]
-        parts.append(t.agg(F.count(F.lit(1)).alias("num_rows"), newest.alias("last_ingested_at"))
+        parts.append(t.agg(F.count(F.lit(1)).alias("num_rows"), newest.alias("last_ingested_at"),
+                           F.max("_metadata.file_modification_time").alias("last_altered"))
                      .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "num_rows",
-                             F.lit(len([c for c in t.columns])).alias("num_columns"),
-                             "last_ingested_at"))
+                             F.lit(len(t.columns)).alias("num_columns"),
+                             "last_ingested_at", "last_altered"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
