@@ -549,3 +549,5 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "timestamp", site_id
                                             panel_temp_c ASC NULLS LAST, irradiance_w_m2 ASC NULLS LAST) AS rn
       FROM solar_clean) d
 WHERE rn = 1""")
+
+ORACLE["global_rank_distributed"] = ORACLE["global_rank"]
