@@ -22,3 +22,26 @@ def rows(df, *order):
     if order:
         out.sort(key=lambda d: tuple((d[c] is None, d[c]) for c in order))
     return out
+
+
+def shuffle_records(df) -> list[int]:
+    """Records written by each shuffle exchange of ``df``'s last execution
+    (walks the final adaptive plan through its query stages)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName().startswith("AdaptiveSparkPlan"):
+        plan = plan.executedPlan()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        m = node.metrics()
+        if name == "Exchange" and m.contains("shuffleRecordsWritten"):
+            out.append(int(m.apply("shuffleRecordsWritten").value()))
+        if "QueryStage" in name:
+            walk(node.plan())
+        ch = node.children()
+        for i in range(ch.size()):
+            walk(ch.apply(i))
+
+    walk(plan)
+    return out

@@ -71,3 +71,20 @@ def test_duplicate_keys_across_dates_rejected_with_pruning(spark):
         merge.merge_upsert(t, dup, ["k"], ["v"], AS_OF, prune_col="date").collect()
     nulls = spark.createDataFrame([(None, 1.0, RECENT), (None, 2.0, RECENT)], SCHEMA)
     assert merge.merge_upsert(t, nulls, ["k"], ["v"], AS_OF, prune_col="date").count() > 0
+
+
+def test_pruned_merge_shuffles_only_touched_target_rows(spark):
+    from pyspark.sql import functions as F
+
+    from tests.conftest import shuffle_records
+    target = (spark.range(10_000)
+              .select(F.col("id").alias("k"), F.lit(1.0).alias("v"),
+                      F.date_add(F.lit(OLD), (F.col("id") % 10).cast("int")).alias("date")))
+    source = target.filter(F.col("date") == F.lit(OLD)).withColumn("v", F.lit(2.0))   # 1 of 10 dates
+    out = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date")
+    assert out.filter("_action = 'update'").count() == 1_000
+    out2 = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date")
+    assert out2.count() == 10_000
+    written = shuffle_records(out2)
+    # both join inputs carry the 1,000 touched keys; the other 9,000 target rows are not shuffled
+    assert sum(written) <= 2_000 + 100

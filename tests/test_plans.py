@@ -36,3 +36,31 @@ def test_enriched_windows_share_exchange(spark):
     p = plan(E.queries()["daily_kpis_enriched"](spark, SF_TINY))
     # lag + rolling share one window spec; rank is a second one
     assert p.count("Window [") + p.count("Window[") >= 2
+
+
+def test_dedup_hot_key_is_cut_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    from kilowatt.operators import silver
+    from tests.conftest import shuffle_records
+    n = 20_000  # key 0 holds 70% of the rows
+    df = spark.range(n).select(F.col("id").alias("event_id"),
+                               F.when(F.col("id") % 10 < 7, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               (F.col("id") % 97).cast("double").alias("production_kwh")).repartition(8)
+    out = silver.dedup_keep_best(df, ["k"], "production_kwh", ["event_id"])
+    assert out.count() == 6_001
+    written = shuffle_records(out)
+    # the dedup shuffle carries one row per key and map task, not the hot key's 14,000 rows
+    assert min(written) <= 6_000 + 8
+
+
+def test_daily_kpis_shuffles_partial_aggregates(spark):
+    from kilowatt import fixtures as fx
+    from kilowatt.operators import gold, silver
+    from tests.conftest import shuffle_records
+    prod = silver.silver_production(fx.raw_sources(spark, SF_TINY), tiebreak=["event_id"])
+    d = gold.daily_kpis(prod, fx.sites(spark, SF_TINY))
+    rows = d.count()
+    written = shuffle_records(d)
+    # dedup shuffle (readings) + daily shuffle (at most one row per site-day and map task)
+    assert len(written) == 2 and min(written) <= rows * 8
