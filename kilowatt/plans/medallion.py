@@ -1,13 +1,17 @@
-"""The medallion jobs end to end: landing CSV → bronze → silver (versioned) → gold.
+"""The medallion jobs end to end: landing CSV → bronze → silver → gold.
 
-Each job reads the previous layer from storage and writes its own, so a
-lost executor only recomputes from the last written layer; writes of
+Every layer table is a versioned table: a rebuild is a new version that
+becomes visible only at its commit (an atomic overwrite with time travel and
+history, where a plain parquet overwrite would delete the old files before
+writing). Each job reads the previous layer from storage and writes its own,
+so a lost executor only recomputes from the last written layer; writes of
 partitioned tables are rebalanced by their partition columns (AQE sizes the
 tasks and splits a hot partition value), which avoids one small file per
 task × partition value."""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from kilowatt import schemas
 from kilowatt.operators import bronze, gold, quality, silver
 from kilowatt.sinks import versioned
-from kilowatt.sinks.layers import read_layer, write_layer
+from kilowatt.sinks.layers import read_layer
 from kilowatt.sources.files import read_csv
 
 
@@ -46,23 +50,23 @@ def bronze_job(spark: SparkSession, landing: str, lake: Lake, batch_id: str | No
     (measure, don't reject)."""
     bid = batch_id or bronze.batch_id_for()
     sites = read_csv(spark, landing, glob="sites*.csv")  # all strings, as landed
-    write_layer(bronze.with_audit(sites, source="sites.csv", batch_id=bid),
-                lake.table("bronze", "sites_raw"))
+    versioned.write_version(bronze.with_audit(sites, source="sites.csv", batch_id=bid),
+                            lake.table("bronze", "sites_raw"))
     metrics = {}
     for name, schema in (("solar", schemas.SOLAR_SCHEMA), ("wind", schemas.WIND_SCHEMA)):
         raw = read_csv(spark, landing, schema=schema, glob=f"{name}*.csv")
         df, obs = bronze.observe_quality(bronze.with_audit(raw, partition_from="timestamp", batch_id=bid),
-                                         f"{name}_raw_quality_{bid}")
-        write_layer(_rebalanced(df, ["_year", "_month"]), lake.table("bronze", f"{name}_raw"),
-                    partition_by=["_year", "_month"])
+                                         f"{name}_raw_quality_{bid}_{uuid.uuid4().hex[:8]}")
+        versioned.write_version(_rebalanced(df, ["_year", "_month"]), lake.table("bronze", f"{name}_raw"),
+                                partition_col=["_year", "_month"])
         metrics[f"{name}_raw"] = obs.get
     return metrics
 
 
 def silver_frame(spark: SparkSession, lake: Lake, tiebreak=()) -> DataFrame:
-    solar = spark.read.parquet(lake.table("bronze", "solar_raw"))
-    wind = spark.read.parquet(lake.table("bronze", "wind_raw"))
-    sites = spark.read.parquet(lake.table("bronze", "sites_raw"))
+    solar = read_layer(spark, lake.table("bronze", "solar_raw"))
+    wind = read_layer(spark, lake.table("bronze", "wind_raw"))
+    sites = read_layer(spark, lake.table("bronze", "sites_raw"))
     prod = silver.silver_production({"solar": solar, "wind": wind}, tiebreak=tiebreak)
     return silver.enrich_sites(prod, sites)
 
@@ -82,17 +86,19 @@ def silver_job(spark: SparkSession, lake: Lake, tiebreak=()) -> int:
 
 def gold_job(spark: SparkSession, lake: Lake, computed_at=None) -> None:
     """Silver → daily KPIs, enriched daily KPIs (by technology) and the
-    monthly efficiency report (written in report order)."""
+    monthly efficiency report (written in report order), each a new version
+    of its table (readers keep the previous one until the commit)."""
     now = computed_at if computed_at is not None else F.current_timestamp()
     prod = read_layer(spark, lake.table("silver", "production"))
-    write_layer(gold.daily_kpis(prod, computed_at=now), lake.table("gold", "daily_kpis"))
-    daily = spark.read.parquet(lake.table("gold", "daily_kpis"))
+    versioned.write_version(gold.daily_kpis(prod, computed_at=now), lake.table("gold", "daily_kpis"))
+    daily = read_layer(spark, lake.table("gold", "daily_kpis"))
     enriched = _rebalanced(gold.enrich_daily(daily), ["technology"]).sortWithinPartitions(
         "technology", "date", "site_id")
-    write_layer(enriched, lake.table("gold", "daily_kpis_enriched"), partition_by=["technology"])
+    versioned.write_version(enriched, lake.table("gold", "daily_kpis_enriched"), partition_col="technology")
     report = gold.site_efficiency_report(daily.drop("computed_at"), computed_at=now)
-    (report.repartitionByRange(*gold.report_order(report)).sortWithinPartitions(*gold.report_order(report))
-     .write.mode("overwrite").parquet(lake.table("gold", "site_efficiency_report")))
+    order = gold.report_order(report)
+    versioned.write_version(report.repartitionByRange(*order).sortWithinPartitions(*order),
+                            lake.table("gold", "site_efficiency_report"))
 
 
 def run_all(spark: SparkSession, landing: str, lake: Lake) -> dict[str, str]:

@@ -551,3 +551,6 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "timestamp", site_id
 WHERE rn = 1""")
 
 ORACLE["global_rank_distributed"] = ORACLE["global_rank"]
+
+ORACLE["bronze_time_travel"] = _q(*BRONZE, body="""
+SELECT COUNT(*) AS rows_v0, CAST(2 AS BIGINT) AS versions FROM solar_raw""")

@@ -545,3 +545,19 @@ def q_stream_upsert(spark, sf):
     drain()
     return versioned.read_version(spark, table).select(
         "timestamp", "site_id", "technology", "production_kwh", "status", "date", "hour")
+
+
+@register("bronze_time_travel")
+def q_bronze_time_travel(spark, sf):
+    """Bronze ingested twice; the row count of solar_raw AS OF version 0 and
+    the number of committed versions (time travel and history on bronze)."""
+    root = scratch_path(spark, "lake")
+    lake = medallion.Lake(f"{root}/lake")
+    landing = _landing_layout(spark, sf, root)
+    medallion.bronze_job(spark, landing, lake, batch_id="first")
+    medallion.bronze_job(spark, landing, lake, batch_id="second")
+    path = lake.table("bronze", "solar_raw")
+    n_versions = versioned.history(spark, path).count()  # a handful of commit rows
+    return (versioned.read_version(spark, path, 0)
+            .agg(F.count(F.lit(1)).alias("rows_v0"))
+            .withColumn("versions", F.lit(n_versions).cast("bigint")))

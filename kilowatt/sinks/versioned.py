@@ -67,12 +67,15 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
 
 
 def write_version(df: DataFrame, path: str, operation: str = "WRITE",
-                  partition_col: str | None = None, replaced: Sequence | None = None,
+                  partition_col: str | Sequence[str] | None = None, replaced: Sequence | None = None,
                   action_col: str | None = None) -> int:
     """Write ``df`` as the next version and commit it; returns the version.
 
-    ``replaced=None`` replaces the whole table; otherwise only the listed
-    ``partition_col`` values (which ``df`` must cover completely). With
+    ``replaced=None`` replaces the whole table (an atomic overwrite: readers
+    see the old version until the commit); otherwise only the listed
+    ``partition_col`` values (which ``df`` must cover completely; a single
+    partition column). ``partition_col`` may list several columns for a
+    whole-table version (e.g. ``["_year", "_month"]``). With
     ``action_col`` (e.g. a merge's ``_action``) per-action counts — deleted
     rows included — are recorded, and rows whose action is ``delete`` are
     not written."""
@@ -89,16 +92,15 @@ def write_version(df: DataFrame, path: str, operation: str = "WRITE",
         df = df.filter(a != "delete").drop(action_col)
     else:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    parts = [partition_col] if isinstance(partition_col, str) else list(partition_col or [])
+    if replaced is not None and len(parts) != 1:
+        raise ValueError("a partial version replaces values of exactly one partition column")
     w = (df.withColumns({"_version": F.lit(n).cast("bigint"), "_attempt": F.lit(attempt)})
-         .write.mode("append"))
-    if partition_col:
-        w = w.partitionBy("_version", "_attempt", partition_col)
-    else:
-        w = w.partitionBy("_version", "_attempt")
+         .write.mode("append").partitionBy("_version", "_attempt", *parts))
     w.parquet(_data_path(path))
     m = obs.get
     written = m.get("rows", 0) - (m.get("delete", 0) or 0) if action_col else m.get("rows", 0)
-    row = (n, operation, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), partition_col,
+    row = (n, operation, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), ",".join(parts) or None,
            None if replaced is None else sorted(str(v) for v in replaced),
            int(written), *(int(m[x]) if action_col else None
                            for x in ("insert", "update", "delete", "keep")), attempt)
