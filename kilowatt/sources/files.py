@@ -16,7 +16,7 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
              infer: bool = False, glob: str | None = None, header: bool = True,
-             timestamp_format: str | None = CSV_TIMESTAMP_FORMAT, mode: str = "PERMISSIVE",
+             timestamp_format: str | None = None, mode: str = "PERMISSIVE",
              ) -> DataFrame:
     """CSV landing files.
 
@@ -24,6 +24,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     * ``infer=True``: typed by an extra scan over the whole input (S2);
     * ``schema``: declared types, malformed values → NULL in PERMISSIVE mode (S3).
     ``glob`` keeps only matching file names (e.g. ``"solar_*.csv"``).
+    Without ``timestamp_format`` Spark's lenient ISO parser reads both
+    ``2024-01-01 00:00:00`` and ``2024-01-01T00:00:00.123456``.
     """
     r = spark.read.option("header", header).option("mode", mode)
     if timestamp_format:

@@ -14,17 +14,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from kilowatt.operators.bronze import with_audit
-from kilowatt.sources.files import CSV_TIMESTAMP_FORMAT
 
 
 def stream_csv(spark: SparkSession, path: str, schema: StructType, glob: str | None = "*.csv",
                header: bool = True, max_files_per_trigger: int | None = None,
-               timestamp_format: str = CSV_TIMESTAMP_FORMAT) -> DataFrame:
+               timestamp_format: str | None = None) -> DataFrame:
     """Streaming CSV source over a landing folder. ``glob`` keeps foreign files
     (other kinds dropped in the same folder) out of a stream whose schema
     would map them by position."""
-    r = (spark.readStream.schema(schema).option("header", header)
-         .option("timestampFormat", timestamp_format))
+    r = spark.readStream.schema(schema).option("header", header)
+    if timestamp_format:  # default: Spark's lenient ISO timestamp parser
+        r = r.option("timestampFormat", timestamp_format)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:

@@ -85,3 +85,13 @@ def test_micro_batch_merge_is_replay_safe(spark):
     assert got == {("S1", 7.0), ("S2", 1.0)}
     h = versioned.history(spark, path).collect()
     assert [r["version"] for r in h] == [1, 0] and h[0]["num_updated"] == 1 and h[0]["num_inserted"] == 1
+
+
+def test_csv_reads_both_timestamp_spellings(spark):
+    root = scratch_path(spark, "t-ts")
+    lines = ["timestamp,site_id,panel_temp_c,irradiance_w_m2,production_kwh,status",
+             "2024-01-01 10:00:00,S1,1.0,2.0,3.0,OK",
+             "2024-01-01T11:00:00.123456,S1,1.0,2.0,4.0,OK"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(root)
+    got = read_csv(spark, root, schema=schemas.SOLAR_SCHEMA, glob="*.txt").orderBy("production_kwh").collect()
+    assert [r["timestamp"] for r in got] == [T, dt.datetime(2024, 1, 1, 11, 0, 0, 123456)]
