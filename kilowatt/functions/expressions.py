@@ -8,8 +8,9 @@ and order independent; the final value is cast back to double.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from kilowatt import constants as K
 
@@ -17,7 +18,7 @@ __all__ = [
     "col_", "exact", "exact_sum", "exact_avg", "round_double", "null_if_negative",
     "standardise_status", "solar_efficiency_pct", "capacity_factor_pct",
     "availability_pct", "count_when", "day_over_day_pct", "zscore", "alert_level",
-    "safe_double",
+    "safe_double", "order_key",
 ]
 
 DEFAULT_SCALE = 4
@@ -113,3 +114,33 @@ def alert_level(z="z_score") -> Column:
             .when(z < K.ALERT_WEAK_Z, K.ALERT_WEAK)
             .when(z > K.ALERT_HIGH_Z, K.ALERT_HIGH)
             .otherwise(K.ALERT_NORMAL))
+
+
+def order_key(df: DataFrame, c: str) -> Column:
+    """A double that never decreases when ``c`` increases in Spark's order, so
+    range bucketing on it never splits equal values: numbers as themselves,
+    dates / timestamps as epoch numbers, strings by their first 6 characters
+    (strings sharing that prefix share a range; the exact order inside a range
+    comes from sorting the real column)."""
+    t = df.schema[c].dataType
+    col = F.col(c)
+    if isinstance(t, NumericType):
+        return col.cast("double")
+    if isinstance(t, DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(t, TimestampType):
+        return F.unix_micros(col).cast("double")
+    if isinstance(t, TimestampNTZType):  # wall clock read as UTC: same order, any session zone
+        return (F.unix_date(F.to_date(col)).cast("double") * 86_400_000_000.0
+                + (F.hour(col) * 3600 + F.minute(col) * 60).cast("double") * 1_000_000.0
+                + F.second(col).cast("double") * 1_000_000.0
+                + (F.date_part(F.lit("SECOND"), col) * 1_000_000 % 1_000_000).cast("double"))
+    if isinstance(t, StringType):
+        # 6 characters × 8 bits = 48 bits, exact in a double; characters above
+        # 255 clip to 255, which keeps the key monotone
+        code = F.lit(0.0)
+        for i in range(1, 7):
+            ch = F.coalesce(F.ascii(F.substring(col, i, 1)), F.lit(0)).cast("double")
+            code = code * 256.0 + F.least(ch, F.lit(255.0))
+        return F.when(col.isNull(), F.lit(None).cast("double")).otherwise(code)
+    raise TypeError(f"no order key for column {c} of type {t}")

@@ -10,8 +10,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
+from kilowatt.functions.expressions import order_key
 from kilowatt.operators.joins import estimated_size_bytes
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -49,26 +49,6 @@ def compact(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
     return path
 
 
-def _orderable(df: DataFrame, c: str) -> Column:
-    """A double whose order follows the column's order (strings: their first
-    6 characters' code points; dates / timestamps: epoch numbers)."""
-    t = df.schema[c].dataType
-    col = F.col(c)
-    if isinstance(t, NumericType):
-        return col.cast("double")
-    if isinstance(t, DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(col.cast("timestamp")).cast("double")
-    if isinstance(t, StringType):
-        code = F.lit(0.0)
-        for i in range(1, 7):
-            ch = F.coalesce(F.ascii(F.substring(col, i, 1)), F.lit(0)).cast("double")
-            code = code * 65536.0 + F.least(ch, F.lit(65535.0))
-        return code
-    raise TypeError(f"cannot z-order column {c} of type {t}")
-
-
 def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int | None = None,
                 accuracy: int = 10_000, name: str = "_z") -> DataFrame:
     """Add a z-order value: each column is range-bucketed into 2^bits
@@ -81,7 +61,7 @@ def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int | None = None,
     nb = 1 << bits
     probs = [i / nb for i in range(1, nb)]
     keys = [f"_zk{i}" for i in range(k)]
-    tmp = df.withColumns({kk: F.coalesce(_orderable(df, c), F.lit(-math.inf))
+    tmp = df.withColumns({kk: F.coalesce(order_key(df, c), F.lit(-math.inf))
                           for kk, c in zip(keys, cols)})
     qrow = tmp.agg(*[F.percentile_approx(kk, probs, accuracy).alias(kk) for kk in keys]).first()
     bcols = []

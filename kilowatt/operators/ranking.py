@@ -27,7 +27,10 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
+                               LongType, NumericType, ShortType, TimestampNTZType, TimestampType)
+
+from kilowatt.functions.expressions import order_key
 
 RANK_COLUMNS = ("dense_rank", "rank", "row_number")
 
@@ -47,10 +50,10 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: str, descending:
 
 
 def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int) -> list[float]:
-    """The ``buckets - 1`` approximate quantiles of ``order`` (repeats kept:
-    a value filling several quantile slots holds that many buckets' rows)."""
+    """The ``buckets - 1`` approximate quantiles of ``order``'s key (repeats
+    kept: a value filling several quantile slots holds that many buckets' rows)."""
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("q")).first()
+    row = df.agg(F.percentile_approx(order_key(df, order), probs, accuracy).alias("q")).first()
     qs = row["q"] if row is not None and row["q"] is not None else []
     return [float(q) for q in qs if q is not None and math.isfinite(q)]
 
@@ -70,6 +73,19 @@ def _bucketize(df: DataFrame, splits_by_col: dict[str, list[float]]) -> DataFram
 
 
 HOT_MIN_SLOTS = 4   # a value filling >= 4 quantile slots is split on the tie-break
+EXACT = float(2 ** 53)
+
+
+def _key_exactness(t) -> str | None:
+    """Whether equal order keys mean equal values: "always", "small" (only for
+    |key| < 2^53) or None (string prefixes, wide decimals: never split)."""
+    if isinstance(t, (ByteType, ShortType, IntegerType, FloatType, DoubleType, DateType)):
+        return "always"
+    if isinstance(t, DecimalType):
+        return "always" if t.precision <= 15 else None
+    if isinstance(t, (LongType, TimestampType, TimestampNTZType)):
+        return "small"
+    return None
 MAX_HOT_VALUES = 8  # the hottest ones only: the per-row cost stays constant
 
 
@@ -80,7 +96,8 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
                 tiebreak: Sequence[str] = (), buckets: int | None = None,
                 bytes_per_bucket: int = 256 << 20, accuracy: int | None = None,
                 split_hot: bool = True, keep_internal: bool = False) -> DataFrame:
-    """Whole-table dense_rank / rank / row_number by ``order`` (numeric),
+    """Whole-table dense_rank / rank / row_number by ``order`` (a number, date,
+    timestamp or string: ranges are cut on :func:`order_key`),
     without a single-partition window. NULL order values rank last
     (descending) or first (ascending), as in Spark.
 
@@ -89,7 +106,8 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     the plain window is used: a single partition, but of bounded size.
 
     Hot values: a value filling several quantile slots (e.g. one value in a
-    third of all rows) gets a bucket of its own, ``[h, nextafter(h))``, which
+    third of all rows; only for order types whose key is exact, see
+    :func:`_key_exactness`) gets a bucket of its own, ``[h, nextafter(h))``, which
     is cut again into ranges of the (single, numeric) tie-break column. Its
     rank and dense_rank are those of the value's first row; its row_number
     continues range by range — so no task sorts the whole hot value."""
@@ -110,13 +128,15 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     hot: list[float] = []
     tb_numeric = (len(tiebreak) == 1
                   and isinstance(df.schema[tiebreak[0]].dataType, NumericType))
-    if split_hot and tb_numeric:
+    exactness = _key_exactness(df.schema[order].dataType)
+    if split_hot and tb_numeric and exactness:
         slots = Counter(raw)
-        hot = [h for h, n in slots.most_common(MAX_HOT_VALUES) if n >= HOT_MIN_SLOTS]
+        hot = [h for h, n in slots.most_common() if n >= HOT_MIN_SLOTS
+               and (exactness == "always" or abs(h) < EXACT)][:MAX_HOT_VALUES]
     splits = sorted({-math.inf, math.inf, *raw, *(math.nextafter(h, math.inf) for h in hot)})
     nb = len(splits) - 1  # value buckets 0..nb-1, NULLs in bucket nb
 
-    v = F.col(order).cast("double")
+    v = order_key(df, order)
     tmp = _bucketize(df.withColumn("_v", F.coalesce(v, F.lit(0.0))), {"_v": splits})
     asc_b = F.col("_v_idx").cast("int")
     bucket = asc_b if not descending else F.lit(nb - 1) - asc_b
@@ -201,14 +221,19 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     part = list(partition)
     if not part:
         return global_rank(df, order, descending, tiebreak, buckets=buckets, accuracy=accuracy)
-    v = F.col(order).cast("double")
+    v = order_key(df, order)
     probs = [i / buckets for i in range(1, buckets)]
     empty = F.array().cast("array<double>")
-    can_split = (split_hot and len(tiebreak) == 1
+    exactness = _key_exactness(df.schema[order].dataType)
+    can_split = (split_hot and exactness is not None and len(tiebreak) == 1
                  and isinstance(df.schema[tiebreak[0]].dataType, NumericType))
     qraw = F.col("_qraw")
-    hot = (F.filter(F.array_distinct(qraw), lambda x: F.size(F.filter(qraw, lambda y: y == x)) >= HOT_MIN_SLOTS)
-           if can_split else empty)
+
+    def is_hot(x):
+        repeated = F.size(F.filter(qraw, lambda y: y == x)) >= HOT_MIN_SLOTS
+        return repeated if exactness == "always" else repeated & (F.abs(x) < F.lit(EXACT))
+
+    hot = F.filter(F.array_distinct(qraw), is_hot) if can_split else empty
     bounds = (df.groupBy(*part).agg(F.percentile_approx(v, probs, accuracy).alias("_qraw"))
               .select(*part, F.array_distinct(qraw).alias("_q"), hot.alias("_hot")))
     # boundaries and offsets are small but derived from df: checking them with

@@ -110,3 +110,33 @@ def test_bucketed_rank_splits_hot_value_inside_hot_group(spark, descending):
     assert hot_parts >= 4
     biggest = got.groupBy("g", "_bucket", "_flag", "_sub").count().agg(F.max("count")).first()[0]
     assert biggest < 0.2 * len(data)
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "bigint"])
+def test_ranks_on_non_double_orders(spark, kind):
+    import datetime as dt
+    rnd = random.Random(9)
+    rows = []
+    for i in range(3000):
+        j = 0 if i % 3 == 0 else rnd.randint(0, 400)     # one hot value (a third of the rows)
+        if kind == "string":
+            v = None if i % 71 == 0 else f"site-{j % 37:03d}-{j}"
+        elif kind == "date":
+            v = dt.date(2024, 1, 1) + dt.timedelta(days=j)
+        elif kind == "timestamp_ntz":
+            v = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=j * 7, microseconds=j)
+        else:
+            v = (2 ** 60 + j) if i % 5 == 0 else j       # beyond 2^53: keys collide
+        rows.append((i, "g" if i % 2 else "h", v))
+    df = spark.createDataFrame(rows, f"id long, g string, value {kind}")
+    for desc in (True, False):
+        o = F.col("value").desc() if desc else F.col("value").asc()
+        want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
+                               "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
+                               "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
+        got = ranking.global_rank(df, "value", desc, ["id"], buckets=12)
+        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+        want_g = ranking.rank_within(df, ["g"], "value", desc, ["id"])
+        got_g = ranking.bucketed_rank(df, ["g"], "value", desc, ["id"], buckets=12)
+        assert sorted(map(tuple, got_g.select(*want_g.columns).collect())) == \
+            sorted(map(tuple, want_g.collect()))
