@@ -15,7 +15,10 @@ def rolling_stats(daily: DataFrame, value: str = "total_production_mwh", rows: i
                   site_keys: Sequence[str] = ("site_id",), scale: int = 4) -> DataFrame:
     """Moving mean (exact) and sample stddev over the last ``rows`` rows of
     each site (the current row included); a single row has NULL stddev."""
-    w = Window.partitionBy(*site_keys).orderBy("date").rowsBetween(-(rows - 1), 0)
+    # a site with two technologies has two rows per date: order them too, so
+    # the frames never depend on arrival order (no change with one row a day)
+    extra = [c for c in ("technology",) if c in daily.columns and c not in site_keys]
+    w = Window.partitionBy(*site_keys).orderBy("date", *extra).rowsBetween(-(rows - 1), 0)
     return daily.withColumns({
         f"rolling_{rows}d_avg": F.avg(exact(value, scale)).over(w).cast("double"),
         f"rolling_{rows}d_std": F.stddev_samp(value).over(w),
