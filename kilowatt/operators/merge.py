@@ -104,13 +104,20 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("t
                  compare: Sequence[str] = ("production_kwh",), as_of=None, recent_days: int | None = 7,
                  date_col: str = "date", null_safe: bool = False, prune_col: str | None = None,
                  check_duplicates: bool = True, keep_deleted: bool = False,
-                 prune_values: Sequence | None = None) -> DataFrame:
+                 prune_values: Sequence | None = None, prune_min_bytes: int = 1 << 30) -> DataFrame:
     """The target table after the merge, with ``_action`` per row (deleted rows
     are dropped unless ``keep_deleted``). Duplicate source keys fail the job
     when it runs (``check_duplicates``); :func:`check_unique_keys` checks
     eagerly instead. ``prune_values``: the source's ``prune_col`` values, when
-    the caller already has them."""
+    the caller already has them. Pruning runs only for targets whose size
+    estimate reaches ``prune_min_bytes`` (unknown size: pruned)."""
     untouched = None
+    if prune_col is not None and prune_values is None and prune_min_bytes > 0:
+        # pruning costs one small job; it pays only when the target is big
+        from kilowatt.operators.joins import estimated_size_bytes
+        size = estimated_size_bytes(target)
+        if size is not None and size < prune_min_bytes:
+            prune_col = None
     if prune_col is not None:
         # one small job (partial distinct per task): the touched values become
         # literal filters, i.e. partition pruning on a date-partitioned target

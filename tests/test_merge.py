@@ -43,7 +43,7 @@ def test_null_safe_option_updates_null_changes(spark):
 def test_pruned_equals_full(spark):
     t, s = frames(spark)
     a = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF), "k", "v")
-    b = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, prune_col="date"), "k", "v")
+    b = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0), "k", "v")
     assert a == b
 
 
@@ -68,9 +68,9 @@ def test_duplicate_keys_across_dates_rejected_with_pruning(spark):
     t, _ = frames(spark)
     dup = spark.createDataFrame([(1, 1.0, RECENT), (1, 2.0, OLD)], SCHEMA)
     with pytest.raises(Exception, match="duplicate keys"):
-        merge.merge_upsert(t, dup, ["k"], ["v"], AS_OF, prune_col="date").collect()
+        merge.merge_upsert(t, dup, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0).collect()
     nulls = spark.createDataFrame([(None, 1.0, RECENT), (None, 2.0, RECENT)], SCHEMA)
-    assert merge.merge_upsert(t, nulls, ["k"], ["v"], AS_OF, prune_col="date").count() > 0
+    assert merge.merge_upsert(t, nulls, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0).count() > 0
 
 
 def test_pruned_merge_shuffles_only_touched_target_rows(spark):
@@ -81,9 +81,9 @@ def test_pruned_merge_shuffles_only_touched_target_rows(spark):
               .select(F.col("id").alias("k"), F.lit(1.0).alias("v"),
                       F.date_add(F.lit(OLD), (F.col("id") % 10).cast("int")).alias("date")))
     source = target.filter(F.col("date") == F.lit(OLD)).withColumn("v", F.lit(2.0))   # 1 of 10 dates
-    out = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date")
+    out = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0)
     assert out.filter("_action = 'update'").count() == 1_000
-    out2 = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date")
+    out2 = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0)
     assert out2.count() == 10_000
     written = shuffle_records(out2)
     # both join inputs carry the 1,000 touched keys; the other 9,000 target rows are not shuffled
