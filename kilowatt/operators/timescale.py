@@ -28,18 +28,37 @@ def timescale_rollup(df: DataFrame, unit: str, ts: str = "timestamp",
             .withColumn("unit", F.lit(unit)))
 
 
+HIERARCHICAL_MIN_BYTES = 1 << 30
+
+
 def multi_scale_rollup(df: DataFrame, units: Sequence[str] = UNITS, ts: str = "timestamp",
                        keys: Sequence[str] = ("site_id", "technology"),
-                       value: str = "production_kwh", scale: int = 4) -> DataFrame:
-    """:func:`timescale_rollup` at several units from ONE pass over the
-    readings: they are aggregated once at the finest unit (partial aggregation
-    per task), and every coarser unit is rolled up from the finer unit's
-    partial results — exact sums and counts add, the max of maxima is the max,
-    the mean is sum / count — so raw rows are neither rescanned nor expanded
-    per unit. The three outputs share the finest level's shuffle."""
-    order = sorted(units, key=UNITS.index)
-    if any(u not in UNITS for u in order):
+                       value: str = "production_kwh", scale: int = 4,
+                       strategy: str = "auto") -> DataFrame:
+    """:func:`timescale_rollup` at several units.
+
+    ``hierarchical``: ONE pass over the readings — aggregated once at the
+    finest unit (partial aggregation per task), every coarser unit rolled up
+    from the finer unit's partial results (exact sums and counts add, the max
+    of maxima is the max, the mean is sum / count), so raw rows are neither
+    rescanned nor expanded per unit. ``independent``: one aggregation per unit
+    (a scan each, run side by side) — fewer stages, for small inputs.
+    ``auto`` picks hierarchical from an estimated 1 GiB of input."""
+    if any(u not in UNITS for u in units):
         raise ValueError(f"unit must be one of {UNITS}")
+    if strategy == "auto":
+        from kilowatt.operators.joins import estimated_size_bytes
+        size = estimated_size_bytes(df)
+        strategy = "independent" if size is not None and size < HIERARCHICAL_MIN_BYTES else "hierarchical"
+    if strategy == "independent":
+        parts = [timescale_rollup(df, u, ts, keys, value, scale) for u in units]
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out
+    if strategy != "hierarchical":
+        raise ValueError(f"unknown strategy {strategy!r}")
+    order = sorted(units, key=UNITS.index)
     t = df.schema[ts].dataType
     v = F.col(value)
     level = (df.groupBy(*keys, F.date_trunc(order[0], F.col(ts)).cast(t).alias("bucket_start"))

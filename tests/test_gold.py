@@ -131,3 +131,14 @@ def test_enrich_daily_calendar_respects_gaps(spark):
     assert out[3]["prev_day_production_mwh"] == 2.0
     assert out[5]["rolling_7d_avg_mwh"] == 2.75               # days 1,2,3,5
     assert out[12]["rolling_7d_avg_mwh"] == 12.0              # days 6..12: only day 12
+
+
+def test_multi_scale_rollup_strategies_agree(spark):
+    from kilowatt.operators import timescale
+    from kilowatt.plans.queries import raw_readings
+    from tests.conftest import SF_TINY
+    r = raw_readings(spark, SF_TINY)
+    a = timescale.multi_scale_rollup(r, strategy="hierarchical")
+    b = timescale.multi_scale_rollup(r, strategy="independent")
+    cols = sorted(a.columns)
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
