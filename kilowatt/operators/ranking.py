@@ -200,17 +200,40 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     return out.drop("_bucket", "_sub", "_rank_off", "_dense_off", "_rn_off")
 
 
+def count_below(sorted_arr, v, max_len: int):
+    """Number of elements of the ascending array ``sorted_arr`` that are < ``v``
+    (NULL array → 0): a binary search of ceil(log2(max_len + 1)) fixed steps
+    in one ``aggregate`` lambda, so the per-row cost is O(log n), not O(n)."""
+    steps = max(1, math.ceil(math.log2(max_len + 1)))
+    arr = F.coalesce(sorted_arr, F.array().cast("array<double>"))
+    init = F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi"))
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        below = F.element_at(arr, mid + 1) < v
+        return F.when(lo < hi, F.when(below, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+                      .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))).otherwise(acc)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
+MAX_GROUP_BUCKETS = 4096
+
+
 def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,
-                  tiebreak: Sequence[str] = (), buckets: int = 32, accuracy: int = 10_000,
+                  tiebreak: Sequence[str] = (), buckets: int | None = None, accuracy: int | None = None,
                   max_broadcast_bytes: int | None = None, split_hot: bool = True,
-                  keep_internal: bool = False) -> DataFrame:
+                  keep_internal: bool = False, bytes_per_bucket: int = 256 << 20) -> DataFrame:
     """dense_rank / rank / row_number within ``partition`` groups that stays
     balanced when one group — or one value inside a group — holds a large
     share of the rows.
 
     Each group's values are cut into ``buckets`` quantile ranges (one partial
-    percentile aggregation, one row of boundaries per group); rows are ranked
-    inside (group, range), so a hot group is spread over ``buckets`` tasks,
+    percentile aggregation, one row of boundaries per group; ``buckets``
+    defaults to size estimate / ``bytes_per_bucket``, capped at
+    MAX_GROUP_BUCKETS; each row finds its range by binary search); rows are
+    ranked inside (group, range), so a hot group is spread over ``buckets`` tasks,
     and shifted by the range's offsets from a small (group × range) count
     table. A value filling several quantile slots of its group gets a block of
     its own, cut again into ranges of the (single, numeric) tie-break column.
@@ -218,9 +241,19 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     whose rank and dense_rank come from the block's start."""
     from kilowatt.operators.joins import join_dimension
 
+    from kilowatt.operators.joins import estimated_size_bytes
+
     part = list(partition)
     if not part:
         return global_rank(df, order, descending, tiebreak, buckets=buckets, accuracy=accuracy)
+    if buckets is None:
+        # enough ranges for ONE group holding all rows to come out near
+        # bytes_per_bucket per task; proven-small inputs keep the plain window
+        size = estimated_size_bytes(df)
+        buckets = 64 if size is None else min(MAX_GROUP_BUCKETS, math.ceil(size / bytes_per_bucket))
+        if buckets <= 1:
+            return rank_within(df, part, order, descending, tiebreak)
+    accuracy = accuracy or max(10_000, 4 * buckets)
     v = order_key(df, order)
     probs = [i / buckets for i in range(1, buckets)]
     empty = F.array().cast("array<double>")
@@ -242,8 +275,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     tmp = join_dimension(df, bounds, part, "left", max_broadcast_bytes, measure=False)
     # range index = number of boundaries below the value; NULLs get -1, which
     # sorts them first ascending and (ranges taken in reverse) last descending
-    idx = F.aggregate(F.coalesce(F.col("_q"), empty), F.lit(0),
-                      lambda acc, b: acc + F.when(b < v, 1).otherwise(0))
+    idx = count_below(F.col("_q"), v, buckets)
     flag = F.when(v.isNotNull() & F.array_contains(F.coalesce(F.col("_hot"), empty), v), 1).otherwise(0)
     tmp = (tmp.withColumns({"_bucket": F.when(v.isNull(), F.lit(-1)).otherwise(idx), "_flag": flag})
            .drop("_q", "_hot"))
@@ -254,8 +286,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
               .agg(F.array_distinct(F.percentile_approx(t, probs, accuracy)).alias("_tq")))
         tmp = join_dimension(tmp, tq, [*part, "_hv"], "left", max_broadcast_bytes, measure=False)
         tc = F.coalesce(t, F.lit(-math.inf))  # NULL tie-breaks sort first
-        sub = F.aggregate(F.coalesce(F.col("_tq"), empty), F.lit(0),
-                          lambda acc, b: acc + F.when(b < tc, 1).otherwise(0))
+        sub = count_below(F.col("_tq"), tc, buckets)
         tmp = tmp.withColumn("_sub", F.when(F.col("_flag") == 1, sub).otherwise(F.lit(0))).drop("_hv", "_tq")
     else:
         tmp = tmp.withColumn("_sub", F.lit(0))

@@ -140,3 +140,12 @@ def test_ranks_on_non_double_orders(spark, kind):
         got_g = ranking.bucketed_rank(df, ["g"], "value", desc, ["id"], buckets=12)
         assert sorted(map(tuple, got_g.select(*want_g.columns).collect())) == \
             sorted(map(tuple, want_g.collect()))
+
+
+def test_count_below_binary_search(spark):
+    from kilowatt.operators.ranking import count_below
+    df = spark.createDataFrame([([1.0, 3.0, 5.0, 7.0], float(v)) for v in range(-1, 10)] + [(None, 4.0), ([], 4.0)],
+                               "q array<double>, v double")
+    got = [r[0] for r in df.select(count_below(F.col("q"), F.col("v"), 4)).collect()]
+    want = [sum(1 for b in [1.0, 3.0, 5.0, 7.0] if b < v) for v in range(-1, 10)] + [0, 0]
+    assert got == want
