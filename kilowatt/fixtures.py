@@ -45,8 +45,11 @@ EVENT_STATUS = {"error": "OFFLINE", "signup": "DEGRADED", "purchase": "MAINT",
 
 def _status(c):
     e = F.col(c)
-    return (F.when(e == "error", "OFFLINE").when(e == "signup", "DEGRADED")
-            .when(e == "purchase", "MAINT").when(e.isin("click", "view"), "OK"))
+    items = list(EVENT_STATUS.items())
+    out = F.when(e == items[0][0], items[0][1])
+    for event, status in items[1:]:
+        out = out.when(e == event, status)
+    return out
 
 
 @_memo
