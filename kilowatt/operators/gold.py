@@ -90,17 +90,21 @@ def top_days(daily: DataFrame, n: int = 20, tiebreak: Sequence[str] = ("site_id"
                          *[F.col(c).asc() for c in tiebreak]).limit(n)
 
 
+RANK_BUCKETED_MIN_BYTES = 1 << 30
+
+
 def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),
-                 rolling_rows: int = 7, scale: int = 4, rank_strategy: str = "window",
-                 rank_buckets: int = 32, calendar: bool = False) -> DataFrame:
+                 rolling_rows: int = 7, scale: int = 4, rank_strategy: str = "auto",
+                 rank_buckets: int | None = None, calendar: bool = False) -> DataFrame:
     """Add prev_day_production_mwh (LAG 1), day_over_day_change_pct, a
     ``rolling_rows``-row moving average (rows, not calendar days) and the
     dense rank of the site within (date, technology).
 
     The lag and the moving average share one window spec, hence one shuffle;
     the rank needs a second partitioning. ``rank_strategy="bucketed"`` ranks a
-    (date, technology) group in ``rank_buckets`` value ranges instead of one
-    task (for days that hold a large share of all site-days). ``calendar=True``
+    (date, technology) group in value ranges instead of one task (for days
+    that hold a large share of all site-days); ``"auto"`` (default) uses it
+    from an estimated 1 GiB of daily rows. ``calendar=True``
     makes the previous day the *calendar* previous day (NULL after a gap) and
     the moving average span ``rolling_rows`` calendar days (RANGE frame).
     Both frames sort by the same key, so they still share one shuffle."""
@@ -121,6 +125,10 @@ def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "techn
                        day_over_day_pct(mwh, "prev_day_production_mwh", scale))
            .withColumn(f"rolling_{rolling_rows}d_avg_mwh",
                        round_double(F.avg(exact(mwh, scale)).over(w_roll), 4)))
+    if rank_strategy == "auto":  # bucketed once the daily table may not fit one task per day
+        from kilowatt.operators.joins import estimated_size_bytes
+        size = estimated_size_bytes(out)
+        rank_strategy = "window" if size is not None and size < RANK_BUCKETED_MIN_BYTES else "bucketed"
     if rank_strategy == "window":
         w_rank = Window.partitionBy("date", "technology").orderBy(mwh.desc())
         return out.withColumn("daily_rank_in_technology", F.dense_rank().over(w_rank))

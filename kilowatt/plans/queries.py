@@ -115,7 +115,7 @@ def q_daily_kpis_calendar(spark, sf):
 @register("daily_rank_bucketed")
 def q_daily_rank_bucketed(spark, sf):
     """Daily KPIs enriched with the skew-safe (range-bucketed) daily rank."""
-    return gold.enrich_daily(daily(spark, sf), rank_strategy="bucketed")
+    return gold.enrich_daily(daily(spark, sf), rank_strategy="bucketed", rank_buckets=32)
 
 
 @register("site_efficiency_report")
