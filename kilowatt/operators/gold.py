@@ -126,8 +126,8 @@ def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "techn
            .withColumn(f"rolling_{rolling_rows}d_avg_mwh",
                        round_double(F.avg(exact(mwh, scale)).over(w_roll), 4)))
     if rank_strategy == "auto":  # bucketed once the daily table may not fit one task per day
-        from kilowatt.operators.joins import estimated_size_bytes
-        size = estimated_size_bytes(out)
+        from kilowatt.operators.joins import input_size_bytes
+        size = input_size_bytes(out)
         rank_strategy = "window" if size is not None and size < RANK_BUCKETED_MIN_BYTES else "bucketed"
     if rank_strategy == "window":
         w_rank = Window.partitionBy("date", "technology").orderBy(mwh.desc())

@@ -27,6 +27,19 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def input_size_bytes(df: DataFrame) -> int | None:
+    """Bytes of the relations ``df`` reads: the sum of the optimized plan's leaf
+    estimates (no job). Used to choose between plans (window vs bucketed
+    ranking, pruned vs full merge, ...), where a join's size estimate — the
+    product of its inputs without table statistics — would mislead; not used
+    to prove that something fits in memory."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return int(sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())))
+    except Exception:
+        return None
+
+
 def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
     if limit is not None:
         return limit

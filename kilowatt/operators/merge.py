@@ -114,8 +114,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] = ("t
     untouched = None
     if prune_col is not None and prune_values is None and prune_min_bytes > 0:
         # pruning costs one small job; it pays only when the target is big
-        from kilowatt.operators.joins import estimated_size_bytes
-        size = estimated_size_bytes(target)
+        from kilowatt.operators.joins import input_size_bytes
+        size = input_size_bytes(target)
         if size is not None and size < prune_min_bytes:
             prune_col = None
     if prune_col is not None:

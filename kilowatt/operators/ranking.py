@@ -92,6 +92,22 @@ MAX_HOT_VALUES = 8  # the hottest ones only: the per-row cost stays constant
 MAX_BUCKETS = 65_536  # 100 TB → ~1.5 GB sorted per window task, spill-friendly
 
 
+def _auto_buckets(df: DataFrame, bytes_per_bucket: int, cap: int) -> int:
+    """1 only when the optimizer's estimate (an upper bound unless it is
+    unknown) proves ``df`` fits one bucket — a single partition is then safe;
+    otherwise the count follows the bytes the plan reads (a join's estimate
+    would overstate it), capped."""
+    from kilowatt.operators.joins import estimated_size_bytes, input_size_bytes
+
+    est = estimated_size_bytes(df)
+    if est is not None and est <= bytes_per_bucket:
+        return 1
+    sizes = [x for x in (est, input_size_bytes(df)) if x is not None]
+    if not sizes:
+        return 64
+    return min(cap, max(2, math.ceil(min(sizes) / bytes_per_bucket)))
+
+
 def global_rank(df: DataFrame, order: str, descending: bool = True,
                 tiebreak: Sequence[str] = (), buckets: int | None = None,
                 bytes_per_bucket: int = 256 << 20, accuracy: int | None = None,
@@ -113,12 +129,9 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     continues range by range — so no task sorts the whole hot value."""
     from collections import Counter
 
-    from kilowatt.operators.joins import estimated_size_bytes
-
     if buckets is None:
-        size = estimated_size_bytes(df)
-        buckets = 64 if size is None else min(MAX_BUCKETS, max(1, math.ceil(size / bytes_per_bucket)))
-        if buckets == 1:
+        buckets = _auto_buckets(df, bytes_per_bucket, MAX_BUCKETS)
+        if buckets == 1:  # proven small: one partition of bounded size
             return rank_within(df, [], order, descending, tiebreak)
     # the quantile sketch must resolve ~buckets boundaries: relative error
     # 1/accuracy well below 1/buckets (its size grows with accuracy, so the
@@ -241,16 +254,13 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     whose rank and dense_rank come from the block's start."""
     from kilowatt.operators.joins import join_dimension
 
-    from kilowatt.operators.joins import estimated_size_bytes
-
     part = list(partition)
     if not part:
         return global_rank(df, order, descending, tiebreak, buckets=buckets, accuracy=accuracy)
     if buckets is None:
         # enough ranges for ONE group holding all rows to come out near
         # bytes_per_bucket per task; proven-small inputs keep the plain window
-        size = estimated_size_bytes(df)
-        buckets = 64 if size is None else min(MAX_GROUP_BUCKETS, math.ceil(size / bytes_per_bucket))
+        buckets = _auto_buckets(df, bytes_per_bucket, MAX_GROUP_BUCKETS)
         if buckets <= 1:
             return rank_within(df, part, order, descending, tiebreak)
     accuracy = accuracy or max(10_000, 4 * buckets)

@@ -47,8 +47,8 @@ def multi_scale_rollup(df: DataFrame, units: Sequence[str] = UNITS, ts: str = "t
     if any(u not in UNITS for u in units):
         raise ValueError(f"unit must be one of {UNITS}")
     if strategy == "auto":
-        from kilowatt.operators.joins import estimated_size_bytes
-        size = estimated_size_bytes(df)
+        from kilowatt.operators.joins import input_size_bytes
+        size = input_size_bytes(df)
         strategy = "independent" if size is not None and size < HIERARCHICAL_MIN_BYTES else "hierarchical"
     if strategy == "independent":
         parts = [timescale_rollup(df, u, ts, keys, value, scale) for u in units]
