@@ -554,3 +554,6 @@ ORACLE["global_rank_distributed"] = ORACLE["global_rank"]
 
 ORACLE["bronze_time_travel"] = _q(*BRONZE, body="""
 SELECT COUNT(*) AS rows_v0, CAST(2 AS BIGINT) AS versions FROM solar_raw""")
+
+ORACLE["timescale_rollup_onepass"] = ORACLE["timescale_rollup"]
+ORACLE["merge_upsert_pruned"] = ORACLE["merge_upsert"]

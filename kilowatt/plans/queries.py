@@ -184,6 +184,15 @@ def q_merge_upsert(spark, sf):
                               prune_col="date")
 
 
+@register("merge_upsert_pruned")
+def q_merge_upsert_pruned(spark, sf):
+    """The at-scale form forced: only target rows of the source's dates (and
+    of the delete window) go through the full outer join."""
+    target, source = merge_pair(spark, sf)
+    return merge.merge_upsert(target, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF,
+                              prune_col="date", prune_min_bytes=0)
+
+
 def _versioned_merge(spark: SparkSession, sf: str) -> str:
     """Write the target as version 0, MERGE the source into it as version 1."""
     path = scratch_path(spark, "versioned")
@@ -302,6 +311,13 @@ def q_timescale_rollup(spark, sf):
     return timescale.multi_scale_rollup(raw_readings(spark, sf))
 
 
+@register("timescale_rollup_onepass")
+def q_timescale_rollup_onepass(spark, sf):
+    """The at-scale form forced: readings aggregated once per minute, hours
+    and days rolled up from the minute partials."""
+    return timescale.multi_scale_rollup(raw_readings(spark, sf), strategy="hierarchical")
+
+
 @register("energy_losses")
 def q_energy_losses(spark, sf):
     return timescale.energy_losses(daily(spark, sf))
