@@ -28,7 +28,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
-                               LongType, NumericType, ShortType, TimestampNTZType, TimestampType)
+                               LongType, ShortType, TimestampNTZType, TimestampType)
 
 from kilowatt.functions.expressions import order_key
 
@@ -124,7 +124,7 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     Hot values: a value filling several quantile slots (e.g. one value in a
     third of all rows; only for order types whose key is exact, see
     :func:`_key_exactness`) gets a bucket of its own, ``[h, nextafter(h))``, which
-    is cut again into ranges of the (single, numeric) tie-break column. Its
+    is cut again into ranges of the first tie-break column's key. Its
     rank and dense_rank are those of the value's first row; its row_number
     continues range by range — so no task sorts the whole hot value."""
     from collections import Counter
@@ -139,10 +139,11 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     accuracy = accuracy or max(10_000, 4 * buckets)
     raw = _quantiles(df, order, buckets, accuracy) if buckets > 1 else []
     hot: list[float] = []
-    tb_numeric = (len(tiebreak) == 1
-                  and isinstance(df.schema[tiebreak[0]].dataType, NumericType))
+    # ranges of the first tie-break column's (monotone) key keep the tie-break
+    # order: equal first columns share a range, sorted inside by all of them
+    has_tiebreak = len(tiebreak) >= 1
     exactness = _key_exactness(df.schema[order].dataType)
-    if split_hot and tb_numeric and exactness:
+    if split_hot and has_tiebreak and exactness:
         slots = Counter(raw)
         hot = [h for h, n in slots.most_common() if n >= HOT_MIN_SLOTS
                and (exactness == "always" or abs(h) < EXACT)][:MAX_HOT_VALUES]
@@ -161,7 +162,7 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     sub = F.lit(0)
     if hot:
         # tie-break ranges inside each hot value: one small grouped quantile job
-        t = F.col(tiebreak[0]).cast("double")
+        t = order_key(df, tiebreak[0])
         k = min(buckets, max(slots[h] for h in hot) + 1)
         probs = [j / k for j in range(1, k)]
         q = (df.filter(v.isin(hot)).groupBy(v.alias("_h"))
@@ -249,7 +250,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     ranked inside (group, range), so a hot group is spread over ``buckets`` tasks,
     and shifted by the range's offsets from a small (group × range) count
     table. A value filling several quantile slots of its group gets a block of
-    its own, cut again into ranges of the (single, numeric) tie-break column.
+    its own, cut again into ranges of the first tie-break column's key.
     Equal values never straddle two ranges except such split hot values,
     whose rank and dense_rank come from the block's start."""
     from kilowatt.operators.joins import join_dimension
@@ -268,8 +269,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     probs = [i / buckets for i in range(1, buckets)]
     empty = F.array().cast("array<double>")
     exactness = _key_exactness(df.schema[order].dataType)
-    can_split = (split_hot and exactness is not None and len(tiebreak) == 1
-                 and isinstance(df.schema[tiebreak[0]].dataType, NumericType))
+    can_split = split_hot and exactness is not None and len(tiebreak) >= 1
     qraw = F.col("_qraw")
 
     def is_hot(x):
@@ -290,7 +290,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     tmp = (tmp.withColumns({"_bucket": F.when(v.isNull(), F.lit(-1)).otherwise(idx), "_flag": flag})
            .drop("_q", "_hot"))
     if can_split:
-        t = F.col(tiebreak[0]).cast("double")
+        t = order_key(df, tiebreak[0])
         tmp = tmp.withColumn("_hv", F.when(F.col("_flag") == 1, v))
         tq = (tmp.filter(F.col("_flag") == 1).groupBy(*part, "_hv")
               .agg(F.array_distinct(F.percentile_approx(t, probs, accuracy)).alias("_tq")))

@@ -149,3 +149,30 @@ def test_count_below_binary_search(spark):
     got = [r[0] for r in df.select(count_below(F.col("q"), F.col("v"), 4)).collect()]
     want = [sum(1 for b in [1.0, 3.0, 5.0, 7.0] if b < v) for v in range(-1, 10)] + [0, 0]
     assert got == want
+
+
+@pytest.mark.parametrize("tb", [["name"], ["grp", "id"]])
+def test_hot_value_split_with_string_and_multi_column_tiebreaks(spark, tb):
+    rnd = random.Random(21)
+    rows = [(i, f"n{rnd.randint(0, 999):04d}", rnd.randint(0, 3), 7 if i % 3 else rnd.randint(0, 99))
+            for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, name string, grp int, value long")
+    for desc in (True, False):
+        o = F.col("value").desc() if desc else F.col("value").asc()
+        w_rn = Window.orderBy(o, *[F.col(c) for c in tb])
+        want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
+                               "rank": F.rank().over(Window.orderBy(o)).cast("bigint")})
+        got = ranking.global_rank(df, "value", desc, tb, buckets=16, keep_internal=True)
+        key = ["id", "dense_rank", "rank"]
+        assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
+        assert got.filter("value = 7").select("_bucket", "_sub").distinct().count() >= 4
+        # row_number follows the tie-break order (ties in it may take either order)
+        rn = {r["id"]: r["row_number"] for r in got.collect()}
+        ordered = [r["id"] for r in df.withColumn("_r", F.row_number().over(w_rn)).orderBy("_r").collect()]
+        tbv = {r["id"]: tuple(r[c] for c in ["value", *tb]) for r in df.collect()}
+        seq = sorted(ordered, key=lambda i: rn[i])
+        assert sorted(rn.values()) == list(range(1, len(rows) + 1))
+        for a, b in zip(seq, seq[1:]):
+            ka, kb = tbv[a], tbv[b]
+            if ka[0] == kb[0]:
+                assert ka[1:] <= kb[1:]
