@@ -49,13 +49,18 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: str, descending:
     })
 
 
-def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int) -> list[float]:
+def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int) -> tuple[list[float], float]:
     """The ``buckets - 1`` approximate quantiles of ``order``'s key (repeats
-    kept: a value filling several quantile slots holds that many buckets' rows)."""
+    kept: a value filling several quantile slots holds that many buckets' rows)
+    and, from the same job, the share of NULL order values."""
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(order_key(df, order), probs, accuracy).alias("q")).first()
+    key = order_key(df, order)
+    row = df.agg(F.percentile_approx(key, probs, accuracy).alias("q"),
+                 F.count(F.lit(1)).alias("n"),
+                 F.sum(F.when(key.isNull(), 1).otherwise(0)).alias("nulls")).first()
     qs = row["q"] if row is not None and row["q"] is not None else []
-    return [float(q) for q in qs if q is not None and math.isfinite(q)]
+    share = (row["nulls"] or 0) / row["n"] if row is not None and row["n"] else 0.0
+    return [float(q) for q in qs if q is not None and math.isfinite(q)], share
 
 
 def _bucketize(df: DataFrame, splits_by_col: dict[str, list[float]]) -> DataFrame:
@@ -137,8 +142,9 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     # 1/accuracy well below 1/buckets (its size grows with accuracy, so the
     # bucket count is capped)
     accuracy = accuracy or max(10_000, 4 * buckets)
-    raw = _quantiles(df, order, buckets, accuracy) if buckets > 1 else []
+    raw, null_share = _quantiles(df, order, buckets, accuracy) if buckets > 1 else ([], 0.0)
     hot: list[float] = []
+    null_slots = int(null_share * buckets)
     # ranges of the first tie-break column's (monotone) key keep the tie-break
     # order: equal first columns share a range, sorted inside by all of them
     has_tiebreak = len(tiebreak) >= 1
@@ -147,6 +153,8 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
         slots = Counter(raw)
         hot = [h for h, n in slots.most_common() if n >= HOT_MIN_SLOTS
                and (exactness == "always" or abs(h) < EXACT)][:MAX_HOT_VALUES]
+    # NULL order values tie like one value: a large NULL block is split too
+    hot_null = split_hot and has_tiebreak and null_slots >= HOT_MIN_SLOTS
     splits = sorted({-math.inf, math.inf, *raw, *(math.nextafter(h, math.inf) for h in hot)})
     nb = len(splits) - 1  # value buckets 0..nb-1, NULLs in bucket nb
 
@@ -160,23 +168,28 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
                          ).drop("_v", "_v_idx")
 
     sub = F.lit(0)
-    if hot:
-        # tie-break ranges inside each hot value: one small grouped quantile job
+    if hot or hot_null:
+        # tie-break ranges inside each hot value (and the NULL block): one
+        # small grouped quantile job; its result has at most MAX_HOT_VALUES + 1 rows
         t = order_key(df, tiebreak[0])
-        k = min(buckets, max(slots[h] for h in hot) + 1)
+        k = min(buckets, max([slots[h] for h in hot] + [null_slots]) + 1)
         probs = [j / k for j in range(1, k)]
-        q = (df.filter(v.isin(hot)).groupBy(v.alias("_h"))
+        picked = v.isin(hot) if hot else F.lit(False)
+        if hot_null:
+            picked = picked | v.isNull()
+        q = (df.filter(picked).groupBy(v.alias("_h"))
              .agg(F.percentile_approx(t, probs, accuracy).alias("_tq")).collect())
         tq = {r["_h"]: sorted({float(x) for x in (r["_tq"] or []) if x is not None and math.isfinite(x)})
               for r in q}
+        blocks = [(v == h, h) for h in hot] + ([(v.isNull(), None)] if hot_null else [])
         cols = {}
-        for i, h in enumerate(hot):
-            tmp = tmp.withColumn(f"_t{i}", F.when(v == h, F.coalesce(t, F.lit(-math.inf)))
+        for i, (is_block, h) in enumerate(blocks):
+            tmp = tmp.withColumn(f"_t{i}", F.when(is_block, F.coalesce(t, F.lit(-math.inf)))
                                  .otherwise(F.lit(-math.inf)))
             cols[f"_t{i}"] = [-math.inf, *tq.get(h, []), math.inf]
         tmp = _bucketize(tmp, cols)
-        for i, h in enumerate(hot):
-            sub = F.when(v == h, F.col(f"_t{i}_idx").cast("int")).otherwise(sub)
+        for i, (is_block, _) in enumerate(blocks):
+            sub = F.when(F.coalesce(is_block, F.lit(False)), F.col(f"_t{i}_idx").cast("int")).otherwise(sub)
         tmp = tmp.withColumn("_sub", sub).drop(*cols, *[f"{c}_idx" for c in cols])
     else:
         tmp = tmp.withColumn("_sub", sub)

@@ -176,3 +176,17 @@ def test_hot_value_split_with_string_and_multi_column_tiebreaks(spark, tb):
             ka, kb = tbv[a], tbv[b]
             if ka[0] == kb[0]:
                 assert ka[1:] <= kb[1:]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_global_rank_splits_a_large_null_block(spark, descending):
+    rnd = random.Random(4)
+    rows = [(i, None if i % 3 == 0 else rnd.randint(0, 500)) for i in range(6000)]   # a third NULL
+    df = spark.createDataFrame(rows, "id long, value long")
+    o = F.col("value").desc() if descending else F.col("value").asc()
+    want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
+                           "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
+                           "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
+    got = ranking.global_rank(df, "value", descending, ["id"], buckets=20, keep_internal=True)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert got.filter("value IS NULL").select("_bucket", "_sub").distinct().count() >= 4
