@@ -290,8 +290,15 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
         return repeated if exactness == "always" else repeated & (F.abs(x) < F.lit(EXACT))
 
     hot = F.filter(F.array_distinct(qraw), is_hot) if can_split else empty
-    bounds = (df.groupBy(*part).agg(F.percentile_approx(v, probs, accuracy).alias("_qraw"))
-              .select(*part, F.array_distinct(qraw).alias("_q"), hot.alias("_hot")))
+    # NULL order values tie like one value: a group whose NULLs fill several
+    # quantile slots gets its NULL block split on the tie-break as well
+    null_hot = ((F.col("_nulls") * buckets >= F.col("_n") * HOT_MIN_SLOTS) if can_split
+                else F.lit(False))
+    bounds = (df.groupBy(*part).agg(F.percentile_approx(v, probs, accuracy).alias("_qraw"),
+                                    F.count(F.lit(1)).alias("_n"),
+                                    F.sum(F.when(v.isNull(), 1).otherwise(0)).alias("_nulls"))
+              .select(*part, F.array_distinct(qraw).alias("_q"), hot.alias("_hot"),
+                      null_hot.alias("_null_hot")))
     # boundaries and offsets are small but derived from df: checking them with
     # a job would recompute df, so only the plan estimate is used here and
     # AQE switches the joins to broadcast once it has measured them
@@ -299,12 +306,14 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     # range index = number of boundaries below the value; NULLs get -1, which
     # sorts them first ascending and (ranges taken in reverse) last descending
     idx = count_below(F.col("_q"), v, buckets)
-    flag = F.when(v.isNotNull() & F.array_contains(F.coalesce(F.col("_hot"), empty), v), 1).otherwise(0)
+    flag = (F.when(v.isNull(), F.when(F.coalesce(F.col("_null_hot"), F.lit(False)), 1).otherwise(0))
+            .when(F.array_contains(F.coalesce(F.col("_hot"), empty), v), 1).otherwise(0))
     tmp = (tmp.withColumns({"_bucket": F.when(v.isNull(), F.lit(-1)).otherwise(idx), "_flag": flag})
-           .drop("_q", "_hot"))
+           .drop("_q", "_hot", "_null_hot"))
     if can_split:
         t = order_key(df, tiebreak[0])
-        tmp = tmp.withColumn("_hv", F.when(F.col("_flag") == 1, v))
+        # the NULL block's key: -inf, which is never a hot value (quantiles are finite)
+        tmp = tmp.withColumn("_hv", F.when(F.col("_flag") == 1, F.coalesce(v, F.lit(-math.inf))))
         tq = (tmp.filter(F.col("_flag") == 1).groupBy(*part, "_hv")
               .agg(F.array_distinct(F.percentile_approx(t, probs, accuracy)).alias("_tq")))
         tmp = join_dimension(tmp, tq, [*part, "_hv"], "left", max_broadcast_bytes, measure=False)

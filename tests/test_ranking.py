@@ -190,3 +190,15 @@ def test_global_rank_splits_a_large_null_block(spark, descending):
     got = ranking.global_rank(df, "value", descending, ["id"], buckets=20, keep_internal=True)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
     assert got.filter("value IS NULL").select("_bucket", "_sub").distinct().count() >= 4
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_bucketed_rank_splits_a_large_null_block_in_a_group(spark, descending):
+    rnd = random.Random(6)
+    rows = [(i, "g" if i % 4 else "h", None if i % 2 == 0 else rnd.randint(0, 300)) for i in range(8000)]
+    df = spark.createDataFrame(rows, "id long, grp string, value long")
+    want = ranking.rank_within(df, ["grp"], "value", descending, ["id"])
+    got = ranking.bucketed_rank(df, ["grp"], "value", descending, ["id"], buckets=16, keep_internal=True)
+    cols = want.columns
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.collect()))
+    assert got.filter("grp = 'g' AND value IS NULL").select("_sub").distinct().count() >= 4
