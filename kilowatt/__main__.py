@@ -27,6 +27,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--source", help="merge: parquet folder of silver-shaped rows to upsert")
     p.add_argument("--as-of", help="merge: date the delete window counts back from (default today)")
     p.add_argument("--recent-days", type=int, default=7, help="merge: delete window in days")
+    p.add_argument("--no-delete", action="store_true",
+                   help="merge: keep target rows missing from the source (corrections only)")
     a = p.parse_args(argv)
 
     from kilowatt.plans import medallion
@@ -52,7 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         as_of = dt.date.fromisoformat(a.as_of) if a.as_of else None
         out["silver_version"] = versioned.merge_into(lake.table("silver", "production"),
                                                      spark.read.parquet(a.source), as_of=as_of,
-                                                     recent_days=a.recent_days)
+                                                     recent_days=None if a.no_delete else a.recent_days)
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
         out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table
