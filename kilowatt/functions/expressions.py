@@ -18,7 +18,7 @@ __all__ = [
     "col_", "exact", "exact_sum", "exact_avg", "round_double", "null_if_negative",
     "standardise_status", "solar_efficiency_pct", "capacity_factor_pct",
     "availability_pct", "count_when", "day_over_day_pct", "zscore", "alert_level",
-    "safe_double", "order_key",
+    "safe_double", "order_key", "common_prefix_len",
 ]
 
 DEFAULT_SCALE = 4
@@ -116,12 +116,29 @@ def alert_level(z="z_score") -> Column:
             .otherwise(K.ALERT_NORMAL))
 
 
-def order_key(df: DataFrame, c: str) -> Column:
+def common_prefix_len(df: DataFrame, c: str) -> int:
+    """Length of the prefix shared by every non-NULL string of ``c``: every
+    string between the minimum and the maximum shares their common prefix
+    (one global min/max aggregate)."""
+    row = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).first()
+    lo, hi = (row["lo"], row["hi"]) if row is not None else (None, None)
+    if lo is None or hi is None:
+        return 0
+    n = 0
+    for a, b in zip(lo, hi):
+        if a != b:
+            break
+        n += 1
+    return n
+
+
+def order_key(df: DataFrame, c: str, skip: int = 0) -> Column:
     """A double that never decreases when ``c`` increases in Spark's order, so
     range bucketing on it never splits equal values: numbers as themselves,
-    dates / timestamps as epoch numbers, strings by their first 6 characters
-    (strings sharing that prefix share a range; the exact order inside a range
-    comes from sorting the real column)."""
+    dates / timestamps as epoch numbers, strings by 6 characters after the
+    first ``skip`` ones (pass :func:`common_prefix_len` so ids such as
+    ``SITE-000123`` are told apart; strings sharing those characters share a
+    range, and the exact order inside a range comes from sorting the column)."""
     t = df.schema[c].dataType
     col = F.col(c)
     if isinstance(t, NumericType):
@@ -139,7 +156,7 @@ def order_key(df: DataFrame, c: str) -> Column:
         # 6 characters × 8 bits = 48 bits, exact in a double; characters above
         # 255 clip to 255, which keeps the key monotone
         code = F.lit(0.0)
-        for i in range(1, 7):
+        for i in range(skip + 1, skip + 7):
             ch = F.coalesce(F.ascii(F.substring(col, i, 1)), F.lit(0)).cast("double")
             code = code * 256.0 + F.least(ch, F.lit(255.0))
         return F.when(col.isNull(), F.lit(None).cast("double")).otherwise(code)

@@ -11,7 +11,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowatt.functions.expressions import order_key
+from pyspark.sql.types import StringType
+
+from kilowatt.functions.expressions import common_prefix_len, order_key
 from kilowatt.operators.joins import estimated_size_bytes
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
@@ -61,7 +63,9 @@ def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int | None = None,
     nb = 1 << bits
     probs = [i / nb for i in range(1, nb)]
     keys = [f"_zk{i}" for i in range(k)]
-    tmp = df.withColumns({kk: F.coalesce(order_key(df, c), F.lit(-math.inf))
+    skips = {c: common_prefix_len(df, c) if isinstance(df.schema[c].dataType, StringType) else 0
+             for c in cols}
+    tmp = df.withColumns({kk: F.coalesce(order_key(df, c, skips[c]), F.lit(-math.inf))
                           for kk, c in zip(keys, cols)})
     qrow = tmp.agg(*[F.percentile_approx(kk, probs, accuracy).alias(kk) for kk in keys]).first()
     bcols = []

@@ -27,10 +27,10 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
+from pyspark.sql.types import (ByteType, StringType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
                                LongType, ShortType, TimestampNTZType, TimestampType)
 
-from kilowatt.functions.expressions import order_key
+from kilowatt.functions.expressions import common_prefix_len, order_key
 
 RANK_COLUMNS = ("dense_rank", "rank", "row_number")
 
@@ -49,12 +49,19 @@ def rank_within(df: DataFrame, partition: Sequence[str], order: str, descending:
     })
 
 
-def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int) -> tuple[list[float], float]:
+def _order_key(df: DataFrame, order: str):
+    """order_key with the common prefix of a string column skipped."""
+    if isinstance(df.schema[order].dataType, StringType):
+        return order_key(df, order, common_prefix_len(df, order))
+    return order_key(df, order)
+
+
+def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int, key=None) -> tuple[list[float], float]:
     """The ``buckets - 1`` approximate quantiles of ``order``'s key (repeats
     kept: a value filling several quantile slots holds that many buckets' rows)
     and, from the same job, the share of NULL order values."""
     probs = [i / buckets for i in range(1, buckets)]
-    key = order_key(df, order)
+    key = key if key is not None else order_key(df, order)
     row = df.agg(F.percentile_approx(key, probs, accuracy).alias("q"),
                  F.count(F.lit(1)).alias("n"),
                  F.sum(F.when(key.isNull(), 1).otherwise(0)).alias("nulls")).first()
@@ -142,7 +149,8 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     # 1/accuracy well below 1/buckets (its size grows with accuracy, so the
     # bucket count is capped)
     accuracy = accuracy or max(10_000, 4 * buckets)
-    raw, null_share = _quantiles(df, order, buckets, accuracy) if buckets > 1 else ([], 0.0)
+    v = _order_key(df, order)
+    raw, null_share = _quantiles(df, order, buckets, accuracy, v) if buckets > 1 else ([], 0.0)
     hot: list[float] = []
     null_slots = int(null_share * buckets)
     # ranges of the first tie-break column's (monotone) key keep the tie-break
@@ -158,7 +166,6 @@ def global_rank(df: DataFrame, order: str, descending: bool = True,
     splits = sorted({-math.inf, math.inf, *raw, *(math.nextafter(h, math.inf) for h in hot)})
     nb = len(splits) - 1  # value buckets 0..nb-1, NULLs in bucket nb
 
-    v = order_key(df, order)
     tmp = _bucketize(df.withColumn("_v", F.coalesce(v, F.lit(0.0))), {"_v": splits})
     asc_b = F.col("_v_idx").cast("int")
     bucket = asc_b if not descending else F.lit(nb - 1) - asc_b
@@ -278,7 +285,7 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
         if buckets <= 1:
             return rank_within(df, part, order, descending, tiebreak)
     accuracy = accuracy or max(10_000, 4 * buckets)
-    v = order_key(df, order)
+    v = _order_key(df, order)
     probs = [i / buckets for i in range(1, buckets)]
     empty = F.array().cast("array<double>")
     exactness = _key_exactness(df.schema[order].dataType)

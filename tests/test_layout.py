@@ -51,3 +51,10 @@ def test_partition_profile_and_inventory(spark):
     assert prof == {"solar": 2, "wind": 1}
     inv = layout.layer_inventory(spark, {"bronze.t": p}).collect()[0]
     assert (inv["layer"], inv["num_rows"], inv["num_columns"]) == ("bronze", 3, 2)
+
+
+def test_zorder_on_prefixed_string_ids_skips_files(spark):
+    df = spark.range(40_000).select(F.format_string("SITE-%06d", F.col("id") % 2000).alias("site_id"),
+                                    (F.col("id") % 997).alias("hour_key"))
+    z = layout.zorder_layout(df, ["site_id", "hour_key"], scratch_path(spark, "t-zs"), files=16)
+    assert _files_touched(spark, z, F.col("site_id") == "SITE-000123") <= 8

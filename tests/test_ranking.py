@@ -202,3 +202,13 @@ def test_bucketed_rank_splits_a_large_null_block_in_a_group(spark, descending):
     cols = want.columns
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.collect()))
     assert got.filter("grp = 'g' AND value IS NULL").select("_sub").distinct().count() >= 4
+
+
+def test_prefixed_string_ids_still_spread_over_buckets(spark):
+    rows = [(i, f"SITE-{i % 5000:06d}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, site string")
+    got = ranking.global_rank(df, "site", False, ["id"], buckets=8, keep_internal=True)
+    assert got.select("_bucket").distinct().count() >= 6        # not one bucket for all "SITE-0..."
+    want = df.withColumn("row_number", F.row_number().over(Window.orderBy("site", "id")).cast("bigint"))
+    assert sorted((r["id"], r["row_number"]) for r in got.collect()) == \
+        sorted((r["id"], r["row_number"]) for r in want.collect())
