@@ -3,6 +3,7 @@
     spark-submit --py-files kilowatt.zip -m kilowatt all --landing s3a://.../landing --lake s3a://.../lake
     python -m kilowatt silver --lake /data/lake
     python -m kilowatt merge --lake /data/lake --source /data/corrections --as-of 2024-01-30
+    python -m kilowatt incremental --landing /data/landing --lake /data/lake
 
 The session comes from ``SparkSession.builder.getOrCreate()`` (master and
 resources from spark-submit); ``spark.checkpoint.dir`` must name shared
@@ -21,7 +22,7 @@ from pyspark.sql import SparkSession
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="kilowatt", description=__doc__.splitlines()[0])
-    p.add_argument("job", choices=["bronze", "silver", "gold", "all", "merge", "inventory"])
+    p.add_argument("job", choices=["bronze", "silver", "gold", "all", "merge", "incremental", "inventory"])
     p.add_argument("--landing", help="landing folder with sites*.csv, solar*.csv, wind*.csv")
     p.add_argument("--lake", required=True, help="lake root (bronze/, silver/, gold/)")
     p.add_argument("--source", help="merge: parquet folder of silver-shaped rows to upsert")
@@ -55,6 +56,11 @@ def main(argv: list[str] | None = None) -> int:
         out["silver_version"] = versioned.merge_into(lake.table("silver", "production"),
                                                      spark.read.parquet(a.source), as_of=as_of,
                                                      recent_days=None if a.no_delete else a.recent_days)
+    if a.job == "incremental":  # new landing files merged into silver, then gold rebuilt
+        if not a.landing:
+            p.error("--landing is required for incremental")
+        out["silver_version"] = medallion.incremental_silver_job(spark, a.landing, lake)
+        medallion.gold_job(spark, lake)
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
         out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table

@@ -106,3 +106,28 @@ def run_all(spark: SparkSession, landing: str, lake: Lake) -> dict[str, str]:
     silver_job(spark, lake)
     gold_job(spark, lake)
     return lake.tables()
+
+
+def incremental_silver_job(spark: SparkSession, landing: str, lake: Lake,
+                           checkpoint_root: str | None = None, timeout_s: float | None = 600) -> int | None:
+    """New landing files → silver, incrementally: one availableNow stream per
+    technology (``solar*.csv``, ``wind*.csv``, each with its own checkpoint),
+    whose micro-batches are cleaned, deduplicated, enriched from the bronze
+    site table and MERGEd into the versioned silver table (no deletes: a batch
+    carries only new data). The streams run one after the other, so the table
+    has one writer at a time. Returns the latest silver version."""
+    from kilowatt.streaming.ingest import stream_csv
+    from kilowatt.streaming.upsert import upsert_stream
+
+    ckpt = (checkpoint_root or f"{lake.root.rstrip('/')}/_checkpoints").rstrip("/")
+    sites = read_layer(spark, lake.table("bronze", "sites_raw"))
+    target = lake.table("silver", "production")
+    for tech, schema in (("solar", schemas.SOLAR_SCHEMA), ("wind", schemas.WIND_SCHEMA)):
+        spec = silver.SPECS[tech]
+
+        def to_silver(batch, spec=spec):
+            return silver.enrich_sites(silver.silver_technology(batch, spec), sites)
+
+        upsert_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), target,
+                      f"{ckpt}/silver_{tech}", to_silver, tag=f"silver_{tech}", timeout_s=timeout_s)
+    return versioned.latest_version(spark, target)
