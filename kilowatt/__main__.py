@@ -59,8 +59,13 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "incremental":  # new landing files merged into silver, then gold rebuilt
         if not a.landing:
             p.error("--landing is required for incremental")
+        from kilowatt.sinks import versioned
+        silver_path = lake.table("silver", "production")
+        before = versioned.latest_version(spark, silver_path)
         out["silver_version"] = medallion.incremental_silver_job(spark, a.landing, lake)
-        medallion.gold_job(spark, lake)
+        touched = medallion.replaced_since(spark, silver_path, before)  # dates, or None for a full rebuild
+        out["gold_dates"] = len(touched) if touched is not None else "all"
+        medallion.gold_job(spark, lake, dates=touched)
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
         out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table

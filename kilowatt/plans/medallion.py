@@ -11,6 +11,7 @@ task × partition value."""
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import dataclass
 
@@ -84,14 +85,24 @@ def silver_job(spark: SparkSession, lake: Lake, tiebreak=()) -> int:
     return versioned.write_version(out, lake.table("silver", "production"), "WRITE", partition_col="date")
 
 
-def gold_job(spark: SparkSession, lake: Lake, computed_at=None) -> None:
-    """Silver → daily KPIs, enriched daily KPIs (by technology) and the
-    monthly efficiency report (written in report order), each a new version
-    of its table (readers keep the previous one until the commit)."""
+def gold_job(spark: SparkSession, lake: Lake, computed_at=None, dates=None) -> None:
+    """Silver → daily KPIs (versioned by date), enriched daily KPIs (by
+    technology) and the monthly efficiency report (written in report order),
+    each a new version of its table (readers keep the previous one until the
+    commit). With ``dates`` only those days of the daily table are
+    re-aggregated — a partition-pruned read of silver and a partial version
+    replacing just those dates; the two small derived tables are rebuilt."""
     now = computed_at if computed_at is not None else F.current_timestamp()
     prod = read_layer(spark, lake.table("silver", "production"))
-    versioned.write_version(gold.daily_kpis(prod, computed_at=now), lake.table("gold", "daily_kpis"))
-    daily = read_layer(spark, lake.table("gold", "daily_kpis"))
+    daily_path = lake.table("gold", "daily_kpis")
+    if dates is not None and versioned.latest_version(spark, daily_path) is not None:
+        days = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in dates})
+        if days:
+            part = gold.daily_kpis(prod.filter(F.col("date").isin(days)), computed_at=now)
+            versioned.write_version(part, daily_path, "UPDATE", partition_col="date", replaced=days)
+    else:
+        versioned.write_version(gold.daily_kpis(prod, computed_at=now), daily_path, partition_col="date")
+    daily = read_layer(spark, daily_path)
     enriched = _rebalanced(gold.enrich_daily(daily), ["technology"]).sortWithinPartitions(
         "technology", "date", "site_id")
     versioned.write_version(enriched, lake.table("gold", "daily_kpis_enriched"), partition_col="technology")
@@ -101,6 +112,18 @@ def gold_job(spark: SparkSession, lake: Lake, computed_at=None) -> None:
                             lake.table("gold", "site_efficiency_report"))
 
 
+def replaced_since(spark: SparkSession, path: str, after_version: int | None) -> list[str] | None:
+    """Partition values replaced by the versions committed after
+    ``after_version`` (None: a whole-table version happened, or no table)."""
+    log = versioned.commits(spark, path)
+    if after_version is not None:
+        log = log.filter(F.col("version") > after_version)
+    rows = log.select("replaced").collect()  # one row per new version
+    if not rows or any(r["replaced"] is None for r in rows):
+        return None
+    return sorted({v for r in rows for v in r["replaced"]})
+
+
 def run_all(spark: SparkSession, landing: str, lake: Lake) -> dict[str, str]:
     bronze_job(spark, landing, lake)
     silver_job(spark, lake)
