@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -51,10 +52,34 @@ def run_incremental(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
     return q
 
 
+QUALITY_METRICS = "bronze_quality"
+
+
 def ingest_stream(spark: SparkSession, landing: str, schema: StructType, target: str,
                   checkpoint: str, glob: str | None = "*.csv", ts: str = "timestamp",
                   timeout_s: float | None = 600) -> StreamingQuery:
     """Landing CSV → audit columns (same projection as batch, incl. the
-    ``_year``/``_month`` partition columns) → append to ``target``."""
+    ``_year``/``_month`` partition columns) → append to ``target``. Quality
+    counts are observed per micro-batch in the same pass (measure, don't
+    reject); :func:`stream_quality` sums them for the run."""
     s = with_audit(stream_csv(spark, landing, schema, glob), partition_from=ts)
+    p = F.col("production_kwh")
+    s = s.observe(QUALITY_METRICS,
+                  F.count(F.lit(1)).alias("total_rows"),
+                  F.sum(F.when(p.isNull(), 1).otherwise(0)).alias("null_production"),
+                  F.sum(F.when(p < 0, 1).otherwise(0)).alias("negative_production"),
+                  F.sum(F.when(F.col("status") == "OFFLINE", 1).otherwise(0)).alias("offline_records"))
     return run_incremental(s, target, checkpoint, timeout_s=timeout_s)
+
+
+def stream_quality(q: StreamingQuery) -> dict[str, int]:
+    """The observed bronze quality counts summed over the run's micro-batches."""
+    out: dict[str, int] = {}
+    for prog in q.recentProgress:
+        observed = prog.get("observedMetrics") if isinstance(prog, dict) else prog.observedMetrics
+        row = (observed or {}).get(QUALITY_METRICS)
+        if row is None:
+            continue
+        for k, v in (row if isinstance(row, dict) else row.asDict()).items():
+            out[k] = out.get(k, 0) + int(v or 0)
+    return out

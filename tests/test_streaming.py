@@ -95,3 +95,13 @@ def test_csv_reads_both_timestamp_spellings(spark):
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(root)
     got = read_csv(spark, root, schema=schemas.SOLAR_SCHEMA, glob="*.txt").orderBy("production_kwh").collect()
     assert [r["timestamp"] for r in got] == [T, dt.datetime(2024, 1, 1, 11, 0, 0, 123456)]
+
+
+def test_stream_quality_observed_per_batch(spark):
+    root = scratch_path(spark, "t-sq")
+    landing, out, ck = f"{root}/landing", f"{root}/out", f"{root}/_ck"
+    a = spark.createDataFrame([(T, "S1", 1.0, 2.0, -3.0, "OK"), (T, "S2", 1.0, 2.0, None, "OFFLINE")], SOLAR)
+    write_csv(a.coalesce(1), landing, mode="append")
+    q = ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, out, ck)
+    m = ingest.stream_quality(q)
+    assert m == {"total_rows": 2, "null_production": 1, "negative_production": 1, "offline_records": 1}
