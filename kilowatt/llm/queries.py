@@ -6,10 +6,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowatt.llm import exact_dedup, mixing, simhash
+from kilowatt.llm import bpe, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, simhash, toxicity
 from kilowatt.llm.shared import read
 
 
+def vocabulary() -> str:
+    """Path of the public byte-level BPE vocabulary, on the driver."""
+    import public_tokenizers
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.cross_entropy_difference(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(read(spark, sf_dir, "documents"), vocabulary())
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
+def op7_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read(spark, sf_dir, "documents"))
 
@@ -23,8 +49,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_bpe": op5_bpe,
+    "op6_language_id": op6_language_id,
+    "op7_lattice_dedup": op7_lattice_dedup,
     "op10_simhash": op10_simhash,
 }
 

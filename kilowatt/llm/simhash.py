@@ -20,7 +20,7 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Shingles hashed at a time: bounds the memory a long text takes.
 _SLICE = 65_536
 #: Node pairs the traversal holds at a time.
-_PAIRS = 1 << 19
+_PAIRS = 1 << 16
 
 
 def simhash(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -135,7 +135,7 @@ def trie_links(prints: np.ndarray, starts: np.ndarray, max_bits: int, pairs: int
     return root
 
 
-def _links(batches: Iterator[pa.RecordBatch], max_bits: int, rows: int = 200_000) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], max_bits: int, rows: int = 50_000) -> Iterator[pa.RecordBatch]:
     """Rows ``(key, fingerprint)`` sorted by both → links of each fingerprint to
     the first of its component, a key at a time but many keys together."""
     def flush(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
