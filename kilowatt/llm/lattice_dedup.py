@@ -162,7 +162,7 @@ def _meetings(batches: Iterator[pa.RecordBatch], tables: int, least: float) -> I
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-                 least: float = 0.98, tables: int = 4, probes: int = 4, width: float = 0.8, cell_rows: int = 256, seed: int = 5) -> DataFrame:
+                 least: float = 0.98, tables: int = 4, probes: int = 4, width: float = 0.9, cell_rows: int = 256, seed: int = 5) -> DataFrame:
     """One row per row of ``vectors``: ``id_col``, ``n_links``, ``component_id``,
     ``kept``.
 
