@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowatt.llm import bpe, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, simhash, toxicity
+from kilowatt.llm import bpe, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, simhash, toxicity, url_filter, warc
 from kilowatt.llm.shared import read
+from kilowatt.session import scratch_path
 
 
 def vocabulary() -> str:
@@ -44,6 +45,16 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(read(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(spark, folder, payloads=False).drop("url")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
@@ -56,11 +67,19 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_language_id": op6_language_id,
     "op7_lattice_dedup": op7_lattice_dedup,
+    "op8_url_filter": op8_url_filter,
+    "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+# digit i of 32: five bits of the 160, taken from the two hex digits that hold them
+_NIBBLE = "(instr('0123456789abcdef', substr(hex, {0} + 1, 1)) - 1)"
+_BASE32 = ("substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((("
+           + _NIBBLE.format("((i * 5) // 4)") + " * 16 + CASE WHEN (i * 5) // 4 + 1 < 40 THEN " + _NIBBLE.format("((i * 5) // 4 + 1)")
+           + " ELSE 0 END) // CAST(pow(2, 3 - (i * 5) % 4) AS BIGINT)) % 32 AS BIGINT), 1)")
+
 ORACLE = {
     "op4_exact_dedup": f"""
 WITH n AS (SELECT doc_id, {_NORM} AS norm FROM documents)
@@ -70,4 +89,28 @@ SELECT doc_id,
        doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept,
        sha256(norm) AS text_sha256
 FROM n""",
+    # brute force over all pairs of a label; components by repeated reach
+    "op7_lattice_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (
+  SELECT a AS id, b AS reached FROM l UNION SELECT r.id, l.b FROM r JOIN l ON r.reached = l.a),
+c AS (SELECT id, min(reached) AS low FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(c.low, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(c.low, v.vec_id)) AS kept
+FROM v LEFT JOIN c ON c.id = v.vec_id LEFT JOIN n ON n.a = v.vec_id""",
+    # sha1 stands for the payload: sha1(blob) is hexadecimal, base32 is spelt out below
+    "op9_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+f AS (SELECT page_id, payload, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p),
+h AS (SELECT *, sha1(payload) AS hex FROM f),
+d AS (SELECT *, list_aggregate(list_transform(range(32), lambda i: {_BASE32}), 'string_agg', '') AS payload_digest FROM h)
+SELECT page_id, octet_length(encode(payload)) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM d""",
 }
