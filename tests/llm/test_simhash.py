@@ -1,0 +1,95 @@
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from kilowatt.llm import simhash
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain(text, k=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    parts = [" ".join(words[i:i + k]) for i in range(len(words) - k + 1)] if len(words) >= k else ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints, ids, bits=3):
+    """Smallest id reachable, by comparing all pairs."""
+    p = np.array(prints, np.uint64)
+    near = np.bitwise_count(p[:, None] ^ p[None, :]) <= bits
+    low = np.array([2 ** 62 if i is None else i for i in ids])
+    while True:
+        new = np.where(near, low[None, :], 2 ** 62).min(1)
+        if (new == low).all():
+            return [None if v == 2 ** 62 else int(v) for v in new]
+        low = new
+
+
+@pytest.mark.parametrize("text", [None, "", " \n", "One", "two Words", "A b c", "x " * 200_000, "Äb Ç d e \x1c f", "a b c a b c a b c"])
+def test_fingerprint(text):
+    assert simhash.simhash(text) == plain(text)
+
+
+def test_slices_do_not_matter(monkeypatch):
+    text = " ".join(f"w{i % 37}" for i in range(1000))
+    monkeypatch.setattr(simhash, "_SLICE", 7)
+    assert simhash.simhash(text) == plain(text)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 64 - 1), min_size=1, max_size=6), st.lists(st.tuples(st.integers(0, 5), st.integers(0, 63), st.integers(0, 63)), max_size=40),
+       st.integers(0, 4), st.sampled_from([3, 1 << 16]))
+def test_trie_join_equals_all_pairs(base, flips, bits, block):
+    prints = np.unique(np.array(base + [base[i % len(base)] ^ (1 << a) ^ (1 << b) for i, a, b in flips], np.uint64))
+    root = simhash.trie_links(prints, np.array([0]), bits, block)
+    assert root.tolist() == components(prints, list(range(len(prints))), bits)
+
+
+def test_several_tries_stay_apart():
+    prints = np.array([1, 2, 1, 3], np.uint64)
+    assert simhash.trie_links(prints, np.array([0, 2]), 2).tolist() == [0, 0, 2, 2]
+
+
+def check(docs, found):
+    rows = [(r["doc_id"], plain(r["text"])) for r in docs.collect()]
+    want = components([p for _, p in rows], [i for i, _ in rows])
+    got = simhash.with_hex(found).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(str((i, f"{p:016x}", c)) for (i, p), c in zip(rows, want))
+
+
+def test_all_documents_equal_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    check(docs, simhash.near_duplicates(docs))
+
+
+def test_odd_rows(odd_docs):
+    check(odd_docs, simhash.near_duplicates(odd_docs))
+
+
+@pytest.mark.parametrize("node_rows", [1, 3, 4096])
+def test_crowded_tries_are_dealt_again(spark, node_rows):
+    rng = np.random.default_rng(3)
+    center = 0xF0F0_1234_5678_9ABC
+    prints = {center} | {center ^ int(sum(1 << int(b) for b in rng.choice(64, k, replace=False))) for k in (1, 2, 3, 5) for _ in range(40)}
+    prints = np.array(sorted(prints | set(map(int, rng.integers(0, 2 ** 63, 40)))), np.uint64)
+    table = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "fingerprint long")
+    links = {tuple(r) for r in simhash.near_links(table, 3, node_rows).collect()}
+    at = {int(p): i for i, p in enumerate(prints.view(np.int64))}
+    low = list(range(len(prints)))
+    for _ in range(len(prints)):
+        for a, b in links:
+            low[at[a]] = low[at[b]] = min(low[at[a]], low[at[b]])
+    assert low == components(prints, list(range(len(prints))))
+
+
+def test_near_copies_go(odd_docs, no_docs):
+    kept = simhash.drop_near_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "3", "None", "6", "8", "9", "9", "10"])
+    assert simhash.near_duplicates(no_docs).count() == 0
+    assert simhash.drop_near_copies(no_docs).count() == 0
