@@ -109,7 +109,7 @@ def _counted(rows: DataFrame) -> DataFrame:
         for b in batches:
             for text, target in zip(b.column(0), b.column(1).to_pylist()):
                 for s in tokens(text.as_py() or ""):
-                    for part in (s[1:], _START + 1 + pairs(s)):
+                    for part in (s[int(s[0] != _START):], _START + 1 + pairs(s)):
                         found, n = np.unique(part, return_counts=True)
                         counts[1, found] += n
                         if target:
