@@ -58,21 +58,26 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class LanguageModel:
     """``table``: each bucket's embedding times the softmax matrix, already over
-    the temperature; ``threshold``: scores below it are rejected."""
+    the temperature, and a last column that is 1 where training has met the
+    bucket. Rejected: scores below ``threshold``, and texts of whose subwords
+    less than the share ``known`` is in buckets that training has met."""
     langs: list[str]
     table: np.ndarray
     threshold: float
+    known: float
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, bool]:
+        """Language, score, rejected."""
         if not text or not self.langs or not _LETTER.search(text):
-            return UNKNOWN, 0.0
-        total, n = np.zeros(len(self.langs)), 0
+            return UNKNOWN, 0.0, True
+        total, n = np.zeros(len(self.langs) + 1), 0
         for part in subwords(text):
             total += self.table.take(part, axis=0).sum(0, dtype=np.float64)
             n += len(part)
-        p = _softmax(total / max(n, 1))
+        total /= max(n, 1)
+        p = _softmax(total[:-1])
         best = int(p.argmax())
-        return self.langs[best], float(p[best])
+        return self.langs[best], float(p[best]), bool(p[best] < self.threshold or total[-1] < self.known)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -112,8 +117,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     Their bags of subwords (bounded by the buckets) come to the driver, which
     runs the gradient descent (AdaGrad steps, one example at a time) on four
     fifths of them. On the last fifth the temperature is fitted, and the
-    rejection threshold: the score that all but ``reject`` of the whole texts
-    reach, never above 1/2. No usable row: a model without languages, which
+    rejection limits: the score and the share of known subwords that all but
+    ``reject`` of the whole texts reach, never above 1/2 and 2/3. No usable row: a model without languages, which
     answers ``und``.
     """
     usable = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).filter(
@@ -125,7 +130,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     examples.sort(key=lambda r: (r["key"], r["lang"], r["whole"], r["found"]))
     langs = sorted({r["lang"] for r in examples})
     if not langs:
-        return LanguageModel([], np.zeros((1 << _BITS, 1), np.float32), 0.5)
+        return LanguageModel([], np.zeros((1 << _BITS, 1), np.float32), 0.5, 0.0)
     at = {lang: i for i, lang in enumerate(langs)}
     data = [(np.frombuffer(r["found"], np.int32), np.frombuffer(r["share"], np.float32), at[r["lang"]], r["whole"], r["key"] % 5 == 0) for r in examples]
     fit = [d for d in data if not d[4]] or data
@@ -154,9 +159,15 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sampl
     heats = np.geomspace(0.05, 20, 60)
     loss = [-np.log(np.maximum(_softmax(logits / h)[np.arange(len(truth)), truth], 1e-12)).mean() for h in heats]
     heat = heats[int(np.argmin(loss))]
-    score = _softmax(logits / heat).max(1)[whole]
-    threshold = min(0.5, float(np.quantile(score, reject))) if len(score) else 0.5
-    return LanguageModel(langs, (table @ softmax / heat).astype(np.float32), threshold)
+    met = np.zeros((1 << _BITS, 1), np.float32)
+    for found, *_ in fit:
+        met[found] = 1
+    limits = (0.5, 2 / 3)
+    if whole.any():
+        score = _softmax(logits / heat).max(1)[whole]
+        share = [float(d[1] @ met[d[0], 0]) for d in check if d[3]]
+        limits = tuple(min(most, float(np.quantile(x, reject))) for most, x in zip(limits, (score, share)))
+    return LanguageModel(langs, np.hstack([table @ softmax / heat, met]).astype(np.float32), *limits)
 
 
 def predicted(docs: DataFrame, model: LanguageModel, text: Column) -> Column:
@@ -169,7 +180,7 @@ def predicted(docs: DataFrame, model: LanguageModel, text: Column) -> Column:
         m = shared.value
         found = [m.predict(t) for t in texts]
         return pd.DataFrame({"lang_pred": [f[0] for f in found], "score": [f[1] for f in found],
-                             "rejected": [f[0] == UNKNOWN or f[1] < m.threshold for f in found]})
+                             "rejected": [f[2] for f in found]})
 
     return run(text.cast("string"))
 
