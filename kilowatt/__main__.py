@@ -63,9 +63,10 @@ def main(argv: list[str] | None = None) -> int:
         silver_path = lake.table("silver", "production")
         before = versioned.latest_version(spark, silver_path)
         out["silver_version"] = medallion.incremental_silver_job(spark, a.landing, lake)
-        touched = medallion.replaced_since(spark, silver_path, before)  # dates, or None for a full rebuild
+        touched = medallion.touched_since(spark, silver_path, before)  # dates, or None for a full rebuild
         out["gold_dates"] = len(touched) if touched is not None else "all"
-        medallion.gold_job(spark, lake, dates=touched)
+        if touched is None or touched:
+            medallion.gold_job(spark, lake, dates=touched)
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
         out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table

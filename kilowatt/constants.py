@@ -21,6 +21,7 @@ ALERT_LOW = "🔴 ANOMALIE BASSE"            # z < -2
 ALERT_WEAK = "🟡 Production faible"        # z < -1
 ALERT_HIGH = "🔵 Production exceptionnelle"  # z > 2
 ALERT_NORMAL = "✅ Normal"                  # otherwise
+NO_BASELINE = "no baseline"              # drift alert of a site without history (ours)
 ALERT_LOW_Z = -2.0
 ALERT_WEAK_Z = -1.0
 ALERT_HIGH_Z = 2.0

@@ -7,35 +7,11 @@ reads these, so its work grows with the tables.
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilowatt.sources.files import read_table
 
-# The test tables are read-only: each fixture frame is built once per
-# (session, folder) and reused, which also lets Spark reuse identical
-# exchanges across the branches of one query.
-_MEMO: dict[tuple, DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> str:
-    """A key that a later session can never share (unlike ``id()``)."""
-    try:
-        return str(spark._jsparkSession.sessionUUID())
-    except Exception:  # pragma: no cover - older JVM API
-        return f"{spark.sparkContext.applicationId}:{spark._jsparkSession.hashCode()}"
-
-
-def _memo(fn):
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (fn.__name__, _session_key(spark), sf_dir.rstrip("/"))
-        if key not in _MEMO:
-            _MEMO[key] = fn(spark, sf_dir)
-        return _MEMO[key]
-    return wrapper
 
 # FIXED VALUES (fixture mapping of event types to statuses; MAINT is not a
 # valid status, so it becomes UNKNOWN after cleaning)
@@ -52,24 +28,27 @@ def _status(c):
     return out
 
 
-@_memo
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, timestamp, site_id, technology, production_kwh, sensor_1,
-    sensor_2, status — hourly timestamps, negatives and duplicates included."""
+    sensor_2, status — hourly timestamps, negatives and duplicates included.
+    Every tenth user is a hybrid site (both technologies); the readings of
+    users with user_id % 13 = 5 name a site that the site table doesn't have;
+    an irradiance may be as small as 0.00001."""
     ev = read_table(spark, sf_dir, "events")
+    site = F.when(F.col("user_id") % 13 == 5, F.col("user_id") + 1_000_000).otherwise(F.col("user_id"))
     return ev.select(
         F.col("event_id"),
         F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp"),
-        F.col("user_id").alias("site_id"),
-        F.when(F.col("user_id") % 2 == 0, "solar").otherwise("wind").alias("technology"),
-        (F.col("value").cast("decimal(18,4)") - 10).cast("double").alias("production_kwh"),
+        site.alias("site_id"),
+        F.when(F.when(F.col("user_id") % 10 == 0, F.col("event_id")).otherwise(F.col("user_id")) % 2 == 0, "solar")
+        .otherwise("wind").alias("technology"),
+        (F.col("value") - 10).alias("production_kwh"),
         ((F.col("event_id") % 60) - 10).cast("double").alias("sensor_1"),
-        ((F.col("event_id") * 37 % 1100) - 100).cast("double").alias("sensor_2"),
+        (((F.col("event_id") * 37 % 1100) - 100).cast("double") + (F.col("event_id") % 7) * F.lit(0.00001)).alias("sensor_2"),
         _status("event_type").alias("status"),
     )
 
 
-@_memo
 def solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped solar readings (reference solar schema + event_id)."""
     r = readings(spark, sf_dir).filter(F.col("technology") == "solar")
@@ -79,7 +58,6 @@ def solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "production_kwh", "status")
 
 
-@_memo
 def wind_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped wind readings (reference wind schema + event_id)."""
     r = readings(spark, sf_dir).filter(F.col("technology") == "wind")
@@ -93,15 +71,12 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"solar": solar_raw(spark, sf_dir), "wind": wind_raw(spark, sf_dir)}
 
 
-@_memo
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """site_id, site_name, region, capacity_mw, latitude, longitude; every 13th
-    site (site_id % 13 = 5) is left out so the left join has unmatched facts."""
+    """site_id, site_name, region, capacity_mw, latitude, longitude."""
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return (c.filter(F.col("c_custkey") % 13 != 5)
-            .join(n, c.c_nationkey == n.n_nationkey)
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
             .join(r, n.n_regionkey == r.r_regionkey)
             .select(F.col("c_custkey").alias("site_id"),
                     F.col("c_name").alias("site_name"),

@@ -1,9 +1,11 @@
 """Reusable Column expressions.
 
-All KPI rounding is done on exact decimals: a double sum depends on the order
-rows arrive in, which changes with partitioning, so rounded KPIs would differ
-between two runs on a cluster. Summing ``decimal(18, scale)`` values is exact
-and order independent; the final value is cast back to double.
+Sums and averages are taken over wide decimals: a double sum depends on the
+order rows arrive in, which changes with partitioning, so rounded KPIs would
+differ between two runs on a cluster. Summing ``decimal(38, 12)`` values is
+order independent and keeps the readings' own digits; the only rounding is
+that of the final value, which is cast back to double. A NaN or infinite
+reading is no measurement: it has no decimal and counts as NULL.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ __all__ = [
     "safe_double", "order_key", "common_prefix_len",
 ]
 
-DEFAULT_SCALE = 4
+DEFAULT_SCALE = 12
 
 
 def col_(c) -> Column:
@@ -29,8 +31,8 @@ def col_(c) -> Column:
 
 
 def exact(c, scale: int = DEFAULT_SCALE) -> Column:
-    """A double as an exact ``decimal(18, scale)`` (rounded HALF_UP at ``scale``)."""
-    return col_(c).cast(f"decimal(18,{scale})")
+    """A double as ``decimal(38, scale)``; NULL where it is NaN or infinite."""
+    return col_(c).try_cast(f"decimal(38,{scale})")
 
 
 def exact_sum(c, scale: int = DEFAULT_SCALE) -> Column:
@@ -64,14 +66,11 @@ def standardise_status(c="status", valid=K.VALID_STATUSES, other=K.UNKNOWN_STATU
     return F.when(c.isin(*valid), c).otherwise(F.lit(other))
 
 
-def solar_efficiency_pct(kwh="production_kwh", irradiance="irradiance_w_m2",
-                         scale: int = DEFAULT_SCALE) -> Column:
-    """round(kwh / (irradiance × 0.01), 2) when irradiance > 0 and kwh known
-    (exact decimal quotient, so a true tie such as 143.775 rounds up)."""
-    kwh, irr = col_(kwh), col_(irradiance)
-    q = exact(kwh, scale) / (exact(irr, scale) * F.lit(0.01).cast("decimal(3,2)"))
-    return (F.when((irr > 0) & kwh.isNotNull(), F.round(q, 2).cast("double"))
-            .otherwise(F.lit(None).cast("double")))
+def solar_efficiency_pct(kwh="production_kwh", irradiance="irradiance_w_m2") -> Column:
+    """round(kwh / (irradiance × 0.01), 2) when irradiance > 0 and kwh known; the
+    guard is on the divisor itself, so no irradiance is too small for it."""
+    kwh, by = col_(kwh), col_(irradiance) * F.lit(0.01)
+    return F.when((by > 0) & kwh.isNotNull(), F.round(kwh / by, 2)).otherwise(F.lit(None).cast("double"))
 
 
 def capacity_factor_pct(kwh, capacity_mw, hours: int = 1, digits: int = 2) -> Column:
@@ -96,9 +95,10 @@ def availability_pct(status="status", offline=K.OFFLINE, digits: int = 1) -> Col
     return F.round(up * 100 / F.count(F.lit(1)).cast("decimal(20,0)"), digits).cast("double")
 
 
-def day_over_day_pct(cur, prev, scale: int = DEFAULT_SCALE, digits: int = 2) -> Column:
-    """round((cur − prev) / nullif(prev, 0) × 100, 2); exact decimal arithmetic."""
-    c, p = exact(cur, scale), exact(prev, scale)
+def day_over_day_pct(cur, prev, digits: int = 2) -> Column:
+    """round((cur − prev) / nullif(prev, 0) × 100, 2), exact on values that have
+    four decimals, as the daily totals do."""
+    c, p = (col_(x).try_cast("decimal(18,4)") for x in (cur, prev))
     return F.round((c - p) / F.nullif(p, F.lit(0)) * 100, digits).cast("double")
 
 

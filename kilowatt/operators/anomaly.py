@@ -12,7 +12,7 @@ from kilowatt.functions.expressions import alert_level, exact, round_double, zsc
 
 
 def rolling_stats(daily: DataFrame, value: str = "total_production_mwh", rows: int = 30,
-                  site_keys: Sequence[str] = ("site_id",), scale: int = 4) -> DataFrame:
+                  site_keys: Sequence[str] = ("site_id",), scale: int = 12) -> DataFrame:
     """Moving mean (exact) and sample stddev over the last ``rows`` rows of
     each site (the current row included); a single row has NULL stddev."""
     # a site with two technologies has two rows per date: order them too, so
@@ -34,7 +34,7 @@ def with_zscore(daily: DataFrame, value: str = "total_production_mwh", rows: int
 def detect_anomalies(daily: DataFrame, value: str = "total_production_mwh", rows: int = 30,
                      threshold: float = K.ANOMALY_ABS_Z, limit: int | None = 30,
                      site_keys: Sequence[str] = ("site_id",),
-                     tiebreak: Sequence[str] = ("site_id", "date")) -> DataFrame:
+                     tiebreak: Sequence[str] = ("site_id", "date", "technology")) -> DataFrame:
     """Days whose |z| over the trailing ``rows``-row window exceeds
     ``threshold``, labelled by band; the ``limit`` most extreme (a top-k report
     — ``limit=None`` returns them all). NULL z (constant or 1-row history) is
@@ -42,7 +42,7 @@ def detect_anomalies(daily: DataFrame, value: str = "total_production_mwh", rows
     z = with_zscore(daily, value, rows, site_keys)
     out = (z.filter(F.abs(F.col("z_score")) > threshold)
            .select("date", "site_id", "technology",
-                   round_double(exact(value, 4), 3).alias("production_mwh"),
+                   round_double(exact(value), 3).alias("production_mwh"),
                    round_double(exact(f"rolling_{rows}d_avg", 12), 3).alias(f"avg_{rows}d"),
                    "z_score", alert_level("z_score").alias("alert_level")))
     if limit is None:

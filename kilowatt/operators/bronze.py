@@ -38,27 +38,11 @@ def with_audit(df: DataFrame, source: str | Column | None = None, batch_id: str
     return df.withColumns(cols)
 
 
-def profile_one(df: DataFrame, name: str, ts: str = "timestamp") -> DataFrame:
-    """One global aggregate row for a bronze table (single pass; partial
-    aggregation per task, one tiny shuffle)."""
-    p = F.col("production_kwh")
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct("site_id").alias("distinct_sites"),
-        count_when(p.isNull()).alias("null_production"),
-        count_when(p < 0).alias("negative_production"),
-        count_when(F.col("status") == K.OFFLINE).alias("offline_records"),
-        F.min(ts).alias("min_ts"),
-        F.max(ts).alias("max_ts"),
-    ).select(F.lit(name).alias("table_name"), "*")
-
-
 PROFILE_INPUTS = ["site_id", "production_kwh", "status"]
 
 
 def quality_profile(tables: dict[str, DataFrame], ts: str = "timestamp") -> DataFrame:
-    """One profile row per named bronze table (the UNION ALL of
-    :func:`profile_one`), computed as ONE aggregate grouped by table name over
+    """One profile row per named bronze table, computed as ONE aggregate grouped by table name over
     the tagged union of the tables: a single distinct-count pipeline instead
     of one per table."""
     tagged = None

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilowatt import constants as K
-from kilowatt.functions.expressions import (availability_pct, count_when, day_over_day_pct,
+from kilowatt.functions.expressions import (DEFAULT_SCALE, availability_pct, count_when, day_over_day_pct,
                                             exact, exact_avg, exact_sum, round_double)
 from kilowatt.operators.joins import join_dimension
 from kilowatt.operators.silver import typed_sites
@@ -52,9 +52,8 @@ def _daily_finish(df: DataFrame, computed_at: Column | None) -> DataFrame:
     return out
 
 
-def daily_kpis(production: DataFrame, sites: DataFrame | None = None, scale: int = 4,
-               computed_at: Column | None = None,
-               max_broadcast_bytes: int | None = None) -> DataFrame:
+def daily_kpis(production: DataFrame, sites: DataFrame | None = None, scale: int = DEFAULT_SCALE,
+               computed_at: Column | None = None, broadcast_sites: bool = False) -> DataFrame:
     """One row per (date, site, technology) with production, hours by status,
     availability % and daily capacity factor %.
 
@@ -70,11 +69,11 @@ def daily_kpis(production: DataFrame, sites: DataFrame | None = None, scale: int
         return _daily_finish(grouped, computed_at)
     per_day = production.groupBy(*DAILY_KEYS).agg(*_daily_aggs(scale))
     s = typed_sites(sites).select("site_id", "site_name", "region", "capacity_mw")
-    joined = join_dimension(per_day, s, "site_id", "left", max_broadcast_bytes)
+    joined = join_dimension(per_day, s, "site_id", "left", broadcast_sites)
     return _daily_finish(joined, computed_at)
 
 
-def daily_production(production: DataFrame, scale: int = 4) -> DataFrame:
+def daily_production(production: DataFrame, scale: int = DEFAULT_SCALE) -> DataFrame:
     """date, site_id, technology, total_production_mwh only — the same values as
     :func:`daily_kpis` without the site dimension, for consumers that need no
     site attribute (a left join to a keyed dimension cannot change them)."""
@@ -90,26 +89,27 @@ def top_days(daily: DataFrame, n: int = 20, tiebreak: Sequence[str] = ("site_id"
                          *[F.col(c).asc() for c in tiebreak]).limit(n)
 
 
-RANK_BUCKETED_MIN_BYTES = 1 << 30
-
-
-def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),
-                 rolling_rows: int = 7, scale: int = 4, rank_strategy: str = "auto",
-                 rank_buckets: int | None = None, calendar: bool = False) -> DataFrame:
+def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id",),
+                 rolling_rows: int = 7, scale: int = DEFAULT_SCALE, rank_strategy: str = "window",
+                 calendar: bool = False) -> DataFrame:
     """Add prev_day_production_mwh (LAG 1), day_over_day_change_pct, a
     ``rolling_rows``-row moving average (rows, not calendar days) and the
     dense rank of the site within (date, technology).
 
     The lag and the moving average share one window spec, hence one shuffle;
     the rank needs a second partitioning. ``rank_strategy="bucketed"`` ranks a
-    (date, technology) group in value ranges instead of one task (for days
-    that hold a large share of all site-days); ``"auto"`` (default) uses it
-    from an estimated 1 GiB of daily rows. ``calendar=True``
+    (date, technology) group in value ranges instead of one task, for days
+    that hold a large share of all site-days; sites of equal production are
+    told apart by ``site_id``, so they can be split. A hybrid site's two rows
+    of a day follow one another by technology. ``calendar=True``
     makes the previous day the *calendar* previous day (NULL after a gap) and
     the moving average span ``rolling_rows`` calendar days (RANGE frame).
     Both frames sort by the same key, so they still share one shuffle."""
-    w_site = Window.partitionBy(*site_keys).orderBy("date")
     mwh = F.col("total_production_mwh")
+    if calendar:
+        # a calendar day has one row per site and technology
+        site_keys = [*site_keys, *(["technology"] if "technology" not in site_keys else [])]
+    w_site = Window.partitionBy(*site_keys).orderBy("date", *[c for c in ("technology",) if c not in site_keys])
     if calendar:
         # frames in calendar days: a missing day is a gap, not a shorter step
         day = F.unix_date("date")
@@ -122,20 +122,16 @@ def enrich_daily(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "techn
     out = (daily
            .withColumn("prev_day_production_mwh", prev)
            .withColumn("day_over_day_change_pct",
-                       day_over_day_pct(mwh, "prev_day_production_mwh", scale))
+                       day_over_day_pct(mwh, "prev_day_production_mwh"))
            .withColumn(f"rolling_{rolling_rows}d_avg_mwh",
                        round_double(F.avg(exact(mwh, scale)).over(w_roll), 4)))
-    if rank_strategy == "auto":  # bucketed once the daily table may not fit one task per day
-        from kilowatt.operators.joins import input_size_bytes
-        size = input_size_bytes(out)
-        rank_strategy = "window" if size is not None and size < RANK_BUCKETED_MIN_BYTES else "bucketed"
     if rank_strategy == "window":
         w_rank = Window.partitionBy("date", "technology").orderBy(mwh.desc())
         return out.withColumn("daily_rank_in_technology", F.dense_rank().over(w_rank))
     if rank_strategy == "bucketed":
         from kilowatt.operators.ranking import bucketed_rank
         cols = out.columns
-        r = bucketed_rank(out, ["date", "technology"], "total_production_mwh", True, (), rank_buckets)
+        r = bucketed_rank(out, ["date", "technology"], "total_production_mwh", True, ("site_id",))
         return r.select(*cols, F.col("dense_rank").cast("int").alias("daily_rank_in_technology"))
     raise ValueError(f"unknown rank_strategy {rank_strategy!r}")
 
@@ -150,7 +146,7 @@ def next_day(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technolog
 REPORT_KEYS = ["site_id", "site_name", "region", "technology", "capacity_mw"]
 
 
-def site_efficiency_report(daily: DataFrame, scale: int = 4,
+def site_efficiency_report(daily: DataFrame, scale: int = DEFAULT_SCALE,
                            computed_at: Column | None = None) -> DataFrame:
     """Monthly per-site report: production, mean capacity factor and
     availability, outage days, worst offline day and a composite score

@@ -1,139 +1,14 @@
-"""Dimension joins with a checked broadcast.
-
-A side is broadcast only when its size is proven under a limit (default:
-the session's ``spark.sql.autoBroadcastJoinThreshold``): by the optimizer's
-estimate, or by a measurement bounded to ``limit`` bytes of rows.
-Above it the join stays a shuffle join, and AQE may still switch to a
-broadcast once it has measured the real shuffle size at runtime.
-"""
+"""Dimension joins: a plain join, whose strategy Spark chooses."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DateType, DecimalType,
-                               DoubleType, FloatType, IntegerType, LongType, ShortType,
-                               StringType, TimestampNTZType, TimestampType)
-
-DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
-
-
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (no job runs); None if unavailable."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:
-        return None
-
-
-def input_size_bytes(df: DataFrame) -> int | None:
-    """Bytes of the relations ``df`` reads: the sum of the optimized plan's leaf
-    estimates (no job). Used to choose between plans (window vs bucketed
-    ranking, pruned vs full merge, ...), where a join's size estimate — the
-    product of its inputs without table statistics — would mislead; not used
-    to prove that something fits in memory."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return int(sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())))
-    except Exception:
-        return None
-
-
-def broadcast_limit(df: DataFrame, limit: int | None = None) -> int:
-    if limit is not None:
-        return limit
-    try:
-        v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-        if v is not None:
-            v = str(v).strip().lower()
-            mult = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-            if v[-2:] in ("kb", "mb", "gb"):
-                return int(float(v[:-2]) * mult[v[-2]])
-            if v[-1] in mult:
-                return int(float(v[:-1]) * mult[v[-1]])
-            return int(v)
-    except Exception:
-        pass
-    return DEFAULT_BROADCAST_LIMIT
-
-
-def _fixed_width(t) -> int:
-    """In-row bytes of a fixed-width type (strings/binaries are measured)."""
-    if isinstance(t, (StringType, BinaryType)):
-        return 0
-    if isinstance(t, (ByteType, BooleanType)):
-        return 1
-    if isinstance(t, ShortType):
-        return 2
-    if isinstance(t, (IntegerType, DateType, FloatType)):
-        return 4
-    if isinstance(t, DecimalType):
-        return 8 if t.precision <= 18 else 16
-    if isinstance(t, (LongType, DoubleType, TimestampType, TimestampNTZType)):
-        return 8
-    return 64  # nested values: a conservative flat guess
-
-
-def measured_size_bytes(df: DataFrame, max_bytes: int) -> int | None:
-    """Bytes of ``df`` as rows in memory, measured by one bounded aggregate
-    job over at most ``max_rows + 1`` rows (``max_rows`` = the most rows that
-    could fit in ``max_bytes``); None when there are more rows than that."""
-    fields = df.schema.fields
-    per_row = 16 + 8 * len(fields)          # row header + one word per field
-    max_rows = max(1, max_bytes // per_row)
-    var = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-           for f in fields if isinstance(f.dataType, (StringType, BinaryType))]
-    fixed = sum(_fixed_width(f.dataType) for f in fields)
-    var_sum = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), var_sum.alias("v")).first()
-    n = int(row["n"] or 0)
-    if n > max_rows:
-        return None
-    return n * (per_row + fixed) + int(row["v"] or 0)
-
-
-def is_broadcastable(df: DataFrame, limit: int | None = None, measure: bool = True) -> bool:
-    """True when ``df`` is proven to fit ``limit`` bytes: by the optimizer's
-    estimate (no job), or else — the estimate of a join or aggregate is only
-    an upper bound — by :func:`measured_size_bytes` (one bounded job)."""
-    lim = broadcast_limit(df, limit)
-    size = estimated_size_bytes(df)
-    if size is not None and 0 <= size <= lim:
-        return True
-    if not measure or lim <= 0:
-        return False
-    key = _measure_key(df, lim)
-    if key is not None and key in _MEASURED:
-        return _MEASURED[key]
-    measured = measured_size_bytes(df, lim)
-    ok = measured is not None and measured <= lim
-    if key is not None:
-        _MEASURED[key] = ok
-    return ok
-
-
-# Size-check results per (plan, input files, size estimate, limit): a dimension
-# reused by several queries of a session is measured once. Rewritten inputs
-# change the file list or its size estimate and are measured again.
-_MEASURED: dict[tuple, bool] = {}
-
-
-def _measure_key(df: DataFrame, lim: int) -> tuple | None:
-    try:
-        qe = df._jdf.queryExecution()
-        return (int(qe.analyzed().semanticHash()), tuple(sorted(df.inputFiles())),
-                estimated_size_bytes(df), lim)
-    except Exception:
-        return None
 
 
-def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-                   max_broadcast_bytes: int | None = None, measure: bool = True) -> DataFrame:
-    """``facts ⋈ dim``; ``dim`` is hinted for broadcast only behind a size check
-    (with ``measure`` the check may run one bounded job on the dimension)."""
-    if dim.isStreaming:
-        return facts.join(dim, on, how)
-    if is_broadcastable(dim, max_broadcast_bytes, measure):
-        dim = F.broadcast(dim)
-    return facts.join(dim, on, how)
+def join_dimension(facts: DataFrame, dim: DataFrame, on, how: str = "left", broadcast: bool = False) -> DataFrame:
+    """``facts ⋈ dim``. Spark broadcasts the dimension when its statistics are
+    under ``spark.sql.autoBroadcastJoinThreshold``, or at run time once AQE has
+    measured its shuffle; otherwise both sides are shuffled and AQE splits a
+    skewed site. ``broadcast=True`` is for a caller who knows the size."""
+    return facts.join(F.broadcast(dim) if broadcast else dim, on, how)

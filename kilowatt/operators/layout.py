@@ -14,53 +14,32 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from kilowatt.functions.expressions import common_prefix_len, order_key
-from kilowatt.operators.joins import estimated_size_bytes
 
-TARGET_FILE_BYTES = 128 * 1024 * 1024
-
-
-def file_count_for(df: DataFrame, target_file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Files needed for ~``target_file_bytes`` each, from the size estimate (no job)."""
-    size = estimated_size_bytes(df) or target_file_bytes
-    return max(1, math.ceil(size / target_file_bytes))
-
-
-def compact(df: DataFrame, path: str, partition_cols: Sequence[str] = (),
-            target_file_bytes: int = TARGET_FILE_BYTES, max_records_per_file: int | None = None,
+def compact(df: DataFrame, path: str, partition_cols: Sequence[str] = (), max_records_per_file: int | None = None,
             mode: str = "overwrite") -> str:
     """Rewrite ``df`` as few, large files (OPTIMIZE). The REBALANCE hint lets
-    AQE size the write tasks to ``advisoryPartitionSizeInBytes`` and split a
-    skewed partition value over several tasks, instead of one task per value."""
-    spark = df.sparkSession
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(target_file_bytes))  # for this write only
-    try:
-        out = df.hint("rebalance", *partition_cols) if partition_cols else df.hint("rebalance")
-        w = out.write.mode(mode)
-        if max_records_per_file:
-            w = w.option("maxRecordsPerFile", max_records_per_file)
-        if partition_cols:
-            w = w.partitionBy(*partition_cols)
-        w.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+    AQE size the write tasks to the session's ``advisoryPartitionSizeInBytes``
+    and split a skewed partition value over several tasks, instead of one task
+    per value."""
+    w = df.hint("rebalance", *partition_cols).write.mode(mode)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.partitionBy(*partition_cols).parquet(path)
     return path
 
 
-def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int | None = None,
-                accuracy: int = 10_000, name: str = "_z") -> DataFrame:
+def z_bits(files: int, k: int) -> int:
+    """Bits per column that give 16 z cells per file, 8 at least."""
+    return min(62 // k, max(8, math.ceil((math.log2(max(files, 1)) + 4) / k)))
+
+
+def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str = "_z") -> DataFrame:
     """Add a z-order value: each column is range-bucketed into 2^bits
     quantile buckets (boundaries from one approx_percentile job, a bounded
     list), and the bucket bits are interleaved with built-in bit expressions."""
     k = len(cols)
-    # 2^bits range buckets per column: enough to separate thousands of files
-    # and their row groups; the boundary list stays small (2^bits values)
-    bits = bits or min(8, 62 // k)
     nb = 1 << bits
+    accuracy = max(10_000, 4 * nb)
     probs = [i / nb for i in range(1, nb)]
     keys = [f"_zk{i}" for i in range(k)]
     skips = {c: common_prefix_len(df, c) if isinstance(df.schema[c].dataType, StringType) else 0
@@ -86,25 +65,28 @@ def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int | None = None,
     return out.drop(*keys, *[f"_zb{i}" for i in range(k)])
 
 
-def zorder_layout(df: DataFrame, cols: Sequence[str], path: str, files: int | None = None,
-                  target_file_bytes: int = TARGET_FILE_BYTES) -> str:
+def _ranged(df: DataFrame, files: int | None, *by) -> DataFrame:
+    """Ranges of ``by``: ``files`` of them, or as many as AQE's advisory size gives."""
+    return df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+
+
+def zorder_layout(df: DataFrame, cols: Sequence[str], path: str, files: int | None = None) -> str:
     """Write ``df`` clustered by the z-order of ``cols`` (ZORDER BY): files
     cover compact z ranges, so parquet min/max statistics skip files for
-    filters on any of the columns."""
-    n = files or file_count_for(df, target_file_bytes)
-    z = with_zvalue(df, cols)
-    (z.repartitionByRange(n, "_z").sortWithinPartitions("_z").drop("_z")
-     .write.mode("overwrite").parquet(path))
+    filters on any of the columns. Rows of one z value are told apart by the
+    columns themselves and a hash of the row, so a hot cell is many files."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    z = with_zvalue(df, cols, z_bits(n, len(cols))).withColumn("_h", F.xxhash64(*df.columns))
+    by = ["_z", *cols, "_h"]
+    _ranged(z, files, *by).sortWithinPartitions(*by).drop("_z", "_h").write.mode("overwrite").parquet(path)
     return path
 
 
-def sorted_write(df: DataFrame, cols: Sequence, path: str, files: int | None = None,
-                 target_file_bytes: int = TARGET_FILE_BYTES) -> str:
+def sorted_write(df: DataFrame, cols: Sequence, path: str, files: int | None = None) -> str:
     """Write a table globally ordered by ``cols`` across files (ORDER BY in a
     CTAS): range partitioning + a per-task sort, no single-task sort. A later
     read does not promise this order back."""
-    n = files or file_count_for(df, target_file_bytes)
-    df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+    _ranged(df, files, *cols).sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
     return path
 
 

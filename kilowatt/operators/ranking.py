@@ -1,361 +1,90 @@
-"""Ranking: partitioned rank windows and a distributed *global* rank.
-
-``Window.orderBy(...)`` without ``partitionBy`` moves the whole table into a
-single partition. :func:`global_rank` computes the same dense_rank / rank /
-row_number without that:
-
-1. one aggregation job computes ``buckets - 1`` approximate quantiles of the
-   order value; the (bounded, ``buckets``-sized) boundary list comes to the
-   driver;
-2. each row gets a bucket id by binary search over the boundaries
-   (``Bucketizer``, JVM-side). Equal values always share a bucket and the
-   bucket id is monotone in the value, so ranks never interleave buckets;
-3. per-bucket row and distinct-value counts (``buckets`` rows, a proven size
-   bound) give each bucket its rank offsets via a running sum;
-4. rows are shuffled by bucket, ranked inside their bucket and shifted by
-   the bucket's offsets (joined by broadcast — ``buckets`` rows).
-
-The boundaries are literal values in the plan, so a recomputed task (lost
-executor) assigns exactly the same buckets.
+"""Ranking: partitioned rank windows, and ranks that no single task computes.
+
+``Window.orderBy(...)`` without ``partitionBy`` moves the whole table into one
+task, and a window per group moves a hot group into one. The distributed form
+gives the same dense_rank / rank / row_number:
+
+1. rows are range-partitioned by (group, order value, tie-break columns) with
+   Spark's own ordering, so any type works and neither a hot group nor a hot
+   value stays together; the result is written, which fixes the ranges for
+   whatever reads them (and for tasks that run again);
+2. rows are ranked inside their range;
+3. one row per (range, group) holds its counts, first and last value; a running
+   sum over the ranges of a group gives their offsets. A value that goes on
+   from the range before keeps the rank with which it began there.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, StringType, DateType, DecimalType, DoubleType, FloatType, IntegerType,
-                               LongType, ShortType, TimestampNTZType, TimestampType)
 
-from kilowatt.functions.expressions import common_prefix_len, order_key
+from kilowatt.session import stored
 
 RANK_COLUMNS = ("dense_rank", "rank", "row_number")
 
 
+def _order(order: str, descending: bool) -> Column:
+    """NULLs last descending, first ascending (Spark's defaults)."""
+    return F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_first()
+
+
 def rank_within(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,
                 tiebreak: Sequence[str] = ()) -> DataFrame:
     """dense_rank, rank and row_number side by side over one window spec
-    (one shuffle, one sort). ``tiebreak`` orders row_number among ties."""
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    w = Window.partitionBy(*partition).orderBy(o)
-    w_rn = Window.partitionBy(*partition).orderBy(o, *[F.col(c).asc() for c in tiebreak])
-    return df.withColumns({
-        "dense_rank": F.dense_rank().over(w).cast("bigint"),
-        "rank": F.rank().over(w).cast("bigint"),
-        "row_number": F.row_number().over(w_rn).cast("bigint"),
-    })
-
-
-def _order_key(df: DataFrame, order: str):
-    """order_key with the common prefix of a string column skipped."""
-    if isinstance(df.schema[order].dataType, StringType):
-        return order_key(df, order, common_prefix_len(df, order))
-    return order_key(df, order)
-
-
-def _quantiles(df: DataFrame, order: str, buckets: int, accuracy: int, key=None) -> tuple[list[float], float]:
-    """The ``buckets - 1`` approximate quantiles of ``order``'s key (repeats
-    kept: a value filling several quantile slots holds that many buckets' rows)
-    and, from the same job, the share of NULL order values."""
-    probs = [i / buckets for i in range(1, buckets)]
-    key = key if key is not None else order_key(df, order)
-    row = df.agg(F.percentile_approx(key, probs, accuracy).alias("q"),
-                 F.count(F.lit(1)).alias("n"),
-                 F.sum(F.when(key.isNull(), 1).otherwise(0)).alias("nulls")).first()
-    qs = row["q"] if row is not None and row["q"] is not None else []
-    share = (row["nulls"] or 0) / row["n"] if row is not None and row["n"] else 0.0
-    return [float(q) for q in qs if q is not None and math.isfinite(q)], share
-
-
-def _bucketize(df: DataFrame, splits_by_col: dict[str, list[float]]) -> DataFrame:
-    """Range index of each input column against its own split points (binary
-    search, JVM-side); a column without inner split points gets index 0."""
-    real = {c: sp for c, sp in splits_by_col.items() if len(sp) >= 3}
-    for c, sp in splits_by_col.items():
-        if c not in real:
-            df = df.withColumn(f"{c}_idx", F.lit(0.0))
-    if real:
-        cols = list(real)
-        df = Bucketizer(splitsArray=[real[c] for c in cols], inputCols=cols,
-                        outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep").transform(df)
-    return df
-
-
-HOT_MIN_SLOTS = 4   # a value filling >= 4 quantile slots is split on the tie-break
-EXACT = float(2 ** 53)
-
-
-def _key_exactness(t) -> str | None:
-    """Whether equal order keys mean equal values: "always", "small" (only for
-    |key| < 2^53) or None (string prefixes, wide decimals: never split)."""
-    if isinstance(t, (ByteType, ShortType, IntegerType, FloatType, DoubleType, DateType)):
-        return "always"
-    if isinstance(t, DecimalType):
-        return "always" if t.precision <= 15 else None
-    if isinstance(t, (LongType, TimestampType, TimestampNTZType)):
-        return "small"
-    return None
-MAX_HOT_VALUES = 8  # the hottest ones only: the per-row cost stays constant
-
-
-MAX_BUCKETS = 65_536  # 100 TB → ~1.5 GB sorted per window task, spill-friendly
-
-
-def _auto_buckets(df: DataFrame, bytes_per_bucket: int, cap: int) -> int:
-    """1 only when the optimizer's estimate (an upper bound unless it is
-    unknown) proves ``df`` fits one bucket — a single partition is then safe;
-    otherwise the count follows the bytes the plan reads (a join's estimate
-    would overstate it), capped."""
-    from kilowatt.operators.joins import estimated_size_bytes, input_size_bytes
-
-    est = estimated_size_bytes(df)
-    if est is not None and est <= bytes_per_bucket:
-        return 1
-    sizes = [x for x in (est, input_size_bytes(df)) if x is not None]
-    if not sizes:
-        return 64
-    return min(cap, max(2, math.ceil(min(sizes) / bytes_per_bucket)))
+    (one shuffle, one sort); a group is ranked by one task."""
+    w = Window.partitionBy(*partition).orderBy(_order(order, descending))
+    w_rn = Window.partitionBy(*partition).orderBy(_order(order, descending), *[F.col(c).asc() for c in tiebreak])
+    return df.withColumns({"dense_rank": F.dense_rank().over(w).cast("bigint"),
+                           "rank": F.rank().over(w).cast("bigint"),
+                           "row_number": F.row_number().over(w_rn).cast("bigint")})
 
 
-def global_rank(df: DataFrame, order: str, descending: bool = True,
-                tiebreak: Sequence[str] = (), buckets: int | None = None,
-                bytes_per_bucket: int = 256 << 20, accuracy: int | None = None,
-                split_hot: bool = True, keep_internal: bool = False) -> DataFrame:
-    """Whole-table dense_rank / rank / row_number by ``order`` (a number, date,
-    timestamp or string: ranges are cut on :func:`order_key`),
-    without a single-partition window. NULL order values rank last
-    (descending) or first (ascending), as in Spark.
-
-    ``buckets`` defaults to the optimizer's size estimate / ``bytes_per_bucket``
-    (no job), at most MAX_BUCKETS. When that proves the input fits one bucket,
-    the plain window is used: a single partition, but of bounded size.
-
-    Hot values: a value filling several quantile slots (e.g. one value in a
-    third of all rows; only for order types whose key is exact, see
-    :func:`_key_exactness`) gets a bucket of its own, ``[h, nextafter(h))``, which
-    is cut again into ranges of the first tie-break column's key. Its
-    rank and dense_rank are those of the value's first row; its row_number
-    continues range by range — so no task sorts the whole hot value."""
-    from collections import Counter
-
-    if buckets is None:
-        buckets = _auto_buckets(df, bytes_per_bucket, MAX_BUCKETS)
-        if buckets == 1:  # proven small: one partition of bounded size
-            return rank_within(df, [], order, descending, tiebreak)
-    # the quantile sketch must resolve ~buckets boundaries: relative error
-    # 1/accuracy well below 1/buckets (its size grows with accuracy, so the
-    # bucket count is capped)
-    accuracy = accuracy or max(10_000, 4 * buckets)
-    v = _order_key(df, order)
-    raw, null_share = _quantiles(df, order, buckets, accuracy, v) if buckets > 1 else ([], 0.0)
-    hot: list[float] = []
-    null_slots = int(null_share * buckets)
-    # ranges of the first tie-break column's (monotone) key keep the tie-break
-    # order: equal first columns share a range, sorted inside by all of them
-    has_tiebreak = len(tiebreak) >= 1
-    exactness = _key_exactness(df.schema[order].dataType)
-    if split_hot and has_tiebreak and exactness:
-        slots = Counter(raw)
-        hot = [h for h, n in slots.most_common() if n >= HOT_MIN_SLOTS
-               and (exactness == "always" or abs(h) < EXACT)][:MAX_HOT_VALUES]
-    # NULL order values tie like one value: a large NULL block is split too
-    hot_null = split_hot and has_tiebreak and null_slots >= HOT_MIN_SLOTS
-    splits = sorted({-math.inf, math.inf, *raw, *(math.nextafter(h, math.inf) for h in hot)})
-    nb = len(splits) - 1  # value buckets 0..nb-1, NULLs in bucket nb
-
-    tmp = _bucketize(df.withColumn("_v", F.coalesce(v, F.lit(0.0))), {"_v": splits})
-    asc_b = F.col("_v_idx").cast("int")
-    bucket = asc_b if not descending else F.lit(nb - 1) - asc_b
-    # Spark orders NULLs last when descending, first when ascending
-    null_bucket = nb if descending else -1
-    tmp = tmp.withColumn("_bucket", F.when(v.isNull(), F.lit(null_bucket)).otherwise(bucket)
-                         ).drop("_v", "_v_idx")
-
-    sub = F.lit(0)
-    if hot or hot_null:
-        # tie-break ranges inside each hot value (and the NULL block): one
-        # small grouped quantile job; its result has at most MAX_HOT_VALUES + 1 rows
-        t = order_key(df, tiebreak[0])
-        k = min(buckets, max([slots[h] for h in hot] + [null_slots]) + 1)
-        probs = [j / k for j in range(1, k)]
-        picked = v.isin(hot) if hot else F.lit(False)
-        if hot_null:
-            picked = picked | v.isNull()
-        q = (df.filter(picked).groupBy(v.alias("_h"))
-             .agg(F.percentile_approx(t, probs, accuracy).alias("_tq")).collect())
-        tq = {r["_h"]: sorted({float(x) for x in (r["_tq"] or []) if x is not None and math.isfinite(x)})
-              for r in q}
-        blocks = [(v == h, h) for h in hot] + ([(v.isNull(), None)] if hot_null else [])
-        cols = {}
-        for i, (is_block, h) in enumerate(blocks):
-            tmp = tmp.withColumn(f"_t{i}", F.when(is_block, F.coalesce(t, F.lit(-math.inf)))
-                                 .otherwise(F.lit(-math.inf)))
-            cols[f"_t{i}"] = [-math.inf, *tq.get(h, []), math.inf]
-        tmp = _bucketize(tmp, cols)
-        for i, (is_block, _) in enumerate(blocks):
-            sub = F.when(F.coalesce(is_block, F.lit(False)), F.col(f"_t{i}_idx").cast("int")).otherwise(sub)
-        tmp = tmp.withColumn("_sub", sub).drop(*cols, *[f"{c}_idx" for c in cols])
-    else:
-        tmp = tmp.withColumn("_sub", sub)
-
-    # offsets from ONE small table (value bucket, tie-break range): at most
-    # buckets + MAX_HOT_VALUES * buckets rows, so a single ordered pass over
-    # it and its broadcast are bounded work, and the input is scanned once
-    per_sub = tmp.groupBy("_bucket", "_sub").agg(
-        F.count(F.lit(1)).alias("_n"),
-        (F.count_distinct(F.col(order)) + F.max(F.col(order).isNull().cast("int"))).alias("_d"))
-    w_all = Window.orderBy("_bucket", "_sub")
-    w_prev = w_all.rowsBetween(Window.unboundedPreceding, -1)
-    w_b = Window.partitionBy("_bucket")
-    # a hot bucket holds one value in all of its ranges: count it once
-    first_sub = F.col("_sub") == F.min("_sub").over(w_b)
-    contrib = F.when(F.max("_sub").over(w_b) > F.min("_sub").over(w_b),
-                     F.when(first_sub, F.lit(1)).otherwise(F.lit(0))).otherwise(F.col("_d"))
-    offsets = (per_sub
-               .withColumn("_contrib", contrib)
-               .withColumn("_rn_off", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)))
-               .withColumn("_dense_prev", F.coalesce(F.sum("_contrib").over(w_prev), F.lit(0)))
-               .select("_bucket", "_sub", "_rn_off",
-                       F.min("_rn_off").over(w_b).alias("_rank_off"),
-                       F.min("_dense_prev").over(w_b).alias("_dense_off")))
-
-    ranked = rank_within(tmp, ["_bucket", "_sub"], order, descending, tiebreak)
-    out = (ranked.join(F.broadcast(offsets), ["_bucket", "_sub"])
-           .withColumns({
-               "dense_rank": (F.col("dense_rank") + F.col("_dense_off")).cast("bigint"),
-               "rank": (F.col("rank") + F.col("_rank_off")).cast("bigint"),
-               "row_number": (F.col("row_number") + F.col("_rn_off")).cast("bigint"),
-           }))
-    if keep_internal:  # inspection: which (bucket, range) partition ranked each row
-        return out.drop("_rank_off", "_dense_off", "_rn_off")
-    return out.drop("_bucket", "_sub", "_rank_off", "_dense_off", "_rn_off")
-
-
-def count_below(sorted_arr, v, max_len: int):
-    """Number of elements of the ascending array ``sorted_arr`` that are < ``v``
-    (NULL array → 0): a binary search of ceil(log2(max_len + 1)) fixed steps
-    in one ``aggregate`` lambda, so the per-row cost is O(log n), not O(n)."""
-    steps = max(1, math.ceil(math.log2(max_len + 1)))
-    arr = F.coalesce(sorted_arr, F.array().cast("array<double>"))
-    init = F.struct(F.lit(0).alias("lo"), F.size(arr).alias("hi"))
-
-    def step(acc, _):
-        lo, hi = acc["lo"], acc["hi"]
-        mid = F.floor((lo + hi) / 2).cast("int")
-        below = F.element_at(arr, mid + 1) < v
-        return F.when(lo < hi, F.when(below, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
-                      .otherwise(F.struct(lo.alias("lo"), mid.alias("hi")))).otherwise(acc)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
-
-
-MAX_GROUP_BUCKETS = 4096
+def in_ranges(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,
+              tiebreak: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``df`` dealt into ``ranges`` (default: the session's shuffle partitions)
+    of (group, value, tie-break), written, with the range number ``_part``."""
+    by = [*[F.col(c).asc() for c in partition], _order(order, descending), *[F.col(c).asc() for c in tiebreak]]
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(df.repartitionByRange(n, *by).withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descending: bool = True,
-                  tiebreak: Sequence[str] = (), buckets: int | None = None, accuracy: int | None = None,
-                  max_broadcast_bytes: int | None = None, split_hot: bool = True,
-                  keep_internal: bool = False, bytes_per_bucket: int = 256 << 20) -> DataFrame:
-    """dense_rank / rank / row_number within ``partition`` groups that stays
-    balanced when one group — or one value inside a group — holds a large
-    share of the rows.
-
-    Each group's values are cut into ``buckets`` quantile ranges (one partial
-    percentile aggregation, one row of boundaries per group; ``buckets``
-    defaults to size estimate / ``bytes_per_bucket``, capped at
-    MAX_GROUP_BUCKETS; each row finds its range by binary search); rows are
-    ranked inside (group, range), so a hot group is spread over ``buckets`` tasks,
-    and shifted by the range's offsets from a small (group × range) count
-    table. A value filling several quantile slots of its group gets a block of
-    its own, cut again into ranges of the first tie-break column's key.
-    Equal values never straddle two ranges except such split hot values,
-    whose rank and dense_rank come from the block's start."""
-    from kilowatt.operators.joins import join_dimension
-
-    part = list(partition)
-    if not part:
-        return global_rank(df, order, descending, tiebreak, buckets=buckets, accuracy=accuracy)
-    if buckets is None:
-        # enough ranges for ONE group holding all rows to come out near
-        # bytes_per_bucket per task; proven-small inputs keep the plain window
-        buckets = _auto_buckets(df, bytes_per_bucket, MAX_GROUP_BUCKETS)
-        if buckets <= 1:
-            return rank_within(df, part, order, descending, tiebreak)
-    accuracy = accuracy or max(10_000, 4 * buckets)
-    v = _order_key(df, order)
-    probs = [i / buckets for i in range(1, buckets)]
-    empty = F.array().cast("array<double>")
-    exactness = _key_exactness(df.schema[order].dataType)
-    can_split = split_hot and exactness is not None and len(tiebreak) >= 1
-    qraw = F.col("_qraw")
-
-    def is_hot(x):
-        repeated = F.size(F.filter(qraw, lambda y: y == x)) >= HOT_MIN_SLOTS
-        return repeated if exactness == "always" else repeated & (F.abs(x) < F.lit(EXACT))
-
-    hot = F.filter(F.array_distinct(qraw), is_hot) if can_split else empty
-    # NULL order values tie like one value: a group whose NULLs fill several
-    # quantile slots gets its NULL block split on the tie-break as well
-    null_hot = ((F.col("_nulls") * buckets >= F.col("_n") * HOT_MIN_SLOTS) if can_split
-                else F.lit(False))
-    bounds = (df.groupBy(*part).agg(F.percentile_approx(v, probs, accuracy).alias("_qraw"),
-                                    F.count(F.lit(1)).alias("_n"),
-                                    F.sum(F.when(v.isNull(), 1).otherwise(0)).alias("_nulls"))
-              .select(*part, F.array_distinct(qraw).alias("_q"), hot.alias("_hot"),
-                      null_hot.alias("_null_hot")))
-    # boundaries and offsets are small but derived from df: checking them with
-    # a job would recompute df, so only the plan estimate is used here and
-    # AQE switches the joins to broadcast once it has measured them
-    tmp = join_dimension(df, bounds, part, "left", max_broadcast_bytes, measure=False)
-    # range index = number of boundaries below the value; NULLs get -1, which
-    # sorts them first ascending and (ranges taken in reverse) last descending
-    idx = count_below(F.col("_q"), v, buckets)
-    flag = (F.when(v.isNull(), F.when(F.coalesce(F.col("_null_hot"), F.lit(False)), 1).otherwise(0))
-            .when(F.array_contains(F.coalesce(F.col("_hot"), empty), v), 1).otherwise(0))
-    tmp = (tmp.withColumns({"_bucket": F.when(v.isNull(), F.lit(-1)).otherwise(idx), "_flag": flag})
-           .drop("_q", "_hot", "_null_hot"))
-    if can_split:
-        t = order_key(df, tiebreak[0])
-        # the NULL block's key: -inf, which is never a hot value (quantiles are finite)
-        tmp = tmp.withColumn("_hv", F.when(F.col("_flag") == 1, F.coalesce(v, F.lit(-math.inf))))
-        tq = (tmp.filter(F.col("_flag") == 1).groupBy(*part, "_hv")
-              .agg(F.array_distinct(F.percentile_approx(t, probs, accuracy)).alias("_tq")))
-        tmp = join_dimension(tmp, tq, [*part, "_hv"], "left", max_broadcast_bytes, measure=False)
-        tc = F.coalesce(t, F.lit(-math.inf))  # NULL tie-breaks sort first
-        sub = count_below(F.col("_tq"), tc, buckets)
-        tmp = tmp.withColumn("_sub", F.when(F.col("_flag") == 1, sub).otherwise(F.lit(0))).drop("_hv", "_tq")
-    else:
-        tmp = tmp.withColumn("_sub", F.lit(0))
-
-    keys = [*part, "_bucket", "_flag", "_sub"]
-    stats = tmp.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        (F.count_distinct(F.col(order)) + F.max(F.col(order).isNull().cast("int"))).alias("_d"))
-    if descending:  # NULL range (-1) last; hot block after (ascending) / before (descending) its range
-        block_order = [F.when(F.col("_bucket") == -1, F.lit(1 << 30)).otherwise(-F.col("_bucket")).asc(),
-                       F.col("_flag").desc()]
-    else:
-        block_order = [F.col("_bucket").asc(), F.col("_flag").asc()]
-    w_run = Window.partitionBy(*part).orderBy(*block_order, F.col("_sub").asc())
-    w_prev = w_run.rowsBetween(Window.unboundedPreceding, -1)
-    w_block = Window.partitionBy(*part, "_bucket", "_flag")
-    first_sub = F.col("_sub") == F.min("_sub").over(w_block)
-    contrib = F.when(F.col("_flag") == 1, F.when(first_sub, 1).otherwise(0)).otherwise(F.col("_d"))
-    offsets = (stats.withColumn("_contrib", contrib)
-               .withColumn("_rn_off", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)))
-               .withColumn("_dense_prev", F.coalesce(F.sum("_contrib").over(w_prev), F.lit(0)))
-               .select(*keys, "_rn_off",
-                       F.min("_rn_off").over(w_block).alias("_rank_off"),
-                       F.min("_dense_prev").over(w_block).alias("_dense_off")))
-
-    ranked = rank_within(tmp, keys, order, descending, tiebreak)
-    out = join_dimension(ranked, offsets, keys, "left", max_broadcast_bytes, measure=False)
-    out = out.withColumns({
-        "dense_rank": (F.col("dense_rank") + F.col("_dense_off")).cast("bigint"),
-        "rank": (F.col("rank") + F.col("_rank_off")).cast("bigint"),
-        "row_number": (F.col("row_number") + F.col("_rn_off")).cast("bigint"),
-    }).drop("_rn_off", "_rank_off", "_dense_off")
-    return out if keep_internal else out.drop("_bucket", "_flag", "_sub")
+                  tiebreak: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """dense_rank / rank / row_number within ``partition`` groups (none: over the
+    whole table) that stays balanced when one group, or one value, holds a
+    large share of the rows. ``tiebreak`` orders equal values and lets them be
+    split; without it they stay in one range."""
+    rows = in_ranges(df, partition, order, descending, tiebreak, ranges).withColumn(
+        "_group", F.struct(*partition) if partition else F.lit(0))
+    keys = ["_part", "_group"]
+    local = rank_within(rows, keys, order, descending, tiebreak)
+    value = F.struct(F.col(order))
+    stats = local.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max("dense_rank").alias("_d"), F.max("rank").alias("_r"),
+                                     F.min_by(value, "row_number").alias("_first"), F.max_by(value, "row_number").alias("_last"))
+    # one row per (range, group): a handful per group, the ranges when there are no groups
+    w = Window.partitionBy("_group").orderBy("_part")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce(F.lag("_last").over(w) == F.col("_first"), F.lit(False))
+    offsets = (stats.withColumn("_goes_on", goes_on)
+               .withColumn("_rows", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+               .withColumn("_values", F.coalesce(F.sum(F.col("_d") - F.col("_goes_on").cast("int")).over(before), F.lit(0))
+                           - F.col("_goes_on").cast("int"))
+               .withColumn("_began", F.when((F.col("_d") > 1) | ~F.col("_goes_on"), F.col("_rows") + F.col("_r")))
+               .withColumn("_began", F.last("_began", ignorenulls=True).over(before))
+               .select(*keys, "_goes_on", "_rows", "_values", "_began"))
+    out = local.join(offsets, keys)
+    return out.withColumns({
+        "rank": F.when((F.col("rank") == 1) & F.col("_goes_on"), F.col("_began")).otherwise(F.col("rank") + F.col("_rows")).cast("bigint"),
+        "dense_rank": (F.col("dense_rank") + F.col("_values")).cast("bigint"),
+        "row_number": (F.col("row_number") + F.col("_rows")).cast("bigint"),
+    }).select(*df.columns, *RANK_COLUMNS)
+
+
+def global_rank(df: DataFrame, order: str, descending: bool = True, tiebreak: Sequence[str] = (),
+                ranges: int | None = None) -> DataFrame:
+    """Whole-table dense_rank / rank / row_number by ``order`` without a
+    single-partition window over the rows."""
+    return bucketed_rank(df, (), order, descending, tiebreak, ranges)

@@ -118,15 +118,6 @@ def silver_technology(df: DataFrame, spec: TechSpec, tiebreak: Sequence[str] = (
     return silver_production({spec.technology: df}, {spec.technology: spec}, tiebreak)
 
 
-def unify(dfs: Sequence[DataFrame], columns: Sequence[str] = K.SILVER_COLUMNS) -> DataFrame:
-    """Union of differently-shaped frames on a common column list; numeric
-    columns are widened (int → double) by the union's type coercion."""
-    out = dfs[0].select(*columns)
-    for d in dfs[1:]:
-        out = out.unionByName(d.select(*columns))
-    return out
-
-
 def typed_sites(sites: DataFrame) -> DataFrame:
     """Site attributes with numeric columns as double; malformed text → NULL."""
     return sites.select("site_id", "site_name", "region",
@@ -135,11 +126,10 @@ def typed_sites(sites: DataFrame) -> DataFrame:
                         safe_double("longitude").alias("longitude"))
 
 
-def enrich_sites(production: DataFrame, sites: DataFrame,
-                 max_broadcast_bytes: int | None = None) -> DataFrame:
+def enrich_sites(production: DataFrame, sites: DataFrame, broadcast_sites: bool = False) -> DataFrame:
     """Left join facts → sites on ``site_id`` (broadcast behind a size check)
     and add the hourly capacity factor (NULL unless capacity > 0)."""
-    out = join_dimension(production, typed_sites(sites), "site_id", "left", max_broadcast_bytes)
+    out = join_dimension(production, typed_sites(sites), "site_id", "left", broadcast_sites)
     return out.withColumn("capacity_factor_pct",
                           capacity_factor_pct("production_kwh", "capacity_mw"))
 

@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilowatt.functions.expressions import exact, exact_avg, exact_sum, round_double
+from kilowatt.functions.expressions import DEFAULT_SCALE, exact, exact_avg, exact_sum, round_double
 
 UNITS = ("minute", "hour", "day")
 
 
 def timescale_rollup(df: DataFrame, unit: str, ts: str = "timestamp",
                      keys: Sequence[str] = ("site_id", "technology"),
-                     value: str = "production_kwh", scale: int = 4) -> DataFrame:
+                     value: str = "production_kwh", scale: int = DEFAULT_SCALE) -> DataFrame:
     """Per (keys, ``unit`` bucket): readings, total / mean / peak ``value``.
     A plain hash aggregate (partial per task), so hot keys are pre-combined."""
     if unit not in UNITS:
@@ -28,36 +28,16 @@ def timescale_rollup(df: DataFrame, unit: str, ts: str = "timestamp",
             .withColumn("unit", F.lit(unit)))
 
 
-HIERARCHICAL_MIN_BYTES = 1 << 30
-
-
 def multi_scale_rollup(df: DataFrame, units: Sequence[str] = UNITS, ts: str = "timestamp",
                        keys: Sequence[str] = ("site_id", "technology"),
-                       value: str = "production_kwh", scale: int = 4,
-                       strategy: str = "auto") -> DataFrame:
-    """:func:`timescale_rollup` at several units.
-
-    ``hierarchical``: ONE pass over the readings — aggregated once at the
-    finest unit (partial aggregation per task), every coarser unit rolled up
-    from the finer unit's partial results (exact sums and counts add, the max
-    of maxima is the max, the mean is sum / count), so raw rows are neither
-    rescanned nor expanded per unit. ``independent``: one aggregation per unit
-    (a scan each, run side by side) — fewer stages, for small inputs.
-    ``auto`` picks hierarchical from an estimated 1 GiB of input."""
+                       value: str = "production_kwh", scale: int = DEFAULT_SCALE) -> DataFrame:
+    """:func:`timescale_rollup` at several units in ONE pass over the readings:
+    aggregated once at the finest unit (partial aggregation per task), every
+    coarser unit rolled up from the finer unit's partial results (exact sums
+    and counts add, the max of maxima is the max, the mean is sum / count), so
+    raw rows are neither rescanned nor expanded per unit."""
     if any(u not in UNITS for u in units):
         raise ValueError(f"unit must be one of {UNITS}")
-    if strategy == "auto":
-        from kilowatt.operators.joins import input_size_bytes
-        size = input_size_bytes(df)
-        strategy = "independent" if size is not None and size < HIERARCHICAL_MIN_BYTES else "hierarchical"
-    if strategy == "independent":
-        parts = [timescale_rollup(df, u, ts, keys, value, scale) for u in units]
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return out
-    if strategy != "hierarchical":
-        raise ValueError(f"unknown strategy {strategy!r}")
     order = sorted(units, key=UNITS.index)
     t = df.schema[ts].dataType
     v = F.col(value)
@@ -84,7 +64,7 @@ def multi_scale_rollup(df: DataFrame, units: Sequence[str] = UNITS, ts: str = "t
 
 
 def energy_losses(daily: DataFrame, site_keys: Sequence[str] = ("site_id", "technology"),
-                  scale: int = 4) -> DataFrame:
+                  scale: int = DEFAULT_SCALE) -> DataFrame:
     """Estimated energy lost to outages per site-day (our own formula — the
     reference names the KPI without one): offline hours × capacity (MW) ×
     the site's mean daily capacity factor, in MWh. NULL when capacity or the

@@ -86,20 +86,22 @@ def silver_job(spark: SparkSession, lake: Lake, tiebreak=()) -> int:
 
 
 def gold_job(spark: SparkSession, lake: Lake, computed_at=None, dates=None) -> None:
-    """Silver → daily KPIs (versioned by date), enriched daily KPIs (by
-    technology) and the monthly efficiency report (written in report order),
-    each a new version of its table (readers keep the previous one until the
-    commit). With ``dates`` only those days of the daily table are
-    re-aggregated — a partition-pruned read of silver and a partial version
-    replacing just those dates; the two small derived tables are rebuilt."""
+    """Silver → daily KPIs (by date), enriched daily KPIs (by technology) and
+    the monthly efficiency report (written in report order), each a new version
+    of its table (readers keep the previous one until the commit). With
+    ``dates`` only those days (None: the NULL day) of the daily table are
+    aggregated anew, from a partition-pruned read of silver; the other days are
+    copied, and the two small derived tables are rebuilt."""
     now = computed_at if computed_at is not None else F.current_timestamp()
     prod = read_layer(spark, lake.table("silver", "production"))
     daily_path = lake.table("gold", "daily_kpis")
     if dates is not None and versioned.latest_version(spark, daily_path) is not None:
-        days = sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in dates})
-        if days:
-            part = gold.daily_kpis(prod.filter(F.col("date").isin(days)), computed_at=now)
-            versioned.write_version(part, daily_path, "UPDATE", partition_col="date", replaced=days)
+        days = [dt.date.fromisoformat(str(d)) for d in dates if d is not None]
+        hit = F.coalesce(F.col("date").isin(days), F.lit(None in dates))
+        part = gold.daily_kpis(prod.filter(hit), computed_at=now)
+        rest = versioned.read_version(spark, daily_path).filter(~hit)
+        versioned.write_version(_rebalanced(rest.select(*part.columns).unionByName(part), ["date"]), daily_path, "UPDATE",
+                                partition_col="date", touched=dates)
     else:
         versioned.write_version(gold.daily_kpis(prod, computed_at=now), daily_path, partition_col="date")
     daily = read_layer(spark, daily_path)
@@ -112,16 +114,16 @@ def gold_job(spark: SparkSession, lake: Lake, computed_at=None, dates=None) -> N
                             lake.table("gold", "site_efficiency_report"))
 
 
-def replaced_since(spark: SparkSession, path: str, after_version: int | None) -> list[str] | None:
-    """Partition values replaced by the versions committed after
-    ``after_version`` (None: a whole-table version happened, or no table)."""
+def touched_since(spark: SparkSession, path: str, after_version: int | None) -> list[str | None] | None:
+    """Partition values that the versions after ``after_version`` have changed:
+    an empty list when there is none, None when any value may have changed."""
     log = versioned.commits(spark, path)
     if after_version is not None:
         log = log.filter(F.col("version") > after_version)
-    rows = log.select("replaced").collect()  # one row per new version
-    if not rows or any(r["replaced"] is None for r in rows):
+    if log.filter("touched is null").limit(1).count():
         return None
-    return sorted({v for r in rows for v in r["replaced"]})
+    values = log.select(F.explode("touched").alias("v")).distinct().collect()  # dates
+    return sorted((r["v"] for r in values), key=lambda v: (v is None, v))
 
 
 def run_all(spark: SparkSession, landing: str, lake: Lake) -> dict[str, str]:
@@ -132,12 +134,12 @@ def run_all(spark: SparkSession, landing: str, lake: Lake) -> dict[str, str]:
 
 
 def incremental_silver_job(spark: SparkSession, landing: str, lake: Lake,
-                           checkpoint_root: str | None = None, timeout_s: float | None = 600) -> int | None:
+                           checkpoint_root: str | None = None, timeout_s: float | None = None) -> int | None:
     """New landing files → silver, incrementally: one availableNow stream per
     technology (``solar*.csv``, ``wind*.csv``, each with its own checkpoint),
     whose micro-batches are cleaned, deduplicated, enriched from the bronze
-    site table and MERGEd into the versioned silver table (no deletes: a batch
-    carries only new data). The streams run one after the other, so the table
+    site table and merged into the versioned silver table by the batch job's
+    keep-best rule (no deletes: a batch carries only new data). The streams run one after the other, so the table
     has one writer at a time. Returns the latest silver version."""
     from kilowatt.streaming.ingest import stream_csv
     from kilowatt.streaming.upsert import upsert_stream
@@ -152,5 +154,5 @@ def incremental_silver_job(spark: SparkSession, landing: str, lake: Lake,
             return silver.enrich_sites(silver.silver_technology(batch, spec), sites)
 
         upsert_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), target,
-                      f"{ckpt}/silver_{tech}", to_silver, tag=f"silver_{tech}", timeout_s=timeout_s)
+                      f"{ckpt}/silver_{tech}", to_silver, timeout_s=timeout_s)
     return versioned.latest_version(spark, target)

@@ -4,7 +4,8 @@ Written independently of the Spark code, in the reference's own shapes
 (join-then-group, one dedup per technology, ...). Rounding rules that keep
 the two engines bit-identical:
 
-* sums/averages are taken over ``DECIMAL(18,4)`` (exact, order independent);
+* sums/averages are taken over ``DECIMAL(38,12)`` (order independent, no value
+  is rounded before it is summed);
 * every ROUND goes through ``DECIMAL(38,12)`` (DuckDB rounds the binary
   double, Spark rounds its decimal text — 1.005 differs otherwise);
 * integer sums are cast to BIGINT (DuckDB gives HUGEINT).
@@ -18,7 +19,17 @@ def R(expr: str, n: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,12)), {n}) AS DOUBLE)"
 
 
+def RD(expr: str, n: int) -> str:
+    """HALF_UP round of a double as it is printed (17 digits tell doubles apart)."""
+    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,15)), {n}) AS DOUBLE)"
+
+
 def D(expr: str) -> str:
+    return f"CAST({expr} AS DECIMAL(38,12))"
+
+
+def D4(expr: str) -> str:
+    """A value that already has four decimals."""
     return f"CAST({expr} AS DECIMAL(18,4))"
 
 
@@ -26,8 +37,8 @@ def RATIO(num: str, den: str, mult: int, n: int) -> str:
     """Exact HALF_UP round(num / den × mult, n) as DOUBLE, NULL when den is 0
     or NULL. DuckDB divides decimals in double precision, so the quotient is
     formed on scaled integers instead (num, den: 4-decimal values)."""
-    a = f"CAST({D(num)} * 10000 AS HUGEINT)"
-    b = f"CAST({D(den)} * 10000 AS HUGEINT)"
+    a = f"CAST({D4(num)} * 10000 AS HUGEINT)"
+    b = f"CAST({D4(den)} * 10000 AS HUGEINT)"
     k = mult * 10 ** n
     r = f"sign({a}) * sign({b}) * ((2 * {k} * abs({a}) + abs({b})) // (2 * abs({b})))"
     return f"CASE WHEN {b} = 0 THEN NULL ELSE CAST({r} AS DOUBLE) / {10 ** n} END"
@@ -37,11 +48,11 @@ READINGS = """
 readings AS (
   SELECT event_id,
          date_trunc('hour', ts) AS "timestamp",
-         user_id AS site_id,
-         CASE WHEN user_id % 2 = 0 THEN 'solar' ELSE 'wind' END AS technology,
-         CAST(CAST(value AS DECIMAL(18,4)) - 10 AS DOUBLE) AS production_kwh,
+         CASE WHEN user_id % 13 = 5 THEN user_id + 1000000 ELSE user_id END AS site_id,
+         CASE WHEN (CASE WHEN user_id % 10 = 0 THEN event_id ELSE user_id END) % 2 = 0 THEN 'solar' ELSE 'wind' END AS technology,
+         value - 10 AS production_kwh,
          CAST((event_id % 60) - 10 AS DOUBLE) AS sensor_1,
-         CAST((event_id * 37 % 1100) - 100 AS DOUBLE) AS sensor_2,
+         CAST((event_id * 37 % 1100) - 100 AS DOUBLE) + (event_id % 7) * CAST(0.00001 AS DOUBLE) AS sensor_2,
          CASE event_type WHEN 'error' THEN 'OFFLINE' WHEN 'signup' THEN 'DEGRADED'
               WHEN 'purchase' THEN 'MAINT' WHEN 'click' THEN 'OK' WHEN 'view' THEN 'OK' END AS status
   FROM events
@@ -56,7 +67,6 @@ sites AS (
   FROM customer
   JOIN nation ON c_nationkey = n_nationkey
   JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 13 <> 5
 )"""
 
 SOLAR_RAW = """
@@ -95,7 +105,7 @@ solar_silver AS (
          CAST("timestamp" AS DATE) AS date, CAST(hour("timestamp") AS INTEGER) AS hour,
          production_kwh > 0 AS is_production,
          CASE WHEN irradiance_w_m2 > 0 AND production_kwh IS NOT NULL
-              THEN {R(f"{D('production_kwh')} / ({D('irradiance_w_m2')} * 0.01)", 2)} END AS efficiency_pct
+              THEN {RD("production_kwh / (irradiance_w_m2 * CAST(0.01 AS DOUBLE))", 2)} END AS efficiency_pct
   FROM solar_dedup
 )"""
 
@@ -207,13 +217,13 @@ SELECT * FROM daily ORDER BY date DESC, total_production_mwh DESC, site_id, tech
 
 ORACLE["daily_kpis_enriched"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
 SELECT *,
-       {RATIO(f"{D('total_production_mwh')} - {D('prev_day_production_mwh')}", "prev_day_production_mwh", 100, 2)}
+       {RATIO(f"{D4('total_production_mwh')} - {D4('prev_day_production_mwh')}", "prev_day_production_mwh", 100, 2)}
          AS day_over_day_change_pct,
-       {R(f"AVG({D('total_production_mwh')}) OVER (PARTITION BY site_id, technology ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 4)}
+       {R(f"AVG({D('total_production_mwh')}) OVER (PARTITION BY site_id ORDER BY date, technology ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 4)}
          AS rolling_7d_avg_mwh,
        CAST(DENSE_RANK() OVER (PARTITION BY date, technology ORDER BY total_production_mwh DESC NULLS LAST) AS INTEGER)
          AS daily_rank_in_technology
-FROM (SELECT *, LAG(total_production_mwh, 1) OVER (PARTITION BY site_id, technology ORDER BY date)
+FROM (SELECT *, LAG(total_production_mwh, 1) OVER (PARTITION BY site_id ORDER BY date, technology)
                   AS prev_day_production_mwh
       FROM daily) d""")
 
@@ -259,7 +269,7 @@ ANOMALY_INPUT = f"""
 anomaly_input AS (
   SELECT date, site_id, technology,
          CASE WHEN site_id % 2 = 1
-              THEN CAST(CAST(500 AS DECIMAL(18,4)) - {D('total_production_mwh')} AS DOUBLE)
+              THEN CAST(500 - {D('total_production_mwh')} AS DOUBLE)
               ELSE total_production_mwh END AS total_production_mwh
   FROM daily
 )"""
@@ -267,9 +277,9 @@ anomaly_input AS (
 _ANOMALY_CORE = f"""
 rolling_stats AS (
   SELECT date, site_id, technology, total_production_mwh,
-         AVG({D('total_production_mwh')}) OVER (PARTITION BY site_id ORDER BY date
+         AVG({D('total_production_mwh')}) OVER (PARTITION BY site_id ORDER BY date, technology
              ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS rolling_30d_avg,
-         STDDEV_SAMP(total_production_mwh) OVER (PARTITION BY site_id ORDER BY date
+         STDDEV_SAMP(total_production_mwh) OVER (PARTITION BY site_id ORDER BY date, technology
              ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS rolling_30d_std
   FROM anomaly_input
 ),
@@ -289,7 +299,7 @@ SELECT date, site_id, technology,
             ELSE '✅ Normal' END AS alert_level
 FROM anomalies
 WHERE ABS(z_score) > 1.5
-ORDER BY ABS(z_score) DESC, site_id, date
+ORDER BY ABS(z_score) DESC, site_id, date, technology
 LIMIT 30""")
 
 _RULES = ["CASE WHEN NOT COALESCE(production_kwh IS NULL OR production_kwh >= 0, TRUE) THEN 'chk_production_positive' END",
@@ -298,7 +308,7 @@ _RULES = ["CASE WHEN NOT COALESCE(production_kwh IS NULL OR production_kwh >= 0,
 
 ORACLE["expect_quarantine"] = _q(READINGS, body=f"""
 SELECT * FROM (
-  SELECT event_id, "timestamp", site_id, technology, production_kwh, sensor_2, status,
+  SELECT *,
          concat_ws(',', {', '.join(_RULES)}) AS failed_rules
   FROM readings) q
 WHERE failed_rules <> ''""")
@@ -328,7 +338,7 @@ joined AS (
          t.status AS t_status, t.date AS t_date, t.hour AS t_hour, t._t,
          s."timestamp" AS s_ts, s.site_id AS s_site, s.technology AS s_tech, s.production_kwh AS s_kwh,
          s.status AS s_status, s.date AS s_date, s.hour AS s_hour, s._s
-  FROM tgt t FULL OUTER JOIN src s ON t."timestamp" = s."timestamp" AND t.site_id = s.site_id),
+  FROM tgt t FULL OUTER JOIN src s ON t."timestamp" = s."timestamp" AND t.site_id = s.site_id AND t.technology = s.technology),
 actions AS (
   SELECT *, CASE WHEN _s IS NULL THEN (CASE WHEN t_date >= DATE '2024-01-23' THEN 'delete' ELSE 'keep' END)
                  WHEN _t IS NULL THEN 'insert'
@@ -355,22 +365,17 @@ ORACLE["version_latest"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
 SELECT "timestamp", site_id, technology, production_kwh, status, date, hour
 FROM merged WHERE _action <> 'delete'""")
 
+# every version is a whole snapshot: all rows but the deleted ones are written
 ORACLE["history"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
 SELECT CAST(1 AS BIGINT) AS version, 'MERGE' AS operation,
-       CAST(SUM(CASE WHEN _action <> 'delete' AND (t_date IS NULL OR t_date >= DATE '2024-01-20'
-                                                    OR t_date IN (SELECT date FROM src)) THEN 1 ELSE 0 END) AS BIGINT)
-         AS num_output_rows,
+       CAST(SUM(CASE WHEN _action <> 'delete' THEN 1 ELSE 0 END) AS BIGINT) AS num_output_rows,
        CAST(SUM(CASE WHEN _action = 'insert' THEN 1 ELSE 0 END) AS BIGINT) AS num_inserted,
        CAST(SUM(CASE WHEN _action = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS num_updated,
        CAST(SUM(CASE WHEN _action = 'delete' THEN 1 ELSE 0 END) AS BIGINT) AS num_deleted,
-       CAST(SUM(CASE WHEN _action = 'keep' AND (t_date >= DATE '2024-01-20' OR t_date IN (SELECT date FROM src))
-                     THEN 1 ELSE 0 END) AS BIGINT) AS num_kept,
-       CAST((SELECT COUNT(DISTINCT date) FROM (SELECT date FROM src UNION SELECT date FROM tgt
-                                               WHERE date >= DATE '2024-01-23')) AS INTEGER)
-         AS num_replaced_partitions
+       CAST(SUM(CASE WHEN _action = 'keep' THEN 1 ELSE 0 END) AS BIGINT) AS num_kept
 FROM actions
 UNION ALL
-SELECT CAST(0 AS BIGINT), 'WRITE', (SELECT COUNT(*) FROM tgt), NULL, NULL, NULL, NULL, CAST(0 AS INTEGER)""")
+SELECT CAST(0 AS BIGINT), 'WRITE', (SELECT COUNT(*) FROM tgt), NULL, NULL, NULL, NULL""")
 
 ORDER_VALUES = """
 order_values AS (
@@ -397,8 +402,7 @@ SELECT date, site_id, technology, total_production_mwh,
          AS next_day_total_production_mwh
 FROM daily""")
 
-_LINEITEM = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
-       l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
+_LINEITEM = "SELECT * FROM lineitem"
 ORACLE["compact_layout"] = _LINEITEM
 ORACLE["zorder_layout"] = _LINEITEM
 ORACLE["sorted_write"] = _LINEITEM
@@ -411,7 +415,7 @@ RAW_READINGS = """
 raw_readings AS (
   SELECT ts AS "timestamp", user_id AS site_id,
          CASE WHEN user_id % 2 = 0 THEN 'solar' ELSE 'wind' END AS technology,
-         CAST(CAST(value AS DECIMAL(18,4)) - 10 AS DOUBLE) AS production_kwh
+         value - 10 AS production_kwh
   FROM events
 )"""
 
@@ -453,14 +457,69 @@ SELECT event_id, site_id,
 FROM readings
 WHERE technology = 'solar' AND (status IN ('OK', 'OFFLINE') OR production_kwh IS NULL OR production_kwh < 0)""")
 
-_SOLAR_LANDING = """SELECT "timestamp", CAST(site_id AS VARCHAR) AS site_id, panel_temp_c, irradiance_w_m2,
-       production_kwh, status FROM solar_raw"""
+def _landing(site_type: str = "VARCHAR") -> str:
+    """Both kinds of landing files in one shape."""
+    return f"""
+SELECT 'solar' AS kind, "timestamp", CAST(site_id AS {site_type}) AS site_id, panel_temp_c AS sensor_1,
+       irradiance_w_m2 AS sensor_2, production_kwh, status FROM solar_raw
+UNION ALL
+SELECT 'wind', "timestamp", CAST(site_id AS {site_type}), wind_speed_ms, CAST(wind_direction_deg AS DOUBLE), production_kwh, status
+FROM wind_raw"""
+
 
-ORACLE["csv_roundtrip"] = _q(*BRONZE, body=_SOLAR_LANDING)
+ORACLE["csv_roundtrip"] = _q(*BRONZE, body=_landing())
+ORACLE["csv_all_strings"] = _q(*BRONZE, body=f"SELECT *, TRUE AS all_strings FROM ({_landing()}) x")
 # type inference reads the small site ids as INT
-ORACLE["csv_inferred"] = _q(*BRONZE, body="""SELECT "timestamp", CAST(site_id AS INTEGER) AS site_id, panel_temp_c,
-       irradiance_w_m2, production_kwh, status FROM solar_raw""")
-ORACLE["stream_ingest"] = _q(*BRONZE, body=_SOLAR_LANDING)
+ORACLE["csv_inferred"] = _q(*BRONZE, body=_landing("INTEGER"))
+ORACLE["stream_ingest"] = _q(*BRONZE, body=_landing())
+ORACLE["bronze_audit"] = _q(*BRONZE, body=f"""
+SELECT kind, 'fixture' AS batch_id, CAST(YEAR("timestamp") AS INTEGER) AS year, CAST(MONTH("timestamp") AS INTEGER) AS month,
+       TRUE AS source_named, TRUE AS ingested, COUNT(*) AS num_rows
+FROM ({_landing()}) x GROUP BY ALL""")
+ORACLE["stream_quality"] = _q(*BRONZE, body=f"""
+SELECT kind, COUNT(*) AS total_rows, CAST(SUM(CASE WHEN production_kwh IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_production,
+       CAST(SUM(CASE WHEN production_kwh < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_production,
+       CAST(SUM(CASE WHEN status = 'OFFLINE' THEN 1 ELSE 0 END) AS BIGINT) AS offline_records
+FROM ({_landing()}) x GROUP BY kind""")
+# one landing file per kind, at least one byte each
+ORACLE["file_inventory"] = _q(*BRONZE, body="""
+SELECT 'solar' AS kind, COUNT(*) > 0 AS has_rows, CAST(1 AS BIGINT) AS num_files, TRUE AS names_match, TRUE AS sizes_positive FROM solar_raw
+UNION ALL
+SELECT 'wind', COUNT(*) > 0, CAST(1 AS BIGINT), TRUE, TRUE FROM wind_raw""")
+ORACLE["view_sql"] = _q(*SILVER_CHAIN, body=f"""
+SELECT technology, COUNT(*) AS num_rows, {R(f"SUM({D('production_kwh')})", 2)} AS total_kwh
+FROM production WHERE status = 'OK' GROUP BY technology""")
+ORACLE["daily_kpis_stamped"] = _q(*SILVER_CHAIN, SITES, DAILY, body="""
+SELECT *, TIMESTAMP '2024-02-01 06:00:00' AS computed_at FROM daily""")
+ORACLE["report_ordered"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
+SELECT * FROM (
+  SELECT site_id, technology, strftime(date, '%Y-%m') AS month_label,
+         {R(f"AVG({D('availability_pct')}) * 0.4 + AVG({D('daily_capacity_factor_pct')}) * 0.6", 1)} AS performance_score
+  FROM daily GROUP BY site_id, technology, strftime(date, '%Y-%m')) r
+ORDER BY month_label, performance_score DESC NULLS LAST, site_id, technology LIMIT 50""")
+# NULL sites and NULL dates on both sides: no key matches them, every row counts
+ORACLE["merge_null_keys"] = _q(*SILVER_CHAIN, """
+nbase AS (
+  SELECT "timestamp", CASE WHEN hour = 3 THEN NULL ELSE site_id END AS site_id, technology, production_kwh, status,
+         CASE WHEN hour = 5 THEN NULL ELSE date END AS date, hour
+  FROM production),
+ntgt AS (SELECT *, 1 AS t FROM nbase WHERE date IS NULL OR date < DATE '2024-01-27'),
+nsrc AS (
+  SELECT "timestamp", site_id, technology, CASE WHEN hour % 2 = 0 THEN production_kwh + 1 ELSE production_kwh END AS production_kwh,
+         status, date, hour, 1 AS s
+  FROM nbase WHERE date IS NULL OR date >= DATE '2024-01-20')""", body="""
+SELECT CASE WHEN take THEN s_ts ELSE t_ts END AS "timestamp", CASE WHEN take THEN s_site ELSE t_site END AS site_id,
+       CASE WHEN take THEN s_tech ELSE t_tech END AS technology, CASE WHEN take THEN s_kwh ELSE t_kwh END AS production_kwh,
+       CASE WHEN take THEN s_status ELSE t_status END AS status, CASE WHEN take THEN s_date ELSE t_date END AS date,
+       CASE WHEN take THEN s_hour ELSE t_hour END AS hour
+FROM (
+  SELECT a."timestamp" AS t_ts, a.site_id AS t_site, a.technology AS t_tech, a.production_kwh AS t_kwh, a.status AS t_status,
+         a.date AS t_date, a.hour AS t_hour, b."timestamp" AS s_ts, b.site_id AS s_site, b.technology AS s_tech,
+         b.production_kwh AS s_kwh, b.status AS s_status, b.date AS s_date, b.hour AS s_hour, b.s,
+         a.t IS NULL OR COALESCE(a.production_kwh <> b.production_kwh, FALSE) AS take
+  FROM ntgt a FULL OUTER JOIN nsrc b
+    ON a."timestamp" = b."timestamp" AND a.site_id = b.site_id AND a.technology = b.technology) x
+WHERE NOT (s IS NULL AND COALESCE(t_date >= DATE '2024-01-23', FALSE))""")
 
 ORACLE["stream_rollup"] = _q(RAW_READINGS, body=f"""
 SELECT date_trunc('hour', "timestamp") AS window_start,
@@ -490,15 +549,12 @@ stream_daily AS (
 )""", body=f"""
 SELECT d.date, d.site_id, d.production_mwh, {R("b.baseline_mean", 4)} AS baseline_mean,
        {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} AS z_score,
-       CASE WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} < -2 THEN '🔴 ANOMALIE BASSE'
+       CASE WHEN b.site_id IS NULL THEN 'no baseline'
+            WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} < -2 THEN '🔴 ANOMALIE BASSE'
             WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} < -1 THEN '🟡 Production faible'
             WHEN {R("(d.production_mwh - b.baseline_mean) / NULLIF(b.baseline_std, 0)", 2)} > 2 THEN '🔵 Production exceptionnelle'
             ELSE '✅ Normal' END AS alert_level
-FROM stream_daily d JOIN baseline b USING (site_id)""")
-
-ORACLE["csv_all_strings"] = _q(*BRONZE, body="""
-SELECT CAST(site_id AS VARCHAR) AS site_id, status, CAST(production_kwh AS VARCHAR) AS production_kwh_text
-FROM solar_raw""")
+FROM stream_daily d LEFT JOIN baseline b USING (site_id)""")
 
 _INVENTORY = [("bronze", "bronze.sites_raw", "sites", 9), ("bronze", "bronze.solar_raw", "solar_raw", 11),
               ("bronze", "bronze.wind_raw", "wind_raw", 11), ("silver", "silver.production", "production", 17),
@@ -524,7 +580,7 @@ SELECT event_id, site_id, production_kwh, status FROM readings WHERE technology
 
 ORACLE["daily_kpis_calendar"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
 SELECT *,
-       {RATIO(f"{D('total_production_mwh')} - {D('prev_day_production_mwh')}", "prev_day_production_mwh", 100, 2)}
+       {RATIO(f"{D4('total_production_mwh')} - {D4('prev_day_production_mwh')}", "prev_day_production_mwh", 100, 2)}
          AS day_over_day_change_pct,
        {R(f"AVG({D('total_production_mwh')}) OVER (PARTITION BY site_id, technology ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)", 4)}
          AS rolling_7d_avg_mwh,
@@ -534,26 +590,25 @@ FROM (SELECT d.*, p.total_production_mwh AS prev_day_production_mwh
       FROM daily d LEFT JOIN daily p
         ON p.site_id = d.site_id AND p.technology = d.technology AND p.date = d.date - 1) x""")
 
-ORACLE["stream_upsert"] = _q(READINGS, SOLAR_RAW, f"""
-solar_clean AS (
-  SELECT "timestamp", site_id, panel_temp_c,
-         CASE WHEN irradiance_w_m2 < 0 THEN NULL ELSE irradiance_w_m2 END AS irradiance_w_m2,
-         CASE WHEN production_kwh < 0 THEN NULL ELSE production_kwh END AS production_kwh,
-         {_CLEAN_STATUS} AS status
-  FROM solar_raw
-)""", body="""
-SELECT "timestamp", site_id, 'solar' AS technology, production_kwh, status,
+# drops overlap and arrive out of order; the result is the batch job's silver
+ORACLE["stream_upsert"] = _q(READINGS, f"""
+clean AS (
+  SELECT "timestamp", site_id, technology, CASE WHEN production_kwh < 0 THEN NULL ELSE production_kwh END AS production_kwh,
+         {_CLEAN_STATUS} AS status,
+         CASE WHEN technology = 'wind' AND sensor_1 < 0 THEN NULL ELSE sensor_1 END AS m1,
+         CASE WHEN technology = 'wind' THEN CAST(event_id * 37 % 360 AS DOUBLE) WHEN sensor_2 < 0 THEN NULL ELSE sensor_2 END AS m2
+  FROM readings)""", body="""
+SELECT "timestamp", site_id, technology, production_kwh, status, m1 AS sensor_metric_1, m2 AS sensor_metric_2,
        CAST("timestamp" AS DATE) AS date, CAST(hour("timestamp") AS INTEGER) AS hour
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "timestamp", site_id
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY "timestamp", site_id, technology
                                    ORDER BY production_kwh DESC NULLS LAST, status ASC NULLS LAST,
-                                            panel_temp_c ASC NULLS LAST, irradiance_w_m2 ASC NULLS LAST) AS rn
-      FROM solar_clean) d
+                                            m1 ASC NULLS LAST, m2 ASC NULLS LAST) AS rn
+      FROM clean) d
 WHERE rn = 1""")
 
-ORACLE["global_rank_distributed"] = ORACLE["global_rank"]
-
 ORACLE["bronze_time_travel"] = _q(*BRONZE, body="""
-SELECT COUNT(*) AS rows_v0, CAST(2 AS BIGINT) AS versions FROM solar_raw""")
+SELECT 'solar' AS kind, COUNT(*) AS rows_v0, CAST(2 AS BIGINT) AS versions FROM solar_raw
+UNION ALL
+SELECT 'wind', COUNT(*), CAST(2 AS BIGINT) FROM wind_raw""")
 
-ORACLE["timescale_rollup_onepass"] = ORACLE["timescale_rollup"]
 ORACLE["merge_upsert_pruned"] = ORACLE["merge_upsert"]

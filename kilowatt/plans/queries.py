@@ -36,14 +36,11 @@ def register(name: str):
 
 # ---------------------------------------------------------------- silver
 
-@fx._memo
 def production(spark: SparkSession, sf: str) -> DataFrame:
-    """Unified silver facts from the two bronze-shaped fixture tables (the
-    plan is built once per session; it reads read-only tables)."""
+    """Unified silver facts from the two bronze-shaped fixture tables."""
     return silver.silver_production(fx.raw_sources(spark, sf), tiebreak=["event_id"])
 
 
-@fx._memo
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     return gold.daily_kpis(production(spark, sf), fx.sites(spark, sf))
 
@@ -115,7 +112,7 @@ def q_daily_kpis_calendar(spark, sf):
 @register("daily_rank_bucketed")
 def q_daily_rank_bucketed(spark, sf):
     """Daily KPIs enriched with the skew-safe (range-bucketed) daily rank."""
-    return gold.enrich_daily(daily(spark, sf), rank_strategy="bucketed", rank_buckets=32)
+    return gold.enrich_daily(daily(spark, sf), rank_strategy="bucketed")
 
 
 @register("site_efficiency_report")
@@ -126,7 +123,7 @@ def q_site_efficiency_report(spark, sf):
 def anomaly_input(spark: SparkSession, sf: str) -> DataFrame:
     """Daily series with odd sites flipped (500 − MWh) so both tails occur."""
     d = gold.daily_production(production(spark, sf))
-    flipped = (F.lit(500).cast("decimal(18,4)") - exact("total_production_mwh")).cast("double")
+    flipped = (F.lit(500).cast("decimal(18,4)") - F.col("total_production_mwh").cast("decimal(18,4)")).cast("double")
     return d.select("date", "site_id", "technology",
                     F.when(F.col("site_id") % 2 == 1, flipped)
                     .otherwise(F.col("total_production_mwh")).alias("total_production_mwh"))
@@ -147,8 +144,7 @@ def reading_rules():
 
 @register("expect_quarantine")
 def q_expect_quarantine(spark, sf):
-    r = fx.readings(spark, sf).drop("sensor_1")
-    _, bad = quality.expect(r, reading_rules(), "quarantine")
+    _, bad = quality.expect(fx.readings(spark, sf), reading_rules(), "quarantine")
     return bad
 
 
@@ -180,17 +176,30 @@ def merge_pair(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @register("merge_upsert")
 def q_merge_upsert(spark, sf):
     target, source = merge_pair(spark, sf)
-    return merge.merge_upsert(target, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF,
-                              prune_col="date")
+    return merge.merge_upsert(target, source, as_of=MERGE_AS_OF)
 
 
 @register("merge_upsert_pruned")
 def q_merge_upsert_pruned(spark, sf):
-    """The at-scale form forced: only target rows of the source's dates (and
-    of the delete window) go through the full outer join."""
+    """Only target rows of the source's dates (which the caller names) and of
+    the delete window go through the full outer join."""
     target, source = merge_pair(spark, sf)
-    return merge.merge_upsert(target, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF,
-                              prune_col="date", prune_min_bytes=0)
+    return merge.merge_upsert(target, source, as_of=MERGE_AS_OF, touched=versioned.touched_values(source, "date"))
+
+
+@register("merge_null_keys")
+def q_merge_null_keys(spark, sf):
+    """MERGE into a versioned table where sites and dates are NULL on both
+    sides: no such row is lost or matched."""
+    base = production(spark, sf).select(*MERGE_COLUMNS).withColumns({
+        "site_id": F.when(F.col("hour") != 3, F.col("site_id")), "date": F.when(F.col("hour") != 5, F.col("date"))})
+    target = base.filter("date is null or date < date'2024-01-27'")
+    source = base.filter("date is null or date >= date'2024-01-20'").withColumn(
+        "production_kwh", F.when(F.col("hour") % 2 == 0, F.col("production_kwh") + 1).otherwise(F.col("production_kwh")))
+    path = scratch_path(spark, "versioned")
+    versioned.write_version(target, path, partition_col="date")
+    versioned.merge_into(path, source, as_of=MERGE_AS_OF)
+    return versioned.read_version(spark, path).select(*MERGE_COLUMNS)
 
 
 def _versioned_merge(spark: SparkSession, sf: str) -> str:
@@ -198,7 +207,7 @@ def _versioned_merge(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "versioned")
     target, source = merge_pair(spark, sf)
     versioned.write_version(target, path, "WRITE", partition_col="date")
-    versioned.merge_into(path, source, ["timestamp", "site_id"], as_of=MERGE_AS_OF)
+    versioned.merge_into(path, source, as_of=MERGE_AS_OF)
     return path
 
 
@@ -233,26 +242,17 @@ def order_values(spark: SparkSession, sf: str) -> DataFrame:
 def q_rank_trio(spark, sf):
     """dense_rank / rank / row_number side by side within each priority. Five
     priorities share all orders, so each group is ranked in value ranges
-    (bucketed) rather than by one task per priority."""
-    return ranking.bucketed_rank(order_values(spark, sf), ["o_orderpriority"], "value",
-                                 tiebreak=["o_orderkey"], buckets=16)
+    rather than by one task per priority."""
+    return ranking.bucketed_rank(order_values(spark, sf), ["o_orderpriority"], "value", tiebreak=["o_orderkey"])
 
 
 @register("global_rank")
 def q_global_rank(spark, sf):
-    """The same three ranks over the whole table, as a user runs it: bucket
-    count from the size estimate (one plain window only when that proves the
-    table fits one bucket, distributed otherwise)."""
+    """The same three ranks over the whole table, without a single task that
+    sorts it."""
     return ranking.global_rank(order_values(spark, sf), "value", tiebreak=["o_orderkey"])
 
 
-@register("global_rank_distributed")
-def q_global_rank_distributed(spark, sf):
-    """The distributed path forced at any size (16 value buckets)."""
-    return ranking.global_rank(order_values(spark, sf), "value", tiebreak=["o_orderkey"],
-                               buckets=16)
-
-
 @register("daily_next_day")
 def q_daily_next_day(spark, sf):
     return gold.next_day(daily(spark, sf)).select(
@@ -261,24 +261,18 @@ def q_daily_next_day(spark, sf):
 
 # ---------------------------------------------------------------- layout
 
-LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-                 "l_shipdate"]
-
-
 @register("compact_layout")
 def q_compact_layout(spark, sf):
     path = scratch_path(spark, "compact")
-    layout.compact(read_table(spark, sf, "lineitem"), path, partition_cols=["l_returnflag"],
-                   target_file_bytes=8 * 1024 * 1024)
-    return spark.read.parquet(path).select(*LINEITEM_COLS)
+    layout.compact(read_table(spark, sf, "lineitem"), path, partition_cols=["l_returnflag"])
+    return spark.read.parquet(path)
 
 
 @register("zorder_layout")
 def q_zorder_layout(spark, sf):
     path = scratch_path(spark, "zorder")
     layout.zorder_layout(read_table(spark, sf, "lineitem"), ["l_suppkey", "l_partkey"], path, files=8)
-    return spark.read.parquet(path).select(*LINEITEM_COLS)
+    return spark.read.parquet(path)
 
 
 @register("sorted_write")
@@ -286,7 +280,7 @@ def q_sorted_write(spark, sf):
     path = scratch_path(spark, "sorted")
     layout.sorted_write(read_table(spark, sf, "lineitem"),
                         ["l_shipdate", "l_orderkey", "l_linenumber"], path, files=8)
-    return spark.read.parquet(path).select(*LINEITEM_COLS)
+    return spark.read.parquet(path)
 
 
 @register("partition_profile")
@@ -303,7 +297,7 @@ def raw_readings(spark: SparkSession, sf: str) -> DataFrame:
     ev = read_table(spark, sf, "events")
     return ev.select(F.col("ts").alias("timestamp"), F.col("user_id").alias("site_id"),
                      F.when(F.col("user_id") % 2 == 0, "solar").otherwise("wind").alias("technology"),
-                     (F.col("value").cast("decimal(18,4)") - 10).cast("double").alias("production_kwh"))
+                     (F.col("value") - 10).alias("production_kwh"))
 
 
 @register("timescale_rollup")
@@ -311,13 +305,6 @@ def q_timescale_rollup(spark, sf):
     return timescale.multi_scale_rollup(raw_readings(spark, sf))
 
 
-@register("timescale_rollup_onepass")
-def q_timescale_rollup_onepass(spark, sf):
-    """The at-scale form forced: readings aggregated once per minute, hours
-    and days rolled up from the minute partials."""
-    return timescale.multi_scale_rollup(raw_readings(spark, sf), strategy="hierarchical")
-
-
 @register("energy_losses")
 def q_energy_losses(spark, sf):
     return timescale.energy_losses(daily(spark, sf))
@@ -351,75 +338,143 @@ def q_predicates_scalars(spark, sf):
 # ---------------------------------------------------------------- files, CSV and streams
 
 
-SOLAR_COLS = [f.name for f in schemas.SOLAR_SCHEMA.fields]
+KINDS = {"solar": (fx.solar_raw, schemas.SOLAR_SCHEMA, "panel_temp_c", "irradiance_w_m2"),
+         "wind": (fx.wind_raw, schemas.WIND_SCHEMA, "wind_speed_ms", "wind_direction_deg")}
 
 
-def _landing_solar(spark: SparkSession, sf: str, root: str, split_date: str | None = None) -> str:
-    """Solar readings as CSV landing files (reference solar layout, string
-    site ids); with ``split_date`` only rows before it."""
-    df = fx.solar_raw(spark, sf)
-    if split_date:
-        df = df.filter(F.col("timestamp") < F.lit(split_date).cast("timestamp_ntz"))
-    df = df.select(*[F.col(c).cast("string") if c == "site_id" else F.col(c) for c in SOLAR_COLS])
-    return layers.write_csv(df, root, mode="append")
+def _land(spark: SparkSession, sf: str, kind: str, root: str, keep=None, files: int | None = None) -> str:
+    """Readings of one kind as CSV landing files (declared columns, string site
+    ids) below ``root``/kind; ``keep``: a condition on the rows of this drop."""
+    raw, schema, *_ = KINDS[kind]
+    df = raw(spark, sf) if keep is None else raw(spark, sf).filter(keep)
+    df = df.select(*[F.col(f.name).cast("string") if f.name == "site_id" else F.col(f.name) for f in schema.fields])
+    return layers.write_csv(df.coalesce(files) if files else df, f"{root}/{kind}", mode="append")
 
 
-def _ntz(df: DataFrame) -> DataFrame:
-    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+def _common(df: DataFrame, kind: str) -> DataFrame:
+    """Both kinds in one shape, for comparing them together."""
+    _, _, one, two = KINDS[kind]
+    return df.select(F.lit(kind).alias("kind"), F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "site_id",
+                     F.col(one).cast("double").alias("sensor_1"), F.col(two).cast("double").alias("sensor_2"),
+                     F.col("production_kwh").cast("double").alias("production_kwh"), "status")
 
 
-@register("csv_roundtrip")
-def q_csv_roundtrip(spark, sf):
+def _both(of_kind: Callable[[str], DataFrame]) -> DataFrame:
+    return of_kind("solar").unionByName(of_kind("wind"))
+
+
+def _bronze(spark: SparkSession, sf: str, kind: str) -> DataFrame:
     """Landing CSV → declared-schema read → audit + partition columns →
-    partitioned bronze write → read → audit columns dropped."""
+    partitioned bronze write → read."""
     root = scratch_path(spark, "csv")
-    _landing_solar(spark, sf, f"{root}/landing")
-    raw = files.read_csv(spark, f"{root}/landing", schema=schemas.SOLAR_SCHEMA)
+    raw = files.read_csv(spark, _land(spark, sf, kind, root), schema=KINDS[kind][1])
     bronze_df = with_audit(raw, partition_from="timestamp", batch_id="fixture")
-    layers.write_layer(bronze_df, f"{root}/bronze/solar_raw", partition_by=["_year", "_month"])
-    back = spark.read.parquet(f"{root}/bronze/solar_raw")
-    return _ntz(silver.drop_audit(back)).select(*SOLAR_COLS)
+    layers.write_layer(bronze_df, f"{root}/bronze", partition_by=["_year", "_month"])
+    return spark.read.parquet(f"{root}/bronze")
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Landing CSV → bronze → read, the audit columns dropped."""
+    return _both(lambda kind: _common(silver.drop_audit(_bronze(spark, sf, kind)), kind))
+
+
+@register("bronze_audit")
+def q_bronze_audit(spark, sf):
+    """The audit columns by value: injected batch id, year and month of the
+    reading, a source path below the landing folder, an ingest time."""
+    def of_kind(kind):
+        return _bronze(spark, sf, kind).groupBy(
+            F.lit(kind).alias("kind"), F.col("_batch_id").alias("batch_id"), F.col("_year").alias("year"), F.col("_month").alias("month"),
+            F.col("_source_file").rlike(f"/{kind}/part-[^/]*[.]csv$").alias("source_named"),
+            F.col("_ingested_at").isNotNull().alias("ingested")).agg(F.count(F.lit(1)).alias("num_rows"))
+    return _both(of_kind)
 
 
 @register("csv_all_strings")
 def q_csv_all_strings(spark, sf):
-    """Header-only CSV read (no schema, no inference): every column a string."""
+    """Header-only CSV read (no schema, no inference): every column a string,
+    whose text casts back to the value that was written."""
     root = scratch_path(spark, "csv")
-    _landing_solar(spark, sf, f"{root}/landing")
-    df = files.read_csv(spark, f"{root}/landing")
-    return df.select("site_id", "status", F.col("production_kwh").alias("production_kwh_text"))
+
+    def of_kind(kind):
+        df = files.read_csv(spark, _land(spark, sf, kind, root))
+        return _common(df, kind).withColumn("all_strings", F.lit(all(t == "string" for _, t in df.dtypes)))
+    return _both(of_kind)
 
 
 @register("csv_inferred")
 def q_csv_inferred(spark, sf):
     """CSV read with type inference (an extra pass over the input)."""
     root = scratch_path(spark, "csv")
-    _landing_solar(spark, sf, f"{root}/landing")
-    df = files.read_csv(spark, f"{root}/landing", infer=True)
-    return _ntz(df).select(*SOLAR_COLS)
+    return _both(lambda kind: _common(files.read_csv(spark, _land(spark, sf, kind, root), infer=True), kind))
+
+
+def _ingested(spark: SparkSession, sf: str, kind: str) -> tuple[DataFrame, dict[str, int]]:
+    """Two arrivals of landing files drained by three incremental runs; the
+    bronze table and the quality counts summed over the runs."""
+    root = scratch_path(spark, "stream")
+    landing, target, ckpt = f"{root}/{kind}", f"{root}/bronze", f"{root}/_checkpoint"
+    late = F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    totals: dict[str, int] = {}
+    for keep in (~late, late, None):
+        if keep is not None:
+            _land(spark, sf, kind, root, keep)
+        for k, v in ingest.ingest_stream(spark, landing, KINDS[kind][1], target, ckpt).items():
+            totals[k] = totals.get(k, 0) + v
+    return spark.read.parquet(target), totals
 
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf):
-    """Two arrivals of landing files drained by three incremental runs: every
-    row lands exactly once (the third run finds nothing new)."""
-    root = scratch_path(spark, "stream")
-    landing, target, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
-    _landing_solar(spark, sf, landing, split_date="2024-01-15")
-    ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt)
-    full = fx.solar_raw(spark, sf).filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz"))
-    layers.write_csv(full.select(*[F.col(c).cast("string") if c == "site_id" else F.col(c)
-                                   for c in SOLAR_COLS]), landing, mode="append")
-    ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt)
-    ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt)
-    return _ntz(silver.drop_audit(spark.read.parquet(target))).select(*SOLAR_COLS)
+    """Every row lands exactly once (the third run finds nothing new)."""
+    return _both(lambda kind: _common(silver.drop_audit(_ingested(spark, sf, kind)[0]), kind))
+
+
+@register("stream_quality")
+def q_stream_quality(spark, sf):
+    """The quality counts that the runs observed, over all of their batches."""
+    rows = [(kind, *(_ingested(spark, sf, kind)[1][m] for m in ingest.QUALITY_METRICS)) for kind in KINDS]
+    return spark.createDataFrame(rows, "kind string, " + ", ".join(f"{m} long" for m in ingest.QUALITY_METRICS))
 
 
 @register("file_inventory")
 def q_file_inventory(spark, sf):
+    """What the inventory says about one landing file per kind."""
     root = scratch_path(spark, "csv")
-    _landing_solar(spark, sf, f"{root}/landing")
-    return files.file_inventory(spark, f"{root}/landing", glob="*.csv")
+
+    def of_kind(kind):
+        found = files.file_inventory(spark, _land(spark, sf, kind, root, files=1), glob="*.csv")
+        return found.agg(F.lit(kind).alias("kind"), (F.sum("size_bytes") > 0).alias("has_rows"), F.count(F.lit(1)).alias("num_files"),
+                         F.every(F.col("name").rlike("^part-.*[.]csv$")).alias("names_match"), F.every(F.col("size_bytes") > 0).alias("sizes_positive"))
+    return _both(of_kind)
+
+
+@register("view_sql")
+def q_view_sql(spark, sf):
+    """CREATE OR REPLACE twice (the second has other columns), a view over the
+    table, and SQL over the view."""
+    path = scratch_path(spark, "ctas")
+    layers.create_or_replace(production(spark, sf).select("timestamp", "site_id"), path)
+    layers.create_or_replace(production(spark, sf).select("technology", "status", "production_kwh"), path, ["technology"])
+    layers.register_view(layers.read_layer(spark, path), "kilowatt_readings")
+    return spark.sql("""
+        SELECT technology, COUNT(*) AS num_rows, CAST(ROUND(SUM(TRY_CAST(production_kwh AS DECIMAL(38,12))), 2) AS DOUBLE) AS total_kwh
+        FROM kilowatt_readings WHERE status = 'OK' GROUP BY technology""")
+
+
+@register("daily_kpis_stamped")
+def q_daily_kpis_stamped(spark, sf):
+    """Daily KPIs with an injected ``computed_at``."""
+    at = F.lit("2024-02-01 06:00:00").cast("timestamp_ntz")
+    return gold.daily_kpis(production(spark, sf), fx.sites(spark, sf), computed_at=at)
+
+
+@register("report_ordered")
+def q_report_ordered(spark, sf):
+    """The first rows of the monthly report in its presentation order."""
+    report = gold.site_efficiency_report(daily(spark, sf))
+    return report.orderBy(*gold.report_order(report)).limit(50).select("site_id", "technology", "month_label", "performance_score")
 
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -432,7 +487,7 @@ def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
 def _raw_readings_of(ev: DataFrame) -> DataFrame:
     return ev.select(F.col("ts").alias("timestamp"), F.col("user_id").alias("site_id"),
                      F.when(F.col("user_id") % 2 == 0, "solar").otherwise("wind").alias("technology"),
-                     (F.col("value").cast("decimal(18,4)") - 10).cast("double").alias("production_kwh"))
+                     (F.col("value") - 10).alias("production_kwh"))
 
 
 def _drain(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
@@ -537,43 +592,43 @@ def q_schema_evolution(spark, sf):
 
 @register("stream_upsert")
 def q_stream_upsert(spark, sf):
-    """Solar landing files arriving in two drops, each drained by a stream
-    whose micro-batches are cleaned, deduplicated and merged into a versioned
-    silver table (a third run finds nothing new)."""
+    """Landing files of both kinds arrive in three drops that overlap in rows and
+    dates, each drained by a stream per kind whose micro-batches are merged into
+    one versioned silver table (a last run finds nothing new). Whatever the
+    order, the table ends as the batch job's silver."""
     root = scratch_path(spark, "stream_upsert")
-    landing, table, ckpt = f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint"
-
-    def to_silver(batch: DataFrame) -> DataFrame:
-        b = batch.withColumns({"site_id": F.col("site_id").cast("bigint"),
-                               "timestamp": F.col("timestamp").cast("timestamp_ntz")})
-        return silver.silver_technology(b, silver.SOLAR)
-
-    def drain():
-        s = ingest.stream_csv(spark, landing, schemas.SOLAR_SCHEMA)
-        supsert.upsert_stream(s, table, ckpt, to_silver)
-
-    _landing_solar(spark, sf, landing, split_date="2024-01-15")
-    drain()
-    late = fx.solar_raw(spark, sf).filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz"))
-    layers.write_csv(late.select(*[F.col(c).cast("string") if c == "site_id" else F.col(c)
-                                   for c in SOLAR_COLS]), landing, mode="append")
-    drain()
-    drain()
+    table = f"{root}/silver"
+
+    def drain(kind: str) -> None:
+        def to_silver(batch: DataFrame) -> DataFrame:
+            b = batch.withColumns({"site_id": F.col("site_id").cast("bigint"), "timestamp": F.col("timestamp").cast("timestamp_ntz")})
+            return silver.silver_technology(b, silver.SPECS[kind])
+
+        supsert.upsert_stream(ingest.stream_csv(spark, f"{root}/{kind}", KINDS[kind][1]), table, f"{root}/_ckpt_{kind}", to_silver)
+
+    e = F.col("event_id")
+    for keep in (e % 3 == 0, e % 3 == 1, (e % 3 == 2) | (e % 5 == 0), None):
+        for kind in KINDS:
+            if keep is not None:
+                _land(spark, sf, kind, root, keep)
+            drain(kind)
     return versioned.read_version(spark, table).select(
-        "timestamp", "site_id", "technology", "production_kwh", "status", "date", "hour")
+        "timestamp", "site_id", "technology", "production_kwh", "status", "sensor_metric_1", "sensor_metric_2", "date", "hour")
 
 
 @register("bronze_time_travel")
 def q_bronze_time_travel(spark, sf):
-    """Bronze ingested twice; the row count of solar_raw AS OF version 0 and
-    the number of committed versions (time travel and history on bronze)."""
+    """Bronze ingested twice; per kind the row count AS OF version 0 and the
+    number of committed versions (time travel and history on bronze)."""
     root = scratch_path(spark, "lake")
     lake = medallion.Lake(f"{root}/lake")
     landing = _landing_layout(spark, sf, root)
     medallion.bronze_job(spark, landing, lake, batch_id="first")
     medallion.bronze_job(spark, landing, lake, batch_id="second")
-    path = lake.table("bronze", "solar_raw")
-    n_versions = versioned.history(spark, path).count()  # a handful of commit rows
-    return (versioned.read_version(spark, path, 0)
-            .agg(F.count(F.lit(1)).alias("rows_v0"))
-            .withColumn("versions", F.lit(n_versions).cast("bigint")))
+
+    def of_kind(kind):
+        path = lake.table("bronze", f"{kind}_raw")
+        n_versions = versioned.history(spark, path).count()  # a handful of commit rows
+        return versioned.read_version(spark, path, 0).agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("rows_v0"),
+                                                          F.lit(n_versions).cast("bigint").alias("versions"))
+    return _both(of_kind)

@@ -4,6 +4,7 @@ shared scratch/checkpoint folder every job writes intermediate data to."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -47,11 +48,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; create a local one only when unset
-    (local tests). On a cluster the setting must name shared storage."""
+    """Return the cluster's checkpoint folder. Where it is unset, a local master
+    gets a folder of its own (tests); a cluster must name shared storage."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
     d = tempfile.mkdtemp(prefix="kilowatt-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return checkpoint_dir(spark) or d
@@ -72,11 +75,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def cut_lineage(df):
-    """Materialise ``df`` to the shared checkpoint folder and continue from it
-    (reliable checkpoint: survives executor loss, unlike a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df, name: str):
+    """``df`` written to the shared scratch folder and read back: the lineage
+    ends there, and whatever reads it sees the same rows in the same parts."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scale_conf(input_bytes: int, total_cores: int, shuffle_target_bytes: int = 256 << 20,

@@ -1,23 +1,13 @@
-"""Versioned parquet tables (time travel and history without a table format).
-
-Layout under ``path``::
-
-    data/_version=<n>/_attempt=<id>/<part_col>=<value>/part-*.parquet   rows of version n
-    _commits/                                                          one row per version
-
-A version either replaces the whole table (``replaced = NULL``) or only the
-listed partition values — a merge that touches 8 days of a ten-year table
-rewrites those 8 days, not the table. Reading version ``n`` takes, for every
-partition value, the files of the newest version ≤ n that replaced it; the
-choice is made from the (small) commit log and reaches the scan as partition
-filters, so untouched versions are never listed or read.
-
-A version becomes visible only when its commit row is appended, *after* its
-data files are written: a failed write leaves no visible version. Every
-write attempt has its own ``_attempt`` folder and the commit names the one
-that counts, so files of an attempt that died between writing data and
-committing are never read. Two concurrent writers to one table are not
-supported.
+"""Versioned parquet tables: every version is a whole snapshot.
+
+    data/<folder>/…    the rows of one version, written once
+    _commits/          one small row per version, naming its folder
+
+A version becomes visible when its commit row is appended, after its files
+are complete; a write that failed before leaves a folder that no commit
+names. A read opens the folder of one version only: it lists no history, and
+every version keeps its own columns and types. Two concurrent writers to one
+table are not supported.
 """
 
 from __future__ import annotations
@@ -28,163 +18,102 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from kilowatt.session import path_exists
 from pyspark.sql.types import (ArrayType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from kilowatt.operators.merge import READING_KEYS, merge_upsert
+from kilowatt.session import path_exists
+
+ACTIONS = ("insert", "update", "delete", "keep")
 COMMIT_SCHEMA = StructType([
     StructField("version", LongType(), False),
     StructField("operation", StringType(), False),
     StructField("committed_at", TimestampType(), False),
-    StructField("partition_col", StringType(), True),
-    StructField("replaced", ArrayType(StringType()), True),
+    StructField("folder", StringType(), False),
+    StructField("touched", ArrayType(StringType()), True),
     StructField("num_output_rows", LongType(), True),
     StructField("num_inserted", LongType(), True),
     StructField("num_updated", LongType(), True),
     StructField("num_deleted", LongType(), True),
     StructField("num_kept", LongType(), True),
-    StructField("attempt", StringType(), True),
 ])
 
 
-def _commits_path(path: str) -> str:
-    return f"{path.rstrip('/')}/_commits"
-
-
-def _data_path(path: str) -> str:
-    return f"{path.rstrip('/')}/data"
-
-
 def commits(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, _commits_path(path)):
+    where = f"{path.rstrip('/')}/_commits"
+    if not path_exists(spark, where):
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).parquet(_commits_path(path))
+    return spark.read.schema(COMMIT_SCHEMA).parquet(where)
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
     row = commits(spark, path).agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    return None if row["v"] is None else int(row["v"])
 
 
 def write_version(df: DataFrame, path: str, operation: str = "WRITE",
-                  partition_col: str | Sequence[str] | None = None, replaced: Sequence | None = None,
-                  action_col: str | None = None) -> int:
-    """Write ``df`` as the next version and commit it; returns the version.
-
-    ``replaced=None`` replaces the whole table (an atomic overwrite: readers
-    see the old version until the commit); otherwise only the listed
-    ``partition_col`` values (which ``df`` must cover completely; a single
-    partition column). ``partition_col`` may list several columns for a
-    whole-table version (e.g. ``["_year", "_month"]``). With
-    ``action_col`` (e.g. a merge's ``_action``) per-action counts — deleted
-    rows included — are recorded, and rows whose action is ``delete`` are
-    not written."""
+                  partition_col: str | Sequence[str] | None = None, action_col: str | None = None,
+                  touched: Sequence | None = None) -> int:
+    """Write ``df`` as the next version of the table and commit it; returns the
+    version. Readers see the old version until the commit. With ``action_col``
+    (a merge's ``_action``) the counts per action are recorded and deleted rows
+    are not written. ``touched``: the partition values that differ from the
+    version before, for readers that follow changes (None: any may)."""
     spark = df.sparkSession
     cur = latest_version(spark, path)
     n = 0 if cur is None else cur + 1
-    attempt = "a" + uuid.uuid4().hex[:12]  # never all digits: stays a string partition
-    obs = Observation(f"kilowatt_{attempt}")
+    folder = f"v{n:08d}-{uuid.uuid4().hex[:12]}"
+    obs = Observation(f"kilowatt_{folder}")
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if action_col:
+        counts += [F.count_if(F.col(action_col) == x).alias(x) for x in ACTIONS]
+    df = df.observe(obs, *counts)
     if action_col:
-        a = F.col(action_col)
-        metrics = [F.sum(F.when(a == x, 1).otherwise(0)).cast("bigint").alias(x)
-                   for x in ("insert", "update", "delete", "keep")]
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *metrics)
-        df = df.filter(a != "delete").drop(action_col)
-    else:
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        df = df.filter(F.col(action_col) != "delete").drop(action_col)
     parts = [partition_col] if isinstance(partition_col, str) else list(partition_col or [])
-    if replaced is not None and len(parts) != 1:
-        raise ValueError("a partial version replaces values of exactly one partition column")
-    w = (df.withColumns({"_version": F.lit(n).cast("bigint"), "_attempt": F.lit(attempt)})
-         .write.mode("append").partitionBy("_version", "_attempt", *parts))
-    w.parquet(_data_path(path))
+    df.write.partitionBy(*parts).parquet(f"{path.rstrip('/')}/data/{folder}")
     m = obs.get
-    written = m.get("rows", 0) - (m.get("delete", 0) or 0) if action_col else m.get("rows", 0)
-    row = (n, operation, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), ",".join(parts) or None,
-           None if replaced is None else sorted(str(v) for v in replaced),
-           int(written), *(int(m[x]) if action_col else None
-                           for x in ("insert", "update", "delete", "keep")), attempt)
-    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(_commits_path(path))
+    row = (n, operation, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), folder,
+           None if touched is None else [None if v is None else str(v) for v in touched],
+           int(m["rows"]) - (int(m["delete"]) if action_col else 0),
+           *(int(m[x]) if action_col else None for x in ACTIONS))
+    spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/_commits")
     return n
 
 
-def _plan(spark: SparkSession, path: str, version: int | None):
-    """(snapshot version, {partition value: supplying version}, part col,
-    {version: committed attempt}) from the commit log (small: one row per
-    version)."""
-    rows = commits(spark, path)
+def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The table as of ``version`` (None: the latest)."""
+    log = commits(spark, path)
     if version is not None:
-        rows = rows.filter(F.col("version") <= version)
-    log = sorted(rows.select("version", "partition_col", "replaced", "attempt").collect(),
-                 key=lambda r: r[0])
-    if not log:
+        log = log.filter(F.col("version") <= version)
+    row = log.agg(F.max_by("folder", "version").alias("folder")).first()
+    if row["folder"] is None:
         raise FileNotFoundError(f"no committed version ≤ {version} in {path}")
-    base = max(i for i, r in enumerate(log) if r["replaced"] is None)
-    owner: dict[str, int] = {}
-    part_col = None
-    for r in log[base + 1:]:
-        part_col = r["partition_col"]
-        for v in r["replaced"]:
-            owner[v] = r["version"]
-    attempts = {r["version"]: r["attempt"] for r in log[base:]}
-    return log[base]["version"], owner, part_col or log[base]["partition_col"], attempts
-
-
-def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The table as of ``version`` (latest committed when None); the choice of
-    files reaches the scan as partition filters on ``_version`` / ``_attempt``
-    / the partition column."""
-    base, owner, part_col, attempts = _plan(spark, path, version)
-    data = spark.read.parquet(_data_path(path))
-    v, a = F.col("_version"), F.col("_attempt")
-
-    def of(ver: int):
-        return (v == ver) & (a == attempts[ver])
-
-    if not owner:
-        return data.filter(of(base)).drop("_version", "_attempt")
-    pc = F.col(part_col).cast("string")
-    cond = of(base) & ~pc.isin(list(owner))
-    by_version: dict[int, list[str]] = {}
-    for val, ver in owner.items():
-        by_version.setdefault(ver, []).append(val)
-    for ver, vals in by_version.items():
-        cond = cond | (of(ver) & pc.isin(vals))
-    return data.filter(cond).drop("_version", "_attempt")
+    return spark.read.parquet(f"{path.rstrip('/')}/data/{row['folder']}")
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
     """DESCRIBE HISTORY: one row per committed version, newest first."""
-    return (commits(spark, path)
-            .select("version", "operation", "committed_at", "num_output_rows", "num_inserted",
-                    "num_updated", "num_deleted", "num_kept",
-                    F.size(F.coalesce("replaced", F.array())).alias("num_replaced_partitions"))
-            .orderBy(F.col("version").desc()))
+    return commits(spark, path).select("version", "operation", "committed_at", "num_output_rows", "num_inserted",
+                                       "num_updated", "num_deleted", "num_kept").orderBy(F.col("version").desc())
+
+
+def touched_values(source: DataFrame, partition_col: str) -> list:
+    """The source's partition values (dates: a list that doesn't grow with the
+    rows), NULL as None."""
+    return sorted((r[0] for r in source.select(partition_col).distinct().collect()), key=lambda v: (v is None, str(v)))
 
 
-def merge_into(path: str, source: DataFrame, keys: Sequence[str] = ("timestamp", "site_id"),
+def merge_into(path: str, source: DataFrame, keys: Sequence[str] = READING_KEYS,
                compare: Sequence[str] = ("production_kwh",), as_of=None, recent_days: int | None = 7,
-               partition_col: str = "date", date_col: str = "date", null_safe: bool = False,
-               operation: str = "MERGE") -> int:
-    """MERGE INTO the versioned table at ``path``: upsert ``source`` into the
-    latest version and commit the result as a new version that replaces only
-    the touched ``partition_col`` values (the source's, plus the recent ones
-    where unmatched rows may be deleted). Returns the new version."""
-    from kilowatt.operators.merge import merge_upsert  # no import cycle at load
-
-    spark = source.sparkSession
-    target = read_version(spark, path)
-    # bounded lists: partition values are dates
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
-    if recent_days is not None:
-        from kilowatt.operators.merge import _as_date
-        cutoff = F.date_sub(_as_date(as_of), recent_days)
-        touched = sorted({*touched, *(r[0] for r in target.filter(F.col(date_col) >= cutoff)
-                                      .select(partition_col).distinct().collect())},
-                         key=lambda x: (x is None, x))
-    plan = merge_upsert(target, source, keys, compare, as_of, recent_days, date_col, null_safe,
-                        prune_col=partition_col, keep_deleted=True,
-                        prune_values=[v for v in touched])
-    rewritten = plan.filter(F.col(partition_col).isin([v for v in touched if v is not None]))
-    return write_version(rewritten, path, operation, partition_col=partition_col,
-                         replaced=[v for v in touched if v is not None], action_col="_action")
+               partition_col: str = "date", null_safe: bool = False, operation: str = "MERGE") -> int:
+    """MERGE INTO the table at ``path``, partitioned by its date column: upsert
+    ``source`` into the latest version and commit the result as a new one. Only
+    target rows of the source's dates (NULL included) and of the delete window
+    are joined; the others are copied as they are."""
+    target = read_version(source.sparkSession, path)
+    touched = touched_values(source, partition_col)
+    plan = merge_upsert(target, source, keys, compare, as_of, recent_days, partition_col, null_safe,
+                        keep_deleted=True, touched=touched)
+    return write_version(plan.hint("rebalance", partition_col), path, operation, partition_col, "_action",
+                         touched if recent_days is None else None)

@@ -7,11 +7,13 @@ Use one checkpoint per target table."""
 
 from __future__ import annotations
 
+import threading
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from kilowatt.operators.bronze import with_audit
@@ -34,7 +36,7 @@ def stream_csv(spark: SparkSession, path: str, schema: StructType, glob: str | N
 
 
 def run_incremental(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
-                    fmt: str = "parquet", timeout_s: float | None = 600) -> StreamingQuery:
+                    fmt: str = "parquet", timeout_s: float | None = None) -> StreamingQuery:
     """Append every available new input to ``path`` and stop (trigger
     availableNow). Rerunning with the same checkpoint adds only files that
     arrived since the last run."""
@@ -52,34 +54,47 @@ def run_incremental(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
     return q
 
 
-QUALITY_METRICS = "bronze_quality"
+QUALITY_METRICS = ("total_rows", "null_production", "negative_production", "offline_records")
+
+
+class _Totals(StreamingQueryListener):
+    """Sums the metrics that one stream observes, over all of its batches."""
+
+    def __init__(self, name: str):
+        self.name, self.totals, self.ended = name, dict.fromkeys(QUALITY_METRICS, 0), threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        for k, v in (row.asDict() if row is not None else {}).items():
+            self.totals[k] += int(v or 0)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()  # events come in order: all progress has been seen
 
 
 def ingest_stream(spark: SparkSession, landing: str, schema: StructType, target: str,
                   checkpoint: str, glob: str | None = "*.csv", ts: str = "timestamp",
-                  timeout_s: float | None = 600) -> StreamingQuery:
+                  timeout_s: float | None = None, batch_id: str | None = None) -> dict[str, int]:
     """Landing CSV → audit columns (same projection as batch, incl. the
     ``_year``/``_month`` partition columns) → append to ``target``. Quality
     counts are observed per micro-batch in the same pass (measure, don't
-    reject); :func:`stream_quality` sums them for the run."""
-    s = with_audit(stream_csv(spark, landing, schema, glob), partition_from=ts)
+    reject); returned are their sums over all batches of the run."""
+    name = f"bronze_quality_{uuid.uuid4().hex[:8]}"
+    s = with_audit(stream_csv(spark, landing, schema, glob), partition_from=ts, batch_id=batch_id)
     p = F.col("production_kwh")
-    s = s.observe(QUALITY_METRICS,
-                  F.count(F.lit(1)).alias("total_rows"),
-                  F.sum(F.when(p.isNull(), 1).otherwise(0)).alias("null_production"),
-                  F.sum(F.when(p < 0, 1).otherwise(0)).alias("negative_production"),
-                  F.sum(F.when(F.col("status") == "OFFLINE", 1).otherwise(0)).alias("offline_records"))
-    return run_incremental(s, target, checkpoint, timeout_s=timeout_s)
-
-
-def stream_quality(q: StreamingQuery) -> dict[str, int]:
-    """The observed bronze quality counts summed over the run's micro-batches."""
-    out: dict[str, int] = {}
-    for prog in q.recentProgress:
-        observed = prog.get("observedMetrics") if isinstance(prog, dict) else prog.observedMetrics
-        row = (observed or {}).get(QUALITY_METRICS)
-        if row is None:
-            continue
-        for k, v in (row if isinstance(row, dict) else row.asDict()).items():
-            out[k] = out.get(k, 0) + int(v or 0)
-    return out
+    counts = (F.count(F.lit(1)), F.count_if(p.isNull()), F.count_if(p < 0), F.count_if(F.col("status") == "OFFLINE"))
+    s = s.observe(name, *[c.alias(n) for c, n in zip(counts, QUALITY_METRICS)])
+    totals = _Totals(name)
+    spark.streams.addListener(totals)
+    try:
+        run_incremental(s, target, checkpoint, timeout_s=timeout_s)
+        totals.ended.wait(60)
+    finally:
+        spark.streams.removeListener(totals)
+    return totals.totals

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from kilowatt.functions.expressions import alert_level, exact, exact_avg, exact_sum, round_double, zscore
+from kilowatt import constants as K
+from kilowatt.functions.expressions import DEFAULT_SCALE, alert_level, exact, exact_avg, exact_sum, round_double, zscore
 from kilowatt.operators.joins import join_dimension
 
 
@@ -44,7 +45,7 @@ def wall_clock(df: DataFrame, c, was_ntz: bool):
 
 def windowed_rollup(df: DataFrame, duration: str = "1 hour", watermark: str = "10 minutes",
                     ts: str = "timestamp", keys: Sequence[str] = ("site_id", "technology"),
-                    value: str = "production_kwh", scale: int = 4) -> DataFrame:
+                    value: str = "production_kwh", scale: int = DEFAULT_SCALE) -> DataFrame:
     """Tumbling event-time windows per key with a watermark; in append mode a
     window is emitted once the watermark passes its end (closed windows only)."""
     src = df
@@ -62,7 +63,7 @@ def windowed_rollup(df: DataFrame, duration: str = "1 hour", watermark: str = "1
 
 
 def site_baseline(daily: DataFrame, value: str = "total_production_mwh",
-                  site_keys: Sequence[str] = ("site_id",), scale: int = 4) -> DataFrame:
+                  site_keys: Sequence[str] = ("site_id",), scale: int = DEFAULT_SCALE) -> DataFrame:
     """Static per-site baseline: mean (exact) and sample stddev of daily output."""
     return daily.groupBy(*site_keys).agg(
         F.avg(exact(value, scale)).cast("double").alias("baseline_mean"),
@@ -73,15 +74,18 @@ def site_baseline(daily: DataFrame, value: str = "total_production_mwh",
 def drift_alerts(daily_stream: DataFrame, baseline: DataFrame, value: str = "production_mwh",
                  site_keys: Sequence[str] = ("site_id",)) -> DataFrame:
     """Label each incoming site-day against its baseline (stream-static join,
-    stateless; the baseline side is broadcast only behind a size check)."""
-    j = join_dimension(daily_stream, baseline, list(site_keys), "inner")
+    stateless). A site without a baseline keeps its row: the z-score is NULL
+    and the label says so."""
+    known = baseline.withColumn("_known", F.lit(True))
+    j = join_dimension(daily_stream, known, list(site_keys), "left")
     return (j.withColumn("z_score", zscore(value, "baseline_mean", "baseline_std"))
-            .withColumn("alert_level", alert_level("z_score")))
+            .withColumn("alert_level", F.when(F.col("_known").isNull(), K.NO_BASELINE).otherwise(alert_level("z_score")))
+            .drop("_known"))
 
 
 def daily_production_stream(readings_stream: DataFrame, watermark: str = "1 hour",
                             ts: str = "timestamp", keys: Sequence[str] = ("site_id",),
-                            scale: int = 4) -> DataFrame:
+                            scale: int = DEFAULT_SCALE) -> DataFrame:
     """Daily MWh per site from a readings stream (negative readings → NULL)."""
     df, ntz = event_time(readings_stream, ts)
     kwh = F.when(F.col("production_kwh") < 0, F.lit(None)).otherwise(F.col("production_kwh"))

@@ -1,57 +1,68 @@
 """Incremental silver: a stream of readings merged into a versioned table.
 
-Each micro-batch is transformed (clean + keep-best dedup) and merged into the
-table's latest version with :func:`merge_upsert` — only the partitions the
-batch touches are rewritten and committed as a new version. A commit records
-the stream's batch id, so a batch replayed after a failure (the sink is
-at-least-once) is recognised and skipped: exactly-once table versions.
+Each micro-batch is transformed and merged into the table's latest version by
+the keep-best rule of the batch job: of all readings of a key, old and new,
+the best stays (a value beats NULL, the higher value wins, ties by the given
+columns). That choice is a maximum under a total order, so any sequence of
+batches ends where one batch over all files does. A commit records the
+stream's own id and the batch id, so a batch replayed after a failure (the
+sink is at-least-once) is recognised: exactly-once table versions.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from kilowatt.operators.merge import READING_KEYS
+from kilowatt.operators.silver import dedup_keep_best
 from kilowatt.sinks import versioned
 
+TIEBREAK = ("status", "sensor_metric_1", "sensor_metric_2")
 
-def _batch_tag(tag: str, batch_id: int) -> str:
-    return f"STREAM MERGE {tag}#{batch_id}"
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives its stream: a new checkpoint is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
-def merge_micro_batch(batch: DataFrame, batch_id: int, path: str,
-                      transform: Callable[[DataFrame], DataFrame],
-                      keys: Sequence[str] = ("timestamp", "site_id"),
-                      compare: Sequence[str] = ("production_kwh",), partition_col: str = "date",
-                      tag: str = "silver") -> int | None:
+
+def merge_micro_batch(batch: DataFrame, batch_id: int, path: str, transform: Callable[[DataFrame], DataFrame],
+                      stream: str, keys: Sequence[str] = READING_KEYS, value: str = "production_kwh",
+                      tiebreak: Sequence[str] = TIEBREAK, partition_col: str = "date") -> int | None:
     """Merge one micro-batch; returns the new version, or None when the batch
-    was already committed (a replay) or empty."""
+    was already committed (a replay) or is empty."""
     spark = batch.sparkSession
-    op = _batch_tag(tag, batch_id)
+    op = f"STREAM MERGE {stream}#{batch_id}"
     if versioned.commits(spark, path).filter(F.col("operation") == op).limit(1).count():
         return None  # replay of a committed batch
-    src = transform(batch)
-    if versioned.latest_version(spark, path) is None:
-        return versioned.write_version(src, path, op, partition_col=partition_col)
-    if src.select(partition_col).limit(1).count() == 0:
-        return None
-    # incremental batches carry only new data: nothing unmatched is deleted
-    return versioned.merge_into(path, src, keys, compare, recent_days=None,
-                                partition_col=partition_col, operation=op)
+    src = transform(batch).persist()  # read for its dates and for the merge
+    try:
+        touched = versioned.touched_values(src, partition_col)
+        if not touched:
+            return None
+        if versioned.latest_version(spark, path) is None:
+            return versioned.write_version(dedup_keep_best(src, keys, value, tiebreak), path, op, partition_col, touched=touched)
+        target = versioned.read_version(spark, path)
+        hit = F.coalesce(F.col(partition_col).isin([v for v in touched if v is not None]), F.lit(None in touched))
+        best = dedup_keep_best(target.filter(hit).unionByName(src), keys, value, tiebreak)
+        rows = best.select(*target.columns).unionByName(target.filter(~hit))
+        return versioned.write_version(rows.hint("rebalance", partition_col), path, op, partition_col, touched=touched)
+    finally:
+        src.unpersist()
 
 
-def upsert_stream(stream: DataFrame, path: str, checkpoint: str,
-                  transform: Callable[[DataFrame], DataFrame],
-                  keys: Sequence[str] = ("timestamp", "site_id"),
-                  compare: Sequence[str] = ("production_kwh",), partition_col: str = "date",
-                  tag: str = "silver", timeout_s: float | None = 600) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
+                  keys: Sequence[str] = READING_KEYS, value: str = "production_kwh", tiebreak: Sequence[str] = TIEBREAK,
+                  partition_col: str = "date", timeout_s: float | None = None) -> StreamingQuery:
     """Drain ``stream`` (availableNow) into the versioned table at ``path``."""
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_micro_batch(batch, batch_id, path, transform, keys, compare, partition_col, tag)
+        merge_micro_batch(batch, batch_id, path, transform, stream_id(batch.sparkSession, checkpoint), keys, value,
+                          tiebreak, partition_col)
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -66,12 +66,14 @@ def test_incremental_gold_recomputes_only_touched_dates(spark):
     corr = read_layer(spark, silver_path).filter(F.col("date") == F.lit(day)) \
         .withColumn("production_kwh", F.col("production_kwh") + 10)
     versioned.merge_into(silver_path, corr, recent_days=None)
-    touched = medallion.replaced_since(spark, silver_path, before)
+    touched = medallion.touched_since(spark, silver_path, before)
     assert touched == ["2024-01-10"]
     full_before = {(r["date"], r["site_id"], r["technology"]): r["total_production_kwh"]
                    for r in read_layer(spark, daily_path).collect()}
     medallion.gold_job(spark, lake, dates=touched)
-    assert versioned.history(spark, daily_path).first()["num_replaced_partitions"] == 1
+    assert versioned.commits(spark, daily_path).orderBy(F.col("version").desc()).first()["touched"] == ["2024-01-10"]
+    # nothing new since then: nothing to rebuild
+    assert medallion.touched_since(spark, silver_path, versioned.latest_version(spark, silver_path)) == []
     inc = {(r["date"], r["site_id"], r["technology"]): r["total_production_kwh"]
            for r in read_layer(spark, daily_path).collect()}
     from kilowatt.operators import gold

@@ -133,12 +133,27 @@ def test_enrich_daily_calendar_respects_gaps(spark):
     assert out[12]["rolling_7d_avg_mwh"] == 12.0              # days 6..12: only day 12
 
 
-def test_multi_scale_rollup_strategies_agree(spark):
+def test_multi_scale_rollup_equals_one_rollup_per_unit(spark):
     from kilowatt.operators import timescale
     from kilowatt.plans.queries import raw_readings
     from tests.conftest import SF_TINY
     r = raw_readings(spark, SF_TINY)
-    a = timescale.multi_scale_rollup(r, strategy="hierarchical")
-    b = timescale.multi_scale_rollup(r, strategy="independent")
+    a = timescale.multi_scale_rollup(r)
     cols = sorted(a.columns)
-    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+    b = [tuple(x) for u in timescale.UNITS for x in timescale.timescale_rollup(r, u).select(*cols).collect()]
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(b)
+
+
+def test_small_readings_are_summed_before_rounding(spark):
+    ts = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(ts, "S1", "solar", 0.00004)] * 1440 + [(ts, "S1", "solar", float("nan"))],
+                               "timestamp timestamp, site_id string, technology string, production_kwh double")
+    from kilowatt.operators import timescale
+    row = timescale.timescale_rollup(df, "day").first()
+    assert row["total_kwh"] == 0.0576 and row["n_readings"] == 1441  # NaN: no measurement
+
+
+def test_lag_follows_the_site_across_technologies(spark):
+    d = daily_rows(spark, [(D1, "S1", "solar", 1.0), (D1, "S1", "wind", 2.0), (D2, "S1", "solar", 3.0)])
+    out = {(r["date"], r["technology"]): r["prev_day_production_mwh"] for r in rows(gold.enrich_daily(d))}
+    assert out == {(D1, "solar"): None, (D1, "wind"): 1.0, (D2, "solar"): 2.0}

@@ -14,7 +14,7 @@ def test_layouts_keep_rows(spark):
     li = read_table(spark, SF_SMALL, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey",
                                                         "l_partkey", "l_shipdate", "l_returnflag")
     want = multiset(li)
-    p1 = layout.compact(li, scratch_path(spark, "t-compact"), ["l_returnflag"], target_file_bytes=1 << 20)
+    p1 = layout.compact(li, scratch_path(spark, "t-compact"), ["l_returnflag"])
     p2 = layout.zorder_layout(li, ["l_suppkey", "l_partkey"], scratch_path(spark, "t-z"), files=8)
     p3 = layout.sorted_write(li, ["l_shipdate"], scratch_path(spark, "t-sort"), files=4)
     for p in (p1, p2, p3):
@@ -58,3 +58,14 @@ def test_zorder_on_prefixed_string_ids_skips_files(spark):
                                     (F.col("id") % 997).alias("hour_key"))
     z = layout.zorder_layout(df, ["site_id", "hour_key"], scratch_path(spark, "t-zs"), files=16)
     assert _files_touched(spark, z, F.col("site_id") == "SITE-000123") <= 8
+
+
+def test_zorder_splits_few_distinct_values(spark):
+    df = spark.range(30_000).select((F.col("id") % 3).alias("a"), F.lit(1).alias("b"), "id")
+    p = layout.zorder_layout(df, ["a", "b"], scratch_path(spark, "t-hot"), files=32)
+    per_file = [r["count"] for r in spark.read.parquet(p).groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) >= 28 and max(per_file) < 3 * 30_000 / 32
+
+
+def test_zorder_bits_follow_the_files():
+    assert layout.z_bits(8, 2) == 8 and layout.z_bits(1 << 20, 2) == 12 and layout.z_bits(1 << 20, 4) == 8

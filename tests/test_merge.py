@@ -43,7 +43,7 @@ def test_null_safe_option_updates_null_changes(spark):
 def test_pruned_equals_full(spark):
     t, s = frames(spark)
     a = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF), "k", "v")
-    b = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0), "k", "v")
+    b = rows(merge.merge_upsert(t, s, ["k"], ["v"], AS_OF, touched=[RECENT]), "k", "v")
     assert a == b
 
 
@@ -68,9 +68,9 @@ def test_duplicate_keys_across_dates_rejected_with_pruning(spark):
     t, _ = frames(spark)
     dup = spark.createDataFrame([(1, 1.0, RECENT), (1, 2.0, OLD)], SCHEMA)
     with pytest.raises(Exception, match="duplicate keys"):
-        merge.merge_upsert(t, dup, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0).collect()
+        merge.merge_upsert(t, dup, ["k"], ["v"], AS_OF, touched=[RECENT, OLD]).collect()
     nulls = spark.createDataFrame([(None, 1.0, RECENT), (None, 2.0, RECENT)], SCHEMA)
-    assert merge.merge_upsert(t, nulls, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0).count() > 0
+    assert merge.merge_upsert(t, nulls, ["k"], ["v"], AS_OF, touched=[RECENT]).count() > 0
 
 
 def test_pruned_merge_shuffles_only_touched_target_rows(spark):
@@ -81,10 +81,29 @@ def test_pruned_merge_shuffles_only_touched_target_rows(spark):
               .select(F.col("id").alias("k"), F.lit(1.0).alias("v"),
                       F.date_add(F.lit(OLD), (F.col("id") % 10).cast("int")).alias("date")))
     source = target.filter(F.col("date") == F.lit(OLD)).withColumn("v", F.lit(2.0))   # 1 of 10 dates
-    out = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0)
+    out = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, touched=[OLD])
     assert out.filter("_action = 'update'").count() == 1_000
-    out2 = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, prune_col="date", prune_min_bytes=0)
+    out2 = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, touched=[OLD])
     assert out2.count() == 10_000
     written = shuffle_records(out2)
     # both join inputs carry the 1,000 touched keys; the other 9,000 target rows are not shuffled
     assert sum(written) <= 2_000 + 100
+
+
+def test_null_keys_and_null_dates_are_never_lost(spark):
+    target = spark.createDataFrame([(1, 1.0, None), (None, 2.0, None), (None, 3.0, OLD), (2, 4.0, OLD)], SCHEMA)
+    source = spark.createDataFrame([(1, 5.0, None), (None, 6.0, None), (3, 7.0, RECENT)], SCHEMA)
+    for touched in (None, [None, RECENT]):
+        out = merge.merge_upsert(target, source, ["k"], ["v"], AS_OF, touched=touched)
+        got = sorted((str(r["k"]), r["v"], str(r["date"]), r["_action"]) for r in out.collect())
+        assert got == [("1", 5.0, "None", "update"), ("2", 4.0, str(OLD), "keep"), ("3", 7.0, str(RECENT), "insert"),
+                       ("None", 2.0, "None", "keep"), ("None", 3.0, str(OLD), "keep"), ("None", 6.0, "None", "insert")]
+
+
+def test_hybrid_sites_keep_both_readings(spark):
+    ts = dt.datetime(2024, 1, 28, 10)
+    schema = "timestamp timestamp, site_id string, technology string, production_kwh double, date date"
+    target = spark.createDataFrame([(ts, "S1", "solar", 1.0, RECENT)], schema)
+    source = spark.createDataFrame([(ts, "S1", "wind", 2.0, RECENT)], schema)
+    out = merge.merge_upsert(target, source, as_of=AS_OF, recent_days=None)
+    assert sorted((r["technology"], r["production_kwh"], r["_action"]) for r in out.collect()) == [("solar", 1.0, "keep"), ("wind", 2.0, "insert")]

@@ -12,6 +12,7 @@ from kilowatt.session import scratch_path
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+RANK_SETTINGS = settings(SETTINGS, max_examples=5)  # each example writes its ranges
 T0 = dt.datetime(2024, 1, 1)
 
 readings = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4),
@@ -53,7 +54,7 @@ def test_merge_idempotent(spark, tgt, src):
     assert all(res[k] == float(v) for k, v in dict(src).items())
 
 
-@SETTINGS
+@RANK_SETTINGS
 @given(st.lists(st.one_of(st.none(), st.integers(0, 12)), min_size=1, max_size=60),
        st.integers(1, 6), st.booleans())
 def test_global_rank_matches_window(spark, values, buckets, descending):
@@ -62,7 +63,7 @@ def test_global_rank_matches_window(spark, values, buckets, descending):
     want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
                            "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
                            "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
-    got = ranking.global_rank(df, "value", descending, ["id"], buckets=buckets)
+    got = ranking.global_rank(df, "value", descending, ["id"], ranges=buckets)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
 
 
@@ -75,12 +76,12 @@ def test_zorder_keeps_multiset(spark, data):
     assert sorted(map(tuple, spark.read.parquet(p).select("a", "b", "c").collect())) == sorted(data)
 
 
-@SETTINGS
+@RANK_SETTINGS
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot"]),
                           st.one_of(st.none(), st.integers(0, 6))), min_size=1, max_size=80),
        st.integers(2, 6), st.booleans())
 def test_bucketed_rank_matches_partitioned_window(spark, data, buckets, descending):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id long, g string, value long")
     want = ranking.rank_within(df, ["g"], "value", descending, ["id"])
-    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], buckets=buckets)
+    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], ranges=buckets)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))

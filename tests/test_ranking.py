@@ -1,4 +1,5 @@
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -10,7 +11,7 @@ from tests.conftest import rows
 
 def test_reference_example(spark):
     df = spark.createDataFrame([(1, 100), (2, 100), (3, 100), (4, 95), (5, 90)], ["id", "value"])
-    for out in (ranking.global_rank(df, "value", buckets=3), ranking.rank_within(df, [], "value")):
+    for out in (ranking.global_rank(df, "value", tiebreak=["id"], ranges=3), ranking.rank_within(df, [], "value")):
         got = rows(out, "id")
         assert [r["dense_rank"] for r in got] == [1, 1, 1, 2, 3]
         assert [r["rank"] for r in got] == [1, 1, 1, 4, 5]
@@ -18,197 +19,74 @@ def test_reference_example(spark):
         assert [r["row_number"] for r in got[3:]] == [4, 5]
 
 
-@pytest.mark.parametrize("descending", [True, False])
-def test_global_rank_equals_single_partition_window(spark, descending):
-    rnd = random.Random(7)
-    data = [(i, rnd.choice([None, *range(40)]) if i % 9 else rnd.randint(0, 5)) for i in range(3000)]
-    df = spark.createDataFrame(data, "id long, value long")
-    o = F.col("value").desc() if descending else F.col("value").asc()
-    w = Window.orderBy(o)
-    expect = df.withColumns({"dense_rank": F.dense_rank().over(w), "rank": F.rank().over(w),
-                             "row_number": F.row_number().over(Window.orderBy(o, "id"))})
-    got = ranking.global_rank(df, "value", descending=descending, tiebreak=["id"], buckets=7)
-    key = lambda r: r["id"]
-    assert sorted((r.asDict() for r in got.collect()), key=key) == \
-        sorted(({**r.asDict()} for r in expect.collect()), key=key)
-
-
-def test_global_rank_plan_has_no_single_partition_sort_of_rows(spark):
-    df = spark.range(1000).withColumn("value", F.col("id") % 17)
-    plan = ranking.global_rank(df, "value", buckets=4)._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition step is the running sum over the bucket table
-    assert plan.count("SinglePartition") <= 1
-
-
-@pytest.mark.parametrize("descending", [True, False])
-def test_bucketed_rank_equals_partitioned_window_with_hot_group(spark, descending):
-    rnd = random.Random(11)
-    data = []
-    for i in range(4000):
-        g = "hot" if i % 3 else rnd.choice(["a", "b", "c"])   # one group holds 2/3 of the rows
-        data.append((i, g, None if i % 97 == 0 else rnd.randint(0, 300)))
-    df = spark.createDataFrame(data, "id long, g string, value long")
-    want = ranking.rank_within(df, ["g"], "value", descending, ["id"])
-    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], buckets=8)
-    key = lambda r: r["id"]
-    assert sorted((r.asDict() for r in got.collect()), key=key) == \
-        sorted((r.asDict() for r in want.collect()), key=key)
-    # the hot group is ranked in several tasks: the window's partition keys include the range
-    assert "_bucket" in got._jdf.queryExecution().executedPlan().toString()
+def _values(kind, n, seed=5):
+    rnd = random.Random(seed)
+    hot = {"hot": 0.9, "nulls": 0.4}.get(kind, 0.0)
+    out = []
+    for _ in range(n):
+        if rnd.random() < hot:
+            out.append(None if kind == "nulls" else 7)
+        elif kind == "prefixed":
+            out.append(f"{rnd.choice('ab')}-shared-SITE-{rnd.randint(0, 300):06d}")
+        elif kind == "non_latin":
+            out.append("".join(rnd.choice("中文漢字日本語éß") for _ in range(3)))
+        elif kind == "wide":
+            out.append(Decimal(10) ** 30 + rnd.randint(0, 200))
+        else:
+            out.append(rnd.randint(0, 300))
+    return out
 
 
-def test_global_rank_default_sizes_from_estimate(spark):
-    from kilowatt.sources.files import read_table
-    from tests.conftest import SF_TINY
-    o = read_table(spark, SF_TINY, "orders").select("o_orderkey", F.col("o_totalprice").alias("value"))
-    small = ranking.global_rank(o, "value", tiebreak=["o_orderkey"])                 # proven small
-    forced = ranking.global_rank(o, "value", tiebreak=["o_orderkey"], bytes_per_bucket=4096)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, forced.select(*small.columns).collect()))
+TYPES = {"prefixed": "string", "non_latin": "string", "wide": "decimal(38,2)"}
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_global_rank_splits_a_hot_value(spark, descending):
-    rnd = random.Random(3)
-    # value 50 holds 40% of the rows, value 7 10%; ids shuffled
-    ids = list(range(6000))
-    rnd.shuffle(ids)
-    data = [(i, 50 if j % 5 < 2 else (7 if j % 10 == 2 else rnd.randint(0, 99))) for j, i in enumerate(ids)]
-    data += [(10_000 + j, None) for j in range(30)]
-    df = spark.createDataFrame(data, "id long, value long")
+@pytest.mark.parametrize("kind", ["plain", "hot", "nulls", "prefixed", "non_latin", "wide"])
+def test_global_rank_equals_single_partition_window(spark, kind, descending):
+    data = [((i * 7919) % 6007, v) for i, v in enumerate(_values(kind, 2000))]
+    df = spark.createDataFrame(data, f"id long, value {TYPES.get(kind, 'long')}")
     o = F.col("value").desc() if descending else F.col("value").asc()
     want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
                            "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
                            "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
-    got = ranking.global_rank(df, "value", descending, ["id"], buckets=20)
-    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
-    # the hot value is spread over several (bucket, range) window partitions
-    tagged = ranking.global_rank(df, "value", descending, ["id"], buckets=20, keep_internal=True)
-    parts = tagged.filter("value = 50").select("_bucket", "_sub").distinct().count()
-    assert parts >= 5                       # 40% of rows over >= 5 window partitions
-    biggest = tagged.groupBy("_bucket", "_sub").count().agg(F.max("count")).first()[0]
-    assert biggest < 0.15 * len(data)
+    got = ranking.global_rank(df, "value", descending, ["id"], ranges=8)
+    key = lambda r: r[0]
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    # no range holds much more than its share, whatever the values
+    spread = ranking.in_ranges(df, (), "value", descending, ["id"], 8)
+    assert max(r["count"] for r in spread.groupBy("_part").count().collect()) < 2 * 2000 / 8
 
 
 @pytest.mark.parametrize("descending", [True, False])
-def test_bucketed_rank_splits_hot_value_inside_hot_group(spark, descending):
-    rnd = random.Random(5)
-    ids = list(range(8000))
-    rnd.shuffle(ids)
+@pytest.mark.parametrize("ranges", [1, 8])
+def test_bucketed_rank_equals_partitioned_window_with_hot_group(spark, descending, ranges):
+    rnd = random.Random(11)
     data = []
-    for j, i in enumerate(ids):
-        g = "hot" if j % 4 else rnd.choice(["a", "b"])
-        val = 42 if (g == "hot" and j % 2) else (None if j % 61 == 0 else rnd.randint(0, 500))
-        data.append((i, g, val))
+    for i in range(4000):
+        g = "hot" if i % 3 else rnd.choice(["a", "b", None])   # one group holds 2/3 of the rows
+        data.append((i, g, None if i % 97 == 0 else 5 if i % 2 else rnd.randint(0, 300)))
     df = spark.createDataFrame(data, "id long, g string, value long")
     want = ranking.rank_within(df, ["g"], "value", descending, ["id"])
-    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], buckets=16, keep_internal=True)
+    got = ranking.bucketed_rank(df, ["g"], "value", descending, ["id"], ranges)
     key = lambda r: r["id"]
-    cols = want.columns
-    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=lambda x: x[0]) == \
-        sorted((tuple(r) for r in want.collect()), key=lambda x: x[0])
-    hot_parts = got.filter("g = 'hot' AND value = 42").select("_bucket", "_flag", "_sub").distinct().count()
-    assert hot_parts >= 4
-    biggest = got.groupBy("g", "_bucket", "_flag", "_sub").count().agg(F.max("count")).first()[0]
-    assert biggest < 0.2 * len(data)
-
-
-@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "bigint"])
-def test_ranks_on_non_double_orders(spark, kind):
-    import datetime as dt
-    rnd = random.Random(9)
-    rows = []
-    for i in range(3000):
-        j = 0 if i % 3 == 0 else rnd.randint(0, 400)     # one hot value (a third of the rows)
-        if kind == "string":
-            v = None if i % 71 == 0 else f"site-{j % 37:03d}-{j}"
-        elif kind == "date":
-            v = dt.date(2024, 1, 1) + dt.timedelta(days=j)
-        elif kind == "timestamp_ntz":
-            v = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=j * 7, microseconds=j)
-        else:
-            v = (2 ** 60 + j) if i % 5 == 0 else j       # beyond 2^53: keys collide
-        rows.append((i, "g" if i % 2 else "h", v))
-    df = spark.createDataFrame(rows, f"id long, g string, value {kind}")
-    for desc in (True, False):
-        o = F.col("value").desc() if desc else F.col("value").asc()
-        want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
-                               "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
-                               "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
-        got = ranking.global_rank(df, "value", desc, ["id"], buckets=12)
-        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
-        want_g = ranking.rank_within(df, ["g"], "value", desc, ["id"])
-        got_g = ranking.bucketed_rank(df, ["g"], "value", desc, ["id"], buckets=12)
-        assert sorted(map(tuple, got_g.select(*want_g.columns).collect())) == \
-            sorted(map(tuple, want_g.collect()))
-
-
-def test_count_below_binary_search(spark):
-    from kilowatt.operators.ranking import count_below
-    df = spark.createDataFrame([([1.0, 3.0, 5.0, 7.0], float(v)) for v in range(-1, 10)] + [(None, 4.0), ([], 4.0)],
-                               "q array<double>, v double")
-    got = [r[0] for r in df.select(count_below(F.col("q"), F.col("v"), 4)).collect()]
-    want = [sum(1 for b in [1.0, 3.0, 5.0, 7.0] if b < v) for v in range(-1, 10)] + [0, 0]
-    assert got == want
-
-
-@pytest.mark.parametrize("tb", [["name"], ["grp", "id"]])
-def test_hot_value_split_with_string_and_multi_column_tiebreaks(spark, tb):
-    rnd = random.Random(21)
-    rows = [(i, f"n{rnd.randint(0, 999):04d}", rnd.randint(0, 3), 7 if i % 3 else rnd.randint(0, 99))
-            for i in range(4000)]
-    df = spark.createDataFrame(rows, "id long, name string, grp int, value long")
-    for desc in (True, False):
-        o = F.col("value").desc() if desc else F.col("value").asc()
-        w_rn = Window.orderBy(o, *[F.col(c) for c in tb])
-        want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
-                               "rank": F.rank().over(Window.orderBy(o)).cast("bigint")})
-        got = ranking.global_rank(df, "value", desc, tb, buckets=16, keep_internal=True)
-        key = ["id", "dense_rank", "rank"]
-        assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, want.select(*key).collect()))
-        assert got.filter("value = 7").select("_bucket", "_sub").distinct().count() >= 4
-        # row_number follows the tie-break order (ties in it may take either order)
-        rn = {r["id"]: r["row_number"] for r in got.collect()}
-        ordered = [r["id"] for r in df.withColumn("_r", F.row_number().over(w_rn)).orderBy("_r").collect()]
-        tbv = {r["id"]: tuple(r[c] for c in ["value", *tb]) for r in df.collect()}
-        seq = sorted(ordered, key=lambda i: rn[i])
-        assert sorted(rn.values()) == list(range(1, len(rows) + 1))
-        for a, b in zip(seq, seq[1:]):
-            ka, kb = tbv[a], tbv[b]
-            if ka[0] == kb[0]:
-                assert ka[1:] <= kb[1:]
-
-
-@pytest.mark.parametrize("descending", [True, False])
-def test_global_rank_splits_a_large_null_block(spark, descending):
-    rnd = random.Random(4)
-    rows = [(i, None if i % 3 == 0 else rnd.randint(0, 500)) for i in range(6000)]   # a third NULL
-    df = spark.createDataFrame(rows, "id long, value long")
-    o = F.col("value").desc() if descending else F.col("value").asc()
-    want = df.withColumns({"dense_rank": F.dense_rank().over(Window.orderBy(o)).cast("bigint"),
-                           "rank": F.rank().over(Window.orderBy(o)).cast("bigint"),
-                           "row_number": F.row_number().over(Window.orderBy(o, "id")).cast("bigint")})
-    got = ranking.global_rank(df, "value", descending, ["id"], buckets=20, keep_internal=True)
-    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
-    assert got.filter("value IS NULL").select("_bucket", "_sub").distinct().count() >= 4
-
-
-@pytest.mark.parametrize("descending", [True, False])
-def test_bucketed_rank_splits_a_large_null_block_in_a_group(spark, descending):
-    rnd = random.Random(6)
-    rows = [(i, "g" if i % 4 else "h", None if i % 2 == 0 else rnd.randint(0, 300)) for i in range(8000)]
-    df = spark.createDataFrame(rows, "id long, grp string, value long")
-    want = ranking.rank_within(df, ["grp"], "value", descending, ["id"])
-    got = ranking.bucketed_rank(df, ["grp"], "value", descending, ["id"], buckets=16, keep_internal=True)
-    cols = want.columns
-    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.collect()))
-    assert got.filter("grp = 'g' AND value IS NULL").select("_sub").distinct().count() >= 4
-
-
-def test_prefixed_string_ids_still_spread_over_buckets(spark):
-    rows = [(i, f"SITE-{i % 5000:06d}") for i in range(6000)]
-    df = spark.createDataFrame(rows, "id long, site string")
-    got = ranking.global_rank(df, "site", False, ["id"], buckets=8, keep_internal=True)
-    assert got.select("_bucket").distinct().count() >= 6        # not one bucket for all "SITE-0..."
-    want = df.withColumn("row_number", F.row_number().over(Window.orderBy("site", "id")).cast("bigint"))
-    assert sorted((r["id"], r["row_number"]) for r in got.collect()) == \
-        sorted((r["id"], r["row_number"]) for r in want.collect())
+    assert sorted((r.asDict() for r in got.collect()), key=key) == sorted((r.asDict() for r in want.collect()), key=key)
+    if ranges > 1:
+        spread = ranking.in_ranges(df, ["g"], "value", descending, ["id"], ranges)
+        assert max(r["count"] for r in spread.groupBy("_part").count().collect()) < 2 * 4000 / ranges
+
+
+def test_only_the_table_of_ranges_meets_in_one_task(spark):
+    df = spark.range(5000).withColumn("value", F.col("id") % 17)
+    out = ranking.global_rank(df, "value", tiebreak=["id"], ranges=8)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # rows are ranked per range; the window without groups is over one row per range
+    assert plan.count("hashpartitioning(_group#") <= 2 and "hashpartitioning(_part#" in plan
+
+
+def test_empty_and_constant_inputs(spark):
+    empty = spark.createDataFrame([], "id long, value long")
+    assert ranking.global_rank(empty, "value", tiebreak=["id"]).count() == 0
+    same = spark.range(50).withColumn("value", F.lit(None).cast("long"))
+    got = rows(ranking.global_rank(same, "value", tiebreak=["id"], ranges=4), "id")
+    assert [(r["dense_rank"], r["rank"], r["row_number"]) for r in got] == [(1, 1, i + 1) for i in range(50)]

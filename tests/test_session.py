@@ -14,6 +14,20 @@ def test_scratch_and_checkpoint_live_under_the_checkpoint_dir(spark):
     base = session.ensure_checkpoint_dir(spark)
     assert session.scratch_path(spark, "x").startswith(base.rstrip("/") + "/kilowatt-scratch/x-")
     df = spark.range(10).selectExpr("id", "id * 2 AS v")
-    cut = session.cut_lineage(df)
-    assert cut.count() == 10
-    assert "LogicalRDD" in cut._jdf.queryExecution().analyzed().toString()  # lineage replaced
+    cut = session.stored(df, "cut")
+    assert cut.count() == 10 and cut.dtypes == df.dtypes
+    assert "Range" not in cut._jdf.queryExecution().analyzed().toString()  # lineage replaced
+
+
+def test_a_cluster_must_name_shared_storage(monkeypatch, spark):
+    import pytest
+
+    class Cluster:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+    monkeypatch.setattr(session, "checkpoint_dir", lambda s: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster)
+    Cluster.sparkContext.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Cluster)

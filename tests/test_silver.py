@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from kilowatt.operators import silver
@@ -94,10 +95,10 @@ def test_silver_production_union_and_derivations(spark):
             w1["efficiency_pct"]) == ("wind", 120.0, None, 90.0, None)
 
 
-def test_efficiency_exact_tie_rounds_half_up(spark):
+def test_efficiency_is_the_double_quotient_rounded(spark):
     s = solar(spark, [(1, T0, "S1", 1.0, 40.0, 57.51, "OK", None)])
     out = rows(silver.silver_production({"solar": s}))
-    assert out[0]["efficiency_pct"] == 143.78
+    assert out[0]["efficiency_pct"] == 143.77  # 57.51 / 0.4 is 143.77499999999998 as a double
 
 
 def test_enrich_sites_missing_zero_null_malformed_capacity(spark):
@@ -116,23 +117,22 @@ def test_enrich_sites_missing_zero_null_malformed_capacity(spark):
     assert out["S9"]["site_name"] is None  # unmatched fact kept (left join)
 
 
-def test_enrich_broadcasts_only_checked_dimension(spark):
+def test_enrich_hints_a_broadcast_only_when_asked(spark):
     from kilowatt import fixtures as fx
     from tests.conftest import SF_TINY
-    prod = fx.readings(spark, SF_TINY).select("site_id", "production_kwh")
-    plan = silver.enrich_sites(prod, fx.sites(spark, SF_TINY))._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan
-    # a limit of 0 bytes: no hint; an in-memory frame of unknown size is measured
-    plan0 = silver.enrich_sites(prod, fx.sites(spark, SF_TINY), max_broadcast_bytes=0)
-    assert "strategy=broadcast" not in plan0._jdf.queryExecution().optimizedPlan().toString()
-    mem = spark.createDataFrame([("S1", "a", "r", "2.0", "1", "2")],
-                                "site_id string, site_name string, region string, capacity_mw string, "
-                                "latitude string, longitude string")
-    plan1 = silver.enrich_sites(prod.withColumn("site_id", F.col("site_id").cast("string")), mem)
-    assert "strategy=broadcast" in plan1._jdf.queryExecution().optimizedPlan().toString()
-    from kilowatt.operators.joins import measured_size_bytes
-    assert measured_size_bytes(mem, 10 ** 6) is not None
-    assert measured_size_bytes(fx.readings(spark, SF_TINY), 1000) is None  # more rows than fit
+    prod, sites = fx.readings(spark, SF_TINY).select("site_id", "production_kwh"), fx.sites(spark, SF_TINY)
+
+    def plan(**options):
+        return silver.enrich_sites(prod, sites, **options)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan()
+    assert "strategy=broadcast" in plan(broadcast_sites=True)
+
+
+@pytest.mark.parametrize("irradiance,want", [(0.00003, 3333333.33), (0.00006, 1666666.67), (0.0, None), (-1.0, None), (5e-324, None), (None, None)])
+def test_efficiency_on_small_irradiance(spark, irradiance, want):
+    from kilowatt.functions.expressions import solar_efficiency_pct
+    df = spark.createDataFrame([(1.0, irradiance)], "production_kwh double, irradiance_w_m2 double")
+    assert df.select(solar_efficiency_pct()).first()[0] == want
 
 
 def test_validation_profile_null_when_no_match(spark):

@@ -69,22 +69,50 @@ def test_drift_alerts_label(spark):
     assert out[3]["alert_level"].endswith("Normal")
 
 
-def test_micro_batch_merge_is_replay_safe(spark):
+def _silver(batch):
     from kilowatt.operators import silver
+    return silver.silver_technology(batch, silver.SOLAR)
+
+
+def test_micro_batch_merge_is_replay_safe(spark):
     from kilowatt.sinks import versioned
     from kilowatt.streaming.upsert import merge_micro_batch
     path = scratch_path(spark, "t-upsert")
-    to_silver = lambda b: silver.silver_technology(b, silver.SOLAR)
     b0 = spark.createDataFrame([(T, "S1", 1.0, 2.0, 3.0, "OK"), (T, "S1", 1.0, 2.0, 5.0, "OK")], SOLAR)
     b1 = spark.createDataFrame([(T, "S1", 1.0, 2.0, 7.0, "OK"),
                                 (T + dt.timedelta(days=1), "S2", 1.0, 2.0, 1.0, "OK")], SOLAR)
-    assert merge_micro_batch(b0, 0, path, to_silver) == 0
-    assert merge_micro_batch(b1, 1, path, to_silver) == 1
-    assert merge_micro_batch(b1, 1, path, to_silver) is None          # replayed batch: skipped
+    assert merge_micro_batch(b0, 0, path, _silver, "a") == 0
+    assert merge_micro_batch(b1, 1, path, _silver, "a") == 1
+    assert merge_micro_batch(b1, 1, path, _silver, "a") is None          # replayed batch: skipped
     got = {(r["site_id"], r["production_kwh"]) for r in versioned.read_version(spark, path).collect()}
     assert got == {("S1", 7.0), ("S2", 1.0)}
-    h = versioned.history(spark, path).collect()
-    assert [r["version"] for r in h] == [1, 0] and h[0]["num_updated"] == 1 and h[0]["num_inserted"] == 1
+    # another stream's batch of the same number is no replay
+    b2 = spark.createDataFrame([(T, "S3", 1.0, 2.0, 1.0, "OK")], SOLAR)
+    assert merge_micro_batch(b2, 1, path, _silver, "b") == 2
+    assert versioned.read_version(spark, path).count() == 3
+
+
+def test_batches_end_where_one_batch_does(spark):
+    from itertools import permutations
+
+    from kilowatt.sinks import versioned
+    from kilowatt.streaming.upsert import merge_micro_batch
+    rows = [(T, "S1", 1.0, 2.0, v, s) for v, s in ((5.0, "OK"), (3.0, "OK"), (None, "OK"), (5.0, "DEGRADED"))]
+    rows += [(None, "S1", 1.0, 2.0, 1.0, "OK")]  # no time, hence no date
+    want = sorted(map(str, map(tuple, _silver(spark.createDataFrame(rows, SOLAR)).collect())))
+    for order in list(permutations(rows))[::31]:
+        path = scratch_path(spark, "t-order")
+        for n, row in enumerate(order):
+            merge_micro_batch(spark.createDataFrame([row], SOLAR), n, path, _silver, "a")
+        got = versioned.read_version(spark, path)
+        assert sorted(map(str, map(tuple, got.select(*_silver(spark.createDataFrame(rows, SOLAR)).columns).collect()))) == want
+
+
+def test_site_without_baseline_keeps_its_row(spark):
+    base = spark.createDataFrame([("S1", 1.0, 0.1, 30)], "site_id string, baseline_mean double, baseline_std double, baseline_days long")
+    d = spark.createDataFrame([(dt.date(2024, 1, 2), "S9", 0.7)], "date date, site_id string, production_mwh double")
+    row = rollup.drift_alerts(d, base).first()
+    assert row["z_score"] is None and row["alert_level"] == "no baseline"
 
 
 def test_csv_reads_both_timestamp_spellings(spark):
@@ -102,6 +130,5 @@ def test_stream_quality_observed_per_batch(spark):
     landing, out, ck = f"{root}/landing", f"{root}/out", f"{root}/_ck"
     a = spark.createDataFrame([(T, "S1", 1.0, 2.0, -3.0, "OK"), (T, "S2", 1.0, 2.0, None, "OFFLINE")], SOLAR)
     write_csv(a.coalesce(1), landing, mode="append")
-    q = ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, out, ck)
-    m = ingest.stream_quality(q)
+    m = ingest.ingest_stream(spark, landing, schemas.SOLAR_SCHEMA, out, ck)
     assert m == {"total_rows": 2, "null_production": 1, "negative_production": 1, "offline_records": 1}

@@ -23,12 +23,16 @@ def to_spark(sql: str) -> str:
     return sql
 
 
+def register_tables(spark, sf: str) -> None:
+    for t in ["region", "nation", "customer", "orders", "lineitem", "events"]:
+        spark.read.parquet(f"{sf}/{t}.parquet").createOrReplaceTempView(t)
+
+
 def main():
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus=cpus, shuffle_partitions=int(cpus), app="reference-shape")
-    for t in ["region", "nation", "customer", "orders", "lineitem", "events"]:
-        spark.read.parquet(f"{sf}/{t}.parquet").createOrReplaceTempView(t)
+    register_tables(spark, sf)
     out = {}
     for name in sys.argv[1:] or HEADLINE:
         q = to_spark(ORACLE[name])
