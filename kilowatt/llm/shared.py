@@ -39,6 +39,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` over as many partitions as the session shuffles into: for a small
+    table before work that grows with each row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def crc_fold(id_col: str, folds: int) -> Column:
     """crc32 of the id's decimal text modulo ``folds`` (a null id: the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), F.lit(folds)).cast("int")

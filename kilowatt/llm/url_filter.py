@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kilowatt.llm.shared import stored
+from kilowatt.llm.shared import dealt, stored
 
 #: (verdict, host and path prefix) of the rules that the query applies (fixed values).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-#: Symbols of the models: any other character, end mark, start mark, and these.
+#: Symbols of the models; any other character counts as ``*``, and ``^`` and ``$``
+#: mark start and end.
 _SYMBOLS = string.ascii_lowercase + string.digits + "./-_%~"
-_OTHER, _END, _START = 0, 1, 2
-_SIZE = 3 + len(_SYMBOLS)
+_ALL = "*^$" + _SYMBOLS
 
 
 def host(url: Column) -> Column:
@@ -43,13 +43,10 @@ def rule_of(rules: tuple[tuple[str, str], ...], host_col: Column, path_col: Colu
 
 
 def _grams(text: Column) -> Column:
-    """The text's character triples as numbers: two symbols of context and the
-    symbol after them, from the first character (after start marks) to the end mark."""
-    codes = F.transform(F.filter(F.split(F.lower(text), ""), lambda c: c != ""), lambda c: F.coalesce(
-        F.nullif(F.position(c, F.lit(_SYMBOLS)), F.lit(0)) + (_START), F.lit(_OTHER)))
-    codes = F.concat(F.array(F.lit(_START), F.lit(_START)), codes, F.array(F.lit(_END)))
-    return F.transform(F.sequence(F.lit(3), F.size(codes)), lambda i: F.element_at(codes, (i - 2).cast("int")) * (_SIZE * _SIZE)
-                       + F.element_at(codes, (i - 1).cast("int")) * _SIZE + F.element_at(codes, i.cast("int")))
+    """The text's character triples: two symbols of context and the symbol after
+    them, from the first character (after start marks) to the end mark."""
+    plain = F.regexp_replace(F.lower(text), r"(?s)[^a-z0-9./\-_%~]", "*")
+    return F.regexp_extract_all(F.concat(F.lit("^^"), plain, F.lit("$")), F.lit("(?=(...))"), F.lit(1))
 
 
 def _models(grams: DataFrame) -> DataFrame:
@@ -59,14 +56,13 @@ def _models(grams: DataFrame) -> DataFrame:
     Either is a Markov model of variable order: counts of two, one and no
     symbols of context are interpolated, each order weighing as much as the
     number of different symbols seen after its context says (Witten-Bell); an
-    unseen context leaves the shorter one. The table has ``_SIZE`` cubed rows,
-    whatever the input.
+    unseen context leaves the shorter one. The table has as many rows as there
+    are triples of symbols (91,125), whatever the input.
     """
-    n = stored(grams.groupBy("gram").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("allow", "block")]), "triples")
-    full = grams.sparkSession.range(_SIZE ** 3).select(
-        F.col("id").cast("int").alias("gram"), F.expr(f"int(id div {_SIZE * _SIZE})").alias("a"),
-        F.expr(f"int(id div {_SIZE} % {_SIZE})").alias("b"), F.expr(f"int(id % {_SIZE})").alias("c"))
-    table = stored(full.join(n, "gram", "left").na.fill(0, ["allow", "block"]), "full")
+    n = grams.groupBy("gram").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in ("allow", "block")])
+    symbol = lambda c: F.explode(F.array(*map(F.lit, _ALL))).alias(c)
+    full = grams.sparkSession.range(1).select(symbol("a")).select("a", symbol("b")).select("a", "b", symbol("c"))
+    table = stored(full.withColumn("gram", F.concat("a", "b", "c")).join(n, "gram", "left").na.fill(0, ["allow", "block"]), "triples")
     pairs = table.groupBy("b", "c").agg(*[F.sum(k).alias(k) for k in ("allow", "block")])
     singles = table.groupBy("c").agg(*[F.sum(k).alias(k) for k in ("allow", "block")])
 
@@ -80,7 +76,7 @@ def _models(grams: DataFrame) -> DataFrame:
     rows = rows.join(context(table, ["a", "b"], 2), ["a", "b"]).join(context(pairs, ["b"], 1), "b").join(context(singles, [], 0), "one")
 
     def probability(kind: str) -> Column:
-        p = F.lit(1.0 / _SIZE)
+        p = F.lit(1.0 / len(_ALL))
         for level in range(3):
             hits, n, t = (F.col(f"{kind}_{x}") for x in (level, f"n{level}", f"t{level}"))
             p = F.when(n > 0, (hits + t * p) / (n + t)).otherwise(p)
@@ -91,15 +87,16 @@ def _models(grams: DataFrame) -> DataFrame:
 
 def _threshold(scores: DataFrame) -> float:
     """The score from which on URLs are accepted: of all limits (in hundredths),
-    the one with the best balance of accepted kept and rejected blocked. Both
-    kinds must occur, otherwise everything is accepted."""
+    the one with the best balance of accepted kept and rejected blocked, in the
+    middle between the scores on its two sides. Both kinds must occur,
+    otherwise everything is accepted."""
     bins = scores.select(F.greatest(F.lit(-2000), F.least(F.lit(2000), F.floor(F.col("score") * 100))).alias("bin"), "kind")
     bins = bins.groupBy("bin").agg(F.count_if(F.col("kind") == "allow").alias("a"), F.count_if(F.col("kind") == "block").alias("b"))
     before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # 4,001 rows at most
-    rows = bins.select("bin", F.coalesce(F.sum("a").over(before), F.lit(0)).alias("lost"), F.coalesce(F.sum("b").over(before), F.lit(0)).alias("caught"),
+    rows = bins.select("bin", F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, "bin").alias("below"), F.coalesce(F.sum("a").over(before), F.lit(0)).alias("lost"), F.coalesce(F.sum("b").over(before), F.lit(0)).alias("caught"),
                        F.sum("a").over(Window.partitionBy()).alias("all_a"), F.sum("b").over(Window.partitionBy()).alias("all_b"))
     best = rows.filter("all_a > 0 and all_b > 0").orderBy((F.col("caught") / F.col("all_b") - F.col("lost") / F.col("all_a")).desc(), "bin").first()
-    return best["bin"] / 100 if best else float("-inf")
+    return (best["below"] + best["bin"]) / 200 if best else float("-inf")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
@@ -120,8 +117,8 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     urls = stored(urls.withColumn("rule", rule).withColumn("says", says).withColumn(
         "example", F.col("rule").isNotNull() & (F.pmod(F.xxhash64("url"), F.lit(5)) != 0)), "urls")
     text = F.concat("host", "path")
-    ratios = stored(_models(urls.filter("example").select(F.explode(_grams(text)).alias("gram"), F.col("says").alias("kind"))), "ratios")
-    spread = urls.filter("not example").select("url", "says", F.explode(_grams(text)).alias("gram"))
+    ratios = stored(_models(dealt(urls.filter("example"), "url").select(F.explode(_grams(text)).alias("gram"), F.col("says").alias("kind"))), "ratios")
+    spread = dealt(urls.filter("not example"), "url").select("url", "says", F.explode(_grams(text)).alias("gram"))
     scores = stored(spread.join(F.broadcast(ratios), "gram").groupBy("url", "says").agg(F.avg("ratio").alias("score")).select(
         F.col("url").alias("scored_url"), F.col("says").alias("kind"), "score"), "scores")
     limit = _threshold(scores.filter("kind is not null"))
