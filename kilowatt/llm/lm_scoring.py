@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kilowatt.llm.shared import crc_fold
+from kilowatt.llm.shared import crc_fold, stored
 
 #: The vocabulary both models share: every word and every pair of words has a
 #: slot in it, by hash. Its size doesn't depend on the corpus.
@@ -133,10 +133,9 @@ def _counted(rows: DataFrame) -> DataFrame:
     return parts.groupBy("block").applyInPandas(add, "block int, counts binary")
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          target_value: int = 1, mass: float = 2.0) -> DifferenceModel:
-    """Counts all documents: the background model from every text, the target
-    model from those that ``labels`` marks with ``target_value``.
+def train(rows: DataFrame, mass: float = 2.0) -> DifferenceModel:
+    """Counts all of ``rows(text, target)``: the background model from every
+    text, the target model from those of the target.
 
     Both share the vocabulary, the order (pairs of words, interpolated with
     single words by a Dirichlet mass) and the total mass: the background's
@@ -145,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     size = _START + 1 + (1 << PAIR_BITS)
     counts = np.zeros((2, size + -size % _BLOCK), np.float32)
-    for r in _counted(_marked(docs, labels, id_col, text_col, label_col, target_value)).toLocalIterator():
+    for r in _counted(rows).toLocalIterator():
         counts[:, r["block"] * _BLOCK:(r["block"] + 1) * _BLOCK] = np.frombuffer(r["counts"], np.int64).reshape(2, -1)
     if not counts[0].any():
         counts[0] = counts[1]
@@ -155,11 +154,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return DifferenceModel(counts[:, :_START + 1], counts[:, _START + 1:size], np.array([[totals[0]], [totals[1] * scale]], np.float32), scale, mass)
 
 
-def _marked(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, target_value: int) -> DataFrame:
-    """``(id, text, target)`` per row of ``docs``."""
+def marked(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+           target_value: int = 1) -> DataFrame:
+    """``(id, text, target)`` per row of ``docs``, stored: the texts are shuffled
+    once to meet the labels (which grow as they do, so they aren't broadcast),
+    and read twice."""
     wanted = labels.filter(F.col(label_col) == target_value).select(F.col(id_col).alias("id")).distinct().withColumn("marked", F.lit(True))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted, "id", "left").select(
-        "id", "text", F.coalesce("marked", F.lit(False)).alias("target"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted.hint("merge"), "id", "left")
+    return stored(rows.select("id", "text", F.coalesce("marked", F.lit(False)).alias("target")), "marked")
 
 
 def scored(docs: DataFrame, model: DifferenceModel, text: Column, target: Column) -> Column:
@@ -183,7 +185,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, id_col: str = "
     held fold are never used. Null or empty text: score 0, no tokens. Repeated
     rows count and are scored each; other columns are ignored."""
     known = labels.filter(crc_fold(id_col, folds) != held)
-    model = train(docs, known, id_col, text_col, label_col, target_value, **options)
-    rows = _marked(docs, known, id_col, text_col, label_col, target_value)
+    rows = marked(docs, known, id_col, text_col, label_col, target_value)
+    model = train(rows, **options)
     return rows.select(F.col("id").alias(id_col), (crc_fold("id", folds) == held).alias("held_out"),
                        scored(rows, model, F.col("text"), F.col("target")).alias("s")).select(id_col, "held_out", "s.score", "s.n_tokens")

@@ -5,7 +5,7 @@ from kilowatt.llm import lm_scoring
 
 def test_counts_cover_all_texts(spark, odd_docs):
     labels = spark.createDataFrame([(1, 1), (6, 1), (2, 0)], "doc_id long, quality int")
-    model = lm_scoring.train(odd_docs, labels)
+    model = lm_scoring.train(lm_scoring.marked(odd_docs, labels))
     words = {r["doc_id"]: lm_scoring._WORD.findall((r["text"] or "").lower()) for r in odd_docs.collect()}
     everything = sum(len(lm_scoring._WORD.findall((r["text"] or "").lower())) for r in odd_docs.collect())
     target = len(words[1]) + len(words[6])
@@ -19,7 +19,7 @@ def test_counts_cover_all_texts(spark, odd_docs):
 def test_score_equals_the_formula(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "a b d"), (3, "x y")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
-    m = lm_scoring.train(docs, labels)
+    m = lm_scoring.train(lm_scoring.marked(docs, labels))
     counts = {"t": [["a", "b", "a", "c"]], "b": [["a", "b", "a", "c"], ["a", "b", "d"], ["x", "y"]]}
     scale = 4 / 9
 
