@@ -23,6 +23,7 @@ _CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
 _PIECE = 1 << 18
 #: Words remembered by a worker; beyond it the memory starts anew.
 _REMEMBERED = 300_000
+_NO_RULE = (1 << 62, -1)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -78,9 +79,20 @@ class ByteBPE:
 
     def merge(self, data: bytes) -> list[int]:
         """Tokens of a short run of bytes: the pair of the lowest rank first, the
-        leftmost among equals."""
+        leftmost among equals. Words are short, so looking through all pairs is
+        the quickest way; longer runs keep their pairs in a heap."""
         ids = [self.byte_ids[b] for b in data]
-        if len(ids) < 2:
+        if len(ids) <= 48:
+            rule = self.rules.get
+            pairs = [rule(p, _NO_RULE) for p in zip(ids, ids[1:])]
+            while pairs and (best := min(pairs)) is not _NO_RULE:
+                i, new = pairs.index(best), best[1]
+                ids[i:i + 2] = [new]
+                del pairs[i]
+                if i:
+                    pairs[i - 1] = rule((ids[i - 1], new), _NO_RULE)
+                if i < len(pairs):
+                    pairs[i] = rule((new, ids[i + 1]), _NO_RULE)
             return ids
         rules, after, before = self.rules, [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
         heap = [(*rules[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in rules]
