@@ -67,13 +67,14 @@ def _models(grams: DataFrame) -> DataFrame:
     singles = table.groupBy("c").agg(*[F.sum(k).alias(k) for k in ("allow", "block")])
 
     def context(rows: DataFrame, keys: list[str], level: int) -> DataFrame:
-        aggs = [x for k in ("allow", "block") for x in (F.sum(k).alias(f"{k}_n{level}"), F.count_if(F.col(k) > 0).alias(f"{k}_t{level}"))]
-        return rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs).withColumn("one", F.lit(1))
+        return rows.groupBy(*keys).agg(*[x for k in ("allow", "block") for x in (
+            F.sum(k).alias(f"{k}_n{level}"), F.count_if(F.col(k) > 0).alias(f"{k}_t{level}"))])
 
-    rows = table.withColumnsRenamed({"allow": "allow_2", "block": "block_2"}).withColumn("one", F.lit(1))
+    total = context(singles, [], 0).first()
+    rows = table.withColumnsRenamed({"allow": "allow_2", "block": "block_2"}).withColumns({c: F.lit(total[c]) for c in total.asDict()})
     rows = rows.join(pairs.withColumnsRenamed({"allow": "allow_1", "block": "block_1"}), ["b", "c"])
     rows = rows.join(singles.withColumnsRenamed({"allow": "allow_0", "block": "block_0"}), "c")
-    rows = rows.join(context(table, ["a", "b"], 2), ["a", "b"]).join(context(pairs, ["b"], 1), "b").join(context(singles, [], 0), "one")
+    rows = rows.join(context(table, ["a", "b"], 2), ["a", "b"]).join(context(pairs, ["b"], 1), "b")
 
     def probability(kind: str) -> Column:
         p = F.lit(1.0 / len(_ALL))
