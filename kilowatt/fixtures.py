@@ -49,18 +49,18 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def solar_raw(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Bronze-shaped solar readings (reference solar schema + event_id)."""
-    r = readings(spark, sf_dir).filter(F.col("technology") == "solar")
+    r = (readings(spark, sf_dir) if rows is None else rows).filter(F.col("technology") == "solar")
     return r.select("event_id", "timestamp", "site_id",
                     F.col("sensor_1").alias("panel_temp_c"),
                     F.col("sensor_2").alias("irradiance_w_m2"),
                     "production_kwh", "status")
 
 
-def wind_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wind_raw(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Bronze-shaped wind readings (reference wind schema + event_id)."""
-    r = readings(spark, sf_dir).filter(F.col("technology") == "wind")
+    r = (readings(spark, sf_dir) if rows is None else rows).filter(F.col("technology") == "wind")
     return r.select("event_id", "timestamp", "site_id",
                     F.col("sensor_1").alias("wind_speed_ms"),
                     (F.col("event_id") * 37 % 360).cast("int").alias("wind_direction_deg"),
@@ -68,7 +68,8 @@ def wind_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"solar": solar_raw(spark, sf_dir), "wind": wind_raw(spark, sf_dir)}
+    rows = readings(spark, sf_dir)
+    return {"solar": solar_raw(spark, sf_dir, rows), "wind": wind_raw(spark, sf_dir, rows)}
 
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:

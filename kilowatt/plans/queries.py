@@ -82,8 +82,7 @@ def q_validation_profile(spark, sf):
 
 @register("bronze_profile")
 def q_bronze_profile(spark, sf):
-    return bronze.quality_profile({"solar_raw": fx.solar_raw(spark, sf),
-                                   "wind_raw": fx.wind_raw(spark, sf)})
+    return bronze.quality_profile({f"{k}_raw": df for k, df in fx.raw_sources(spark, sf).items()})
 
 
 # ---------------------------------------------------------------- gold
