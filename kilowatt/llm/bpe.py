@@ -22,7 +22,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
 _CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
 _PIECE = 1 << 18
 #: Words remembered by a worker; beyond it the memory starts anew.
-_REMEMBERED = 300_000
+_REMEMBERED = 100_000
 _NO_RULE = (1 << 62, -1)
 
 
@@ -237,10 +237,33 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     return rows.mapInArrow(run, f"`{id_col}` {rows.dtypes[0][1]}, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = 256) -> DataFrame:
+    """``(id_col, ids, text)``: each text encoded, and its ids decoded again, by
+    one worker with one model in memory. Null: no ids, the empty text."""
+    shared = _share(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(shared)
+        for b in batches:
+            for at in range(0, b.num_rows, slice_rows):
+                part = b.slice(at, slice_rows)
+                ids, ends, texts = array("i"), [0], []
+                for text in part.column(1):
+                    own = model.encode(text.as_py() or "")
+                    texts.append(model.decode(own))
+                    ids.extend(own)
+                    ends.append(len(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), lists, pa.array(texts, pa.string())], names=[id_col, "ids", "text"])
+
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"`{id_col}` {rows.dtypes[0][1]}, ids array<int>, text string")
+
+
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encoded and decoded again, as digests: ``id_col``, ``n_tokens``,
     ``ids_sha256`` (decimal ids joined by commas), ``decoded_sha256``."""
-    both = decode(encode(docs, path, id_col, text_col), path, id_col)
+    both = round_trip(docs, path, id_col, text_col)
     return both.select(F.col(id_col), F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))
