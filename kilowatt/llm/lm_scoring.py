@@ -62,6 +62,22 @@ def pairs(slots: np.ndarray) -> np.ndarray:
     return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
 
 
+def _words(text: str) -> Iterator[np.ndarray]:
+    """The words of a text by slices, the start mark included, each once."""
+    for k, s in enumerate(tokens(text)):
+        yield s[int(k > 0):]
+
+
+def _own(slices: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct slots of all slices of a text, ascending, and their counts."""
+    slots, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for s in slices:
+        found, n = np.unique(s, return_counts=True)
+        slots, at = np.unique(np.concatenate([slots, found]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, n]), len(slots)).astype(np.int64)
+    return slots, counts
+
+
 @dataclass
 class DifferenceModel:
     """Counts of target (0) and background (1) per slot, the background's scaled
@@ -76,20 +92,21 @@ class DifferenceModel:
     def score(self, text: str | None, in_target: bool = False) -> tuple[float, int]:
         """Mean of (background loss − target loss) per token, and the number of
         tokens; positive: likelier in the target. No token: 0. A text is judged
-        by the counts of the others: its own (slice by slice, where it is longer
-        than a slice) are taken off the models that hold it."""
-        total, n = 0.0, 0
+        by the counts of the others: its own, of all its slices, are taken off
+        the models that hold it."""
+        own_pair, own_word = _own(map(pairs, tokens(text or ""))), _own(_words(text or ""))
+        n = int(own_pair[1].sum())
+        total = 0.0
         share = np.array([[float(in_target)], [self.scale]], np.float32)
+        all_words = np.maximum(self.totals - share * n, 0) + 0.01 * _START
         for s in tokens(text or ""):
-            pair = pairs(s)
-            found, at, own = np.unique(pair, return_inverse=True, return_counts=True)
-            pair_n = np.maximum(self.pair_n[:, found] - share * own, 0)[:, at]
-            found, at, own = np.unique(s, return_inverse=True, return_counts=True)
-            word_n = np.maximum(self.word_n[:, found] - share * own, 0)[:, at]
-            word_p = (word_n[:, 1:] + 0.01) / (np.maximum(self.totals - share * len(pair), 0) + 0.01 * _START)
+            found, at = np.unique(pairs(s), return_inverse=True)
+            pair_n = np.maximum(self.pair_n[:, found] - share * own_pair[1][np.searchsorted(own_pair[0], found)], 0)[:, at]
+            found, at = np.unique(s, return_inverse=True)
+            word_n = np.maximum(self.word_n[:, found] - share * own_word[1][np.searchsorted(own_word[0], found)], 0)[:, at]
+            word_p = (word_n[:, 1:] + 0.01) / all_words
             p = (pair_n + self.mass * word_p) / (word_n[:, :-1] + self.mass)
             total += float(np.log(p[0] / p[1]).sum())
-            n += len(pair)
         return (total / n if n else 0.0), n
 
 

@@ -67,3 +67,12 @@ def test_slices_see_every_token(monkeypatch):
     whole = np.concatenate([lm_scoring.pairs(s) for s in lm_scoring.tokens(text)])
     monkeypatch.setattr(lm_scoring, "_SLICE", 64)
     assert np.array_equal(whole, np.concatenate([lm_scoring.pairs(s) for s in lm_scoring.tokens(text)]))
+
+
+def test_own_counts_cover_all_slices(spark, monkeypatch):
+    long = " ".join(f"own{i % 7} pair{i % 5}" for i in range(400))
+    docs = spark.createDataFrame([(1, long), (2, "own1 other words"), (3, "pair2 more of them")], "doc_id long, text string")
+    m = lm_scoring.train(lm_scoring.marked(docs, spark.createDataFrame([(1, 1), (2, 1)], "doc_id long, quality int")))
+    whole = m.score(long, True)
+    monkeypatch.setattr(lm_scoring, "_SLICE", 64)
+    assert np.isclose(m.score(long, True)[0], whole[0], atol=1e-6) and m.score(long, True)[1] == whole[1] == 800
