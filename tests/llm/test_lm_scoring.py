@@ -76,3 +76,19 @@ def test_own_counts_cover_all_slices(spark, monkeypatch):
     whole = m.score(long, True)
     monkeypatch.setattr(lm_scoring, "_SLICE", 64)
     assert np.isclose(m.score(long, True)[0], whole[0], atol=1e-6) and m.score(long, True)[1] == whole[1] == 800
+
+
+def test_no_two_grams_share_a_count(spark):
+    """More distinct words than any fixed table has slots: each is counted alone,
+    and chunks of any size give the same scores."""
+    n = 300_000
+    docs = spark.createDataFrame([(k, " ".join(f"w{i}" for i in range(k * n // 20, (k + 1) * n // 20))) for k in range(20)] + [(20, "w1 w2 w3"), (21, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (20, 1)], "doc_id long, quality int")
+    m = lm_scoring.train(lm_scoring.marked(docs, labels))
+    assert (m.word_n[1] > 0).sum() == n + 1 and m.pair_n.shape[1] == n + 1
+    assert np.isclose(m.word_n[1, lm_scoring._SLOTS["w7"]], m.scale) and np.isclose(m.word_n[1, lm_scoring._SLOTS["w2"]], 2 * m.scale)
+    got = [{r["doc_id"]: r["score"] for r in lm_scoring.cross_entropy_difference(docs, labels, chunk_chars=c).collect()} for c in (1, 20_000_000)]
+    assert got[0].keys() == got[1].keys() and all(np.isclose(got[0][i], got[1][i]) for i in got[0])
+    known = {r["doc_id"] for r in labels.filter(lm_scoring.crc_fold("doc_id", 5) != 0).collect()}
+    m = lm_scoring.train(lm_scoring.marked(docs, labels.filter(lm_scoring.crc_fold("doc_id", 5) != 0)))
+    assert np.isclose(m.score("w1 w2 w3", 20 in known)[0], got[1][20])
