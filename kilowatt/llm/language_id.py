@@ -12,8 +12,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from kilowatt.llm.shared import crc_fold, unwrapped, wrapped
+from kilowatt.llm.shared import crc_fold, stored, unwrapped, wrapped
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -108,25 +109,37 @@ def _bags(rows: DataFrame, pieces: int) -> list:
     return rows.mapInArrow(run, "key bigint, lang string, whole boolean, found binary, share binary").collect()
 
 
+def _sample(docs: DataFrame, text_col: str, lang_col: str, rows: int, chars: int, lang_rows: int, seed: int) -> DataFrame:
+    """``(key, lang, text)``: of the distinct texts per language the ``rows`` with
+    the smallest seeded hashes, and of each language its ``lang_rows`` with the
+    smallest. Of a text, a stretch of at most ``chars / rows`` characters from a
+    place that its hash tells."""
+    usable = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).filter(
+        "text is not null and lang is not null").select(F.xxhash64("text", F.lit(seed)).alias("key"), "lang", "text")
+    keys = stored(usable.select("lang", "key").distinct(), "keys")
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    drawn = keys.orderBy("key", "lang").limit(rows).unionByName(
+        keys.withColumn("place", order).filter(F.col("place") <= lang_rows).select("lang", "key")).distinct().collect()
+    most = max(chars // rows, 1)
+    start = F.pmod("key", F.greatest(F.length("text") - F.lit(most - 1), F.lit(1)).cast("long")).cast("int") + 1
+    return usable.join(F.broadcast(docs.sparkSession.createDataFrame(drawn, keys.schema)), ["lang", "key"]).select(
+        "key", "lang", F.substring("text", start, F.lit(most)).alias("text"))
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = 2000, sample_chars: int = 20_000_000,
-          dim: int = 16, epochs: int = 6, rate: float = 0.2, reject: float = 0.001, pieces: int = 2, seed: int = 11) -> LanguageModel:
+          dim: int = 16, epochs: int = 6, rate: float = 0.2, reject: float = 0.001, pieces: int = 2, seed: int = 11, lang_rows: int = 100) -> LanguageModel:
     """Fits the model on a bounded sample of ``docs`` with a text and a language.
 
-    The sample: the rows with the smallest seeded hashes of their texts, at most
-    ``sample_rows`` and as many of them as hold ``sample_chars`` characters.
-    Their bags of subwords (bounded by the buckets) come to the driver, which
+    The sample: the distinct texts with the smallest seeded hashes, ``sample_rows``
+    of all and ``lang_rows`` of each language, and of each text a stretch of at
+    most ``sample_chars / sample_rows`` characters. Their bags of subwords (bounded by the buckets) come to the driver, which
     runs the gradient descent (AdaGrad steps, one example at a time) on four
     fifths of them. On the last fifth the temperature is fitted, and the
     rejection limits: the score and the share of known subwords that all but
     ``reject`` of the whole texts reach, never above 1/2 and 2/3. No usable row: a model without languages, which
     answers ``und``.
     """
-    usable = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).filter(
-        "text is not null and lang is not null").select(F.xxhash64("text", F.lit(seed)).alias("key"), "lang", "text")
-    first = usable.select("key", F.length("text").alias("n")).orderBy("key", "n").limit(sample_rows).collect()
-    held = np.cumsum([r["n"] for r in first]) if first else np.zeros(0)
-    last = first[max(0, int(np.searchsorted(held, sample_chars, "right")) - 1)]["key"] if first else None
-    examples = _bags(usable.filter(F.col("key") <= last), pieces) if first else []
+    examples = _bags(_sample(docs, text_col, lang_col, sample_rows, sample_chars, lang_rows, seed), pieces)
     examples.sort(key=lambda r: (r["key"], r["lang"], r["whole"], r["found"]))
     langs = sorted({r["lang"] for r in examples})
     if not langs:

@@ -71,3 +71,22 @@ def test_nothing_to_learn_from(odd_docs):
     from pyspark.sql import functions as F
     rows = language_id.identify(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {(r["lang_pred"], r["score"]) for r in rows} == {("und", 0.0)}
+
+
+def sampled(rows, **options):
+    import inspect
+    given = {k: p.default for k, p in inspect.signature(language_id.train).parameters.items()}
+    given = {"rows": given["sample_rows"], "chars": given["sample_chars"], "lang_rows": given["lang_rows"], "seed": given["seed"]} | options
+    return language_id._sample(rows, "text", "lang", **given)
+
+
+def test_sample_is_drawn_over_distinct_texts_and_languages(spark):
+    """2,500 copies, very long texts and a rare language: each still has its share."""
+    rows = [("copied text of one language", "en")] * 2500 + [(f"text number {i} of many", "en") for i in range(5000)]
+    rows += [("long words " * 100_000 + str(i), "fr") for i in range(25)] + [("rare language", "is")]
+    rows = spark.createDataFrame(rows, "text string, lang string").repartition(6)
+    got = sampled(rows).distinct().collect()
+    assert len([r for r in got if r["lang"] == "en"]) > 1900
+    assert len([r for r in got if r["lang"] == "fr"]) == 25 and len([r for r in got if r["lang"] == "is"]) == 1
+    assert max(len(r["text"]) for r in got) == 10_000
+    assert language_id.train(rows).langs == ["en", "fr", "is"]
