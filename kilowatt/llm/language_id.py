@@ -113,7 +113,7 @@ def _sample(docs: DataFrame, text_col: str, lang_col: str, rows: int, chars: int
     """``(key, lang, text)``: of the distinct texts per language the ``rows`` with
     the smallest seeded hashes, and of each language its ``lang_rows`` with the
     smallest. Of a text, a stretch of at most ``chars / rows`` characters from a
-    place that its hash tells."""
+    place that its hash tells; copies of a text are one row."""
     usable = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).filter(
         "text is not null and lang is not null").select(F.xxhash64("text", F.lit(seed)).alias("key"), "lang", "text")
     keys = stored(usable.select("lang", "key").distinct(), "keys")
@@ -123,7 +123,7 @@ def _sample(docs: DataFrame, text_col: str, lang_col: str, rows: int, chars: int
     most = max(chars // rows, 1)
     start = F.pmod("key", F.greatest(F.length("text") - F.lit(most - 1), F.lit(1)).cast("long")).cast("int") + 1
     return usable.join(F.broadcast(docs.sparkSession.createDataFrame(drawn, keys.schema)), ["lang", "key"]).select(
-        "key", "lang", F.substring("text", start, F.lit(most)).alias("text"))
+        "key", "lang", F.substring("text", start, F.lit(most)).alias("text")).distinct()
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_rows: int = 2000, sample_chars: int = 20_000_000,

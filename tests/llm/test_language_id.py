@@ -90,3 +90,9 @@ def test_sample_is_drawn_over_distinct_texts_and_languages(spark):
     assert len([r for r in got if r["lang"] == "fr"]) == 25 and len([r for r in got if r["lang"] == "is"]) == 1
     assert max(len(r["text"]) for r in got) == 10_000
     assert language_id.train(rows).langs == ["en", "fr", "is"]
+
+
+def test_copies_of_a_sampled_text_are_one_row(spark):
+    rows = spark.createDataFrame([("copied text", "en")] * 4000 + [("other text", "en"), ("copied text", "fr")], "text string, lang string").repartition(5)
+    got = sampled(rows).select("lang", "text").collect()
+    assert sorted(map(tuple, got)) == [("en", "copied text"), ("en", "other text"), ("fr", "copied text")]
