@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -245,8 +246,14 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      max_bits: int = 3) -> DataFrame:
     """``docs`` with the row of the smallest id of each component only; columns
     and values unchanged. Rows that repeat the smallest id all stay, as do rows
-    of a component without any id."""
+    of a component without any id. A row goes by its id and its fingerprint: one
+    id on texts of several components is decided in each of them."""
+    @F.pandas_udf("long")
+    def hashed(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.fromiter((simhash(t, shingle) for t in texts), np.uint64, len(texts)).view(np.int64))
+
     gone = near_duplicates(docs, id_col, text_col, shingle, max_bits).filter(
-        ~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id")).distinct()
-    rows = wrapped(docs)
-    return unwrapped(rows.join(gone, F.col(f"row.`{id_col}`").eqNullSafe(F.col("gone_id")), "left_anti"))
+        ~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("gone_id"), F.col("fingerprint").alias("gone_print")).distinct()
+    rows = wrapped(docs).withColumn("print", hashed(F.col(f"row.`{text_col}`").cast("string")))
+    return unwrapped(rows.join(gone, F.col(f"row.`{id_col}`").eqNullSafe(F.col("gone_id"))
+                               & (F.col("print") == F.col("gone_print")), "left_anti"))

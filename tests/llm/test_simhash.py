@@ -93,3 +93,11 @@ def test_near_copies_go(odd_docs, no_docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["1", "3", "None", "6", "8", "9", "9", "10"])
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.drop_near_copies(no_docs).count() == 0
+
+
+def test_rows_go_by_their_own_component(spark):
+    """Null ids and a repeated id on different texts: only the near copy goes."""
+    near, other, third = "one text of several plain words here", "quite another matter without any likeness", "a last one that nobody has copied yet"
+    rows = [(3, near), (None, near), (None, other), (5, near), (5, third)]
+    kept = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(3, near), (None, other), (5, third)]))
