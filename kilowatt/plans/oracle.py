@@ -497,6 +497,9 @@ SELECT * FROM (
          {R(f"AVG({D('availability_pct')}) * 0.4 + AVG({D('daily_capacity_factor_pct')}) * 0.6", 1)} AS performance_score
   FROM daily GROUP BY site_id, technology, strftime(date, '%Y-%m')) r
 ORDER BY month_label, performance_score DESC NULLS LAST, site_id, technology LIMIT 50""")
+ORACLE["report_ordered_whole"] = f"""
+SELECT * FROM ({ORACLE["site_efficiency_report"]}) r
+ORDER BY month_label, performance_score DESC NULLS LAST, site_id, technology"""
 # NULL sites and NULL dates on both sides: no key matches them, every row counts
 ORACLE["merge_null_keys"] = _q(*SILVER_CHAIN, """
 nbase AS (

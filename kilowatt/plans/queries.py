@@ -476,6 +476,13 @@ def q_report_ordered(spark, sf):
     return report.orderBy(*gold.report_order(report)).limit(50).select("site_id", "technology", "month_label", "performance_score")
 
 
+@register("report_ordered_whole")
+def q_report_ordered_whole(spark, sf):
+    """The whole monthly report in its presentation order, all columns."""
+    report = gold.site_efficiency_report(daily(spark, sf))
+    return report.orderBy(*gold.report_order(report))
+
+
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table replayed as a file stream."""
     ev = read_table(spark, sf, "events")

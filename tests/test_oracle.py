@@ -59,3 +59,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "daily_capacity_factor_pct" in df.columns
+
+
+def test_ordered_report_is_whole(spark):
+    sf = SF_TINY.replace("sf0.001", "sf0.01")
+    report = QUERIES["site_efficiency_report"](spark, sf)
+    got = QUERIES["report_ordered_whole"](spark, sf)
+    assert got.columns == report.columns
+    found = got.collect()
+    assert len(found) == report.count() > 50
+    order = [(r["month_label"], -r["performance_score"] if r["performance_score"] is not None else math.inf) for r in found]
+    assert order == sorted(order)
