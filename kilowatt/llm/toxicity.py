@@ -68,9 +68,14 @@ class Lexicon(dict):
             self[token] = weight
         return weight
 
+    def term(self, token: str) -> str:
+        """The term that gives a word its weight."""
+        return max(terms(bare(token)), key=lambda t: self.weights.get(t, 0.0))
+
 
 def features(text: str | None, lexicon: Lexicon, near: int = 3) -> np.ndarray:
-    """The dense features of one whole text (see FEATURES), worked on in slices."""
+    """The dense features of one whole text (see FEATURES), worked on in slices.
+    ``distinct`` counts the lexicon's terms met, which the lexicon bounds."""
     text = text or ""
     n = hits = second = close = shouted = 0
     weight = strongest = 0.0
@@ -91,8 +96,7 @@ def features(text: str | None, lexicon: Lexicon, near: int = 3) -> np.ndarray:
         n, hits, weight, second = n + len(tokens), hits + len(hit), weight + float(w.sum()), second + int(you.sum())
         if len(hit):
             strongest = max(strongest, float(w.max()))
-            if len(distinct) < 64:
-                distinct.update(bare(tokens[i]) for i in hit[:256])
+            distinct.update(map(lexicon.term, {tokens[i] for i in hit}))
             if you.any():
                 around = np.convolve(you, np.ones(2 * near + 1), "same") > 0
                 close += int(around[hit].sum())

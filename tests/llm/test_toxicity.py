@@ -59,3 +59,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert toxicity.toxicity(no_docs, labels).count() == 0
     none = toxicity.toxicity(odd_docs, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.0}
+
+
+def test_distinct_counts_all_hits():
+    terms = {f"term{chr(97 + i // 20)}{chr(97 + i % 20)}": 1.0 + i / 1000 for i in range(200)}
+    at = toxicity.FEATURES.index("distinct")
+    for text in ("termaa " * 300 + " ".join(terms), " ".join(terms) + " termaa" * 300):
+        assert np.isclose(toxicity.features(text, toxicity.Lexicon(terms))[at], np.log1p(200))
