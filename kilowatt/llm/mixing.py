@@ -60,8 +60,15 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
         F.col("weight") * F.lit(float(level)))).drop("cap")
 
 
+def block_of(seed: int, block: int) -> Column:
+    """Block of a row among those of its source, by its id, size and text: rows
+    that have no id or repeat one are dealt as well."""
+    return F.pmod(F.xxhash64("id", "size", "mark", F.lit(seed)), F.ceil(F.col("n_docs") / block))
+
+
 def allocate(sized: DataFrame, targets: DataFrame, seed: int = 7, block: int = 128) -> DataFrame:
-    """How often each row is taken: ``sized(id, source, size, …)`` plus
+    """How often each row is taken: ``sized(id, source, size, mark, …)``,
+    ``mark`` a hash of the text, gives these without the mark and with
     ``source_size``, ``target``, ``whole`` (whole repetitions), ``extra`` (words
     of one fractional repetition), ``taken``.
 
@@ -69,7 +76,8 @@ def allocate(sized: DataFrame, targets: DataFrame, seed: int = 7, block: int = 1
     target is sampled: rows are dealt by a seeded hash into blocks of about
     ``block`` rows, and inside a block, in a second seeded order, rows are taken
     once more until the block's share is reached; the last one gives only the
-    words that are missing. So no source is ever one group, and a source's
+    words that are missing. So no source is ever one group (but copies of one
+    row with one id share a block), and a source's
     total is exact but for one word of rounding a block. The same seed and rows
     give the same result, however they are partitioned.
     """
@@ -77,16 +85,16 @@ def allocate(sized: DataFrame, targets: DataFrame, seed: int = 7, block: int = 1
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = sized.join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
     rows = rows.withColumn("whole", F.floor(epochs).cast("long")).withColumn("part", epochs - F.col("whole")).withColumn(
-        "block", F.pmod(F.xxhash64("id", F.lit(seed)), F.ceil(F.col("n_docs") / block)))
+        "block", block_of(seed, block))
     group = Window.partitionBy("source", "block")
-    order = group.orderBy(F.xxhash64("id", F.lit(seed + 1)), "id", "size").rowsBetween(
+    order = group.orderBy(F.xxhash64("id", F.lit(seed + 1)), "id", "size", "mark").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     quota = F.round(F.col("part") * F.col("block_size")).cast("long")
     rows = rows.withColumn("until", F.sum("size").over(order)).withColumn("block_size", F.sum("size").over(group))
     rows = rows.withColumn("extra", F.greatest(F.lit(0).cast("long"), F.least(
         F.col("size"), quota - F.col("until") + F.col("size"))))
     return rows.withColumn("taken", F.col("whole") * F.col("size") + F.col("extra")).drop(
-        "n_docs", "part", "block", "until", "block_size")
+        "n_docs", "part", "block", "until", "block_size", "mark")
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -96,7 +104,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     ids and sizes. Null text: size 0. Null source: a source of its own, last.
     Repeated rows are rows of their own. Other columns are ignored."""
     sized = stored(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                               words(F.col(text_col)).alias("size")), "sizes")
+                               words(F.col(text_col)).alias("size"), F.xxhash64(text_col).alias("mark")), "sizes")
     return allocate(sized, source_targets(sized, weights, max_epochs), seed).select(
         F.col("id").alias(id_col), "size", "source_size", "target", "taken", "whole", "extra")
 
@@ -108,7 +116,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     of the text, joined by single spaces. Rows without words are
     never repeated: they stay once where their source is taken once or more."""
     rows = wrapped(docs).select("row", F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{source_col}`").alias("source"),
-                                words(F.col(f"row.`{text_col}`")).alias("size"))
+                                words(F.col(f"row.`{text_col}`")).alias("size"), F.xxhash64(F.col(f"row.`{text_col}`")).alias("mark"))
     sized = stored(rows.select("source", "size"), "sizes")
     plan = allocate(rows, source_targets(sized, weights, max_epochs), seed)
     whole = F.when(F.col("size") > 0, F.col("whole")).otherwise(F.least(F.col("whole"), F.lit(1).cast("long")))

@@ -86,3 +86,11 @@ def test_empty_table(no_docs):
 def test_odd_rows_mixed(odd_docs):
     assert mixing.mixed(odd_docs).columns == odd_docs.columns
     assert mixing.mixed(odd_docs).count() >= 1
+
+
+@pytest.mark.parametrize("id_", [None, 7])
+def test_rows_without_an_id_of_their_own_are_dealt(spark, id_):
+    rows = spark.createDataFrame([(id_, f"w{i} w", "a") for i in range(2000)], "doc_id long, text string, source string")
+    sized = rows.selectExpr("doc_id AS id", "2L AS size", "xxhash64(text) AS mark", "2000L AS n_docs")
+    assert sized.select(mixing.block_of(7, 128)).distinct().count() == 16
+    check([{"doc_id": r["doc_id"], "text": r["text"], "source": "a"} for r in rows.collect()], mixing.mix_plan(rows).collect())
