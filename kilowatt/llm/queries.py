@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowatt.llm import bpe, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, simhash, toxicity, url_filter, warc
+from kilowatt.llm import bpe, collocations, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, simhash, toxicity, url_filter, warc
 from kilowatt.llm.shared import read
 from kilowatt.session import scratch_path
 
@@ -59,6 +59,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -70,6 +74,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op12_collocations": op12_collocations,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -113,4 +118,26 @@ SELECT page_id, octet_length(encode(payload)) AS payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM d""",
+    "op12_collocations": """
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM t),
+s AS (SELECT lang, w, unnest(range(1, 6)) AS n FROM w),
+g AS (SELECT lang, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM s),
+f AS (SELECT lang, n AS size, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL),
+total AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE size >= 2 AND f >= 100),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c q WHERE q.lang = c.lang AND q.size > c.size AND 100 * q.f >= 100 * c.f
+    AND contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' '))),
+k AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, size, unnest(range(1, size)) AS k FROM kept),
+cut AS (SELECT k.lang, k.phrase, k.a, k.k, l.f AS l, r.f AS r, total.n,
+        (CAST(1000 AS HUGEINT) * k.a * total.n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+    FROM k JOIN f l ON l.lang = k.lang AND l.phrase = array_to_string(k.w[1:k.k], ' ')
+    JOIN f r ON r.lang = k.lang AND r.phrase = array_to_string(k.w[k.k + 1:k.size], ' ')
+    JOIN total ON total.lang = k.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, CAST(a AS BIGINT) AS a,
+       CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best QUALIFY rank <= 2000""",
 }
