@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilowatt.llm import bpe, collocations, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, simhash, toxicity, url_filter, warc
+from kilowatt.llm import bpe, collocations, conversations, exact_dedup, language_id, lattice_dedup, lm_scoring, mixing, sharding, simhash, toxicity, url_filter, warc
 from kilowatt.llm.shared import read
 from kilowatt.session import scratch_path
 
@@ -59,10 +59,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_hex(simhash.near_duplicates(read(spark, sf_dir, "documents")))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(read(spark, sf_dir, "documents")).withColumns({
+        "law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -74,7 +83,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_sharding": op11_sharding,
     "op12_collocations": op12_collocations,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
