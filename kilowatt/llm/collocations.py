@@ -177,12 +177,14 @@ class _Block:
         return _pair(self.first_hash[at], self.word_hash[self.ids[at + 1]])
 
     def rows(self, n: int, first: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
-        """The n-grams that begin at ``first``, with their counts."""
+        """The n-grams that begin at ``first``, each a key of its phrase, a tab
+        (which no phrase holds) and its language, with their counts."""
         at = (first[:, None] + np.arange(n)).ravel()
         tokens = self.names.take(pa.array(self.ids[at]))
         joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.arange(len(first) + 1) * n, pa.int64()), tokens), pa.scalar(" ", pa.large_string()))
-        return pa.RecordBatch.from_arrays([self.langs.take(pa.array(self.lang[first])).cast(pa.string()), joined.cast(pa.string()),
-                                           pa.array(np.full(len(first), n, np.int32)), pa.array(count, pa.int64())], names=["lang", "phrase", "n", "f"])
+        langs = self.langs.take(pa.array(self.lang[first])).cast(pa.large_string())
+        keys = pc.binary_join_element_wise(joined, langs, pa.scalar("\t", pa.large_string()))
+        return pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(count, pa.int64())], names=["key", "f"])
 
 
 def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -272,8 +274,10 @@ def counted(entries: DataFrame, lengths: tuple[int, ...], words_seen: np.ndarray
         seen = [None if s is None else np.unpackbits(np.frombuffer(s.value, np.uint8)).view(bool) for s in shared]
         yield from _count(batches, lengths, *seen, bits, words - 1, tokens)
 
-    out = entries.select("lang", "chunk", "last", "count").mapInArrow(run, "lang string, phrase string, n int, f long")
-    return out.groupBy("lang", "phrase", "n").agg(F.sum("f").alias("f"))
+    out = entries.select("lang", "chunk", "last", "count").mapInArrow(run, "key string, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    phrase = F.substring_index("key", "\t", 1)
+    return out.select(F.expr("substring(key, locate('\t', key) + 1)").alias("lang"), phrase.alias("phrase"),
+                      (F.regexp_count(phrase, F.lit(" ")) + 1).alias("n"), "f")
 
 
 def phrase_counts(entries: DataFrame, words: int = 5, least: int = 100, bits: int = 25, tokens: int = _TOKENS) -> tuple[DataFrame, DataFrame]:
