@@ -56,17 +56,13 @@ def main(argv: list[str] | None = None) -> int:
         out["silver_version"] = versioned.merge_into(lake.table("silver", "production"),
                                                      spark.read.parquet(a.source), as_of=as_of,
                                                      recent_days=None if a.no_delete else a.recent_days)
-    if a.job == "incremental":  # new landing files merged into silver, then gold rebuilt
+    if a.job == "incremental":  # new landing files merged into silver, then the touched days of gold
         if not a.landing:
             p.error("--landing is required for incremental")
-        from kilowatt.sinks import versioned
-        silver_path = lake.table("silver", "production")
-        before = versioned.latest_version(spark, silver_path)
-        out["silver_version"] = medallion.incremental_silver_job(spark, a.landing, lake)
-        touched = medallion.touched_since(spark, silver_path, before)  # dates, or None for a full rebuild
-        out["gold_dates"] = len(touched) if touched is not None else "all"
-        if touched is None or touched:
-            medallion.gold_job(spark, lake, dates=touched)
+        touched = medallion.live_silver_job(spark, a.landing, lake)
+        out["gold_dates"] = len(touched)
+        if touched:
+            medallion.gold_job(spark, lake, dates=touched, source=medallion.LIVE)
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
         out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table

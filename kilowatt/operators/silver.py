@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilowatt import constants as K
-from kilowatt.functions.expressions import (capacity_factor_pct, null_if_negative,
+from kilowatt.functions.expressions import (capacity_factor_pct, exact, exact_avg, null_if_negative,
                                             round_double, safe_double,
                                             solar_efficiency_pct, standardise_status)
 from kilowatt.operators.joins import join_dimension
@@ -127,8 +127,8 @@ def typed_sites(sites: DataFrame) -> DataFrame:
 
 
 def enrich_sites(production: DataFrame, sites: DataFrame, broadcast_sites: bool = False) -> DataFrame:
-    """Left join facts → sites on ``site_id`` (broadcast behind a size check)
-    and add the hourly capacity factor (NULL unless capacity > 0)."""
+    """Left join facts → sites on ``site_id`` (Spark picks the strategy by size;
+    ``broadcast_sites`` is a hint for callers who know it) and add the hourly capacity factor (NULL unless capacity > 0)."""
     out = join_dimension(production, typed_sites(sites), "site_id", "left", broadcast_sites)
     return out.withColumn("capacity_factor_pct",
                           capacity_factor_pct("production_kwh", "capacity_mw"))
@@ -136,12 +136,14 @@ def enrich_sites(production: DataFrame, sites: DataFrame, broadcast_sites: bool
 
 def validation_profile(production: DataFrame) -> DataFrame:
     """Per technology: rows, sites, rounded avg/max production and counts of
-    OFFLINE / NULL-production rows (NULL, not 0, when there are none)."""
+    OFFLINE / NULL-production rows (NULL, not 0, when there are none). A reading
+    that is NaN, infinite or beyond 1e26 has no exact decimal and counts in
+    neither average nor maximum."""
     return (production.groupBy("technology").agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_distinct("site_id").alias("nb_sites"),
-        round_double(F.avg(F.col("production_kwh").cast("decimal(18,4)")), 2).alias("avg_production_kwh"),
-        round_double(F.max("production_kwh"), 2).alias("max_production_kwh"),
+        round_double(exact_avg("production_kwh"), 2).alias("avg_production_kwh"),
+        round_double(F.max(F.when(exact("production_kwh").isNotNull(), F.col("production_kwh"))), 2).alias("max_production_kwh"),
         F.sum(F.when(F.col("status") == K.OFFLINE, 1)).cast("bigint").alias("offline_count"),
         F.sum(F.when(F.col("production_kwh").isNull(), 1)).cast("bigint").alias("null_production_count"),
     ))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from kilowatt import schemas
 from kilowatt.operators import bronze, gold, quality, silver
+from kilowatt.session import path_exists
 from kilowatt.sinks import versioned
 from kilowatt.sinks.layers import read_layer
 from kilowatt.sources.files import read_csv
@@ -85,15 +86,16 @@ def silver_job(spark: SparkSession, lake: Lake, tiebreak=()) -> int:
     return versioned.write_version(out, lake.table("silver", "production"), "WRITE", partition_col="date")
 
 
-def gold_job(spark: SparkSession, lake: Lake, computed_at=None, dates=None) -> None:
+def gold_job(spark: SparkSession, lake: Lake, computed_at=None, dates=None, source: str = "production") -> None:
     """Silver → daily KPIs (by date), enriched daily KPIs (by technology) and
     the monthly efficiency report (written in report order), each a new version
     of its table (readers keep the previous one until the commit). With
     ``dates`` only those days (None: the NULL day) of the daily table are
     aggregated anew, from a partition-pruned read of silver; the other days are
-    copied, and the two small derived tables are rebuilt."""
+    copied, and the two small derived tables are rebuilt. ``source``: the silver
+    table (``production_live`` after :func:`live_silver_job`)."""
     now = computed_at if computed_at is not None else F.current_timestamp()
-    prod = read_layer(spark, lake.table("silver", "production"))
+    prod = read_layer(spark, lake.table("silver", source))
     daily_path = lake.table("gold", "daily_kpis")
     if dates is not None and versioned.latest_version(spark, daily_path) is not None:
         days = [dt.date.fromisoformat(str(d)) for d in dates if d is not None]
@@ -142,7 +144,7 @@ def incremental_silver_job(spark: SparkSession, landing: str, lake: Lake,
     keep-best rule (no deletes: a batch carries only new data). The streams run one after the other, so the table
     has one writer at a time. Returns the latest silver version."""
     from kilowatt.streaming.ingest import stream_csv
-    from kilowatt.streaming.upsert import upsert_stream
+    from kilowatt.streaming.upsert import version_stream
 
     ckpt = (checkpoint_root or f"{lake.root.rstrip('/')}/_checkpoints").rstrip("/")
     sites = read_layer(spark, lake.table("bronze", "sites_raw"))
@@ -153,6 +155,37 @@ def incremental_silver_job(spark: SparkSession, landing: str, lake: Lake,
         def to_silver(batch, spec=spec):
             return silver.enrich_sites(silver.silver_technology(batch, spec), sites)
 
-        upsert_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), target,
-                      f"{ckpt}/silver_{tech}", to_silver, timeout_s=timeout_s)
+        version_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), target,
+                       f"{ckpt}/silver_{tech}", to_silver, timeout_s=timeout_s)
     return versioned.latest_version(spark, target)
+
+
+LIVE = "production_live"
+
+
+def live_silver_job(spark: SparkSession, landing: str, lake: Lake, checkpoint_root: str | None = None,
+                    timeout_s: float | None = None) -> list:
+    """As :func:`incremental_silver_job`, but in place: the table
+    ``silver/production_live`` (partitioned by date, no history) gets new landing
+    files at the cost of the dates they touch. At its first run it starts from
+    the latest version of the silver table, if there is one. Returns the
+    touched dates (None: rows without a date), for :func:`gold_job`."""
+    from kilowatt.sinks import partitioned
+    from kilowatt.streaming.ingest import stream_csv
+    from kilowatt.streaming.upsert import upsert_stream
+
+    ckpt = (checkpoint_root or f"{lake.root.rstrip('/')}/_checkpoints").rstrip("/")
+    sites = read_layer(spark, lake.table("bronze", "sites_raw"))
+    live, batch = lake.table("silver", LIVE), lake.table("silver", "production")
+    if not path_exists(spark, f"{live}/_SUCCESS") and versioned.latest_version(spark, batch) is not None:
+        partitioned.write_partitions(versioned.read_version(spark, batch), live)
+    touched: set = set()
+    for tech, schema in (("solar", schemas.SOLAR_SCHEMA), ("wind", schemas.WIND_SCHEMA)):
+        spec = silver.SPECS[tech]
+
+        def to_silver(batch, spec=spec):
+            return silver.enrich_sites(silver.silver_technology(batch, spec), sites)
+
+        touched.update(upsert_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), live,
+                                     f"{ckpt}/live_{tech}", to_silver, timeout_s=timeout_s))
+    return sorted(touched, key=lambda v: (v is None, str(v)))

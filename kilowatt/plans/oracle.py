@@ -240,6 +240,9 @@ SELECT site_id, site_name, region, technology, capacity_mw,
 FROM daily
 GROUP BY site_id, site_name, region, technology, capacity_mw, YEAR(date), MONTH(date), strftime(date, '%Y-%m')""")
 
+ORACLE["enriched_incremental"] = ORACLE["daily_kpis_enriched"]
+ORACLE["report_incremental"] = ORACLE["site_efficiency_report"]
+
 ORACLE["validation_profile"] = _q(*SILVER_CHAIN, body=f"""
 SELECT technology,
        COUNT(*) AS total_records,
@@ -313,6 +316,10 @@ SELECT * FROM (
   FROM readings) q
 WHERE failed_rules <> ''""")
 
+ORACLE["not_null_report"] = _q(*SILVER_CHAIN, body="\nUNION ALL".join(f"""
+SELECT 'nn_{c}' AS rule, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS violations FROM production"""
+                                                                       for c in ("site_id", "production_kwh", "sensor_metric_2", "efficiency_pct")))
+
 ORACLE["expect_report"] = _q(READINGS, body="""
 SELECT 'chk_production_positive' AS rule,
        CAST(SUM(CASE WHEN NOT COALESCE(production_kwh IS NULL OR production_kwh >= 0, TRUE) THEN 1 ELSE 0 END) AS BIGINT) AS violations
@@ -365,6 +372,19 @@ ORACLE["version_latest"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
 SELECT "timestamp", site_id, technology, production_kwh, status, date, hour
 FROM merged WHERE _action <> 'delete'""")
 
+ORACLE["merge_partitions"] = ORACLE["version_latest"]
+# dates before the source's first and outside the delete window are not written
+ORACLE["merge_partitions_report"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
+SELECT (SELECT COUNT(DISTINCT date) FROM tgt t WHERE date < DATE '2024-01-23' AND date NOT IN (SELECT date FROM src)) AS partitions_untouched,
+       CAST(SUM(CASE WHEN _action = 'insert' THEN 1 ELSE 0 END) AS BIGINT) AS num_insert,
+       CAST(SUM(CASE WHEN _action = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS num_update,
+       CAST(SUM(CASE WHEN _action = 'delete' THEN 1 ELSE 0 END) AS BIGINT) AS num_delete,
+       CAST(SUM(CASE WHEN _action = 'keep' THEN 1 ELSE 0 END) AS BIGINT) AS num_keep
+FROM actions WHERE COALESCE(s_date, t_date) >= DATE '2024-01-23' OR COALESCE(s_date, t_date) IN (SELECT date FROM src)""")
+
+ORACLE["merge_catalog"] = ORACLE["version_latest"]
+ORACLE["merge_bucketed"] = ORACLE["merge_upsert"]
+
 # every version is a whole snapshot: all rows but the deleted ones are written
 ORACLE["history"] = _q(*SILVER_CHAIN, MERGE_CTES, body="""
 SELECT CAST(1 AS BIGINT) AS version, 'MERGE' AS operation,
@@ -476,27 +496,59 @@ ORACLE["bronze_audit"] = _q(*BRONZE, body=f"""
 SELECT kind, 'fixture' AS batch_id, CAST(YEAR("timestamp") AS INTEGER) AS year, CAST(MONTH("timestamp") AS INTEGER) AS month,
        TRUE AS source_named, TRUE AS ingested, COUNT(*) AS num_rows
 FROM ({_landing()}) x GROUP BY ALL""")
+_BAD = """
+SELECT '{kind}' AS kind, CASE
+         WHEN event_id % 23 = 0 THEN 'fields: 4 of 6'
+         WHEN event_id % 29 = 0 THEN 'fields: 7 of 6'
+         WHEN event_id % 19 = 0 THEN 'timestamp: not a timestamp'
+         WHEN event_id % 37 = 0 THEN '{two}: not a {type}'
+         WHEN event_id % 17 = 0 THEN 'production_kwh: not a double'
+         WHEN event_id % 31 = 0 THEN 'site_id: missing' END AS reason, production_kwh
+FROM {table}"""
+ORACLE["csv_bad_records"] = _q(*BRONZE, body=f"""
+SELECT kind, reason, COUNT(*) AS num_rows, {R(f"SUM(CASE WHEN reason IS NULL THEN {D('production_kwh')} END)", 2)} AS accepted_kwh,
+       CAST(SUM(CASE WHEN reason IS NULL OR reason = 'site_id: missing' THEN 0 ELSE 1 END) AS BIGINT) AS num_raw
+FROM ({_BAD.format(kind="solar", two="irradiance_w_m2", type="double", table="solar_raw")}
+UNION ALL{_BAD.format(kind="wind", two="wind_direction_deg", type="int", table="wind_raw")}) x
+GROUP BY kind, reason""")
+ORACLE["stream_schema_change"] = _q(*BRONZE, body="""
+SELECT "timestamp", CAST(site_id AS VARCHAR) AS site_id, CASE WHEN event_id % 3 <> 2 THEN panel_temp_c END AS panel_temp_c, irradiance_w_m2,
+       CASE WHEN event_id % 3 <> 2 OR event_id % 5 <> 0 THEN production_kwh END AS production_kwh, status,
+       CASE WHEN event_id % 3 = 1 THEN 'v' || (event_id % 4) END AS firmware,
+       event_id % 3 = 2 AND event_id % 5 = 0 AS rejected,
+       CASE WHEN event_id % 3 = 2 AND event_id % 5 = 0 THEN 'production_kwh: not a double' END AS reason
+FROM solar_raw""")
 ORACLE["stream_quality"] = _q(*BRONZE, body=f"""
+SELECT kind, COUNT(*) AS total_rows, COUNT(DISTINCT site_id) AS distinct_sites,
+       CAST(SUM(CASE WHEN production_kwh IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_production,
+       CAST(SUM(CASE WHEN production_kwh < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_production,
+       CAST(SUM(CASE WHEN status = 'OFFLINE' THEN 1 ELSE 0 END) AS BIGINT) AS offline_records,
+       MIN("timestamp") AS min_ts, MAX("timestamp") AS max_ts
+FROM ({_landing()}) x GROUP BY kind""")
+ORACLE["stream_observed"] = _q(*BRONZE, body=f"""
 SELECT kind, COUNT(*) AS total_rows, CAST(SUM(CASE WHEN production_kwh IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_production,
        CAST(SUM(CASE WHEN production_kwh < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negative_production,
        CAST(SUM(CASE WHEN status = 'OFFLINE' THEN 1 ELSE 0 END) AS BIGINT) AS offline_records
 FROM ({_landing()}) x GROUP BY kind""")
-# one landing file per kind, at least one byte each
+# eight landing files per kind, each at least a header and a row
 ORACLE["file_inventory"] = _q(*BRONZE, body="""
-SELECT 'solar' AS kind, COUNT(*) > 0 AS has_rows, CAST(1 AS BIGINT) AS num_files, TRUE AS names_match, TRUE AS sizes_positive FROM solar_raw
+SELECT 'solar' AS kind, CAST(8 AS BIGINT) AS num_files, COUNT(*) AS num_rows, TRUE AS sizes_add_up, TRUE AS names_match, TRUE AS sizes_positive
+FROM solar_raw
 UNION ALL
-SELECT 'wind', COUNT(*) > 0, CAST(1 AS BIGINT), TRUE, TRUE FROM wind_raw""")
+SELECT 'wind', CAST(8 AS BIGINT), COUNT(*), TRUE, TRUE, TRUE FROM wind_raw""")
 ORACLE["view_sql"] = _q(*SILVER_CHAIN, body=f"""
 SELECT technology, COUNT(*) AS num_rows, {R(f"SUM({D('production_kwh')})", 2)} AS total_kwh
 FROM production WHERE status = 'OK' GROUP BY technology""")
+ORACLE["catalog_tables"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
+SELECT 'production' AS table_name, 'Unified readings of solar and wind sites' AS comment, COUNT(*) AS num_rows, CAST(11 AS INTEGER) AS num_columns,
+       'silver' AS quality, 'date' AS partitions, CAST(0 AS BIGINT) AS commented_columns, {R(f"SUM({D('production_kwh')})", 2)} AS total
+FROM production
+UNION ALL
+SELECT 'daily_kpis', 'Daily production KPIs per site', COUNT(*), CAST(16 AS INTEGER), 'gold', 'technology', CAST(1 AS BIGINT),
+       {R(f"SUM({D('total_production_mwh')})", 2)}
+FROM daily""")
 ORACLE["daily_kpis_stamped"] = _q(*SILVER_CHAIN, SITES, DAILY, body="""
 SELECT *, TIMESTAMP '2024-02-01 06:00:00' AS computed_at FROM daily""")
-ORACLE["report_ordered"] = _q(*SILVER_CHAIN, SITES, DAILY, body=f"""
-SELECT * FROM (
-  SELECT site_id, technology, strftime(date, '%Y-%m') AS month_label,
-         {R(f"AVG({D('availability_pct')}) * 0.4 + AVG({D('daily_capacity_factor_pct')}) * 0.6", 1)} AS performance_score
-  FROM daily GROUP BY site_id, technology, strftime(date, '%Y-%m')) r
-ORDER BY month_label, performance_score DESC NULLS LAST, site_id, technology LIMIT 50""")
 ORACLE["report_ordered_whole"] = f"""
 SELECT * FROM ({ORACLE["site_efficiency_report"]}) r
 ORDER BY month_label, performance_score DESC NULLS LAST, site_id, technology"""

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from kilowatt import fixtures as fx
 from kilowatt import schemas
 from kilowatt.functions.expressions import exact
-from kilowatt.operators import anomaly, bronze, gold, layout, merge, quality, ranking, silver, timescale
+from kilowatt.operators import anomaly, bronze, gold, incremental, layout, merge, quality, ranking, silver, timescale
 from kilowatt.operators.bronze import with_audit
 from kilowatt.plans import medallion
-from kilowatt.session import scratch_path
-from kilowatt.sinks import layers, versioned
-from kilowatt.sources import files
+from kilowatt.session import scratch_path, stored
+from kilowatt.sinks import catalog, layers, partitioned, versioned
+from kilowatt.sources import checked, files
 from kilowatt.sources.files import read_table
-from kilowatt.streaming import ingest
+from kilowatt.streaming import evolve, ingest, profile
 from kilowatt.streaming import rollup as srollup
 from kilowatt.streaming import upsert as supsert
 
@@ -119,6 +119,47 @@ def q_site_efficiency_report(spark, sf):
     return gold.site_efficiency_report(daily(spark, sf))
 
 
+def _before_change(days: DataFrame) -> DataFrame:
+    """The daily table before a change that leads to ``days``: on two days every
+    third site lacks its row, others have other figures, and sites that have no
+    row there have one too many."""
+    hit = F.col("date").isin([_dt.date(2024, 1, 9), _dt.date(2024, 1, 24)])
+    other = days.filter(hit & (F.col("site_id") % 3 != 0)).withColumns({
+        "total_production_mwh": F.when(F.col("site_id") % 3 == 1, F.col("total_production_mwh") + F.lit(2.5)).otherwise(F.col("total_production_mwh")),
+        "hours_offline": F.when(F.col("site_id") % 3 == 1, F.col("hours_offline") + 3).otherwise(F.col("hours_offline")),
+        "availability_pct": F.when(F.col("site_id") % 3 == 1, F.lit(12.5)).otherwise(F.col("availability_pct"))})
+    surplus = days.filter((F.col("date") == _dt.date(2024, 1, 8)) & (F.col("site_id") % 2 == 0)).withColumn("date", F.date_add("date", 1))
+    surplus = surplus.join(days.filter(hit).select("date", "site_id", "technology"), ["date", "site_id", "technology"], "left_anti").select(*days.columns)
+    return days.filter(~hit).unionByName(other).unionByName(surplus)
+
+
+CHANGED_DATES = (_dt.date(2024, 1, 9), _dt.date(2024, 1, 24))
+
+
+@register("enriched_incremental")
+def q_enriched_incremental(spark, sf):
+    """The enriched daily table after inserts, updates and deletes on two days:
+    windows are recomputed over the rows these reach, ranks on these days."""
+    after = stored(daily(spark, sf), "daily")
+    before = stored(_before_change(after), "daily_before")
+    table = stored(gold.enrich_daily(before), "enriched_before")
+    on = F.col("date").isin(list(CHANGED_DATES))
+    changed = incremental.changed_days(before.filter(on), after.filter(on))
+    return incremental.enriched_incremental(table, after, changed, CHANGED_DATES)
+
+
+@register("report_incremental")
+def q_report_incremental(spark, sf):
+    """The monthly report from a state of sums and counts, refreshed from the
+    rows that the same change took away and added."""
+    after = stored(daily(spark, sf), "daily")
+    before = stored(_before_change(after), "daily_before")
+    state = stored(incremental.report_state(before), "state")
+    on = F.col("date").isin(list(CHANGED_DATES))
+    change = incremental.changed_state(before.filter(on), after.filter(on))
+    return incremental.report_from_state(incremental.merged_state(state, change))
+
+
 def anomaly_input(spark: SparkSession, sf: str) -> DataFrame:
     """Daily series with odd sites flipped (500 − MWh) so both tails occur."""
     d = gold.daily_production(production(spark, sf))
@@ -152,6 +193,14 @@ def q_expect_report(spark, sf):
     return quality.expect(fx.readings(spark, sf), reading_rules(), "report")
 
 
+@register("not_null_report")
+def q_not_null_report(spark, sf):
+    """NOT NULL rules over silver: the cleaning turns negative productions and
+    irradiances into NULLs, and wind has no efficiency."""
+    rules = {f"nn_{c}": F.col(c).isNotNull() for c in ("site_id", "production_kwh", "sensor_metric_2", "efficiency_pct")}
+    return quality.expect(production(spark, sf), rules, "report")
+
+
 # ---------------------------------------------------------------- merge / versions
 
 
@@ -201,6 +250,32 @@ def q_merge_null_keys(spark, sf):
     return versioned.read_version(spark, path).select(*MERGE_COLUMNS)
 
 
+@register("merge_partitions")
+def q_merge_partitions(spark, sf):
+    """MERGE in place: only the partitions of the source's dates and of the
+    delete window are written again."""
+    path = scratch_path(spark, "partitioned")
+    target, source = merge_pair(spark, sf)
+    partitioned.write_partitions(target, path)
+    partitioned.merge_partitions(path, source, as_of=MERGE_AS_OF)
+    return partitioned.read_partitions(spark, path, target.schema).select(*MERGE_COLUMNS)
+
+
+@register("merge_partitions_report")
+def q_merge_partitions_report(spark, sf):
+    """The rows per action in the partitions that the same merge wrote, and the
+    partitions it left alone, told by their files' names."""
+    path = scratch_path(spark, "partitioned")
+    target, source = merge_pair(spark, sf)
+    partitioned.write_partitions(target, path)
+    before = spark.read.parquet(path).select("date", F.col("_metadata.file_name").alias("file")).distinct()
+    names = stored(before, "names")
+    counts = partitioned.merge_partitions(path, source, as_of=MERGE_AS_OF)
+    kept = spark.read.parquet(path).select("date", F.col("_metadata.file_name").alias("file")).distinct().join(names, ["date", "file"], "left_semi")
+    return kept.agg(F.countDistinct("date").alias("partitions_untouched")).select(
+        "partitions_untouched", *[F.lit(counts[a]).cast("bigint").alias(f"num_{a}") for a in versioned.ACTIONS])
+
+
 def _versioned_merge(spark: SparkSession, sf: str) -> str:
     """Write the target as version 0, MERGE the source into it as version 1."""
     path = scratch_path(spark, "versioned")
@@ -341,13 +416,14 @@ KINDS = {"solar": (fx.solar_raw, schemas.SOLAR_SCHEMA, "panel_temp_c", "irradian
          "wind": (fx.wind_raw, schemas.WIND_SCHEMA, "wind_speed_ms", "wind_direction_deg")}
 
 
-def _land(spark: SparkSession, sf: str, kind: str, root: str, keep=None, files: int | None = None) -> str:
+def _land(spark: SparkSession, sf: str, kind: str, root: str, keep=None, parts: int | None = None) -> str:
     """Readings of one kind as CSV landing files (declared columns, string site
-    ids) below ``root``/kind; ``keep``: a condition on the rows of this drop."""
+    ids) below ``root``/kind; ``keep``: a condition on the rows of this drop;
+    ``parts``: in so many files."""
     raw, schema, *_ = KINDS[kind]
     df = raw(spark, sf) if keep is None else raw(spark, sf).filter(keep)
     df = df.select(*[F.col(f.name).cast("string") if f.name == "site_id" else F.col(f.name) for f in schema.fields])
-    return layers.write_csv(df.coalesce(files) if files else df, f"{root}/{kind}", mode="append")
+    return layers.write_csv(df.repartition(parts) if parts else df, f"{root}/{kind}", mode="append")
 
 
 def _common(df: DataFrame, kind: str) -> DataFrame:
@@ -409,6 +485,69 @@ def q_csv_inferred(spark, sf):
     return _both(lambda kind: _common(files.read_csv(spark, _land(spark, sf, kind, root), infer=True), kind))
 
 
+def _land_lines(spark: SparkSession, sf: str, kind: str, root: str) -> str:
+    """Readings of one kind as headerless text lines, some of them broken: no
+    number, no time, too few or too many fields, no site, no whole direction."""
+    raw, schema, one, two = KINDS[kind]
+    e = F.col("event_id")
+    text = {f.name: F.coalesce(F.col(f.name).cast("string"), F.lit("")) for f in schema.fields}
+    text["production_kwh"] = F.when(e % 17 == 0, "n/a").otherwise(text["production_kwh"])
+    text["timestamp"] = F.when(e % 19 == 0, "some day").otherwise(text["timestamp"])
+    text["site_id"] = F.when(e % 31 == 0, "").otherwise(text["site_id"])
+    text[two] = F.when(e % 37 == 0, "1e").otherwise(text[two])
+    fields = list(text.values())
+    line = F.when(e % 23 == 0, F.concat_ws(",", *fields[:-2])).when(e % 29 == 0, F.concat_ws(",", *fields, F.lit("more"))).otherwise(F.concat_ws(",", *fields))
+    raw(spark, sf).select(line.alias("value")).write.text(f"{root}/{kind}")
+    return f"{root}/{kind}"
+
+
+@register("csv_bad_records")
+def q_csv_bad_records(spark, sf):
+    """Solar lines read as a batch, wind lines as a stream; good and bad records
+    are written in one pass and read apart: rows per reason (NULL: accepted),
+    the accepted production, and whether each bad record kept its line."""
+    root = scratch_path(spark, "checked")
+
+    def of_kind(kind):
+        schema, required = KINDS[kind][1], ["timestamp", "site_id"]
+        folder, target = _land_lines(spark, sf, kind, root), f"{root}/{kind}_bronze"
+        if kind == "solar":
+            checked.write_checked(checked.read_checked(spark, folder, schema, required, header=False), target)
+        else:
+            stream = checked.stream_checked(spark, folder, schema, required, glob="*.txt", header=False)
+            ingest.run_incremental(stream, target, f"{root}/{kind}_checkpoint", partition_by=[checked.REJECTED])
+        good, bad = checked.accepted(spark, target, schema), checked.rejected(spark, target, schema)
+        kwh = F.round(F.sum(exact("production_kwh")), 2).cast("double")
+        return good.select(F.lit(kind).alias("kind"), F.lit(None).cast("string").alias("reason"), "production_kwh", F.lit(None).cast("string").alias("raw")).unionByName(
+            bad.select(F.lit(kind).alias("kind"), F.col(checked.REASON).alias("reason"), F.lit(None).cast("double").alias("production_kwh"),
+                       F.col(checked.RAW).alias("raw"))).groupBy("kind", "reason").agg(
+            F.count(F.lit(1)).alias("num_rows"), kwh.alias("accepted_kwh"), F.count("raw").alias("num_raw"))
+    return _both(of_kind)
+
+
+@register("stream_schema_change")
+def q_stream_schema_change(spark, sf):
+    """Three drops of solar files into one table: the declared columns; the same
+    in another order with a new one; one column less and some productions that
+    are no numbers. Every record is there once, bad ones with their reason."""
+    root = scratch_path(spark, "changing")
+    landing, target, ckpt = f"{root}/landing", f"{root}/bronze", f"{root}/_checkpoint"
+    rows = fx.solar_raw(spark, sf).withColumns({"site_id": F.col("site_id").cast("string"), "kwh": F.col("production_kwh").cast("string")})
+    names = [f.name for f in schemas.SOLAR_SCHEMA]
+    third = F.col("event_id") % 3
+    drops = [rows.filter(third == 0).select(*names),
+             rows.filter(third == 1).withColumn("firmware", F.concat(F.lit("v"), F.col("event_id") % 4)).select("firmware", *reversed(names)),
+             rows.filter(third == 2).withColumn("production_kwh", F.when(F.col("event_id") % 5 == 0, "n/a").otherwise(F.col("kwh"))).select(
+                 *[c for c in names if c != "panel_temp_c"])]
+    for drop in drops:
+        layers.write_csv(drop, landing, mode="append")
+        evolve.ingest_changing(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt, required=["timestamp", "site_id"])
+    evolve.ingest_changing(spark, landing, schemas.SOLAR_SCHEMA, target, ckpt, required=["timestamp", "site_id"])  # nothing new
+    return evolve.read_changing(spark, target, ckpt).select(
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "site_id", "panel_temp_c", "irradiance_w_m2", "production_kwh", "status", "firmware",
+        F.col(checked.REJECTED).alias("rejected"), F.col(checked.REASON).alias("reason"))
+
+
 def _ingested(spark: SparkSession, sf: str, kind: str) -> tuple[DataFrame, dict[str, int]]:
     """Two arrivals of landing files drained by three incremental runs; the
     bronze table and the quality counts summed over the runs."""
@@ -432,20 +571,42 @@ def q_stream_ingest(spark, sf):
 
 @register("stream_quality")
 def q_stream_quality(spark, sf):
-    """The quality counts that the runs observed, over all of their batches."""
+    """All seven figures of the bronze profile, kept per micro-batch over three
+    drops that share sites (their distinct number from bitmaps)."""
+    def of_kind(kind):
+        root = scratch_path(spark, "profiled")
+        late, odd = F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp_ntz"), F.col("event_id") % 2 == 1
+        for keep in (~late, late & odd, late & ~odd, None):
+            if keep is not None:
+                _land(spark, sf, kind, root, keep)
+            found = profile.ingest_profiled(spark, f"{root}/{kind}", KINDS[kind][1], f"{root}/bronze", f"{root}/_checkpoint", f"{root}/_profile")
+        return found.withColumn("kind", F.lit(kind))
+    return _both(of_kind)
+
+
+@register("stream_observed")
+def q_stream_observed(spark, sf):
+    """The quality counts that the ingest's own pass observes, over all batches."""
     rows = [(kind, *(_ingested(spark, sf, kind)[1][m] for m in ingest.QUALITY_METRICS)) for kind in KINDS]
     return spark.createDataFrame(rows, "kind string, " + ", ".join(f"{m} long" for m in ingest.QUALITY_METRICS))
 
 
 @register("file_inventory")
 def q_file_inventory(spark, sf):
-    """What the inventory says about one landing file per kind."""
+    """What the inventory says about eight landing files per kind: their sizes
+    add up to the bytes of their lines, and their rows (without the headers) to
+    the rows that were landed."""
     root = scratch_path(spark, "csv")
 
     def of_kind(kind):
-        found = files.file_inventory(spark, _land(spark, sf, kind, root, files=1), glob="*.csv")
-        return found.agg(F.lit(kind).alias("kind"), (F.sum("size_bytes") > 0).alias("has_rows"), F.count(F.lit(1)).alias("num_files"),
-                         F.every(F.col("name").rlike("^part-.*[.]csv$")).alias("names_match"), F.every(F.col("size_bytes") > 0).alias("sizes_positive"))
+        folder = _land(spark, sf, kind, root, parts=8)
+        found = files.file_inventory(spark, folder, glob="*.csv").agg(
+            F.count(F.lit(1)).alias("num_files"), F.sum("size_bytes").alias("bytes"),
+            F.every(F.col("name").rlike("^part-.*[.]csv$")).alias("names_match"), F.every(F.col("size_bytes") > 0).alias("sizes_positive"))
+        lines = spark.read.text(folder).agg(F.count(F.lit(1)).alias("lines"), F.sum(F.octet_length("value") + 1).alias("line_bytes"))
+        return found.join(lines).select(  # one row each
+            F.lit(kind).alias("kind"), "num_files", (F.col("lines") - F.col("num_files")).alias("num_rows"),
+            (F.col("bytes") == F.col("line_bytes")).alias("sizes_add_up"), "names_match", "sizes_positive")
     return _both(of_kind)
 
 
@@ -462,6 +623,57 @@ def q_view_sql(spark, sf):
         FROM kilowatt_readings WHERE status = 'OK' GROUP BY technology""")
 
 
+def _database(spark: SparkSession) -> str:
+    """A database of the session's catalog with its files in the scratch folder."""
+    where = scratch_path(spark, "database")
+    name = f"kilowatt_{where.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{where}'")
+    return name
+
+
+@register("catalog_tables")
+def q_catalog_tables(spark, sf):
+    """Silver and gold as catalog tables: created with comment, properties and
+    partitions (gold in the place of a table with other columns), read by name
+    and listed from the catalog."""
+    db = _database(spark)
+    catalog.create_or_replace_table(production(spark, sf), f"{db}.production", ["date"], "Unified readings of solar and wind sites",
+                                    {"quality": "silver", "team": "energy"})
+    catalog.create_or_replace_table(production(spark, sf).select("site_id"), f"{db}.daily_kpis", comment="a first draft")
+    daily_table = gold.daily_kpis(spark.table(f"{db}.production"), fx.sites(spark, sf))
+    catalog.create_or_replace_table(daily_table, f"{db}.daily_kpis", ["technology"], "Daily production KPIs per site",
+                                    {"quality": "gold", "delta.tuned": "no"}, {"total_production_mwh": "MWh"})
+    listed = catalog.catalog_inventory(spark, db).select("table_name", "comment", "num_rows", "num_columns")
+    rows = []
+    for t in ("production", "daily_kpis"):
+        d = catalog.table_details(spark, f"{db}.{t}")
+        rows.append((t, d["properties"]["quality"], ",".join(d["partition_by"]), len(d["column_comments"])))
+    details = spark.createDataFrame(rows, "table_name string, quality string, partitions string, commented_columns bigint")
+    totals = spark.table(f"{db}.production").agg(F.lit("production").alias("table_name"), F.sum(exact("production_kwh")).alias("total")).unionByName(
+        spark.table(f"{db}.daily_kpis").agg(F.lit("daily_kpis").alias("table_name"), F.sum(exact("total_production_mwh")).alias("total")))
+    return listed.join(details, "table_name").join(totals, "table_name").withColumn("total", F.round("total", 2).cast("double"))
+
+
+@register("merge_catalog")
+def q_merge_catalog(spark, sf):
+    """MERGE in place into a catalog table partitioned by date."""
+    name = f"{_database(spark)}.readings"
+    target, source = merge_pair(spark, sf)
+    catalog.create_or_replace_table(target, name, ["date"])
+    catalog.merge_table(name, source, as_of=MERGE_AS_OF)
+    return spark.table(name).select(*MERGE_COLUMNS)
+
+
+@register("merge_bucketed")
+def q_merge_bucketed(spark, sf):
+    """MERGE over a catalog table bucketed by the reading key: only the source
+    is shuffled."""
+    name = f"{_database(spark)}.readings"
+    target, source = merge_pair(spark, sf)
+    catalog.create_or_replace_table(target, name, buckets=(8, merge.READING_KEYS))
+    return catalog.bucketed_merge(name, source, as_of=MERGE_AS_OF)
+
+
 @register("daily_kpis_stamped")
 def q_daily_kpis_stamped(spark, sf):
     """Daily KPIs with an injected ``computed_at``."""
@@ -469,13 +681,6 @@ def q_daily_kpis_stamped(spark, sf):
     return gold.daily_kpis(production(spark, sf), fx.sites(spark, sf), computed_at=at)
 
 
-@register("report_ordered")
-def q_report_ordered(spark, sf):
-    """The first rows of the monthly report in its presentation order."""
-    report = gold.site_efficiency_report(daily(spark, sf))
-    return report.orderBy(*gold.report_order(report)).limit(50).select("site_id", "technology", "month_label", "performance_score")
-
-
 @register("report_ordered_whole")
 def q_report_ordered_whole(spark, sf):
     """The whole monthly report in its presentation order, all columns."""
@@ -599,9 +804,9 @@ def q_schema_evolution(spark, sf):
 @register("stream_upsert")
 def q_stream_upsert(spark, sf):
     """Landing files of both kinds arrive in three drops that overlap in rows and
-    dates, each drained by a stream per kind whose micro-batches are merged into
-    one versioned silver table (a last run finds nothing new). Whatever the
-    order, the table ends as the batch job's silver."""
+    dates, each drained by a stream per kind whose micro-batches are merged in
+    place into one silver table partitioned by date (a last run finds nothing
+    new). Whatever the order, the table ends as the batch job's silver."""
     root = scratch_path(spark, "stream_upsert")
     table = f"{root}/silver"
 
@@ -618,7 +823,7 @@ def q_stream_upsert(spark, sf):
             if keep is not None:
                 _land(spark, sf, kind, root, keep)
             drain(kind)
-    return versioned.read_version(spark, table).select(
+    return spark.read.parquet(table).select(
         "timestamp", "site_id", "technology", "production_kwh", "status", "sensor_metric_1", "sensor_metric_2", "date", "hour")
 
 

@@ -75,6 +75,26 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop path and file system of ``path``, a plain path or a URI as
+    ``_metadata.file_path`` gives it. (Through the JVM: a classic session only.)"""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path) if re.match(r"\w+:", path) else path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Paths directly below ``path``."""
+    p, fs = _fs(spark, path)
+    return [str(s.getPath().toString()) for s in fs.listStatus(p)]
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes ``path`` and what is below it, if it exists."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def stored(df, name: str):
     """``df`` written to the shared scratch folder and read back: the lineage
     ends there, and whatever reads it sees the same rows in the same parts."""

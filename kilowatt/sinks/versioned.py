@@ -82,13 +82,14 @@ def write_version(df: DataFrame, path: str, operation: str = "WRITE",
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """The table as of ``version`` (None: the latest)."""
+    """The table as of ``version`` (None: the latest). A version that was never
+    committed is an error."""
     log = commits(spark, path)
     if version is not None:
-        log = log.filter(F.col("version") <= version)
+        log = log.filter(F.col("version") == version)
     row = log.agg(F.max_by("folder", "version").alias("folder")).first()
     if row["folder"] is None:
-        raise FileNotFoundError(f"no committed version ≤ {version} in {path}")
+        raise FileNotFoundError(f"no version {'' if version is None else version} committed in {path}")
     return spark.read.parquet(f"{path.rstrip('/')}/data/{row['folder']}")
 
 

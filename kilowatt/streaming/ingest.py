@@ -54,6 +54,8 @@ def run_incremental(df: DataFrame, path: str, checkpoint: str, partition_by: Seq
     return q
 
 
+#: Seconds that a drained stream's last progress may take to be reported.
+LISTENER_WAIT_S = 60
 QUALITY_METRICS = ("total_rows", "null_production", "negative_production", "offline_records")
 
 
@@ -94,7 +96,8 @@ def ingest_stream(spark: SparkSession, landing: str, schema: StructType, target:
     spark.streams.addListener(totals)
     try:
         run_incremental(s, target, checkpoint, timeout_s=timeout_s)
-        totals.ended.wait(60)
+        if not totals.ended.wait(LISTENER_WAIT_S):
+            raise TimeoutError(f"the quality counts of the ingest into {target} are not complete after {LISTENER_WAIT_S} s")
     finally:
         spark.streams.removeListener(totals)
     return totals.totals

@@ -1,12 +1,16 @@
-"""Incremental silver: a stream of readings merged into a versioned table.
-
-Each micro-batch is transformed and merged into the table's latest version by
-the keep-best rule of the batch job: of all readings of a key, old and new,
-the best stays (a value beats NULL, the higher value wins, ties by the given
-columns). That choice is a maximum under a total order, so any sequence of
-batches ends where one batch over all files does. A commit records the
-stream's own id and the batch id, so a batch replayed after a failure (the
-sink is at-least-once) is recognised: exactly-once table versions.
+"""Incremental silver: a stream of readings merged into a table.
+
+Each micro-batch is transformed and merged into the table by the keep-best rule
+of the batch job: of all readings of a key, old and new, the best stays (a
+value beats NULL, the higher value wins, ties by the given columns). That
+choice is a maximum under a total order, so any sequence of batches ends where
+one batch over all files does, and a batch replayed after a failure (the sink
+is at-least-once) changes nothing.
+
+``upsert_stream`` works in place: a batch rewrites the partitions of its own
+dates and no others. ``version_stream`` makes a version of every batch instead,
+which keeps history and copies the whole table each time; a commit records the
+stream's own id and the batch id, so a replayed batch makes no second version.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kilowatt.operators.merge import READING_KEYS
 from kilowatt.operators.silver import dedup_keep_best
-from kilowatt.sinks import versioned
+from kilowatt.sinks import partitioned, versioned
 
 TIEBREAK = ("status", "sensor_metric_1", "sensor_metric_2")
 
@@ -57,13 +61,36 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, path: str, transform: Cal
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
                   keys: Sequence[str] = READING_KEYS, value: str = "production_kwh", tiebreak: Sequence[str] = TIEBREAK,
-                  partition_col: str = "date", timeout_s: float | None = None) -> StreamingQuery:
-    """Drain ``stream`` (availableNow) into the versioned table at ``path``."""
+                  partition_col: str = "date", timeout_s: float | None = None) -> list:
+    """Drain ``stream`` (availableNow) into the partitioned table at ``path``, in
+    place. Returns the dates that the batches of this run touched."""
+    dates: set = set()
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        src = transform(batch).persist()  # read for its dates and for the merge
+        try:
+            dates.update(partitioned.upsert_best(path, src, keys, value, tiebreak, partition_col))
+        finally:
+            src.unpersist()
+
+    _drain(stream, merge_batch, path, checkpoint, timeout_s)
+    return sorted(dates, key=lambda v: (v is None, str(v)))
+
+
+def version_stream(stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
+                   keys: Sequence[str] = READING_KEYS, value: str = "production_kwh", tiebreak: Sequence[str] = TIEBREAK,
+                   partition_col: str = "date", timeout_s: float | None = None) -> StreamingQuery:
+    """Drain ``stream`` (availableNow) into the versioned table at ``path``, a version per batch."""
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         merge_micro_batch(batch, batch_id, path, transform, stream_id(batch.sparkSession, checkpoint), keys, value,
                           tiebreak, partition_col)
 
+    return _drain(stream, merge_batch, path, checkpoint, timeout_s)
+
+
+def _drain(stream: DataFrame, merge_batch: Callable[[DataFrame, int], None], path: str, checkpoint: str,
+           timeout_s: float | None) -> StreamingQuery:
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     done = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()

@@ -149,3 +149,11 @@ def test_drop_exact_duplicates(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "a")], "k int, v string")
     assert silver.drop_exact_duplicates(df).count() == 2
     assert silver.drop_exact_duplicates(df, ["v"]).count() == 1
+
+
+def test_validation_profile_of_extreme_readings(spark):
+    rows = [("solar", 1, v, "OK") for v in (1e16, 2e16, float("nan"), float("inf"), -float("inf"), 1e30, None)] + [("wind", 1, float("nan"), "OK")]
+    df = spark.createDataFrame(rows, "technology string, site_id long, production_kwh double, status string")
+    out = {r["technology"]: r for r in silver.validation_profile(df).collect()}
+    assert (out["solar"]["avg_production_kwh"], out["solar"]["max_production_kwh"], out["solar"]["total_records"]) == (1.5e16, 2e16, 7)
+    assert (out["wind"]["avg_production_kwh"], out["wind"]["max_production_kwh"], out["wind"]["null_production_count"]) == (None, None, None)

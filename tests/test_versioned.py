@@ -83,3 +83,12 @@ def test_enforced_write_failure_keeps_previous_version(spark):
         versioned.write_version(quality.expect(bad, rules, "enforce"), path, partition_col="date")
     assert snap(versioned.read_version(spark, path)) == [(1, 1.0, d)]
     assert versioned.latest_version(spark, path) == 0
+
+
+def test_a_version_that_does_not_exist_is_an_error(spark):
+    import pytest
+    path = scratch_path(spark, "test-versioned")
+    versioned.write_version(spark.range(3), path)
+    for version in (1, 7, -1):
+        with pytest.raises(FileNotFoundError, match=f"no version {version} "):
+            versioned.read_version(spark, path, version)
