@@ -146,8 +146,8 @@ def bucketed_rank(df: DataFrame, partition: Sequence[str], order: str, descendin
     value = F.struct(F.col(order))
     edges = local.filter(F.col("_edge").bitwiseAND(F.lit(_START | _TURN | _END)) != 0).withColumn(
         "_group", F.struct(*partition) if partition else F.lit(0))
-    # first and last group of each range
-    stats = edges.groupBy("_part", "_group").agg(
+    # first and last group of each range: at most three rows a range, whatever the table
+    stats = edges.select("_part", "_group", order, "_n", "_r", "_d", "_edge").repartition(1).groupBy("_part", "_group").agg(
         F.max("_n").alias("_n"), F.max("_d").alias("_d"), F.max("_r").alias("_r"),
         F.min_by(value, "_n").alias("_first"), F.max_by(value, "_n").alias("_last"), F.max(F.col("_edge").bitwiseAND(F.lit(_FIRST))).alias("_is_first"))
     w = Window.partitionBy("_group").orderBy("_part")
