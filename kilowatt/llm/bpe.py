@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import codecs
+import hashlib
 import heapq
 import json
+import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +17,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Split rule of the byte-level vocabularies (a fixed value of the format).
-SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-         r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: Split rule of the byte-level vocabularies (a fixed value of the format; the
+#: alternatives that begin with different characters stand in order of frequency).
+_RULE = r" ?[{L}]+| ?[{N}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+SPLIT = _RULE.format(L=r"\p{L}", N=r"\p{N}", S=r"\p{White_Space}")
+#: The same rule for texts of Latin characters up to U+017F only, spelled out for the
+#: quicker engine of the standard library, and the characters that need the full one.
+_LATIN = re.compile(_RULE.format(L="A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f", N="0-9\u00b2\u00b3\u00b9\u00bc-\u00be", S=" \t-\r\x85\xa0"))
+_BEYOND = re.compile("[\u0180-\U0010ffff]")
 #: A split always ends between a visible character and a space.
 _CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
 _PIECE = 1 << 18
 #: Words remembered by a worker; beyond it the memory starts anew.
-_REMEMBERED = 100_000
+_REMEMBERED = 150_000
 _NO_RULE = (1 << 62, -1)
 
 
@@ -76,6 +83,12 @@ class ByteBPE:
         self.lookahead = sufficient_lookahead((raw(a), raw(b)) for a, b in merges)
         self.split = regex.compile(SPLIT)
         self.words = _Words(self)
+        n = max(self.bytes_of, default=-1) + 1
+        self.sizes = np.array([len(self.bytes_of.get(i, b"")) for i in range(n)], np.int64)
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(n)), np.uint8)
+        width = len(str(n)) + 1
+        self.digits = np.frombuffer(b"".join(f"{i},".rjust(width).encode() for i in range(n)), np.uint8).reshape(n, width)
 
     def merge(self, data: bytes) -> list[int]:
         """Tokens of a short run of bytes: the pair of the lowest rank first, the
@@ -112,61 +125,112 @@ class ByteBPE:
         return [t for t in ids if t >= 0]
 
     def stream(self, parts: Iterable[bytes]) -> Iterator[int]:
-        """Tokens of one word given in parts. A token leaves as soon as
-        ``lookahead`` bytes follow it; what is held never exceeds a few times
-        that and the size of a part."""
-        held = b""
+        """Tokens of one word given in parts, through the transducer."""
+        machine = Transducer(self)
+        for part in parts:
+            yield from machine.feed(part)
+        yield from machine.end()
+
+    def word(self, word: str) -> list[int]:
+        """Tokens of one word. Every word, short or long, is fed to the transducer;
+        a long one in parts, so that it never holds more than a few of them."""
+        data, step = word.encode("utf-8", "replace"), 4 * self.lookahead
+        return list(self.stream(data[i:i + step] for i in range(0, len(data), step)))
+
+    def pieces(self, text: str) -> Iterator[np.ndarray]:
+        """Token ids of a text, a bounded piece of it at a time."""
+        if any(t in text for t in self.special):
+            parts = self.find_special.split(text)
+        else:
+            parts = [text]
         for part in parts:
-            held += part
-            if len(held) > 4 * self.lookahead:
-                at, end = 0, len(held) - self.lookahead
-                for token in self.merge(held):
-                    if at + len(self.bytes_of[token]) > end:
-                        break
-                    at += len(self.bytes_of[token])
-                    yield token
-                held = held[at:]
-        yield from self.merge(held)
-
-    def word(self, word: str) -> tuple[int, ...]:
-        data = word.encode("utf-8", "replace")
-        if len(data) <= 4 * self.lookahead:
-            return tuple(self.merge(data))
-        step = self.lookahead
-        return tuple(self.stream(data[i:i + step] for i in range(0, len(data), step)))
-
-    def encode(self, text: str) -> array:
-        out = array("i")
-        for part in self.find_special.split(text) if self.find_special else [text]:
             if part in self.special:
-                out.append(self.special[part])
+                yield np.array([self.special[part]], np.int32)
                 continue
+            split = (self.split if _BEYOND.search(part) else _LATIN).findall
             for piece in _pieces(part):
-                out.extend(chain.from_iterable(map(self.words.__getitem__, self.split.findall(piece))))
+                yield np.frombuffer(b"".join(map(self.words.__getitem__, split(piece))), np.int32)
+
+    def encode(self, text: str) -> array:
+        out = array("i")
+        for ids in self.pieces(text):
+            out.frombytes(ids.tobytes())
         return out
 
+    def bytes_in(self, ids: np.ndarray) -> bytes:
+        """The bytes of token ids, one after the other; unknown ids give nothing."""
+        known = ids[(ids >= 0) & (ids < len(self.sizes))]
+        size = self.sizes[known]
+        end = np.cumsum(size)
+        at = np.arange(end[-1] if len(end) else 0) + np.repeat(self.places[known] - (end - size), size)
+        return self.all_bytes[at].tobytes()
+
     def decode(self, ids: Iterable[int]) -> str:
-        """The text of token ids: bytes go through an incremental UTF-8 machine
-        that holds an unfinished character only; invalid bytes become U+FFFD,
-        unknown ids give nothing."""
-        machine, rest, out = codecs.getincrementaldecoder("utf-8")("replace"), iter(ids), []
-        while some := list(islice(rest, _PIECE)):
-            out.append(machine.decode(b"".join([self.bytes_of.get(i, b"") for i in some])))
-        out.append(machine.decode(b"", True))
+        """The text of token ids, through the incremental decoder."""
+        machine, rest, out = Decoder(self), iter(ids), []
+        while len(some := np.fromiter(islice(rest, _PIECE), np.int64)):
+            out.append(machine.feed(some))
+        out.append(machine.end())
         return "".join(out)
 
+    def decimals(self, ids: np.ndarray) -> bytes:
+        """Ids as decimal digits, a comma after each."""
+        rows = self.digits[ids]
+        return rows[rows != 32].tobytes()
+
+
+class Transducer:
+    """Bytes of one word in, tokens out. A token leaves once ``lookahead`` bytes
+    follow it, because nothing that comes later can change it then, or with the
+    end of the word. What is held never exceeds a few times that and one part."""
+
+    def __init__(self, model: ByteBPE):
+        self.model, self.held = model, b""
+
+    def feed(self, part: bytes) -> Iterator[int]:
+        """Takes some bytes and gives the tokens that are stable by now."""
+        self.held += part
+        if len(self.held) <= 4 * self.model.lookahead:
+            return
+        at, end = 0, len(self.held) - self.model.lookahead
+        for token in self.model.merge(self.held):
+            if at + len(self.model.bytes_of[token]) > end:
+                break
+            at += len(self.model.bytes_of[token])
+            yield token
+        self.held = self.held[at:]
+
+    def end(self) -> Iterator[int]:
+        """The word is over: what is held becomes tokens."""
+        held, self.held = self.held, b""
+        yield from self.model.merge(held)
+
+
+class Decoder:
+    """Token ids in, text out: bytes go through an incremental UTF-8 machine that
+    holds an unfinished character only; invalid bytes become U+FFFD."""
+
+    def __init__(self, model: ByteBPE):
+        self.model, self.machine = model, codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, ids: np.ndarray) -> str:
+        return self.machine.decode(self.model.bytes_in(ids))
+
+    def end(self) -> str:
+        return self.machine.decode(b"", True)
+
 
 class _Words(dict):
-    """Tokens of words met before, forgotten together when they are too many."""
+    """Token ids of words met before, packed, forgotten together when they are too many."""
 
     def __init__(self, model: ByteBPE):
         super().__init__()
         self.model = model
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        ids = self.model.word(word)
+        ids = array("i", self.model.word(word)).tobytes()
         if len(word) <= 64:
             self[word] = ids
         return ids
@@ -239,7 +303,9 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = 256) -> DataFrame:
     """``(id_col, ids, text)``: each text encoded, and its ids decoded again, by
-    one worker with one model in memory. Null: no ids, the empty text."""
+    one worker with one model in memory. Null and empty texts: no ids, the empty
+    text. Repeated rows: each its own row. No rows: no result. Other columns are
+    ignored."""
     shared = _share(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,9 +327,34 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encoded and decoded again, as digests: ``id_col``, ``n_tokens``,
-    ``ids_sha256`` (decimal ids joined by commas), ``decoded_sha256``."""
-    both = round_trip(docs, path, id_col, text_col)
-    return both.select(F.col(id_col), F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"))
+    """Each text encoded and its ids decoded again, as digests: ``id_col``,
+    ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas), ``decoded_sha256``.
+
+    A text passes piece by piece (each is encoded, written into the one digest,
+    decoded, and written into the other), so a text of any length takes constant
+    memory beside itself. Null and empty texts: no tokens, the digests of nothing.
+    Repeated rows: each its own row. No rows: no result. Other columns are ignored.
+    """
+    shared = _share(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(shared)
+        for b in batches:
+            counts, id_digests, text_digests = [], [], []
+            for text in b.column(1):
+                n, ids_hash, text_hash, machine, tail = 0, hashlib.sha256(), hashlib.sha256(), Decoder(model), b""
+                for ids in model.pieces(text.as_py() or ""):
+                    n += len(ids)
+                    numbers = tail + model.decimals(ids)
+                    ids_hash.update(numbers[:-1])
+                    tail = numbers[-1:]  # no comma after the last id
+                    text_hash.update(machine.feed(ids).encode())
+                text_hash.update(machine.end().encode())
+                counts.append(n)
+                id_digests.append(ids_hash.hexdigest())
+                text_digests.append(text_hash.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(counts, pa.int64()), pa.array(id_digests, pa.string()), pa.array(text_digests, pa.string())],
+                                             names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"`{id_col}` {rows.dtypes[0][1]}, n_tokens long, ids_sha256 string, decoded_sha256 string")
