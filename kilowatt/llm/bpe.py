@@ -28,9 +28,11 @@ _BEYOND = re.compile("[\u0180-\U0010ffff]")
 #: A split always ends between a visible character and a space.
 _CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
 _PIECE = 1 << 18
-#: Words remembered by a worker; beyond it the memory starts anew.
+#: Words that a worker remembers as new ones, and as old ones.
 _REMEMBERED = 150_000
-_NO_RULE = (1 << 62, -1)
+_ID_BITS = 24
+_ID_MASK = (1 << _ID_BITS) - 1
+_NO_RULE = 1 << 62
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -74,7 +76,8 @@ class ByteBPE:
         self.byte_ids = [0] * 256
         for char, byte in alphabet.items():
             self.byte_ids[byte] = vocab[char]
-        self.rules = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in reversed([*enumerate(merges)])}
+        #: rank and new token of each pair, in one number that orders by rank
+        self.rules = {(vocab[a], vocab[b]): rank << _ID_BITS | vocab[a + b] for rank, (a, b) in reversed([*enumerate(merges)])}
         self.bytes_of = {i: raw(token) for token, i in vocab.items()}
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of |= {i: t.encode() for t, i in special.items()}
@@ -98,30 +101,30 @@ class ByteBPE:
         if len(ids) <= 48:
             rule = self.rules.get
             pairs = [rule(p, _NO_RULE) for p in zip(ids, ids[1:])]
-            while pairs and (best := min(pairs)) is not _NO_RULE:
-                i, new = pairs.index(best), best[1]
-                ids[i:i + 2] = [new]
-                del pairs[i]
+            while pairs and (best := min(pairs)) < _NO_RULE:
+                i, new = pairs.index(best), best & _ID_MASK
+                ids[i] = new
+                del ids[i + 1], pairs[i]
                 if i:
                     pairs[i - 1] = rule((ids[i - 1], new), _NO_RULE)
                 if i < len(pairs):
                     pairs[i] = rule((new, ids[i + 1]), _NO_RULE)
             return ids
         rules, after, before = self.rules, [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(*rules[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in rules]
+        heap = [(rules[p], i, p) for i, p in enumerate(zip(ids, ids[1:])) if p in rules]
         heapq.heapify(heap)
         while heap:
-            _, new, i, (a, b) = heapq.heappop(heap)
-            j = after[i]
+            rule, i, (a, b) = heapq.heappop(heap)
+            j, new = after[i], rule & _ID_MASK
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
             ids[i], ids[j], after[i] = new, -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
                 if (p := (new, ids[after[i]])) in rules:
-                    heapq.heappush(heap, (*rules[p], i, p))
+                    heapq.heappush(heap, (rules[p], i, p))
             if before[i] >= 0 and (p := (ids[before[i]], new)) in rules:
-                heapq.heappush(heap, (*rules[p], before[i], p))
+                heapq.heappush(heap, (rules[p], before[i], p))
         return [t for t in ids if t >= 0]
 
     def stream(self, parts: Iterable[bytes]) -> Iterator[int]:
@@ -135,7 +138,10 @@ class ByteBPE:
         """Tokens of one word. Every word, short or long, is fed to the transducer;
         a long one in parts, so that it never holds more than a few of them."""
         data, step = word.encode("utf-8", "replace"), 4 * self.lookahead
-        return list(self.stream(data[i:i + step] for i in range(0, len(data), step)))
+        machine, out = Transducer(self), []
+        for i in range(0, len(data), step):
+            out += machine.feed(data[i:i + step])
+        return out + machine.end()
 
     def pieces(self, text: str) -> Iterator[np.ndarray]:
         """Token ids of a text, a bounded piece of it at a time."""
@@ -187,23 +193,24 @@ class Transducer:
     def __init__(self, model: ByteBPE):
         self.model, self.held = model, b""
 
-    def feed(self, part: bytes) -> Iterator[int]:
+    def feed(self, part: bytes) -> list[int]:
         """Takes some bytes and gives the tokens that are stable by now."""
         self.held += part
         if len(self.held) <= 4 * self.model.lookahead:
-            return
-        at, end = 0, len(self.held) - self.model.lookahead
+            return []
+        at, end, out = 0, len(self.held) - self.model.lookahead, []
         for token in self.model.merge(self.held):
             if at + len(self.model.bytes_of[token]) > end:
                 break
             at += len(self.model.bytes_of[token])
-            yield token
+            out.append(token)
         self.held = self.held[at:]
+        return out
 
-    def end(self) -> Iterator[int]:
+    def end(self) -> list[int]:
         """The word is over: what is held becomes tokens."""
         held, self.held = self.held, b""
-        yield from self.model.merge(held)
+        return self.model.merge(held)
 
 
 class Decoder:
@@ -221,17 +228,22 @@ class Decoder:
 
 
 class _Words(dict):
-    """Token ids of words met before, packed, forgotten together when they are too many."""
+    """Token ids of words met before, packed. When they are too many they become
+    the old ones, from which a word that is met again is taken back; the old
+    ones before them are forgotten."""
 
     def __init__(self, model: ByteBPE):
         super().__init__()
-        self.model = model
+        self.model, self.old = model, {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        ids = array("i", self.model.word(word)).tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = array("i", self.model.word(word)).tobytes()
         if len(word) <= 64:
+            if len(self) >= _REMEMBERED:
+                self.old = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
