@@ -30,21 +30,32 @@ _MULTIPLY, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def subwords(text: str) -> Iterator[np.ndarray]:
     """Bucket numbers of all 1- to 4-character subwords of a text, in slices.
-    Letters are lower-cased, everything between letters is one blank."""
+    Letters are lower-cased, everything between letters is one blank, as are
+    both ends. A slice goes on from the last characters of the one before and
+    gives the subwords that end in it, so the slices change nothing."""
+    text = text.lower()
+    tail, after_letter = np.zeros(0, np.uint64), False
     for at in range(0, len(text), _SLICE):
-        codes = np.frombuffer((" " + text[max(0, at - _ORDERS + 1):at + _SLICE] + " ").lower().encode("utf-32-le", "replace"), np.uint32)
+        part = text[at:at + _SLICE] + (" " if at + _SLICE >= len(text) else "")
+        codes = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32)
         letter = _IS_LETTER[np.minimum(codes, _KNOWN)]
-        codes = np.where(letter, codes, 32)
-        codes = codes[letter | np.append(True, letter[:-1])].astype(np.uint64)
-        if len(codes) < 3:
-            continue
+        if not len(tail) and not letter.any():
+            continue  # nothing but what the first blank stands for
+        codes = np.where(letter, codes, 32)[letter | np.append(after_letter, letter[:-1])].astype(np.uint64)
+        after_letter = bool(letter[-1])
+        if not len(tail):
+            codes = np.append(np.uint64(32), codes)
+        known = len(tail)
+        codes = np.concatenate([tail, codes])
+        tail = codes[-(_ORDERS - 1):]
         state = codes * _MULTIPLY
         for order in range(_ORDERS):
             if order:
                 if len(state) < 2:
                     break
                 state = (state[:-1] ^ (state[:-1] >> np.uint64(29))) * _MIX + codes[order:] * _MULTIPLY
-            yield ((state ^ (state >> np.uint64(32))) * _MIX >> np.uint64(64 - _BITS)).astype(np.int32)
+            new = state[max(0, known - order):]
+            yield ((new ^ (new >> np.uint64(32))) * _MIX >> np.uint64(64 - _BITS)).astype(np.int32)
 
 
 def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -117,9 +128,11 @@ def _sample(docs: DataFrame, text_col: str, lang_col: str, rows: int, chars: int
     usable = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")).filter(
         "text is not null and lang is not null").select(F.xxhash64("text", F.lit(seed)).alias("key"), "lang", "text")
     keys = stored(usable.select("lang", "key").distinct(), "keys")
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    drawn = keys.orderBy("key", "lang").limit(rows).unionByName(
-        keys.withColumn("place", order).filter(F.col("place") <= lang_rows).select("lang", "key")).distinct().collect()
+    # of each language first the smallest of 64 parts, so that one task never sees more than that of a language
+    part = F.row_number().over(Window.partitionBy("lang", F.pmod("key", F.lit(64))).orderBy("key"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    few = keys.withColumn("place", part).filter(F.col("place") <= lang_rows).withColumn("place", place).filter(F.col("place") <= lang_rows)
+    drawn = keys.orderBy("key", "lang").limit(rows).unionByName(few.select("lang", "key")).distinct().collect()
     most = max(chars // rows, 1)
     start = F.pmod("key", F.greatest(F.length("text") - F.lit(most - 1), F.lit(1)).cast("long")).cast("int") + 1
     return usable.join(F.broadcast(docs.sparkSession.createDataFrame(drawn, keys.schema)), ["lang", "key"]).select(

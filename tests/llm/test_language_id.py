@@ -46,13 +46,32 @@ def test_no_letter_is_und(docs, text):
     assert language_id.train(docs).predict(text) == ("und", 0.0, True)
 
 
-def test_slices_add_up(monkeypatch):
-    text = "Some words of a text, with 12 numbers and é. " * 50
-    whole = np.sort(np.concatenate([*language_id.subwords(text)]))
-    monkeypatch.setattr(language_id, "_SLICE", 700)
-    cut = np.sort(np.concatenate([*language_id.subwords(text)]))
-    # the overlap of two slices may give a few subwords twice, none is lost
-    assert set(whole) <= set(cut) and len(cut) - len(whole) < 16 * 4
+def plain_subwords(text):
+    """Subwords as strings: letters lower-cased, one blank between and around words."""
+    letter = lambda c: bool(language_id._IS_LETTER[min(ord(c), language_id._KNOWN)])
+    out = " "
+    for c in text.lower() + " ":
+        if letter(c) or out[-1] != " ":
+            out += c if letter(c) else " "
+    return [out[i:i + n] for n in range(1, 5) for i in range(len(out) - n + 1)] if len(out) > 1 else []
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 700])
+def test_slices_change_nothing(monkeypatch, size):
+    for text in ("Some words of a text, with 12 numbers and é. " * 50, "", "...", "x", " 1 a", "1 2 3 . a", "aé漢 b" * 30, "a" * 400, "end. !"):
+        monkeypatch.setattr(language_id, "_SLICE", 1 << 20)
+        whole = np.sort(np.concatenate([np.zeros(0, np.int32), *language_id.subwords(text)]))
+        monkeypatch.setattr(language_id, "_SLICE", size)
+        cut = np.sort(np.concatenate([np.zeros(0, np.int32), *language_id.subwords(text)]))
+        assert np.array_equal(whole, cut), text
+        plain = plain_subwords(text)
+        assert len(plain) == len(whole)
+        # equal subwords, equal buckets
+        assert len(set(plain)) >= len(set(whole.tolist())) >= 0.98 * len(set(plain))
+
+
+def test_a_word_of_three_million_letters():
+    assert sum(map(len, language_id.subwords("x" * 2_400_000))) == 4 * 2_400_000 + 2
 
 
 def test_odd_rows(odd_docs, no_docs):
