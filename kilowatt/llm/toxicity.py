@@ -23,6 +23,7 @@ _MIXED = regex.compile(r"\p{L}[\d@$!*#+|]+\p{L}")
 _REPEAT = regex.compile(r"(.)\1{2,}")
 _SYMBOLS = regex.compile(r"[#$%&*@^~_|<>=+]")
 _STRETCH = regex.compile(r"[!?]{2,}")
+_WORD_END = regex.compile(r"(?<=\S)\s")
 #: Characters that stand for letters in disguised words (fixed values).
 _DISGUISE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l",
                            "*": None, "-": None, "_": None, ".": None, "+": None, "#": None})
@@ -74,7 +75,9 @@ class Lexicon(dict):
 
 
 def features(text: str | None, lexicon: Lexicon, near: int = 3) -> np.ndarray:
-    """The dense features of one whole text (see FEATURES), worked on in slices.
+    """The dense features of one whole text (see FEATURES), worked on in slices that
+    change nothing: a slice ends between a word and a space, which no pattern
+    spans, and the last words are carried on for the distance to the reader.
     ``distinct`` counts the lexicon's terms met, which the lexicon bounds."""
     text = text or ""
     n = hits = second = close = shouted = 0
@@ -82,14 +85,14 @@ def features(text: str | None, lexicon: Lexicon, near: int = 3) -> np.ndarray:
     distinct: set[str] = set()
     counts = np.zeros(6)
     at = 0
+    # of the last words: addresses the reader, is a hit not yet known to be close to that
+    open_you, open_hit = np.zeros(0, bool), np.zeros(0, bool)
     while at < len(text):
-        end = min(len(text), at + _SLICE)
-        if end < len(text):
-            gap = regex.compile(r"\s").search(text, end)
-            end = gap.start() if gap else len(text)
+        gap = _WORD_END.search(text, at + _SLICE) if at + _SLICE < len(text) else None
+        end = gap.start() if gap else len(text)
         part, at = text[at:end], end
         tokens = _TOKEN.findall(part)
-        w = np.fromiter(map(lexicon.__getitem__, tokens), np.float32, len(tokens))
+        w = np.fromiter(map(lexicon.__getitem__, tokens), np.float64, len(tokens))
         you = w < 0
         w[you] = 0
         hit = np.flatnonzero(w)
@@ -97,9 +100,14 @@ def features(text: str | None, lexicon: Lexicon, near: int = 3) -> np.ndarray:
         if len(hit):
             strongest = max(strongest, float(w.max()))
             distinct.update(map(lexicon.term, {tokens[i] for i in hit}))
-            if you.any():
-                around = np.convolve(you, np.ones(2 * near + 1), "same") > 0
-                close += int(around[hit].sum())
+        all_you, all_hit = np.append(open_you, you), np.append(open_hit, w > 0)
+        if all_you.any() and all_hit.any():
+            ones = np.append(0, np.cumsum(all_you))
+            place = np.arange(len(all_you))
+            around = ones[np.minimum(place + near + 1, len(all_you))] > ones[np.maximum(place - near, 0)]
+            close += int((around & all_hit).sum())
+            all_hit &= ~around
+        open_you, open_hit = (x[max(0, len(x) - near):] for x in (all_you, all_hit))
         shouted += sum(map(str.isupper, tokens))
         counts += (sum(map(str.isupper, part)), len(part), len(_STRETCH.findall(part)) + part.count("!"), len(_SYMBOLS.findall(part)),
                    len(_MIXED.findall(part)), len(_REPEAT.findall(part)))
@@ -200,15 +208,21 @@ class ToxicityModel:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int, seed: int) -> DataFrame:
-    """At most ``rows`` labelled rows, those of the smallest seeded hashes of
-    their ids, with their texts: ``(id, y, fold, text)``, stored. Their ids are
-    a bounded table, so the texts need no shuffle to meet them."""
+    """At most ``rows`` labelled texts: ``(id, y, fold, text)``, stored. First the
+    ``rows`` ids of the smallest seeded hashes, a bounded table that the texts
+    meet without a shuffle; then, as an id may have any number of texts, of the
+    distinct (label, text) pairs the ``rows`` with the smallest hashes."""
     marked = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
         F.max(F.col(label_col).cast("int")).alias("y"))
     drawn = marked.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(rows)
     drawn = drawn.sparkSession.createDataFrame(drawn.collect(), drawn.schema)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return stored(texts.join(F.broadcast(drawn), "id").withColumn("fold", F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.lit(_FOLDS)).cast("int")).dropDuplicates(["y", "text"]), "labelled")
+    found = texts.join(F.broadcast(drawn), "id").withColumn("key", F.xxhash64("text", F.lit(seed + 2))).groupBy("y", "key").agg(
+        F.min("id").alias("id"), F.first("text").alias("text"))
+    found = stored(found.withColumn("fold", F.pmod(F.xxhash64("text", F.lit(seed + 1)), F.lit(_FOLDS)).cast("int")), "found")
+    keys = found.select("y", "key").orderBy("key", "y").limit(rows)
+    keys = keys.sparkSession.createDataFrame(keys.collect(), keys.schema)
+    return stored(found.join(F.broadcast(keys), ["y", "key"]).select("id", "y", "fold", "text"), "labelled")
 
 
 def _counts(sample: DataFrame) -> DataFrame:

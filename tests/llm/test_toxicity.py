@@ -42,14 +42,62 @@ def test_disguised_words():
     assert toxicity.bare("iD1ot!!!") == "idiot" and toxicity.bare("cl*wn") == "clwn" and toxicity.bare("2024") == "2024"
 
 
-def test_slices_do_not_matter(monkeypatch):
-    lexicon = toxicity.Lexicon({"idiot": 3.0, "lowe-": 2.0})
-    text = "You are an IDIOT!! and a loweit, so w1th soooo much ### noise. " * 40
-    whole = toxicity.features(text, lexicon)
-    monkeypatch.setattr(toxicity, "_SLICE", 300)
-    cut = toxicity.features(text, lexicon)
-    close = toxicity.FEATURES.index("near_second_person")
-    np.testing.assert_allclose(np.delete(whole, close), np.delete(cut, close), rtol=0.02, atol=1e-3)
+@pytest.mark.parametrize("size", [1, 7, 50, 300])
+def test_slices_do_not_matter(monkeypatch, size):
+    lexicon = toxicity.Lexicon({"idiot": 3.0, "lowe-": 2.0, "clown": 1.5})
+    rng = np.random.default_rng(size)
+    words = ["You", "are", "an", "IDIOT!!", "a", "loweit,", "so", "w1th", "soooo", "###", "noise.", "cl0wn", "   ", "\n\n\n", "!!! ?!", "aaa"]
+    for _ in range(40):
+        text = " ".join(rng.choice(words, rng.integers(0, 120)))
+        monkeypatch.setattr(toxicity, "_SLICE", 1 << 20)
+        whole = toxicity.features(text, lexicon)
+        monkeypatch.setattr(toxicity, "_SLICE", size)
+        np.testing.assert_array_equal(whole, toxicity.features(text, lexicon))
+
+
+def plain_features(text, weights, near=3):
+    """The features by their definitions, without slices or arrays."""
+    import math
+    import re
+    tokens = re.findall(r"\S+", text)
+    best = [max([weights.get(t, 0.0) for t in toxicity.terms(toxicity.bare(w))], default=0.0) for w in tokens]
+    you = [toxicity.bare(w) in toxicity.SECOND_PERSON for w in tokens]
+    best = [0.0 if y else b for b, y in zip(best, you)]
+    hits = [i for i, b in enumerate(best) if b]
+    n, chars = max(len(tokens), 1), max(len(text), 1)
+    met = {max(toxicity.terms(toxicity.bare(tokens[i])), key=lambda t: weights.get(t, 0.0)) for i in hits}
+    close = sum(any(you[max(0, i - near):i + near + 1]) for i in hits)
+    repeats = sum(len(m.group()) >= 3 for m in re.finditer(r"(.)\1*", text))
+    return [math.log1p(len(tokens)), sum(best) / n, math.log1p(len(hits)), len(hits) / n, max(best, default=0.0), math.log1p(len(met)),
+            sum(you) / n, close / max(len(hits), 1), sum(c.isupper() for c in text) / chars, sum(w.isupper() for w in tokens) / n,
+            (len(re.findall(r"[!?]{2,}", text)) + text.count("!")) / n, sum(c in "#$%&*@^~_|<>=+" for c in text) / chars,
+            len(toxicity._MIXED.findall(text)) / n, repeats / n]
+
+
+def test_features_equal_their_definitions(spark, sf):
+    weights = {"idiot": 3.0, "lowe-": 2.0, "the": 0.5}
+    texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    texts += ["", "you", "idiot you", "You IDIOT", "a b c d e f you idiot", "idiot a b c you", "idiot a b c d you", "aaa!!! ?? b4d", "\n\n\n\n"]
+    lexicon = toxicity.Lexicon(weights)
+    for t in texts:
+        np.testing.assert_allclose(toxicity.features(t, lexicon), np.array(plain_features(t or "", weights), np.float32), rtol=1e-5, atol=1e-7)
+
+
+def test_one_long_word():
+    lexicon = toxicity.Lexicon({})
+    word = "Ab1!" * 800_000
+    found = dict(zip(toxicity.FEATURES, toxicity.features(word, lexicon)))
+    assert found["words"] == np.float32(np.log1p(1)) and found["capitals"] == 0.25
+
+
+def test_the_sample_is_bounded_by_texts(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "same")] * 50 + [(3, "clean words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0)], "doc_id long, toxic int")
+    drawn = toxicity._sample(docs, labels, "doc_id", "text", "toxic", 100, 13)
+    assert drawn.count() == 100 and drawn.select("y", "text").distinct().count() == 100
+    again = toxicity._sample(docs.repartition(7), labels, "doc_id", "text", "toxic", 100, 13)
+    assert sorted(map(tuple, drawn.collect())) == sorted(map(tuple, again.collect()))
+    assert toxicity._sample(docs, labels, "doc_id", "text", "toxic", 8000, 13).count() == 502
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
