@@ -59,10 +59,8 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "incremental":  # new landing files merged into silver, then the touched days of gold
         if not a.landing:
             p.error("--landing is required for incremental")
-        touched = medallion.live_silver_job(spark, a.landing, lake)
-        out["gold_dates"] = len(touched)
-        if touched:
-            medallion.gold_job(spark, lake, dates=touched, source=medallion.LIVE)
+        out["silver_dates"] = len(medallion.live_silver_job(spark, a.landing, lake))
+        out["gold_dates"] = len(medallion.live_gold_job(spark, lake))
     if a.job == "inventory":
         from kilowatt.operators.layout import layer_inventory
         out["tables"] = [r.asDict() for r in layer_inventory(spark, lake.tables()).collect()]  # one per table

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from kilowatt import schemas
 from kilowatt.operators import bronze, gold, quality, silver
-from kilowatt.session import path_exists
+from kilowatt.session import path_exists, stored
 from kilowatt.sinks import versioned
 from kilowatt.sinks.layers import read_layer
 from kilowatt.sources.files import read_csv
@@ -186,6 +186,70 @@ def live_silver_job(spark: SparkSession, landing: str, lake: Lake, checkpoint_ro
         def to_silver(batch, spec=spec):
             return silver.enrich_sites(silver.silver_technology(batch, spec), sites)
 
-        touched.update(upsert_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), live,
-                                     f"{ckpt}/live_{tech}", to_silver, timeout_s=timeout_s))
+        touched.update(upsert_stream(stream_csv(spark, landing, schema, glob=f"{tech}*.csv"), live, f"{ckpt}/live_{tech}", to_silver,
+                                     timeout_s=timeout_s, announce=lambda dates: _announce(lake, dates)))
     return sorted(touched, key=lambda v: (v is None, str(v)))
+
+
+def _todo(lake: Lake) -> str:
+    return lake.table("gold", "_todo")
+
+
+def _announce(lake: Lake, dates: DataFrame) -> None:
+    """Notes the dates that gold has to look at, before silver changes."""
+    dates.coalesce(1).write.parquet(f"{_todo(lake)}/{uuid.uuid4().hex[:12]}")
+
+
+LIVE_GOLD = {"daily": "daily_kpis_live", "enriched": "daily_kpis_enriched_live", "state": "report_state_live", "report": "site_efficiency_report_live"}
+
+
+def live_gold_job(spark: SparkSession, lake: Lake) -> list:
+    """Gold after :func:`live_silver_job`, in place and in proportion to the change:
+    the noted days of the daily table are aggregated anew, the windows of the
+    enriched table over the rows these reach, the report from the state of their
+    months. The first run builds all four tables. Returns the days it looked at.
+
+    Every step recomputes what it writes from silver and the daily table as it
+    was, the daily table is replaced last, and the notes go after that: a job
+    lost anywhere is done again by the next one, with the same result."""
+    from kilowatt.operators import incremental
+    from kilowatt.session import list_folder, remove_folder
+    from kilowatt.sinks.partitioned import finish_pending, in_values, read_partitions, replace_partitions, write_partitions
+
+    path = {k: lake.table("gold", t) for k, t in LIVE_GOLD.items()}
+    notes = list_folder(spark, _todo(lake)) if path_exists(spark, _todo(lake)) else []
+    closed = [n for n in notes if path_exists(spark, f"{n}/_SUCCESS")]
+    silver_rows = spark.read.parquet(lake.table("silver", LIVE))
+    if not path_exists(spark, f"{path['daily']}/_SUCCESS"):
+        full = stored(gold.daily_kpis(silver_rows), "daily")
+        write_partitions(gold.enrich_daily(full), path["enriched"])
+        state = stored(incremental.report_state(full), "state")
+        write_partitions(state, path["state"], "month_label")
+        write_partitions(incremental.report_from_state(state), path["report"], "month_label")
+        write_partitions(full, path["daily"])
+        dates = versioned.touched_values(full, "date")
+    else:
+        dates = versioned.touched_values(spark.read.schema("date date").parquet(*closed), "date") if closed else []
+        if dates:
+            for k in path:
+                finish_pending(spark, path[k], "date" if k in ("daily", "enriched") else "month_label")
+            after = stored(gold.daily_kpis(silver_rows.filter(in_values("date", dates))), "daily_after")
+            daily_rows = read_partitions(spark, path["daily"], after.schema)
+            before = daily_rows.filter(in_values("date", dates))
+            now = daily_rows.filter(~in_values("date", dates)).unionByName(after)
+            changed = stored(incremental.changed_days(before, after), "changed")
+
+            enriched = spark.read.schema(gold.enrich_daily(after).schema).parquet(path["enriched"])
+            rows, days = incremental.refreshed_enriched(enriched, now, changed, dates)
+            days = versioned.touched_values(days, "date")
+            replace_partitions(rows, path["enriched"], enriched.filter(in_values("date", days)))
+
+            months = versioned.touched_values(before.unionByName(after).select(F.date_format("date", "yyyy-MM").alias("m")), "m")
+            state = incremental.report_state(now.filter(F.coalesce(F.date_format("date", "yyyy-MM").isin([m for m in months if m]), F.lit(None in months))))
+            for k, new in (("state", state), ("report", incremental.report_from_state(state))):
+                old = spark.read.schema(new.schema).parquet(path[k]).filter(in_values("month_label", months))
+                replace_partitions(new, path[k], old, "month_label")
+            replace_partitions(after, path["daily"], before)
+    for n in closed:
+        remove_folder(spark, n)
+    return dates

@@ -576,6 +576,7 @@ FROM (
     ON a."timestamp" = b."timestamp" AND a.site_id = b.site_id AND a.technology = b.technology) x
 WHERE NOT (s IS NULL AND COALESCE(t_date >= DATE '2024-01-23', FALSE))""")
 
+ORACLE["stream_dedup"] = ORACLE["dedup_distinct"]
 ORACLE["stream_rollup"] = _q(RAW_READINGS, body=f"""
 SELECT date_trunc('hour', "timestamp") AS window_start,
        date_trunc('hour', "timestamp") + INTERVAL 1 HOUR AS window_end,
@@ -588,6 +589,10 @@ GROUP BY site_id, technology, date_trunc('hour', "timestamp")
 HAVING date_trunc('hour', "timestamp") + INTERVAL 1 HOUR
        <= (SELECT MAX("timestamp") FROM raw_readings) - INTERVAL 10 MINUTE""")
 
+ORACLE["stream_multiscale"] = _q(RAW_READINGS, body=f"""
+SELECT * FROM (""" + "\nUNION ALL".join(_ROLLUP.format(unit=u) for u in ("minute", "hour", "day")) + """) x
+WHERE CASE unit WHEN 'minute' THEN bucket_start + INTERVAL 1 MINUTE WHEN 'hour' THEN bucket_start + INTERVAL 1 HOUR
+      ELSE bucket_start + INTERVAL 1 DAY END <= (SELECT MAX("timestamp") FROM raw_readings) - INTERVAL 10 MINUTE""")
 ORACLE["drift_alerts"] = _q(*SILVER_CHAIN, SITES, DAILY, RAW_READINGS, f"""
 baseline AS (
   SELECT site_id, AVG({D('total_production_mwh')}) AS baseline_mean,
@@ -611,6 +616,24 @@ SELECT d.date, d.site_id, d.production_mwh, {R("b.baseline_mean", 4)} AS baselin
             ELSE '✅ Normal' END AS alert_level
 FROM stream_daily d LEFT JOIN baseline b USING (site_id)""")
 
+ORACLE["drift_stateful"] = _q(*SILVER_CHAIN, SITES, DAILY, """
+d AS (SELECT date, site_id, technology, total_production_mwh, CAST(ROUND(total_production_mwh * 10000) AS HUGEINT) AS x,
+             CASE WHEN date - LAG(date) OVER (PARTITION BY site_id, technology ORDER BY date) > 3 THEN 1 ELSE 0 END AS starts
+      FROM daily WHERE date IS NOT NULL),
+runs AS (SELECT *, SUM(starts) OVER (PARTITION BY site_id, technology ORDER BY date ROWS UNBOUNDED PRECEDING) AS run FROM d),
+sums AS (SELECT *, COUNT(x) OVER w AS n, COALESCE(SUM(x) OVER w, 0) AS s, COALESCE(SUM(x * x) OVER w, 0) AS ss FROM runs
+         WINDOW w AS (PARTITION BY site_id, technology, run ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+z AS (SELECT *, CASE WHEN n > 0 THEN CAST(s AS DOUBLE) / n / 10000 END AS mean,
+             CASE WHEN n >= 2 AND n * ss - s * s > 0
+                  THEN (CAST(x AS DOUBLE) - CAST(s AS DOUBLE) / n) / SQRT(CAST(n * ss - s * s AS DOUBLE) / (n * (n - 1))) END AS z FROM sums)""", body=f"""
+SELECT date, site_id, technology, total_production_mwh, CAST(n AS BIGINT) AS baseline_days, {R("mean", 4)} AS baseline_mean, {R("z", 2)} AS z_score,
+       CASE WHEN n < 2 THEN 'no baseline'
+            WHEN {R("z", 2)} < -2 THEN '🔴 ANOMALIE BASSE'
+            WHEN {R("z", 2)} < -1 THEN '🟡 Production faible'
+            WHEN {R("z", 2)} > 2 THEN '🔵 Production exceptionnelle'
+            ELSE '✅ Normal' END AS alert_level
+FROM z""")
+
 _INVENTORY = [("bronze", "bronze.sites_raw", "sites", 9), ("bronze", "bronze.solar_raw", "solar_raw", 11),
               ("bronze", "bronze.wind_raw", "wind_raw", 11), ("silver", "silver.production", "production", 17),
               ("gold", "gold.daily_kpis", "daily", 17), ("gold", "gold.daily_kpis_enriched", "daily", 21),

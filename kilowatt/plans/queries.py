@@ -19,7 +19,7 @@ from kilowatt.session import scratch_path, stored
 from kilowatt.sinks import catalog, layers, partitioned, versioned
 from kilowatt.sources import checked, files
 from kilowatt.sources.files import read_table
-from kilowatt.streaming import evolve, ingest, profile
+from kilowatt.streaming import dedup, drift, evolve, ingest, profile
 from kilowatt.streaming import rollup as srollup
 from kilowatt.streaming import upsert as supsert
 
@@ -707,6 +707,21 @@ def _drain(df: DataFrame, spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out")
 
 
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    """Distinct readings from six drops of six days each that overlap by one: a
+    row that comes again within two days is dropped, in whichever run it comes."""
+    root = scratch_path(spark, "dedup")
+    rows = fx.readings(spark, sf).select("site_id", "timestamp", "technology", "status")
+    day = F.datediff(F.to_date("timestamp"), F.lit("2024-01-01").cast("date"))
+    first = rows.agg(F.min(day).alias("a"), F.max(day).alias("b")).first()
+    for start in range(first["a"], first["b"] + 1, 5):
+        rows.filter((day >= start) & (day < start + 6)).write.mode("append").parquet(f"{root}/in")
+        stream = dedup.drop_repeats(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), rows.columns, "2 days")
+        ingest.run_incremental(stream, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.schema(rows.schema).parquet(f"{root}/out")
+
+
 @register("stream_rollup")
 def q_stream_rollup(spark, sf):
     """Hourly event-time windows per site from a stream with a 10-minute
@@ -715,6 +730,12 @@ def q_stream_rollup(spark, sf):
     return _drain(s, spark, "stream_rollup")
 
 
+@register("stream_multiscale")
+def q_stream_multiscale(spark, sf):
+    """Minutes, hours and days from one stream; windows closed by the watermark."""
+    return _drain(srollup.multi_scale_stream(_raw_readings_of(_events_stream(spark, sf))), spark, "multiscale")
+
+
 DRIFT_SPLIT = "2024-01-20"
 
 
@@ -732,6 +753,20 @@ def q_drift_alerts(spark, sf):
                                 "alert_level"), spark, "drift")
 
 
+@register("drift_stateful")
+def q_drift_stateful(spark, sf):
+    """Daily production per site and technology arrives in three drops; each day
+    is judged by the site's days before it, learned from batch to batch. After
+    three days of silence a site starts anew."""
+    root = scratch_path(spark, "drift_state")
+    rows = stored(gold.daily_production(production(spark, sf)).filter("date is not null"), "daily")
+    for n, (start, end) in enumerate((("1970-01-01", "2024-01-08"), ("2024-01-08", "2024-01-19"), ("2024-01-19", "9999-01-01"))):
+        rows.filter((F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date"))).write.mode("append").parquet(f"{root}/in")
+        stream = drift.learned_drift(spark.readStream.schema(rows.schema).parquet(f"{root}/in"), expiry_days=3)
+        ingest.run_incremental(stream, f"{root}/out", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
 # ---------------------------------------------------------------- medallion end to end
 
 

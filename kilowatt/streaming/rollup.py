@@ -5,6 +5,7 @@ production-drift alerts from a stream-static join."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql.types import TimestampNTZType
 from kilowatt import constants as K
 from kilowatt.functions.expressions import DEFAULT_SCALE, alert_level, exact, exact_avg, exact_sum, round_double, zscore
 from kilowatt.operators.joins import join_dimension
+from kilowatt.operators.timescale import UNITS
 
 
 def _session_tz(df: DataFrame) -> str:
@@ -62,6 +64,34 @@ def windowed_rollup(df: DataFrame, duration: str = "1 hour", watermark: str = "1
                     *keys, "n_readings", "total_kwh", "avg_kwh", "max_kwh"))
 
 
+def multi_scale_stream(df: DataFrame, units: Sequence[str] = UNITS, watermark: str = "10 minutes", ts: str = "timestamp",
+                       keys: Sequence[str] = ("site_id", "technology"), value: str = "production_kwh", scale: int = DEFAULT_SCALE) -> DataFrame:
+    """The streaming twin of :func:`timescale.multi_scale_rollup`: one stream that
+    gives the closed windows of every unit, in the batch form's columns.
+
+    Each coarser unit is a stateful aggregation over the finer one's closed
+    windows (``window_time`` carries their event time and the watermark on), so
+    its state holds partial sums of windows, never readings. The finest level is
+    kept once per unit that is asked for."""
+    if any(u not in UNITS for u in units):
+        raise ValueError(f"unit must be one of {UNITS}")
+    order = sorted(units, key=UNITS.index)
+    rows, ntz = event_time(df, ts)
+    v = F.col(value)
+
+    def level(upto: int) -> DataFrame:
+        out = rows.withWatermark(ts, watermark).groupBy(F.window(ts, f"1 {order[0]}").alias("w"), *keys).agg(
+            F.count(F.lit(1)).alias("n_readings"), exact_sum(v, scale).alias("_sum"), F.count(v).alias("_n"), F.max(v).alias("max_kwh"))
+        for u in order[1:upto + 1]:
+            out = out.groupBy(F.window(F.window_time("w"), f"1 {u}").alias("w"), *keys).agg(
+                F.sum("n_readings").alias("n_readings"), F.sum("_sum").alias("_sum"), F.sum("_n").alias("_n"), F.max("max_kwh").alias("max_kwh"))
+        return out.select(*keys, wall_clock(df, F.col("w.start"), ntz).alias("bucket_start"), "n_readings",
+                          round_double(F.col("_sum"), 4).alias("total_kwh"),
+                          round_double(F.col("_sum") / F.nullif(F.col("_n"), F.lit(0)), 4).alias("avg_kwh"), "max_kwh", F.lit(order[upto]).alias("unit"))
+
+    return reduce(DataFrame.unionByName, [level(i) for i in range(len(order))])
+
+
 def site_baseline(daily: DataFrame, value: str = "total_production_mwh",
                   site_keys: Sequence[str] = ("site_id",), scale: int = DEFAULT_SCALE) -> DataFrame:
     """Static per-site baseline: mean (exact) and sample stddev of daily output."""

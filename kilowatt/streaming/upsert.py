@@ -61,14 +61,18 @@ def merge_micro_batch(batch: DataFrame, batch_id: int, path: str, transform: Cal
 
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame],
                   keys: Sequence[str] = READING_KEYS, value: str = "production_kwh", tiebreak: Sequence[str] = TIEBREAK,
-                  partition_col: str = "date", timeout_s: float | None = None) -> list:
+                  partition_col: str = "date", timeout_s: float | None = None, announce: Callable[[DataFrame], None] | None = None) -> list:
     """Drain ``stream`` (availableNow) into the partitioned table at ``path``, in
-    place. Returns the dates that the batches of this run touched."""
+    place. Returns the dates that the batches of this run touched. ``announce`` is
+    given each batch's dates before the table changes, for those who must not
+    miss one whatever happens."""
     dates: set = set()
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         src = transform(batch).persist()  # read for its dates and for the merge
         try:
+            if announce:
+                announce(src.select(partition_col).distinct())
             dates.update(partitioned.upsert_best(path, src, keys, value, tiebreak, partition_col))
         finally:
             src.unpersist()

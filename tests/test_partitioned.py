@@ -127,3 +127,52 @@ def test_live_silver_equals_batch_silver(spark):
     medallion.gold_job(spark, lake, dates=touched, source=medallion.LIVE)
     days = versioned.read_version(spark, lake.table("gold", "daily_kpis"))
     assert days.count() == gold.daily_kpis(live).count() == days.filter(F.col("total_hours") > 0).count()
+
+
+def test_live_gold_follows_new_files(spark, monkeypatch):
+    """Silver and gold in place over two arrivals; a gold job lost midway is done again."""
+    import json
+
+    from kilowatt.__main__ import main
+    from kilowatt.operators import gold
+    from kilowatt.plans import medallion
+    from kilowatt.plans.queries import _landing_layout
+    from tests.conftest import SF_TINY
+    root = scratch_path(spark, "t-live-gold")
+    lake = medallion.Lake(f"{root}/lake")
+    landing = _landing_layout(spark, SF_TINY, root)
+    medallion.bronze_job(spark, landing, lake, "b1")
+    assert main(["incremental", "--landing", landing, "--lake", lake.root]) == 0
+
+    def snap(df):
+        return sorted(str(sorted(r.asDict().items())) for r in df.collect())
+
+    def equal():
+        daily = gold.daily_kpis(spark.read.parquet(lake.table("silver", medallion.LIVE)))
+        got = {k: spark.read.parquet(lake.table("gold", t)) for k, t in medallion.LIVE_GOLD.items()}
+        report = gold.site_efficiency_report(daily)
+        assert snap(got["daily"].select(*daily.columns)) == snap(daily)
+        assert snap(got["enriched"].select(*gold.enrich_daily(daily).columns)) == snap(gold.enrich_daily(daily))
+        assert snap(got["report"].withColumn("month_label", F.col("month_label").cast("string")).select(*report.columns)) == snap(report)
+
+    equal()
+    untouched = {f for f in spark.read.parquet(lake.table("gold", "daily_kpis_live")).inputFiles() if "date=2024-01-20" in f}
+    lines = ["timestamp,site_id,panel_temp_c,irradiance_w_m2,production_kwh,status"] + [
+        f"2024-01-{d:02d}T1{h}:00:00.000000,{s},20.0,500.0,{900 + s + h}.5,OK" for d in (5, 12) for h in range(3) for s in range(0, 40, 2)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/more")
+    part = next(f for f in list_folder(spark, f"{root}/more") if f.endswith(".txt"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(part), jvm.org.apache.hadoop.fs.Path(f"{landing}/solar_more.csv")
+    source.getFileSystem(conf).rename(source, target)
+    assert medallion.live_silver_job(spark, landing, lake) == [dt.date(2024, 1, 5), dt.date(2024, 1, 12)]
+    from kilowatt.operators import incremental
+    real = incremental.report_state
+    monkeypatch.setattr(incremental, "report_state", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        medallion.live_gold_job(spark, lake)
+    monkeypatch.setattr(incremental, "report_state", real)
+    assert medallion.live_silver_job(spark, landing, lake) == []  # the stream has nothing new, the notes have
+    assert medallion.live_gold_job(spark, lake) == [dt.date(2024, 1, 5), dt.date(2024, 1, 12)]
+    equal()
+    assert untouched <= set(spark.read.parquet(lake.table("gold", "daily_kpis_live")).inputFiles())
+    assert medallion.live_gold_job(spark, lake) == [] and json
