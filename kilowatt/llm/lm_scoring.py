@@ -21,6 +21,7 @@ from kilowatt.llm.shared import crc_fold, stored
 WORD_BITS = 18
 _PRIOR, _PRIOR_ALL = 0.01, 0.01 * (1 << WORD_BITS)
 _WORD = re.compile(r"\w+|[^\w\s]")
+_SPACE = re.compile(r"\s")
 _START = 0
 _SLICE = 1 << 20
 
@@ -43,9 +44,8 @@ def tokens(text: str, slots: _Slots | None = None) -> Iterator[np.ndarray]:
     number = (_SLOTS if slots is None else slots).__getitem__
     last, at = _START, 0
     while at < len(text):
-        end = at + _SLICE
-        while end < len(text) and not text[end].isspace() and end - at < 2 * _SLICE:
-            end += 1
+        gap = _SPACE.search(text, at + _SLICE)  # a word is never cut, however long
+        end = gap.start() if gap else len(text)
         words = _WORD.findall(text[at:end].lower())
         at = end
         if words:

@@ -92,3 +92,9 @@ def test_no_two_grams_share_a_count(spark):
     known = {r["doc_id"] for r in labels.filter(lm_scoring.crc_fold("doc_id", 5) != 0).collect()}
     m = lm_scoring.train(lm_scoring.marked(docs, labels.filter(lm_scoring.crc_fold("doc_id", 5) != 0)))
     assert np.isclose(m.score("w1 w2 w3", 20 in known)[0], got[1][20])
+
+
+def test_a_word_is_never_cut():
+    assert len(lm_scoring.whole("ab" * 1_600_000, lm_scoring._Slots())) == 2  # the start mark and one word
+    text = "one two " * 400_000
+    assert len(lm_scoring.whole(text, lm_scoring._Slots())) == 800_001
