@@ -131,7 +131,9 @@ def _sample(docs: DataFrame, text_col: str, lang_col: str, rows: int, chars: int
     # of each language first the smallest of 64 parts, so that one task never sees more than that of a language
     part = F.row_number().over(Window.partitionBy("lang", F.pmod("key", F.lit(64))).orderBy("key"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    few = keys.withColumn("place", part).filter(F.col("place") <= lang_rows).withColumn("place", place).filter(F.col("place") <= lang_rows)
+    # (stored in between: else both windows would share one shuffle by language)
+    few = stored(keys.withColumn("place", part).filter(F.col("place") <= lang_rows).select("lang", "key"), "few_keys")
+    few = few.withColumn("place", place).filter(F.col("place") <= lang_rows)
     drawn = keys.orderBy("key", "lang").limit(rows).unionByName(few.select("lang", "key")).distinct().collect()
     most = max(chars // rows, 1)
     start = F.pmod("key", F.greatest(F.length("text") - F.lit(most - 1), F.lit(1)).cast("long")).cast("int") + 1
