@@ -58,7 +58,8 @@ def _slices(text: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
 def _starts(hashes: np.ndarray, ends: np.ndarray, overlap: int, modulus: int, longest: int) -> np.ndarray:
     """Where chunks start, for tokens of several texts that end at ``ends``: at
     each text's first token, at each window of ``overlap`` tokens whose hash is
-    divisible by ``modulus``, and ``longest`` tokens after a start without one."""
+    divisible by ``modulus``, and ``longest`` tokens after a start without one.
+    Only a text's first start may have fewer than ``overlap`` tokens left."""
     n = len(hashes)
     window = np.zeros(max(0, n - overlap + 1), np.uint64)
     for k in range(overlap):
@@ -73,6 +74,7 @@ def _starts(hashes: np.ndarray, ends: np.ndarray, overlap: int, modulus: int, lo
     if (gaps > longest).any():
         more = (gaps - 1) // longest
         again = np.repeat(starts, more) + longest * (np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more) + 1)
+        again = again[again + overlap <= ends[np.searchsorted(ends, again, side="right")]]
         starts = np.sort(np.append(starts, again))
     return starts
 

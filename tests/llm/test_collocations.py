@@ -103,6 +103,26 @@ def test_chunks_overlap_and_cover_the_text():
     assert joined == C._normal(text.encode()).decode().split() and len(chunks) > 100
 
 
+@pytest.mark.parametrize("n", [1, 4, 5, 8, 1024, 1025, 1026, 1027, 1028, 2049])
+def test_short_rests_of_texts_without_a_trigger(n):
+    """What the last regular cut leaves of a text may be shorter than the overlap."""
+    text = ("same " * n).strip()
+    for longest in (4, 1024):
+        chunks = entries([("en", text)], 1 << 30, 1 << 40, longest)
+        k = sorted(chunks)
+        entry = pa.RecordBatch.from_arrays([pa.array(["en"] * len(k)), pa.array([c[1] for c in k]), pa.array([c[2] for c in k]),
+                                            pa.array([chunks[c] for c in k], pa.int64())], names=["lang", "chunk", "last", "count"])
+        found = Counter()
+        for b in C._count(iter([entry]), (1, 2, 3, 4, 5), None, None, 15, 4, 1 << 20):
+            found.update(dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+        assert found == {" ".join(["same"] * size) + "\ten": n - size + 1 for size in range(1, 6) if size <= n}
+
+
+def test_long_repeats_equal_brute_force(spark):
+    rows = [("en", "same " * n) for n in (1025, 1026, 1027, 2050)] + [("fr", "The cat sat on the mat " * 171), (None, "a b " * 513)]
+    assert rows_of(C.collocations(spark.createDataFrame(rows, "lang string, text string"))) == brute(rows)
+
+
 def test_shared_passages_become_one_entry(spark):
     rng = random.Random(8)
     passage = " ".join(rng.choice("abcdefghij") + rng.choice("klmnop") for _ in range(400))
