@@ -11,10 +11,15 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import StringType
+from pyspark.sql.types import (ArrayType, BinaryType, MapType, StringType, StructType, UserDefinedType,
+                               VariantType)
 
 from kilowatt.functions.expressions import common_prefix_len, order_key
 
+#: Bytes of rows, as a sort holds them, that one range of a layout job is meant to have.
+RANGE_BYTES = 256 << 20
+
+
 def compact(df: DataFrame, path: str, partition_cols: Sequence[str] = (), max_records_per_file: int | None = None,
             mode: str = "overwrite") -> str:
     """Rewrite ``df`` as few, large files (OPTIMIZE). The REBALANCE hint lets
@@ -65,20 +70,54 @@ def with_zvalue(df: DataFrame, cols: Sequence[str], bits: int = 8, name: str = "
     return out.drop(*keys, *[f"_zb{i}" for i in range(k)])
 
 
-def _ranged(df: DataFrame, files: int | None, *by) -> DataFrame:
-    """Ranges of ``by``: ``files`` of them, or as many as AQE's advisory size gives."""
-    return df.repartitionByRange(files, *by) if files else df.repartitionByRange(*by)
+def _quoted(c: str) -> Column:
+    return F.col("`" + c.replace("`", "``") + "`")
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of the row, without the columns that Spark does not hash."""
+    return F.xxhash64(F.lit(0), *[_quoted(f.name) for f in df.schema.fields
+                                  if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))])
+
+
+def _sort_bytes(df: DataFrame) -> int:
+    """About the bytes that all rows take in a sort: 8 for each column, 32 for
+    the row and its place, and the length of what has no fixed width."""
+    size = F.lit(32 + 8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(_quoted(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType, UserDefinedType, VariantType)):
+            size = size + F.coalesce(F.octet_length(_quoted(f.name).cast("string")), F.lit(0))
+    return df.agg(F.sum(size)).first()[0] or 0
+
+
+def _ranges(df: DataFrame, files: int | None, range_bytes: int) -> int:
+    """``files`` (else the session's shuffle partitions), or more where a range
+    of the table would hold over ``range_bytes``."""
+    least = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-_sort_bytes(df) // range_bytes))
+
+
+def _ranged(df: DataFrame, files: int | None, n: int, *by) -> DataFrame:
+    """``n`` ranges of ``by``; without ``files``, AQE may join small ones to its advisory size."""
+    if not files and n == int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.repartitionByRange(*by)
+    return df.repartitionByRange(n, *by)
 
 
-def zorder_layout(df: DataFrame, cols: Sequence[str], path: str, files: int | None = None) -> str:
+def zorder_layout(df: DataFrame, cols: Sequence[str], path: str, files: int | None = None,
+                  range_bytes: int = RANGE_BYTES) -> str:
     """Write ``df`` clustered by the z-order of ``cols`` (ZORDER BY): files
     cover compact z ranges, so parquet min/max statistics skip files for
     filters on any of the columns. Rows of one z value are told apart by the
-    columns themselves and a hash of the row, so a hot cell is many files."""
-    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    z = with_zvalue(df, cols, z_bits(n, len(cols))).withColumn("_h", F.xxhash64(*df.columns))
+    columns themselves and a hash of the row, so a hot cell is many files.
+    ``files`` is the least number of ranges: a table of more than
+    ``range_bytes`` for each gets more, so a task's sort does not grow with it."""
+    n = _ranges(df, files, range_bytes)
+    z = with_zvalue(df, cols, z_bits(n, len(cols))).withColumn("_h", _row_hash(df))
     by = ["_z", *cols, "_h"]
-    _ranged(z, files, *by).sortWithinPartitions(*by).drop("_z", "_h").write.mode("overwrite").parquet(path)
+    _ranged(z, files, n, *by).sortWithinPartitions(*by).drop("_z", "_h").write.mode("overwrite").parquet(path)
     return path
 
 
@@ -86,7 +125,8 @@ def sorted_write(df: DataFrame, cols: Sequence, path: str, files: int | None = N
     """Write a table globally ordered by ``cols`` across files (ORDER BY in a
     CTAS): range partitioning + a per-task sort, no single-task sort. A later
     read does not promise this order back."""
-    _ranged(df, files, *cols).sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -69,3 +69,18 @@ def test_zorder_splits_few_distinct_values(spark):
 
 def test_zorder_bits_follow_the_files():
     assert layout.z_bits(8, 2) == 8 and layout.z_bits(1 << 20, 2) == 12 and layout.z_bits(1 << 20, 4) == 8
+
+
+def _per_file(spark, path):
+    return [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+
+
+def test_ranges_follow_the_rows(spark):
+    """Twice the table: twice the ranges, none larger."""
+    wide = F.array(*[F.col("id") + i for i in range(3)])
+    for rows in (20_000, 40_000):
+        df = spark.range(rows).select("id", (F.col("id") * 7919 % 997).alias("k"), F.repeat(F.lit("x"), 100).alias("s"), wide.alias("v"))
+        want = multiset(df)
+        p = layout.zorder_layout(df, ["id", "k"], scratch_path(spark, "t-many"), files=2, range_bytes=200_000)
+        assert max(_per_file(spark, p)) < 2_500
+        assert multiset(spark.read.parquet(p)) == want
