@@ -121,12 +121,15 @@ def zorder_layout(df: DataFrame, cols: Sequence[str], path: str, files: int | No
     return path
 
 
-def sorted_write(df: DataFrame, cols: Sequence, path: str, files: int | None = None) -> str:
+def sorted_write(df: DataFrame, cols: Sequence, path: str, files: int | None = None,
+                 range_bytes: int = RANGE_BYTES) -> str:
     """Write a table globally ordered by ``cols`` across files (ORDER BY in a
     CTAS): range partitioning + a per-task sort, no single-task sort. A later
-    read does not promise this order back."""
-    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
-    ranged.sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
+    read does not promise this order back. ``files`` is the least number of
+    ranges, as in :func:`zorder_layout`; rows equal in ``cols`` may lie in
+    several files, told apart by a hash of the row."""
+    n = _ranges(df, files, range_bytes)
+    _ranged(df, files, n, *cols, _row_hash(df)).sortWithinPartitions(*cols).write.mode("overwrite").parquet(path)
     return path
 
 

@@ -81,6 +81,22 @@ def test_ranges_follow_the_rows(spark):
     for rows in (20_000, 40_000):
         df = spark.range(rows).select("id", (F.col("id") * 7919 % 997).alias("k"), F.repeat(F.lit("x"), 100).alias("s"), wide.alias("v"))
         want = multiset(df)
-        p = layout.zorder_layout(df, ["id", "k"], scratch_path(spark, "t-many"), files=2, range_bytes=200_000)
-        assert max(_per_file(spark, p)) < 2_500
-        assert multiset(spark.read.parquet(p)) == want
+        for p in (layout.zorder_layout(df, ["id", "k"], scratch_path(spark, "t-many"), files=2, range_bytes=200_000),
+                  layout.sorted_write(df, [F.col("k").desc()], scratch_path(spark, "t-many"), files=2, range_bytes=200_000)):
+            assert max(_per_file(spark, p)) < 2_500
+            assert multiset(spark.read.parquet(p)) == want
+
+
+def test_sorted_write_splits_a_hot_key(spark):
+    df = spark.range(30_000).select(F.lit(1).alias("a"), "id", F.create_map(F.lit("m"), "id").alias("m"))
+    p = layout.sorted_write(df, ["a"], scratch_path(spark, "t-hot-sort"), files=8)
+    assert len(_per_file(spark, p)) == 8 and max(_per_file(spark, p)) < 2 * 30_000 / 8
+    assert spark.read.parquet(p).select("id").distinct().count() == 30_000
+
+
+def test_layouts_of_empty_and_null_tables(spark):
+    df = spark.createDataFrame([(None, None), (None, None), (1, None)], "a long, s string")
+    for rows in (df, df.limit(0)):
+        for p in (layout.zorder_layout(rows, ["a"], scratch_path(spark, "t-null")), layout.sorted_write(rows, ["a"], scratch_path(spark, "t-null")),
+                  layout.sorted_write(rows, ["a"], scratch_path(spark, "t-null"), files=3)):
+            assert spark.read.schema(df.schema).parquet(p).count() == rows.count()
