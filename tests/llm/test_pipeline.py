@@ -54,7 +54,7 @@ def test_registered():
     import __spark_entry__ as entry
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
     assert set(ORACLE) <= set(entry.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_queries_equal_their_sql(spark, sf):
